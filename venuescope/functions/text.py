@@ -50,3 +50,17 @@ def round_half_up(c, digits: int) -> Column:
     Going through DECIMAL makes the tie rule independent of binary noise and
     of summation order, and gives the same digits in every SQL engine."""
     return F.round(_c(c).cast("decimal(24,6)"), digits).cast("double")
+
+
+def round_doubles(df, digits: int = 9, skip=()):
+    """Present every double column rounded to ``digits`` decimals (for
+    reports and engine-independent comparison); other columns unchanged."""
+    from pyspark.sql.types import DoubleType, FloatType
+
+    cols = []
+    for f in df.schema.fields:
+        if isinstance(f.dataType, (DoubleType, FloatType)) and f.name not in skip:
+            cols.append(F.round(F.col(f.name), digits).alias(f.name))
+        else:
+            cols.append(F.col(f.name))
+    return df.select(*cols)
