@@ -28,8 +28,8 @@ def strip_ws(c) -> Column:
 
 
 def nan_to_null(c) -> Column:
-    c = _c(c)
-    return F.when(~F.isnan(c), c)
+    """NaN -> null (one reference to ``c``, so the plan does not repeat it)."""
+    return F.nanvl(_c(c), F.lit(None).cast("double"))
 
 
 def parse_double(c, pattern: str = FLOAT_PATTERN) -> Column:

@@ -27,11 +27,13 @@ _V, _C, _PID = "_q_v", "_q_c", "_q_pid"
 
 
 def exact_percentiles(df: DataFrame, value: str, probs, by=(), names=None,
-                      partitions: int | None = None) -> DataFrame:
+                      partitions: int | None = None, weight: str | None = None) -> DataFrame:
     """One row per group with one column per probability.
 
     Nulls and NaN in ``value`` are skipped; rows with a null group key are
-    dropped (pandas ``groupby`` semantics)."""
+    dropped (pandas ``groupby`` semantics).  ``weight`` (a non-negative
+    integer column) counts a row that many times, for input that is already
+    aggregated to (value, multiplicity)."""
     by = list(by)
     probs = [float(p) for p in probs]
     names = list(names) if names else [f"p{round(p * 100):g}" for p in probs]
@@ -42,8 +44,10 @@ def exact_percentiles(df: DataFrame, value: str, probs, by=(), names=None,
     keep = v.isNotNull() & ~F.isnan(v)
     for b in by:
         keep = keep & F.col(b).isNotNull()
-    vc = (df.where(keep).select(*by, v.alias(_V))
-          .groupBy(*by, _V).agg(F.count(F.lit(1)).alias(_C)))
+    w = F.lit(1).cast("bigint") if weight is None else F.col(weight).cast("bigint")
+    vc = (df.where(keep).select(*by, v.alias(_V), w.alias("_q_w"))
+          .groupBy(*by, _V).agg(F.sum("_q_w").alias(_C))
+          .where(F.col(_C) > 0))
     ranged = (vc.repartitionByRange(nparts, *[F.col(b) for b in by], F.col(_V))
               .withColumn(_PID, F.spark_partition_id()))
     key = by + [_PID]

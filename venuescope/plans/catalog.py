@@ -297,3 +297,47 @@ def _linear(spark, d):
 @register("forecast_moving_avg")
 def _ma(spark, d):
     return round_doubles(forecast.moving_average(_monthly(spark, d), 3))
+
+
+# --- isolation forest, summary, risk export, findings, report ----------------
+@register("anom_isolation_forest")
+def _iforest(spark, d):
+    from venuescope.operators.iforest import isolation_forest_flag
+    return isolation_forest_flag(restaurants(spark, d), params=P)
+
+
+def _detected(spark, d):
+    return anomaly.detect_all(restaurants(spark, d), P, with_forest=True)
+
+
+@register("anom_summary")
+def _anom_summary(spark, d):
+    return _detected(spark, d)[1]
+
+
+@register("operational_risk_rows")
+def _risk_rows(spark, d):
+    flagged, _ = _detected(spark, d)
+    return flagged.where(F.col("operational_risk"))
+
+
+def _risk_summary(spark, d):
+    """The risk count alone (no forest): what the findings sentence needs."""
+    risk = anomaly.business_risk_flag(restaurants(spark, d), P)
+    return risk.agg(F.count_if("operational_risk").alias("operational_risk_flags"))
+
+
+@register("key_findings")
+def _findings(spark, d):
+    from venuescope.operators.report import key_findings
+    c = restaurants(spark, d)
+    return key_findings(c, scoring.city_opportunity(c, P), _risk_summary(spark, d))
+
+
+@register("run_report")
+def _run_report(spark, d):
+    from venuescope.operators.report import key_findings, run_report
+    c = restaurants(spark, d)
+    _, summary = _detected(spark, d)
+    f = key_findings(c, scoring.city_opportunity(c, P), summary)
+    return run_report(quality.validate(raw(spark, d), c, P), summary, f)

@@ -470,3 +470,41 @@ SQL["forecast_moving_avg"] = f"""WITH {_MONTHLY}
 SELECT x, {r9('value')} AS value,
        {r9('CASE WHEN COUNT(value) OVER w = 3 THEN AVG(value) OVER w END')} AS moving_avg
 FROM series WINDOW w AS (ORDER BY x ROWS BETWEEN 2 PRECEDING AND CURRENT ROW)"""
+
+
+def _fmt(x: str, digits: int) -> str:
+    return f"printf('%.{digits}f', {rnd(x, digits)})"
+
+
+SQL["key_findings"] = with_base(f"""
+SELECT 1 AS finding_no,
+       'Top opportunity city: ' || city_clean || ' (score ' || {_fmt('opportunity_score', 1)} ||
+       ', avg rating ' || {_fmt('avg_rating', 2)} || ').' AS finding FROM top
+UNION ALL
+SELECT 2, format('{{:,}}', unrated) || ' restaurants are unrated (new) - ' ||
+       {_fmt(f"{dbl('100.0')} * unrated / n", 1)} || '% of the dataset.' FROM st, top
+UNION ALL
+SELECT 3, 'Average rating across rated restaurants is ' || {_fmt('mean_rated', 2)} || ' on a 5-point scale.'
+FROM st, top
+UNION ALL
+SELECT 4, format('{{:,}}', risk) || ' restaurants flagged as operational risk (high cost + low rating).' FROM rk, top
+UNION ALL
+SELECT 5, 'Online ordering enabled at ' || {_fmt(f"{dbl('100.0')} * online", 1)} || '% of restaurants.'
+FROM st, top""",
+    f"""m AS (
+  SELECT city_clean, COUNT(*) AS restaurant_count, AVG(rating) AS avg_rating,
+         CAST(SUM(votes) AS BIGINT) AS demand_index,
+         AVG(CAST(has_online_order AS DOUBLE)) * 100 AS online_pct,
+         AVG(CAST(COALESCE(rating >= {P.high_rating}, FALSE) AS DOUBLE)) * 100 AS market_gap,
+         COUNT(*) AS competition_density
+  FROM restaurants WHERE city_clean IS NOT NULL GROUP BY city_clean)""",
+    f"s AS (SELECT * FROM m WHERE avg_rating IS NOT NULL AND restaurant_count >= {P.min_city_venues})",
+    "mm AS (SELECT " + ", ".join(f"MIN({x}) AS min_{x}, MAX({x}) AS max_{x}" for x, _ in _FACT) + " FROM s)",
+    f"top AS (SELECT city_clean, avg_rating, ({_score}) * 100 AS opportunity_score FROM s, mm "
+    "ORDER BY opportunity_score DESC, city_clean LIMIT 1)",
+    """st AS (SELECT COUNT(*) AS n, COUNT(*) FILTER (WHERE rating IS NULL) AS unrated, AVG(rating) AS mean_rated,
+              AVG(CAST(has_online_order AS DOUBLE)) AS online FROM restaurants)""",
+    """p AS (SELECT city_clean, quantile_cont(cost_for_two, 0.75) AS p75 FROM restaurants
+       WHERE city_clean IS NOT NULL AND cost_for_two IS NOT NULL GROUP BY city_clean)""",
+    f"""rk AS (SELECT COUNT(*) FILTER (WHERE COALESCE(r.cost_for_two > p.p75 AND r.rating < {P.low_rating}, FALSE))
+              AS risk FROM restaurants r LEFT JOIN p ON r.city_clean = p.city_clean)""")
