@@ -14,12 +14,12 @@ def clean_rating(c, non_ratings=config.NON_RATINGS) -> Column:
     """'4.1' -> 4.1; not-rated texts and garbage -> null.  No range check:
     '0.0' is kept as 0.0 while '0' means unrated."""
     s = strip_ws(c)
-    return F.when(~F.lower(s).isin(*[t.lower() for t in non_ratings]), parse_double(s))
+    return F.when(~F.lower(s).isin(*[t.lower() for t in non_ratings]), parse_double(s, stripped=True))
 
 
 def clean_cost(c) -> Column:
     """'1,200' -> 1200.0; only strictly positive amounts survive."""
-    v = parse_double(F.regexp_replace(_c(c), ",", ""))
+    v = parse_double(F.replace(_c(c), F.lit(","), F.lit("")))
     return F.when(v > 0, v)
 
 

@@ -21,10 +21,15 @@ def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+# Every character Python's str.strip() removes (derived by rule, not listed).
+PY_WHITESPACE = "".join(chr(i) for i in range(0x3001) if chr(i).isspace())
+
+
 def strip_ws(c) -> Column:
-    """Python ``str.strip()``: drop leading/trailing whitespace of any kind
-    (Spark's ``trim`` only drops spaces)."""
-    return F.regexp_replace(_c(c), r"^\s+|\s+$", "")
+    """Python ``str.strip()``: drop leading/trailing whitespace of any kind.
+    Spark's one-argument ``trim`` drops spaces only; trimming a character
+    set is a plain scan (no regex)."""
+    return F.trim(_c(c), F.lit(PY_WHITESPACE))
 
 
 def nan_to_null(c) -> Column:
@@ -32,15 +37,15 @@ def nan_to_null(c) -> Column:
     return F.nanvl(_c(c), F.lit(None).cast("double"))
 
 
-def parse_double(c, pattern: str = FLOAT_PATTERN) -> Column:
+def parse_double(c, pattern: str = FLOAT_PATTERN, stripped: bool = False) -> Column:
     """Text to double; anything Python would reject becomes null.
 
     The regex guard keeps Spark from accepting forms Python refuses
     (``4.1d``), underscores between digits are dropped before the cast, and
     NaN is mapped to null so no NaN survives cleaning (Spark orders NaN above
     every number)."""
-    s = strip_ws(c)
-    parsed = F.when(s.rlike(pattern), F.regexp_replace(s, "_", "").try_cast("double"))
+    s = _c(c) if stripped else strip_ws(c)
+    parsed = F.when(s.rlike(pattern), F.replace(s, F.lit("_"), F.lit("")).try_cast("double"))
     return nan_to_null(parsed)
 
 

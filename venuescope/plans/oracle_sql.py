@@ -21,8 +21,13 @@ def lits(xs) -> str:
     return ", ".join(lit(x) for x in xs)
 
 
+from venuescope.functions.text import PY_WHITESPACE  # noqa: E402
+
+_WS = " || ".join(f"chr({ord(ch)})" for ch in PY_WHITESPACE)
+
+
 def strip(x: str) -> str:
-    return f"regexp_replace({x}, '^\\s+|\\s+$', '', 'g')"
+    return f"trim({x}, {_WS})"
 
 
 def parse(x: str, pattern: str = FLOAT_PATTERN) -> str:

@@ -19,6 +19,8 @@ DEFAULT_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # independent jobs submitted from threads share the executors fairly
+    "spark.scheduler.mode": "FAIR",
 }
 
 
