@@ -45,6 +45,11 @@ def city_opportunity(clean: DataFrame, params: Params = REFERENCE, city: str = "
     a scalar subquery, not a join."""
     m = city_metrics(clean, params, city)
     m = m.where(F.col("avg_rating").isNotNull() & (F.col("restaurant_count") >= params.min_city_venues))
+    return score_metrics(m, params, city)
+
+
+def score_metrics(m: DataFrame, params: Params = REFERENCE, city: str = "city_clean") -> DataFrame:
+    """Min-max each factor over the rows given, weight, x 100, best first."""
     stats = m.agg(F.struct(*[f(F.col(x)).alias(f"{n}_{x}")
                              for x, _ in FACTORS for f, n in ((F.min, "min"), (F.max, "max"))]).alias("s"))
     s = stats.select("s").scalar()

@@ -1,0 +1,8 @@
+"""Streaming: intentionally empty.
+
+The original pipeline is a batch job over one snapshot and declares live
+ingestion and streaming out of scope, so there are no watermarks, windows
+or state to rebuild.  Every cleaning rule in ``venuescope.functions`` and
+``operators.transform`` is a pure per-row projection, so it applies
+unchanged to a ``readStream`` DataFrame should a streaming source appear.
+"""
