@@ -54,24 +54,27 @@ def business_risk_flag(clean: DataFrame, params: Params = REFERENCE, out: str =
 
 
 def detect_all(clean: DataFrame, params: Params = REFERENCE, with_forest: bool = True,
-               value: str = "cost_for_two"):
-    """Four flag columns and a one-row summary of their counts."""
+               value: str = "cost_for_two", forest_scores=False):
+    """Four flag columns and a one-row summary of their counts.
+    ``forest_scores``: isolation-forest scores computed ahead (optional)."""
     from venuescope.operators.iforest import isolation_forest_flag
 
     df = iqr_flag(clean, value, "anom_iqr_cost")
     df = zscore_flag(df, value, "anom_zscore_cost")
     if with_forest:
-        df = isolation_forest_flag(df, params=params, out="anom_isoforest")
+        df = isolation_forest_flag(df, params=params, out="anom_isoforest", scores=forest_scores)
     else:
         df = df.withColumn("anom_isoforest", F.lit(False))
     df = business_risk_flag(df, params)
     return df, anomaly_summary(df)
 
 
+def summary_columns():
+    return [F.count_if("anom_iqr_cost").alias("iqr_cost_anomalies"),
+            F.count_if("anom_zscore_cost").alias("zscore_cost_anomalies"),
+            F.count_if("anom_isoforest").alias("isolation_forest_anomalies"),
+            F.count_if("operational_risk").alias("operational_risk_flags")]
+
+
 def anomaly_summary(flagged: DataFrame) -> DataFrame:
-    return flagged.agg(
-        F.count_if("anom_iqr_cost").alias("iqr_cost_anomalies"),
-        F.count_if("anom_zscore_cost").alias("zscore_cost_anomalies"),
-        F.count_if("anom_isoforest").alias("isolation_forest_anomalies"),
-        F.count_if("operational_risk").alias("operational_risk_flags"),
-    )
+    return flagged.agg(*summary_columns())

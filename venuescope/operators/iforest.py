@@ -183,7 +183,11 @@ def fit_forest(df: DataFrame, features, n_trees: int = 100, max_samples: int = 2
     cand = cand.where(unit(F.col("_uid"), F.col("tree"), F.lit(1)) < tau)
     w = Window.partitionBy("tree").orderBy(unit(F.col("_uid"), F.col("tree"), F.lit(2)), "_uid")
     picked = cand.withColumn("_rk", F.row_number().over(w)).where(F.col("_rk") <= psi).select(*feats, "tree")
-    nodes = picked.groupBy("tree").applyInPandas(_trainer(feats, seed), NODE_SCHEMA).toPandas()
+    # one tree per group; an explicit partition count keeps AQE from packing
+    # all trees into one or two Python workers
+    k = max(1, min(n_trees, df.sparkSession.sparkContext.defaultParallelism))
+    nodes = (picked.repartition(k, "tree").groupBy("tree")
+             .applyInPandas(_trainer(feats, seed), NODE_SCHEMA).toPandas())
     return nodes if len(nodes) else None
 
 
@@ -216,14 +220,16 @@ def isolation_forest_scores(df: DataFrame, features=("rating", "cost_for_two"),
 
 
 def isolation_forest_flag(df: DataFrame, features=("rating", "cost_for_two"), params: Params = REFERENCE,
-                          out: str = "anom_isoforest", keep_score: bool = False) -> DataFrame:
+                          out: str = "anom_isoforest", keep_score: bool = False, scores=False) -> DataFrame:
     """``df`` plus a boolean column: score strictly above the exact
-    (1 - contamination) quantile of all rows' scores."""
+    (1 - contamination) quantile of all rows' scores.  ``scores`` may be a
+    result of ``isolation_forest_scores`` computed earlier on the same rows."""
     from venuescope.session import ensure_checkpoint_dir
 
     ensure_checkpoint_dir(df.sparkSession)
     feats = list(features)
-    scores = isolation_forest_scores(df, feats, params.iforest_trees, params.iforest_max_samples, params.seed)
+    if scores is False:
+        scores = isolation_forest_scores(df, feats, params.iforest_trees, params.iforest_max_samples, params.seed)
     if scores is None:
         res = df.withColumn(out, F.lit(False))
         return res.withColumn(SCORE, F.lit(None).cast("double")) if keep_score else res

@@ -52,8 +52,15 @@ def exact_percentiles(df: DataFrame, value: str, probs, by=(), names=None,
               .withColumn(_PID, F.spark_partition_id()))
     key = by + [_PID]
 
-    # per (group, partition) totals -> [start, end) rank range of each partition
-    part = ranged.groupBy(*key).agg(F.sum(_C).alias("_pc"))
+    # running count inside each (group, partition); the window's exchange
+    # clusters rows by (group, partition), so the per-partition totals below
+    # aggregate without another shuffle
+    run = Window.partitionBy(*key).orderBy(_V).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    cum = ranged.withColumn("_cin", F.sum(_C).over(run))
+    part = cum.groupBy(*key).agg(F.max("_cin").alias("_pc"))
+
+    # [start, end) rank range of each partition: a window over the small
+    # totals table (<= groups + partitions rows)
     gw = Window.partitionBy(*by) if by else Window.partitionBy()
     part = (part.withColumn("_end", F.sum("_pc").over(
                 gw.orderBy(_PID).rowsBetween(Window.unboundedPreceding, Window.currentRow)))
@@ -72,20 +79,20 @@ def exact_percentiles(df: DataFrame, value: str, probs, by=(), names=None,
     tg = (tg.select(*key, "_start", "_k", "_frac", F.col("s.hi").alias("_hi"), F.col("s.r").alias("_r"))
           .where((F.col("_r") >= F.col("_start")) & (F.col("_r") < F.col("_end"))))
 
-    run = Window.partitionBy(*key).orderBy(_V).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    cum = ranged.withColumn("_cin", F.sum(_C).over(run))
+    # pick the rows holding those ranks (equi-join on group + partition)
     hit = (cum.join(tg, on=key)
            .where((F.col("_start") + F.col("_cin") - F.col(_C) <= F.col("_r"))
                   & (F.col("_r") < F.col("_start") + F.col("_cin"))))
-    per_k = (hit.groupBy(*by, "_k")
-             .agg(F.max(F.when(F.col("_hi") == 0, F.col(_V))).alias("_lo_v"),
-                  F.max(F.when(F.col("_hi") == 1, F.col(_V))).alias("_hi_v"),
-                  F.max("_frac").alias("_frac"))
-             .select(*by, "_k", (F.col("_lo_v") + (F.col("_hi_v") - F.col("_lo_v")) * F.col("_frac")).alias("_q")))
-    cols = [F.max(F.when(F.col("_k") == k, F.col("_q"))).alias(nm) for k, nm in enumerate(names)]
-    if by:
-        return per_k.groupBy(*by).agg(*cols)
-    return per_k.agg(*cols)
+    k_is = [(F.col("_k") == k) for k in range(len(probs))]
+    cols = []
+    for k in range(len(probs)):
+        cols += [F.max(F.when(k_is[k] & (F.col("_hi") == 0), F.col(_V))).alias(f"_lo{k}"),
+                 F.max(F.when(k_is[k] & (F.col("_hi") == 1), F.col(_V))).alias(f"_up{k}"),
+                 F.max(F.when(k_is[k], F.col("_frac"))).alias(f"_fr{k}")]
+    agg = hit.groupBy(*by).agg(*cols) if by else hit.agg(*cols)
+    return agg.select(*by, *[
+        (F.col(f"_lo{k}") + (F.col(f"_up{k}") - F.col(f"_lo{k}")) * F.col(f"_fr{k}")).alias(nm)
+        for k, nm in enumerate(names)])
 
 
 def exact_percentile_scalar(df: DataFrame, value: str, p: float):

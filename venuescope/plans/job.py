@@ -17,7 +17,7 @@ import uuid
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from venuescope.config import Params, REFERENCE
@@ -54,6 +54,19 @@ class _Timer:
         return _Ctx()
 
 
+QUALITY_SCHEMA = ("rows_read long, rows_after_cleaning long, duplicate_rows_in_raw long, "
+                  "missing_ratings_new_restaurants long, missing_costs long, invalid_cities long, "
+                  "structurally_valid_rows long, data_quality_pct double, pipeline_status string")
+SUMMARY_SCHEMA = ("iqr_cost_anomalies long, zscore_cost_anomalies long, isolation_forest_anomalies long, "
+                  "operational_risk_flags long")
+
+
+def _one_row(spark: SparkSession, d: dict, schema: str) -> DataFrame:
+    """A one-row DataFrame from values already on the driver (a report row)."""
+    names = [c.split()[0] for c in schema.split(", ")]
+    return spark.createDataFrame([tuple(d[n] for n in names)], schema)
+
+
 def run_job(spark: SparkSession, raw: DataFrame, out_dir: str, params: Params = REFERENCE,
             with_forest: bool = True, write_clean_csv: bool = True) -> JobResult:
     """Run the whole pipeline; raise ``QualityGateError`` (after archiving
@@ -61,89 +74,113 @@ def run_job(spark: SparkSession, raw: DataFrame, out_dir: str, params: Params =
     tm = _Timer()
     run_id = uuid.uuid4().hex[:12]
     stage = os.path.join(out_dir, "tables")
-
-    with tm("extract"):
-        raw_path = os.path.join(stage, "raw_listings", f"v={run_id}")
-        # REBALANCE: AQE cuts the landed table into advisory-size files and
-        # splits skewed input partitions, whatever layout the source had
-        raw.hint("rebalance").write.mode("errorifexists").parquet(raw_path)
-        raw_t = spark.read.parquet(raw_path)
-
-    with tm("transform"):
-        clean_path = os.path.join(stage, "restaurants", f"v={run_id}")
-        transform(raw_t, params).write.mode("errorifexists").parquet(clean_path)
-        clean = spark.read.parquet(clean_path)
-        cuis_path = os.path.join(stage, "restaurant_cuisines", f"v={run_id}")
-        explode_cuisines(clean).write.mode("errorifexists").parquet(cuis_path)
-        cuisines = spark.read.parquet(cuis_path)
-    paths = {"restaurants": clean_path, "restaurant_cuisines": cuis_path}
-
-    with tm("validate"):
-        qdf = validate(raw_t, clean, params)
-        q = qdf.collect()[0].asDict()
-    report_path = os.path.join(out_dir, "reports")
-    try:
-        gate(q)
-    except QualityGateError:
-        empty = spark.createDataFrame([], "finding_no int, finding string")
-        zero = spark.createDataFrame([(0, 0, 0, 0)], "iqr_cost_anomalies long, zscore_cost_anomalies long, "
-                                     "isolation_forest_anomalies long, operational_risk_flags long")
-        sinks.append_report(report.run_report(spark.createDataFrame([q]), zero, empty), report_path)
-        raise
-
-    with tm("publish"):
-        counts = sinks.published_counts(spark, paths).collect()
-        sinks.swap_in(spark, paths)
-
-    # Everything below depends only on the published tables and is split
-    # into independent Spark jobs submitted from a small thread pool, so
-    # short jobs do not queue behind each other (one application, shared
-    # executors; the FAIR scheduler interleaves their tasks).
     out_csv = os.path.join(out_dir, "outputs")
-    r, rc = spark.table("restaurants"), spark.table("restaurant_cuisines")
-    results = {name: fn(r if src == "restaurants" else rc, params)
-               for name, (fn, src) in business.BUSINESS_QUERIES.items()}
-    flags_path = os.path.join(stage, "venue_flags", f"v={run_id}")
-
-    def score():
-        opp = scoring.city_opportunity(clean, params)
-        sinks.write_csv(opp, os.path.join(out_csv, "city_opportunity_scores.csv"), single_file=True)
-
-    def anomalies():
-        flagged, _ = anomaly.detect_all(clean, params, with_forest=with_forest)
-        flagged.write.mode("errorifexists").parquet(flags_path)
-
-    def one_query(name):
-        return sinks.export_queries({name: results[name]}, out_csv)[0]
+    report_path = os.path.join(out_dir, "reports")
+    pool = ThreadPoolExecutor(max_workers=6)
 
     def timed(name, fn, *a):
         t = time.perf_counter()
         v = fn(*a)
         return name, round(time.perf_counter() - t, 3), v
 
-    with tm("analytics"):
-        with ThreadPoolExecutor(max_workers=6) as pool:
+    try:
+        with tm("extract"):
+            raw_path = os.path.join(stage, "raw_listings", f"v={run_id}")
+            # REBALANCE: AQE cuts the landed table into advisory-size files and
+            # splits skewed input partitions, whatever layout the source had
+            raw.hint("rebalance").write.mode("errorifexists").parquet(raw_path)
+            raw_t = spark.read.parquet(raw_path)
+
+        with tm("transform"):
+            clean_path = os.path.join(stage, "restaurants", f"v={run_id}")
+            transform(raw_t, params).write.mode("errorifexists").parquet(clean_path)
+            clean = spark.read.parquet(clean_path)
+            cuis_path = os.path.join(stage, "restaurant_cuisines", f"v={run_id}")
+            cuis_obs = Observation("cuisines")
+            (explode_cuisines(clean).observe(cuis_obs, F.count(F.lit(1)).alias("rows"),
+                                             F.count_if(F.col("cuisine") == "0").alias("zero_cuisines"))
+             .write.mode("errorifexists").parquet(cuis_path))
+            cuisines = spark.read.parquet(cuis_path)
+        paths = {"restaurants": clean_path, "restaurant_cuisines": cuis_path}
+
+        # The forest only reads the staged table and publishes nothing, so it
+        # trains and scores while the quality gate is evaluated.
+        forest = None
+        if with_forest:
+            from venuescope.operators.iforest import isolation_forest_scores
+            forest = pool.submit(timed, "forest", isolation_forest_scores, clean, ["rating", "cost_for_two"],
+                                 params.iforest_trees, params.iforest_max_samples, params.seed)
+
+        with tm("validate"):
+            q = validate(raw_t, clean, params).collect()[0].asDict()
+        try:
+            gate(q)
+        except QualityGateError:
+            empty = spark.createDataFrame([], "finding_no int, finding string")
+            zero = _one_row(spark, dict.fromkeys(["iqr_cost_anomalies", "zscore_cost_anomalies",
+                                                  "isolation_forest_anomalies", "operational_risk_flags"], 0),
+                            SUMMARY_SCHEMA)
+            sinks.append_report(report.run_report(_one_row(spark, q, QUALITY_SCHEMA), zero, empty), report_path)
+            raise
+
+        with tm("publish"):
+            counts = [{"table_name": "restaurants", "rows": q["rows_after_cleaning"], "zero_cuisines": 0},
+                      dict(table_name="restaurant_cuisines", **cuis_obs.get)]
+            sinks.swap_in(spark, paths)
+
+        # Everything below depends only on the published tables: independent
+        # Spark jobs submitted from a small thread pool, so short jobs do not
+        # queue behind each other (the FAIR scheduler interleaves their tasks).
+        r, rc = spark.table("restaurants"), spark.table("restaurant_cuisines")
+        results = {name: fn(r if src == "restaurants" else rc, params)
+                   for name, (fn, src) in business.BUSINESS_QUERIES.items()}
+        flags_path = os.path.join(stage, "venue_flags", f"v={run_id}")
+        anom_obs = Observation("anomalies")
+
+        def score():
+            opp = scoring.city_opportunity(clean, params)
+            sinks.write_csv(opp, os.path.join(out_csv, "city_opportunity_scores.csv"), single_file=True)
+
+        def anomalies():
+            scores = False
+            if forest is not None:
+                name, secs, scores = forest.result()
+                tm.t[name] = secs
+            flagged, _ = anomaly.detect_all(clean, params, with_forest=with_forest, forest_scores=scores)
+            flagged.observe(anom_obs, *anomaly.summary_columns()).write.mode("errorifexists").parquet(flags_path)
+
+        def one_query(name):
+            return sinks.export_queries({name: results[name]}, out_csv)[0]
+
+        with tm("analytics"):
             futs = [pool.submit(timed, "anomalies", anomalies), pool.submit(timed, "score", score)]
             if write_clean_csv:
                 futs.append(pool.submit(timed, "load_csv", sinks.load_csv_pair, clean, cuisines,
                                         os.path.join(out_dir, "cleaned")))
-            futs += [pool.submit(timed, f"sql_{q}", one_query, q) for q in results]
+            futs += [pool.submit(timed, f"sql_{qn}", one_query, qn) for qn in results]
             done = [f.result() for f in futs]
-    exported = [v for name, _, v in done if name.startswith("sql_")]
-    tm.t.update({name: secs for name, secs, _ in done})
-
-    with tm("report"):
-        flagged = spark.read.parquet(flags_path)
-        summary = anomaly.anomaly_summary(flagged)
-        s = summary.collect()[0].asDict()
-        sinks.write_csv(flagged.where(F.col("operational_risk")), os.path.join(out_csv, "operational_risk_restaurants.csv"))
-        opp_t = spark.read.option("header", True).schema(scoring.city_opportunity(clean, params).schema) \
-            .csv(os.path.join(out_csv, "city_opportunity_scores.csv"))
-        findings = report.key_findings(clean, opp_t, summary)
-        rep = report.run_report(qdf, summary, findings)
-        sinks.append_report(rep, report_path)
-        f = [row.finding for row in findings.orderBy("finding_no").collect()]
+        exported = [v for name, _, v in done if name.startswith("sql_")]
+        tm.t.update({name: secs for name, secs, _ in done})
+
+        with tm("report"):
+            s = dict(anom_obs.get)
+            summary = _one_row(spark, s, SUMMARY_SCHEMA)
+            flagged = spark.read.parquet(flags_path)
+            risk = pool.submit(sinks.write_csv, flagged.where(F.col("operational_risk")),
+                               os.path.join(out_csv, "operational_risk_restaurants.csv"))
+            opp_t = spark.read.option("header", True).schema(scoring.city_opportunity(clean, params).schema) \
+                .csv(os.path.join(out_csv, "city_opportunity_scores.csv"))
+            findings = report.key_findings(clean, opp_t, summary)
+            run_date = F.lit(time.strftime("%Y-%m-%d")).cast("date")
+            rep = report.run_report(_one_row(spark, q, QUALITY_SCHEMA), summary, findings, run_date)
+            sinks.append_report(rep, report_path)
+            f = [row.value for row in spark.read.parquet(report_path)
+                 .where((F.col("run_date") == run_date) & (F.col("section") == "key_findings"))
+                 .orderBy(F.col("item_no").desc()).limit(5).orderBy("item_no").collect()]
+            risk.result()
+    finally:
+        pool.shutdown(wait=True)
 
     return JobResult(status=q["pipeline_status"], quality=q, timings=tm.t, exported=exported,
                      anomalies=s, findings=f, paths=dict(paths, flags=flags_path, reports=report_path,
-                                                          counts=[c.asDict() for c in counts]))
+                                                          counts=counts))
