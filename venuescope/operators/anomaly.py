@@ -26,7 +26,9 @@ def iqr_flag(df: DataFrame, value: str, out: str = "anom_iqr", k: float = 1.5) -
     """Strictly outside [lower, upper]; null value -> False."""
     b = iqr_bounds(df, value, k).select(F.struct("lower", "upper").alias("b")).select("b").scalar()
     v = F.col(value)
-    return df.withColumn(out, F.coalesce((v < b["lower"]) | (v > b["upper"]), F.lit(False)))
+    t = df.withColumn("_iqr_b", b)
+    flag = F.coalesce((v < F.col("_iqr_b.lower")) | (v > F.col("_iqr_b.upper")), F.lit(False))
+    return t.withColumn(out, flag).drop("_iqr_b")
 
 
 def zscore_flag(df: DataFrame, value: str, out: str = "anom_zscore", threshold: float = 3.0) -> DataFrame:
@@ -34,8 +36,9 @@ def zscore_flag(df: DataFrame, value: str, out: str = "anom_zscore", threshold:
     a zero sd flags nothing."""
     st = df.agg(F.struct(F.avg(value).alias("m"), F.stddev_pop(value).alias("sd")).alias("s")) \
         .select("s").scalar()
-    z = (F.col(value) - st["m"]) / F.nullif(st["sd"], F.lit(0.0))
-    return df.withColumn(out, F.coalesce(F.abs(z) > threshold, F.lit(False)))
+    t = df.withColumn("_z_s", st)
+    z = (F.col(value) - F.col("_z_s.m")) / F.nullif(F.col("_z_s.sd"), F.lit(0.0))
+    return t.withColumn(out, F.coalesce(F.abs(z) > threshold, F.lit(False))).drop("_z_s")
 
 
 def business_risk_flag(clean: DataFrame, params: Params = REFERENCE, out: str = "operational_risk",

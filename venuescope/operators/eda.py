@@ -25,14 +25,16 @@ def histogram(df: DataFrame, col: str, bins: int = 30) -> DataFrame:
     x = F.col(col).cast("double")
     s = df.where(x.isNotNull() & ~F.isnan(x)).select(x.alias("x"))
     st = s.agg(F.struct(F.min("x").alias("mn"), F.max("x").alias("mx"), F.avg("x").alias("mean")).alias("s")) \
-        .select("s").scalar()
-    lo = F.when(st["mx"] > st["mn"], st["mn"]).otherwise(st["mn"] - 0.5)
-    hi = F.when(st["mx"] > st["mn"], st["mx"]).otherwise(st["mx"] + 0.5)
+        .select(F.when(F.col("s.mx") > F.col("s.mn"), F.col("s.mn")).otherwise(F.col("s.mn") - 0.5).alias("lo"),
+                F.when(F.col("s.mx") > F.col("s.mn"), F.col("s.mx")).otherwise(F.col("s.mx") + 0.5).alias("hi"),
+                F.col("s.mean").alias("mean"))
+    st = st.select(F.struct("lo", "hi", "mean").alias("g")).select("g").scalar()
+    lo, hi = F.col("_h.lo"), F.col("_h.hi")
 
     def edge(i):
         return F.when(i >= bins, F.col("hi")).otherwise(i * F.col("step") + F.col("lo"))
 
-    t = s.select("x", lo.alias("lo"), hi.alias("hi"))
+    t = s.withColumn("_h", st).select("x", lo.alias("lo"), hi.alias("hi"))
     t = t.select("x", "lo", "hi", ((F.col("hi") - F.col("lo")) / bins).alias("step"))
     i0 = F.floor((F.col("x") - F.col("lo")) * (F.lit(float(bins)) / (F.col("hi") - F.col("lo"))))
     t = t.select("x", "lo", "hi", "step", F.least(i0, F.lit(bins - 1)).alias("i0"))
@@ -41,13 +43,13 @@ def histogram(df: DataFrame, col: str, bins: int = 30) -> DataFrame:
     i2 = F.when((F.col("x") >= edge(F.col("i1") + 1)) & (F.col("i1") != bins - 1), F.col("i1") + 1) \
         .otherwise(F.col("i1"))
     counts = t.select(i2.cast("int").alias("bin")).groupBy("bin").agg(F.count(F.lit(1)).alias("count"))
-    grid = (df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"))
-            .select("bin", lo.alias("lo"), hi.alias("hi")))
-    grid = grid.select("bin", "lo", "hi", ((F.col("hi") - F.col("lo")) / bins).alias("step"))
+    grid = (df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"), st.alias("_h"))
+            .select("bin", lo.alias("lo"), hi.alias("hi"), F.col("_h.mean").alias("mean")))
+    grid = grid.select("bin", "lo", "hi", "mean", ((F.col("hi") - F.col("lo")) / bins).alias("step"))
     out = grid.join(F.broadcast(counts), "bin", "left")   # <= bins rows by construction
     return out.select("bin", edge(F.col("bin")).alias("bin_lower"), edge(F.col("bin") + 1).alias("bin_upper"),
                       F.coalesce("count", F.lit(0)).cast("bigint").alias("count"),
-                      st["mean"].alias("mean")).orderBy("bin")
+                      "mean").orderBy("bin")
 
 
 def mean_by(df: DataFrame, key: str, cols) -> DataFrame:

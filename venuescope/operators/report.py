@@ -28,7 +28,9 @@ def key_findings(clean: DataFrame, opportunity: DataFrame, anomaly_summary: Data
         F.avg(F.col("has_online_order").cast("double")).alias("online"),
     ).alias("s")).select("s").scalar()
     risk = anomaly_summary.select("operational_risk_flags").scalar()
-    top = opportunity.orderBy(F.col("opportunity_score").desc(), F.col(city).asc()).limit(1)
+    top = (opportunity.orderBy(F.col("opportunity_score").desc(), F.col(city).asc()).limit(1)
+           .withColumn("_st", st).withColumn("_risk", risk))
+    st, risk = F.col("_st"), F.col("_risk")
     sentences = [
         F.concat(F.lit("Top opportunity city: "), F.col(city), F.lit(" (score "),
                  _fixed(F.col("opportunity_score"), 1), F.lit(", avg rating "),

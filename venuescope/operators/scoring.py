@@ -19,7 +19,7 @@ FACTORS = (  # (column, weight key)
 def minmax(x: str, stats: Column) -> Column:
     """(x - min) / (max - min) over the surviving rows; a constant factor
     scales to 0 (not MLlib's 0.5)."""
-    lo, hi = stats[f"min_{x}"], stats[f"max_{x}"]
+    lo, hi = stats.getField(f"min_{x}"), stats.getField(f"max_{x}")
     return F.coalesce((F.col(x) - lo) / F.nullif(hi - lo, F.lit(0)), F.lit(0.0))
 
 
@@ -52,7 +52,8 @@ def score_metrics(m: DataFrame, params: Params = REFERENCE, city: str = "city_cl
     """Min-max each factor over the rows given, weight, x 100, best first."""
     stats = m.agg(F.struct(*[f(F.col(x)).alias(f"{n}_{x}")
                              for x, _ in FACTORS for f, n in ((F.min, "min"), (F.max, "max"))]).alias("s"))
-    s = stats.select("s").scalar()
+    m = m.withColumn("_mm", stats.select("s").scalar())   # one scalar subquery, read per row
+    s = F.col("_mm")
     w = params.weights
     score = None
     for x, k in FACTORS:

@@ -53,7 +53,8 @@ def zscore_share(df: DataFrame, col: str, threshold: float = 2.0) -> DataFrame:
     """Count and % of non-null values with |z| > threshold (population sd)."""
     s = df.where(F.col(col).isNotNull())
     st = s.agg(F.struct(F.avg(col).alias("m"), F.stddev_pop(col).alias("sd")).alias("s")).select("s").scalar()
-    z = (F.col(col) - st["m"]) / F.nullif(st["sd"], F.lit(0.0))
+    s = s.withColumn("_z_s", st)
+    z = (F.col(col) - F.col("_z_s.m")) / F.nullif(F.col("_z_s.sd"), F.lit(0.0))
     flag = F.coalesce(F.abs(z) > threshold, F.lit(False))
     return s.agg(F.count(F.lit(1)).alias("n"), F.count_if(flag).alias("outliers"),
                  (F.lit(100.0) * F.count_if(flag) / F.count(F.lit(1))).alias("outlier_pct"))
