@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import math
 import sys
+import uuid
 
 import numpy as np
 import pandas as pd
@@ -214,9 +215,15 @@ def isolation_forest_scores(df: DataFrame, features=("rating", "cost_for_two"),
 
     distinct = _complete(df, feats).groupBy(*feats).agg(F.count(F.lit(1)).alias("_w"))
     schema = StructType(list(distinct.schema.fields) + [StructField(SCORE, DoubleType())])
-    # scored once, read twice (cut-off and join): checkpoint to the shared
-    # folder instead of running the Python scorer a second time
-    return distinct.mapInPandas(score_batches, schema).checkpoint(eager=True)
+    # Scored once, read twice (cut-off and join): written as a table in the
+    # shared checkpoint folder, which also cuts the lineage.  (A reliable
+    # DataFrame.checkpoint would run the Python scorer a second time to
+    # write its files.)
+    from venuescope.session import scratch_path
+
+    path = scratch_path(spark, f"iforest/scores-{uuid.uuid4().hex}")
+    distinct.mapInPandas(score_batches, schema).write.parquet(path)
+    return spark.read.parquet(path)
 
 
 def isolation_forest_flag(df: DataFrame, features=("rating", "cost_for_two"), params: Params = REFERENCE,
@@ -224,9 +231,6 @@ def isolation_forest_flag(df: DataFrame, features=("rating", "cost_for_two"), pa
     """``df`` plus a boolean column: score strictly above the exact
     (1 - contamination) quantile of all rows' scores.  ``scores`` may be a
     result of ``isolation_forest_scores`` computed earlier on the same rows."""
-    from venuescope.session import ensure_checkpoint_dir
-
-    ensure_checkpoint_dir(df.sparkSession)
     feats = list(features)
     if scores is False:
         scores = isolation_forest_scores(df, feats, params.iforest_trees, params.iforest_max_samples, params.seed)
