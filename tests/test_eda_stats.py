@@ -122,3 +122,22 @@ def test_monthly_counts_drop_partial_last_month(spark):
     df = spark.createDataFrame([(t,) for t in ts], "o_orderdate timestamp")
     got = [tuple(r) for r in forecast.monthly_counts(df, "o_orderdate").collect()]
     assert got == [(1, "2020-01", 2.0), (2, "2020-02", 1.0)]
+
+
+def test_kth_smallest_weighted(spark):
+    from venuescope.operators.quantile import kth_smallest
+    df = spark.createDataFrame([(5, 2), (1, 1), (9, 3), (3, 1)], "v long, m long")
+    expanded = sorted([5, 5, 1, 9, 9, 9, 3])
+    for k in (1, 2, 3, 4, 7, 50):
+        r = kth_smallest(df, "v", k, weight="m").collect()[0]
+        want = expanded[min(k, len(expanded)) - 1]
+        assert r["kth"] == want and r["below"] == sum(1 for x in expanded if x < want)
+
+
+def test_sample_with_hot_duplicate_matches_brute_force(spark):
+    rows = [("hot", 1.0)] * 3000 + [(f"r{i}", float(i % 17)) for i in range(6000)]
+    df = spark.createDataFrame(rows, "name string, v double").repartition(9)
+    got = sorted(tuple(r) for r in eda.deterministic_sample(df, 2500, 42).collect())
+    hashed = df.select("name", "v", F.xxhash64(F.lit(42), "name", "v").alias("h")).collect()
+    want = sorted(tuple(r[:2]) for r in sorted(hashed, key=lambda r: (r["h"], r["name"], r["v"]))[:2500])
+    assert len(got) == 2500 and got == want

@@ -85,12 +85,32 @@ def service_mix(df: DataFrame, flags=("has_online_order", "has_table_booking", "
 
 
 def deterministic_sample(df: DataFrame, n: int, seed: int = 42, dropna=None) -> DataFrame:
-    """Exactly ``min(n, rows)`` rows chosen by a seeded hash of the row:
-    a top-k (TakeOrderedAndProject), so only n rows per task reach the
-    final merge.  Same input -> same sample, however it is partitioned."""
+    """Exactly ``min(n, rows)`` rows: those with the smallest seeded hash of
+    their content.  Same input -> same sample, however it is partitioned.
+
+    Identical rows are collapsed to (row, multiplicity) first and the hash
+    cut-off is the exact weighted n-th smallest hash (distributed ranks), so
+    no task ever holds more than ~n candidate rows - not n per partition, as
+    a plain ORDER BY ... LIMIT would merge - even if one duplicated row
+    makes up a third of the table."""
+    from venuescope.operators.quantile import kth_smallest
+
     src = df.dropna(subset=list(dropna)) if dropna else df
-    h = F.xxhash64(F.lit(seed), *[F.col(c) for c in src.columns])
-    return (src.withColumn("_h", h).orderBy("_h", *src.columns).limit(n).drop("_h"))
+    cols = src.columns
+    d = (src.groupBy(*cols).agg(F.count(F.lit(1)).alias("_m"))
+         .withColumn("_h", F.xxhash64(F.lit(seed), *[F.col(c) for c in cols])))
+    cut = kth_smallest(d, "_h", n, weight="_m")
+    d = d.withColumn("_cut", cut.select(F.struct("kth", "below").alias("c")).select("c").scalar())
+    below = d.where(F.col("_h") < F.col("_cut.kth")).select(*cols, "_m")
+    # rows sharing the cut-off hash (identical content collapsed already):
+    # take the remaining n - below copies in content order
+    at = d.where(F.col("_h") == F.col("_cut.kth"))
+    w = Window.orderBy(*cols).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    need = F.lit(int(n)) - F.col("_cut.below")
+    at = (at.withColumn("_before", F.sum("_m").over(w) - F.col("_m"))
+          .select(*cols, F.least(F.col("_m"), F.greatest(need - F.col("_before"), F.lit(0))).alias("_m")))
+    picked = below.unionByName(at).where(F.col("_m") > 0)
+    return picked.select(*cols, F.explode(F.sequence(F.lit(1), F.col("_m"))).alias("_copy")).drop("_copy")
 
 
 def correlation(df: DataFrame, a: str, b: str) -> DataFrame:

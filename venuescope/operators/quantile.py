@@ -26,22 +26,16 @@ from pyspark.sql import functions as F
 _V, _C, _PID = "_q_v", "_q_c", "_q_pid"
 
 
-def exact_percentiles(df: DataFrame, value: str, probs, by=(), names=None,
-                      partitions: int | None = None, weight: str | None = None) -> DataFrame:
-    """One row per group with one column per probability.
-
-    Nulls and NaN in ``value`` are skipped; rows with a null group key are
-    dropped (pandas ``groupby`` semantics).  ``weight`` (a non-negative
-    integer column) counts a row that many times, for input that is already
-    aggregated to (value, multiplicity)."""
-    by = list(by)
-    probs = [float(p) for p in probs]
-    names = list(names) if names else [f"p{round(p * 100):g}" for p in probs]
+def _ranked(df: DataFrame, value: str, by, partitions, weight):
+    """(cum, part): per-row running counts inside (group, range partition)
+    and the small per-partition table with [start, end) rank ranges and
+    the group size n (steps 1-3 of the module docstring)."""
     spark = df.sparkSession
     nparts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-
-    v = F.col(value).cast("double")
-    keep = v.isNotNull() & ~F.isnan(v)
+    v = F.col(value).cast("double") if weight is None or dict(df.dtypes).get(value) != "bigint" else F.col(value)
+    keep = F.col(value).isNotNull()
+    if dict(df.dtypes).get(value) in ("double", "float"):
+        keep = keep & ~F.isnan(F.col(value))
     for b in by:
         keep = keep & F.col(b).isNotNull()
     w = F.lit(1).cast("bigint") if weight is None else F.col(weight).cast("bigint")
@@ -51,38 +45,58 @@ def exact_percentiles(df: DataFrame, value: str, probs, by=(), names=None,
     ranged = (vc.repartitionByRange(nparts, *[F.col(b) for b in by], F.col(_V))
               .withColumn(_PID, F.spark_partition_id()))
     key = by + [_PID]
-
     # running count inside each (group, partition); the window's exchange
     # clusters rows by (group, partition), so the per-partition totals below
     # aggregate without another shuffle
     run = Window.partitionBy(*key).orderBy(_V).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     cum = ranged.withColumn("_cin", F.sum(_C).over(run))
     part = cum.groupBy(*key).agg(F.max("_cin").alias("_pc"))
-
     # [start, end) rank range of each partition: a window over the small
     # totals table (<= groups + partitions rows)
     gw = Window.partitionBy(*by) if by else Window.partitionBy()
     part = (part.withColumn("_end", F.sum("_pc").over(
                 gw.orderBy(_PID).rowsBetween(Window.unboundedPreceding, Window.currentRow)))
             .withColumn("_n", F.sum("_pc").over(gw)))
+    return cum, part, key
+
+
+def _at_ranks(cum: DataFrame, part: DataFrame, key, targets: DataFrame) -> DataFrame:
+    """Rows of ``cum`` holding the 0-based ranks ``_r`` of ``targets``
+    (located in their partition first, then an equi-join on it)."""
+    tg = (targets.withColumn("_start", F.col("_end") - F.col("_pc"))
+          .drop("_pc", "_end", "_n")
+          .where((F.col("_r") >= F.col("_start")) & (F.col("_r") < F.col("_start") + F.col("_len"))))
+    return (cum.join(tg.drop("_len"), on=key)
+            .where((F.col("_start") + F.col("_cin") - F.col(_C) <= F.col("_r"))
+                   & (F.col("_r") < F.col("_start") + F.col("_cin"))))
 
-    # wanted ranks: floor and ceil of p*(n-1), each located in one partition
+
+def exact_percentiles(df: DataFrame, value: str, probs, by=(), names=None,
+                      partitions: int | None = None, weight: str | None = None) -> DataFrame:
+    """One row per group with one column per probability.
+
+    Nulls and NaN in ``value`` are skipped; rows with a null group key are
+    dropped (pandas ``groupby`` semantics).  ``weight`` (a non-negative
+    integer column) counts a row that many times, for input that is already
+    aggregated to (value, multiplicity)."""
+    by = list(by)
+    probs = [float(p) for p in probs]
+    names = list(names) if names else [f"p{round(p * 100):g}" for p in probs]
+    cum, part, key = _ranked(df, value, by, partitions, weight)
+
+    # wanted ranks: floor and ceil of p*(n-1)
     want = F.explode(F.array(*[
         F.struct(F.lit(k).alias("k"), F.lit(p).alias("p")) for k, p in enumerate(probs)])).alias("t")
     tg = part.select(*key, "_pc", "_end", "_n", want)
     pos = F.col("t.p") * (F.col("_n") - 1)
-    tg = tg.select(*key, (F.col("_end") - F.col("_pc")).alias("_start"), "_end",
+    tg = tg.select(*key, "_pc", "_end", "_n", (F.col("_pc")).alias("_len"),
                    F.col("t.k").alias("_k"), (pos - F.floor(pos)).alias("_frac"),
                    F.explode(F.array(
                        F.struct(F.lit(0).alias("hi"), F.floor(pos).alias("r")),
                        F.struct(F.lit(1).alias("hi"), F.ceil(pos).alias("r")))).alias("s"))
-    tg = (tg.select(*key, "_start", "_k", "_frac", F.col("s.hi").alias("_hi"), F.col("s.r").alias("_r"))
-          .where((F.col("_r") >= F.col("_start")) & (F.col("_r") < F.col("_end"))))
-
-    # pick the rows holding those ranks (equi-join on group + partition)
-    hit = (cum.join(tg, on=key)
-           .where((F.col("_start") + F.col("_cin") - F.col(_C) <= F.col("_r"))
-                  & (F.col("_r") < F.col("_start") + F.col("_cin"))))
+    tg = tg.select(*key, "_pc", "_end", "_n", "_len", "_k", "_frac",
+                   F.col("s.hi").alias("_hi"), F.col("s.r").alias("_r"))
+    hit = _at_ranks(cum, part, key, tg)
     k_is = [(F.col("_k") == k) for k in range(len(probs))]
     cols = []
     for k in range(len(probs)):
@@ -95,6 +109,19 @@ def exact_percentiles(df: DataFrame, value: str, probs, by=(), names=None,
         for k, nm in enumerate(names)])
 
 
+def kth_smallest(df: DataFrame, value: str, k: int, weight: str | None = None,
+                 partitions: int | None = None) -> DataFrame:
+    """One row: ``kth`` = the k-th smallest value (1-based; the largest when
+    fewer than k rows) and ``below`` = how many rows are strictly smaller.
+    Same distributed machinery as ``exact_percentiles``."""
+    cum, part, key = _ranked(df, value, [], partitions, weight)
+    tg = part.select(*key, "_pc", "_end", "_n", F.col("_pc").alias("_len"),
+                     (F.least(F.col("_n"), F.lit(int(k))) - 1).alias("_r"))
+    hit = _at_ranks(cum, part, key, tg)
+    return hit.agg(F.max(F.col(_V)).alias("kth"),
+                   F.max(F.col("_start") + F.col("_cin") - F.col(_C)).alias("below"))
+
+
 def exact_percentile_scalar(df: DataFrame, value: str, p: float):
     """Column holding one global percentile (a scalar subquery)."""
     return exact_percentiles(df, value, [p], names=["q"]).select("q").scalar()
