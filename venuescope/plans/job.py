@@ -97,10 +97,14 @@ def run_job(spark: SparkSession, raw: DataFrame, out_dir: str, params: Params =
             clean = spark.read.parquet(clean_path)
             cuis_path = os.path.join(stage, "restaurant_cuisines", f"v={run_id}")
             cuis_obs = Observation("cuisines")
-            (explode_cuisines(clean).observe(cuis_obs, F.count(F.lit(1)).alias("rows"),
-                                             F.count_if(F.col("cuisine") == "0").alias("zero_cuisines"))
-             .write.mode("errorifexists").parquet(cuis_path))
-            cuisines = spark.read.parquet(cuis_path)
+
+            def write_cuisines():
+                (explode_cuisines(clean).observe(cuis_obs, F.count(F.lit(1)).alias("rows"),
+                                                 F.count_if(F.col("cuisine") == "0").alias("zero_cuisines"))
+                 .write.mode("errorifexists").parquet(cuis_path))
+            # the cuisine table and the quality report both need only the
+            # clean table: written / computed side by side
+            cuis_fut = pool.submit(timed, "explode", write_cuisines)
         paths = {"restaurants": clean_path, "restaurant_cuisines": cuis_path}
 
         # The forest only reads the staged table and publishes nothing, so it
@@ -113,6 +117,8 @@ def run_job(spark: SparkSession, raw: DataFrame, out_dir: str, params: Params =
 
         with tm("validate"):
             q = validate(raw_t, clean, params).collect()[0].asDict()
+            tm.t["explode"] = cuis_fut.result()[1]
+            cuisines = spark.read.parquet(cuis_path)
         try:
             gate(q)
         except QualityGateError:

@@ -70,19 +70,19 @@ def swap_in(spark: SparkSession, paths: dict[str, str]) -> None:
 def export_queries(results: dict[str, DataFrame], out_dir: str, timings: dict | None = None
                    ) -> list[tuple[str, int]]:
     """Write every named result as ``<name>_results.csv``; return (file,
-    rows).  Results here are top-k / per-city outputs (bounded), so each
-    is written as one file and counted from the written file."""
+    rows).  Results here are top-k / per-city outputs (bounded), so each is
+    written as one file; the row count is observed during the write."""
     import time
 
-    spark = None
+    from pyspark.sql import Observation
+
     exported = []
     for name, df in results.items():
         t = time.perf_counter()
-        path = os.path.join(out_dir, f"{name}_results.csv")
-        write_csv(df, path, single_file=True)
-        spark = spark or df.sparkSession
-        n = spark.read.option("header", True).csv(path).count()
-        exported.append((f"{name}_results.csv", n))
+        obs = Observation(f"export_{name}")
+        write_csv(df.observe(obs, F.count(F.lit(1)).alias("rows")),
+                  os.path.join(out_dir, f"{name}_results.csv"), single_file=True)
+        exported.append((f"{name}_results.csv", int(obs.get["rows"])))
         if timings is not None:
             timings[name] = round(time.perf_counter() - t, 3)
     return exported
