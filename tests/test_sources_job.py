@@ -89,3 +89,16 @@ def test_job_gate_failure_stops_publish(spark, tmp_out):
     rep = spark.read.parquet(os.path.join(tmp_out, "reports"))
     status = [r["value"] for r in rep.collect() if r["item"] == "pipeline_status"]
     assert status and status[0].startswith("FAIL - quality")
+
+
+def test_sql_text_equals_dataframe_queries(spark):
+    from venuescope.operators import business
+    from venuescope.plans.sql_text import run_sql
+    clean = transform(raw_venues(spark, SF_SMALL), TEST_BINDING)
+    clean.createOrReplaceTempView("restaurants")
+    explode_cuisines(clean).createOrReplaceTempView("restaurant_cuisines")
+    sql = run_sql(spark, TEST_BINDING)
+    for name, (fn, src) in business.BUSINESS_QUERIES.items():
+        df = fn(spark.table(src), TEST_BINDING)
+        assert sql[name].columns == df.columns, name
+        assert sorted(map(tuple, sql[name].collect()), key=repr) == sorted(map(tuple, df.collect()), key=repr), name
