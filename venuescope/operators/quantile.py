@@ -26,13 +26,14 @@ from pyspark.sql import functions as F
 _V, _C, _PID = "_q_v", "_q_c", "_q_pid"
 
 
-def _ranked(df: DataFrame, value: str, by, partitions, weight):
-    """(cum, part): per-row running counts inside (group, range partition)
-    and the small per-partition table with [start, end) rank ranges and
-    the group size n (steps 1-3 of the module docstring)."""
+def _ranked(df: DataFrame, value: str, by, partitions, weight, as_double: bool = True):
+    """(cum, part, key): per-row running counts inside (group, range
+    partition) and the small per-partition table with rank ranges and the
+    group size n (steps 1-3 of the module docstring).  ``as_double=False``
+    keeps the value's own type (a 64-bit hash must not be rounded)."""
     spark = df.sparkSession
     nparts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    v = F.col(value).cast("double") if weight is None or dict(df.dtypes).get(value) != "bigint" else F.col(value)
+    v = F.col(value).cast("double") if as_double else F.col(value)
     keep = F.col(value).isNotNull()
     if dict(df.dtypes).get(value) in ("double", "float"):
         keep = keep & ~F.isnan(F.col(value))
@@ -114,7 +115,7 @@ def kth_smallest(df: DataFrame, value: str, k: int, weight: str | None = None,
     """One row: ``kth`` = the k-th smallest value (1-based; the largest when
     fewer than k rows) and ``below`` = how many rows are strictly smaller.
     Same distributed machinery as ``exact_percentiles``."""
-    cum, part, key = _ranked(df, value, [], partitions, weight)
+    cum, part, key = _ranked(df, value, [], partitions, weight, as_double=False)
     tg = part.select(*key, "_pc", "_end", "_n", F.col("_pc").alias("_len"),
                      (F.least(F.col("_n"), F.lit(int(k))) - 1).alias("_r"))
     hit = _at_ranks(cum, part, key, tg)
