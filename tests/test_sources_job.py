@@ -102,3 +102,13 @@ def test_sql_text_equals_dataframe_queries(spark):
         df = fn(spark.table(src), TEST_BINDING)
         assert sql[name].columns == df.columns, name
         assert sorted(map(tuple, sql[name].collect()), key=repr) == sorted(map(tuple, df.collect()), key=repr), name
+
+
+def test_catalog_table_pointer_swap(spark, tmp_out):
+    a = sinks.stage_tables({"venues_demo": spark.range(5)}, os.path.join(tmp_out, "t"), "a")
+    sinks.swap_in(spark, a, catalog_tables=True)
+    assert spark.sql("SELECT COUNT(*) FROM default.venues_demo").collect()[0][0] == 5
+    b = sinks.stage_tables({"venues_demo": spark.range(8)}, os.path.join(tmp_out, "t"), "b")
+    sinks.swap_in(spark, b, catalog_tables=True)
+    assert spark.sql("SELECT COUNT(*) FROM default.venues_demo").collect()[0][0] == 8
+    spark.sql("DROP TABLE default.venues_demo")

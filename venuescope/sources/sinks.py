@@ -59,12 +59,25 @@ def published_counts(spark: SparkSession, paths: dict[str, str], cuisine_table:
     return out
 
 
-def swap_in(spark: SparkSession, paths: dict[str, str]) -> None:
-    """Point each table name at its new version (a metadata swap, no file
-    moves).  Session views are always used; with a persistent catalog the
-    external table's location is switched as well."""
+def swap_in(spark: SparkSession, paths: dict[str, str], catalog_tables: bool = False,
+            database: str | None = None) -> None:
+    """Point each table name at its new version: a metadata swap, no file
+    moves, and readers of the old version are never disturbed.
+
+    Session views always; with ``catalog_tables`` also an external catalog
+    table per name whose location is switched (``ALTER TABLE .. SET
+    LOCATION``), so other applications see the new version too."""
     for name, p in paths.items():
         spark.read.parquet(p).createOrReplaceTempView(name)
+        if catalog_tables:
+            # qualified, so the session view of the same name cannot shadow it
+            full = f"{database or spark.catalog.currentDatabase()}.{name}"
+            loc = p.replace("'", "\\'")
+            if spark.catalog.tableExists(full):
+                spark.sql(f"ALTER TABLE {full} SET LOCATION '{loc}'")
+                spark.catalog.refreshTable(full)
+            else:
+                spark.sql(f"CREATE TABLE {full} USING parquet LOCATION '{loc}'")
 
 
 def export_queries(results: dict[str, DataFrame], out_dir: str, timings: dict | None = None
