@@ -24,6 +24,7 @@ from venuescope.config import Params, REFERENCE
 from venuescope.operators import anomaly, business, report, scoring
 from venuescope.operators.quality import QualityGateError, gate, validate
 from venuescope.operators.transform import explode_cuisines, transform
+from venuescope.session import in_pool
 from venuescope.sources import sinks
 
 
@@ -39,14 +40,19 @@ class JobResult:
 
 
 class _Timer:
-    def __init__(self):
+    """Wall time per stage; also labels the stage's Spark jobs (event log)."""
+
+    def __init__(self, spark: SparkSession | None = None):
         self.t = {}
+        self.spark = spark
 
     def __call__(self, name):
         timer = self
 
         class _Ctx:
             def __enter__(self):
+                if timer.spark is not None:
+                    timer.spark.sparkContext.setJobDescription(f"venuescope:{name}")
                 self.s = time.perf_counter()
 
             def __exit__(self, *exc):
@@ -71,14 +77,16 @@ def run_job(spark: SparkSession, raw: DataFrame, out_dir: str, params: Params =
             with_forest: bool = True, write_clean_csv: bool = True) -> JobResult:
     """Run the whole pipeline; raise ``QualityGateError`` (after archiving
     the report) when the structural quality is below the threshold."""
-    tm = _Timer()
+    tm = _Timer(spark)
     run_id = uuid.uuid4().hex[:12]
     stage = os.path.join(out_dir, "tables")
     out_csv = os.path.join(out_dir, "outputs")
     report_path = os.path.join(out_dir, "reports")
     pool = ThreadPoolExecutor(max_workers=6)
 
-    def timed(name, fn, *a):
+    def timed(name, fn, *a, pool_name=None):
+        in_pool(spark, pool_name)
+        spark.sparkContext.setJobDescription(f"venuescope:{name}")
         t = time.perf_counter()
         v = fn(*a)
         return name, round(time.perf_counter() - t, 3), v
@@ -113,7 +121,8 @@ def run_job(spark: SparkSession, raw: DataFrame, out_dir: str, params: Params =
         if with_forest:
             from venuescope.operators.iforest import isolation_forest_scores
             forest = pool.submit(timed, "forest", isolation_forest_scores, clean, ["rating", "cost_for_two"],
-                                 params.iforest_trees, params.iforest_max_samples, params.seed)
+                                 params.iforest_trees, params.iforest_max_samples, params.seed,
+                                 pool_name="critical")
 
         with tm("validate"):
             q = validate(raw_t, clean, params).collect()[0].asDict()
@@ -154,12 +163,15 @@ def run_job(spark: SparkSession, raw: DataFrame, out_dir: str, params: Params =
                 tm.t[name] = secs
             flagged, _ = anomaly.detect_all(clean, params, with_forest=with_forest, forest_scores=scores)
             flagged.observe(anom_obs, *anomaly.summary_columns()).write.mode("errorifexists").parquet(flags_path)
+            sinks.write_csv(spark.read.parquet(flags_path).where(F.col("operational_risk")),
+                            os.path.join(out_csv, "operational_risk_restaurants.csv"))
 
         def one_query(name):
             return sinks.export_queries({name: results[name]}, out_csv)[0]
 
         with tm("analytics"):
-            futs = [pool.submit(timed, "anomalies", anomalies), pool.submit(timed, "score", score)]
+            futs = [pool.submit(timed, "anomalies", anomalies, pool_name="critical"),
+                    pool.submit(timed, "score", score)]
             if write_clean_csv:
                 futs.append(pool.submit(timed, "load_csv", sinks.load_csv_pair, clean, cuisines,
                                         os.path.join(out_dir, "cleaned")))
@@ -171,9 +183,6 @@ def run_job(spark: SparkSession, raw: DataFrame, out_dir: str, params: Params =
         with tm("report"):
             s = dict(anom_obs.get)
             summary = _one_row(spark, s, SUMMARY_SCHEMA)
-            flagged = spark.read.parquet(flags_path)
-            risk = pool.submit(sinks.write_csv, flagged.where(F.col("operational_risk")),
-                               os.path.join(out_csv, "operational_risk_restaurants.csv"))
             opp_t = spark.read.option("header", True).schema(scoring.city_opportunity(clean, params).schema) \
                 .csv(os.path.join(out_csv, "city_opportunity_scores.csv"))
             findings = report.key_findings(clean, opp_t, summary)
@@ -183,7 +192,6 @@ def run_job(spark: SparkSession, raw: DataFrame, out_dir: str, params: Params =
             f = [row.value for row in spark.read.parquet(report_path)
                  .where((F.col("run_date") == run_date) & (F.col("section") == "key_findings"))
                  .orderBy(F.col("item_no").desc()).limit(5).orderBy("item_no").collect()]
-            risk.result()
     finally:
         pool.shutdown(wait=True)
 

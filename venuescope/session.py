@@ -19,8 +19,11 @@ DEFAULT_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
-    # independent jobs submitted from threads share the executors fairly
+    # independent jobs submitted from threads share the executors fairly;
+    # pools (weights) come from the allocation file shipped with the package
     "spark.scheduler.mode": "FAIR",
+    "spark.scheduler.allocation.file": os.path.join(os.path.dirname(os.path.abspath(__file__)),
+                                                    "fairscheduler.xml"),
 }
 
 
@@ -57,6 +60,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
+def in_pool(spark: SparkSession, pool: str | None) -> None:
+    """Route the calling thread's jobs to a FAIR pool (None: default)."""
+    spark.sparkContext.setLocalProperty("spark.scheduler.pool", pool)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A folder under the shared checkpoint dir for staged tables."""
     return os.path.join(ensure_checkpoint_dir(spark), "venuescope", name)
