@@ -141,3 +141,14 @@ def test_sample_with_hot_duplicate_matches_brute_force(spark):
     hashed = df.select("name", "v", F.xxhash64(F.lit(42), "name", "v").alias("h")).collect()
     want = sorted(tuple(r[:2]) for r in sorted(hashed, key=lambda r: (r["h"], r["name"], r["v"]))[:2500])
     assert len(got) == 2500 and got == want
+
+
+def test_sample_fallback_when_prefilter_too_small(spark):
+    # oversample < 1 makes the hash prefilter keep too few rows; the plan
+    # must fall back to all rows and still return the exact sample
+    rows = [(f"r{i}", float(i % 11)) for i in range(3000)]
+    df = spark.createDataFrame(rows, "name string, v double").repartition(4)
+    got = sorted(tuple(r) for r in eda.deterministic_sample(df, 700, 7, oversample=0.3).collect())
+    hashed = df.select("name", "v", F.xxhash64(F.lit(7), "name", "v").alias("h")).collect()
+    want = sorted(tuple(r[:2]) for r in sorted(hashed, key=lambda r: (r["h"], r["name"], r["v"]))[:700])
+    assert got == want

@@ -84,21 +84,32 @@ def service_mix(df: DataFrame, flags=("has_online_order", "has_table_booking", "
     return agg.unpivot([], list(labels), "service", "pct")
 
 
-def deterministic_sample(df: DataFrame, n: int, seed: int = 42, dropna=None) -> DataFrame:
+def deterministic_sample(df: DataFrame, n: int, seed: int = 42, dropna=None, oversample: float = 4.0
+                         ) -> DataFrame:
     """Exactly ``min(n, rows)`` rows: those with the smallest seeded hash of
     their content.  Same input -> same sample, however it is partitioned.
 
-    Identical rows are collapsed to (row, multiplicity) first and the hash
-    cut-off is the exact weighted n-th smallest hash (distributed ranks), so
-    no task ever holds more than ~n candidate rows - not n per partition, as
-    a plain ORDER BY ... LIMIT would merge - even if one duplicated row
-    makes up a third of the table."""
+    xxhash64 is uniform, so rows hashing below a threshold sized for
+    ``oversample * n`` candidates are selected by a narrow filter; only
+    those are collapsed to (row, multiplicity) and ranked exactly (weighted
+    k-th smallest hash).  Should fewer than n rows pass, the plan falls back
+    to all rows (a scalar check, still one lazy plan), so the result is
+    always exact.  No task ever merges n rows per partition, as a plain
+    ORDER BY ... LIMIT would, and a duplicated row holding a third of the
+    table collapses map-side."""
     from venuescope.operators.quantile import kth_smallest
 
     src = df.dropna(subset=list(dropna)) if dropna else df
     cols = src.columns
-    d = (src.groupBy(*cols).agg(F.count(F.lit(1)).alias("_m"))
-         .withColumn("_h", F.xxhash64(F.lit(seed), *[F.col(c) for c in cols])))
+    t = src.withColumn("_h", F.xxhash64(F.lit(seed), *[F.col(c) for c in cols]))
+    hd = F.col("_h").cast("double")
+    total = t.agg(F.count(F.lit(1)).cast("double").alias("n")).select("n").scalar()
+    span = float(2 ** 64)
+    thr = F.lit(-float(2 ** 63)) + F.lit(oversample * n * span) / total     # expected oversample*n rows below
+    enough = (t.where(hd < thr).agg(F.count(F.lit(1)).alias("c"))
+              .select((F.col("c") >= F.least(F.lit(float(n)), total)).alias("ok")).select("ok").scalar())
+    pool = t.where(F.when(enough, hd < thr).otherwise(F.lit(True)))
+    d = pool.groupBy(*cols, "_h").agg(F.count(F.lit(1)).alias("_m"))
     cut = kth_smallest(d, "_h", n, weight="_m")
     d = d.withColumn("_cut", cut.select(F.struct("kth", "below").alias("c")).select("c").scalar())
     below = d.where(F.col("_h") < F.col("_cut.kth")).select(*cols, "_m")
