@@ -73,3 +73,24 @@ def test_business_risk_per_city_p75(spark):
     clean = spark.createDataFrame(rows, "city_clean string, cost_for_two double, rating double")
     got = [r["operational_risk"] for r in anomaly.business_risk_flag(clean, REFERENCE).collect()]
     assert got == [False, False, False, True, False, False, False, False, False]
+
+
+@pytest.mark.parametrize("dist", ["heavy", "ties", "const", "inf"])
+def test_narrow_and_rank_paths_agree_with_numpy(spark, dist):
+    rng = np.random.default_rng(11)
+    x = {"heavy": np.concatenate([rng.exponential(1, 3000), [1e9, 5e8]]),
+         "ties": np.round(rng.normal(3.5, 0.5, 3000), 1),
+         "const": np.full(500, 7.0),
+         "inf": np.concatenate([rng.normal(0, 1, 500), [np.inf, -np.inf]])}[dist]
+    df = spark.createDataFrame([(float(v),) for v in x], "v double")
+    probs = [0.0, 0.05, 0.5, 0.95, 1.0]
+    narrow = exact_percentiles(df, "v", probs, method="narrow").collect()[0]
+    rank = exact_percentiles(df, "v", probs, method="rank").collect()[0]
+    want = np.percentile(x, [p * 100 for p in probs])
+    for i, w in enumerate(want):
+        if np.isfinite(w):
+            assert narrow[i] == pytest.approx(w) and rank[i] == pytest.approx(w)
+        elif np.isnan(w):            # -inf + (-inf - -inf) * f: NaN in numpy and Spark alike
+            assert np.isnan(narrow[i]) and np.isnan(rank[i])
+        else:
+            assert narrow[i] == w and rank[i] == w

@@ -110,7 +110,7 @@ def deterministic_sample(df: DataFrame, n: int, seed: int = 42, dropna=None, ove
               .select((F.col("c") >= F.least(F.lit(float(n)), total)).alias("ok")).select("ok").scalar())
     pool = t.where(F.when(enough, hd < thr).otherwise(F.lit(True)))
     d = pool.groupBy(*cols, "_h").agg(F.count(F.lit(1)).alias("_m"))
-    cut = kth_smallest(d, "_h", n, weight="_m")
+    cut = kth_smallest(d, "_h", n, weight="_m", method="rank")    # ~oversample*n rows: one lazy plan
     d = d.withColumn("_cut", cut.select(F.struct("kth", "below").alias("c")).select("c").scalar())
     below = d.where(F.col("_h") < F.col("_cut.kth")).select(*cols, "_m")
     # rows sharing the cut-off hash (identical content collapsed already):

@@ -20,6 +20,8 @@ Same result as ``percentile`` / ``quantile_cont`` / pandas ``quantile``.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -73,16 +75,24 @@ def _at_ranks(cum: DataFrame, part: DataFrame, key, targets: DataFrame) -> DataF
 
 
 def exact_percentiles(df: DataFrame, value: str, probs, by=(), names=None,
-                      partitions: int | None = None, weight: str | None = None) -> DataFrame:
+                      partitions: int | None = None, weight: str | None = None,
+                      method: str = "auto") -> DataFrame:
     """One row per group with one column per probability.
 
     Nulls and NaN in ``value`` are skipped; rows with a null group key are
     dropped (pandas ``groupby`` semantics).  ``weight`` (a non-negative
     integer column) counts a row that many times, for input that is already
-    aggregated to (value, multiplicity)."""
+    aggregated to (value, multiplicity).
+
+    ``method``: "rank" ranks every distinct (group, value) pair (lazy, one
+    plan); "narrow" (ungrouped only) first narrows each rank to a tiny
+    value range with a few histogram jobs, so a continuous column is never
+    shuffled whole; "auto" = "narrow" without groups, else "rank"."""
     by = list(by)
     probs = [float(p) for p in probs]
     names = list(names) if names else [f"p{round(p * 100):g}" for p in probs]
+    if method == "narrow" or (method == "auto" and not by):
+        return _narrow_percentiles(df, value, probs, names, partitions, weight)
     cum, part, key = _ranked(df, value, by, partitions, weight)
 
     # wanted ranks: floor and ceil of p*(n-1)
@@ -111,10 +121,17 @@ def exact_percentiles(df: DataFrame, value: str, probs, by=(), names=None,
 
 
 def kth_smallest(df: DataFrame, value: str, k: int, weight: str | None = None,
-                 partitions: int | None = None) -> DataFrame:
+                 partitions: int | None = None, method: str = "narrow") -> DataFrame:
     """One row: ``kth`` = the k-th smallest value (1-based; the largest when
     fewer than k rows) and ``below`` = how many rows are strictly smaller.
-    Same distributed machinery as ``exact_percentiles``."""
+    ``method`` as in ``exact_percentiles`` ("rank" suits small inputs:
+    one lazy plan)."""
+    if method == "narrow":
+        vals, n = _global_ranks(df, value, lambda n: [min(n, int(k)) - 1], weight, partitions, as_double=False)
+        if vals is None:
+            return df.agg(F.lit(None).cast(dict(df.dtypes)[value]).alias("kth"),
+                           F.lit(None).cast("long").alias("below"))
+        return vals.select(F.col("_val").alias("kth"), F.col("_below").alias("below"))
     cum, part, key = _ranked(df, value, [], partitions, weight, as_double=False)
     tg = part.select(*key, "_pc", "_end", "_n", F.col("_pc").alias("_len"),
                      (F.least(F.col("_n"), F.lit(int(k))) - 1).alias("_r"))
@@ -126,3 +143,147 @@ def kth_smallest(df: DataFrame, value: str, k: int, weight: str | None = None,
 def exact_percentile_scalar(df: DataFrame, value: str, p: float):
     """Column holding one global percentile (a scalar subquery)."""
     return exact_percentiles(df, value, [p], names=["q"]).select("q").scalar()
+
+
+# ---------------------------------------------------------------------------
+# Global (ungrouped) ranks: narrow the rank to a tiny value range first.
+# ---------------------------------------------------------------------------
+HIST_BUCKETS = 4096
+HIST_LEVELS = 3
+_INF = float("inf")
+
+
+def _bucket(v, lo, hi, closed, b=HIST_BUCKETS):
+    """Bucket of ``v`` among ``b`` equal-width buckets of [lo, hi) (or
+    [lo, hi] when ``closed``), corrected against the edges exactly like
+    numpy's histogram, so bucket j <=> edge(j) <= v < edge(j + 1)."""
+    width = hi - lo
+
+    def edge(j):
+        return F.when(j >= b, hi).otherwise(lo + j * (width / b))
+
+    i0 = F.least(F.greatest(F.floor((v - lo) * (F.lit(float(b)) / width)), F.lit(0)), F.lit(b - 1))
+    i1 = F.when(v < edge(i0), i0 - 1).otherwise(i0)
+    i2 = F.when((v >= edge(i1 + 1)) & (i1 != b - 1), i1 + 1).otherwise(i1)
+    return i2, edge
+
+
+def _member(v, s):
+    return (v >= s["lo"]) & ((v < s["hi"]) | (s["closed"] & (v == s["hi"])))
+
+
+def _refine(base: DataFrame, state: list[dict], b: int = HIST_BUCKETS) -> list[dict]:
+    """One narrowing level for every target at once: one Spark job.
+
+    ``state`` holds, per target, (t, r, lo, hi, closed, below): the rank-r
+    value lies in [lo, hi) (or [lo, hi] when closed) with ``below`` rows
+    under lo.  Rows outside every target's range are dropped by a
+    codegen'd filter; the rest are counted per (target, bucket) with a
+    map-side aggregate (at most targets * b rows leave a task).  Only the
+    chosen bucket per target comes back to the driver - a handful of
+    numbers, bounded by the number of requested ranks.  A range that cannot
+    be split (a single value, or infinite width) is kept as it is."""
+    v = F.col(_V)
+    todo = [x for x in state if x["hi"] > x["lo"] and math.isfinite(x["hi"] - x["lo"])]
+    if not todo:
+        return state
+    parts = []
+    for x in todo:
+        lo, hi, closed = F.lit(float(x["lo"])), F.lit(float(x["hi"])), F.lit(bool(x["closed"]))
+        inside = (v >= lo) & ((v < hi) | (closed & (v == hi)))
+        bk, _ = _bucket(v, lo, hi, closed, b)
+        parts.append(base.where(inside).select(F.lit(int(x["t"])).alias("_t"), bk.alias("_b"), "_w"))
+    t = parts[0]
+    for p in parts[1:]:
+        t = t.unionByName(p)
+    counts = t.groupBy("_t", "_b").agg(F.sum("_w").alias("_cnt"))
+    w = Window.partitionBy("_t").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)   # <= b rows per target
+    counts = counts.withColumn("_before", F.coalesce(F.sum("_cnt").over(w), F.lit(0)))
+    info = {int(x["t"]): x for x in todo}
+    meta = F.create_map(*[c for x in todo for c in (F.lit(int(x["t"])), F.struct(
+        F.lit(int(x["r"])).alias("r"), F.lit(int(x["below"])).alias("below")))])
+    m = meta[F.col("_t")]
+    lo_b = m["below"] + F.col("_before")
+    picked = counts.where((lo_b <= m["r"]) & (m["r"] < lo_b + F.col("_cnt"))) \
+        .select("_t", "_b", lo_b.alias("_below")).collect()          # one row per target
+    new = {int(x["t"]): x for x in state}
+    for row in picked:
+        x = info[row["_t"]]
+        j = int(row["_b"])
+        width = x["hi"] - x["lo"]
+        # the same double arithmetic as the Spark edge expression
+        e_lo = x["lo"] + j * (width / b)
+        e_hi = x["hi"] if j + 1 >= b else x["lo"] + (j + 1) * (width / b)
+        new[row["_t"]] = dict(x, lo=e_lo, hi=e_hi, closed=bool(x["closed"]) and j == b - 1,
+                              below=int(row["_below"]))
+    return [new[int(x["t"])] for x in state]
+
+
+def _global_ranks(df: DataFrame, value: str, ranks_of_n, weight: str | None = None,
+                  partitions: int | None = None, as_double: bool = True):
+    """Values at 0-based ranks (a function of the row count n), without
+    shuffling every distinct value: ``HIST_LEVELS`` narrowing jobs (each a
+    map-side histogram over the double value), then the exact rank
+    machinery on the few rows left in each target's range, ranking the
+    original value (a long stays a long: the cast to double is monotone, so
+    counts below a range agree in both orders).
+
+    Returns (DataFrame(_t, _val, _below), n) or (None, 0) for no rows."""
+    keep = F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double"))
+    w = F.lit(1).cast("bigint") if weight is None else F.col(weight).cast("bigint")
+    orig = F.col(value).cast("double") if as_double else F.col(value)
+    base = (df.where(keep)
+            .select(F.col(value).cast("double").alias(_V), orig.alias("_o"), w.alias("_w"))
+            .where(F.col("_w") > 0))
+    st = base.agg(F.sum("_w").alias("n"), F.min(_V).alias("mn"), F.max(_V).alias("mx")).collect()[0]
+    n = int(st["n"] or 0)
+    if n == 0:
+        return None, 0
+    state = [dict(t=t, r=int(r), lo=float(st["mn"]), hi=float(st["mx"]), closed=True, below=0)
+             for t, r in enumerate(ranks_of_n(n))]
+    narrow = base.select(_V, "_w")
+    for _ in range(HIST_LEVELS):
+        state = _refine(narrow, state)
+    parts = []
+    v = F.col(_V)
+    for x in state:
+        lo, hi, closed = F.lit(float(x["lo"])), F.lit(float(x["hi"])), F.lit(bool(x["closed"]))
+        parts.append(base.where((v >= lo) & ((v < hi) | (closed & (v == hi))))
+                     .select(F.lit(int(x["t"])).alias("_t"), "_o", "_w"))
+    cand = parts[0]
+    for p in parts[1:]:
+        cand = cand.unionByName(p)
+    cum, part, key = _ranked(cand, "_o", ["_t"], partitions, "_w", as_double=as_double)
+    rel = F.create_map(*[c for x in state for c in (F.lit(int(x["t"])), F.struct(
+        F.lit(int(x["r"] - x["below"])).alias("rel"), F.lit(int(x["below"])).alias("below")))])
+    tg = part.select(*key, "_pc", "_end", "_n", F.col("_pc").alias("_len"),
+                     rel[F.col("_t")]["rel"].alias("_r"), rel[F.col("_t")]["below"].alias("_off"))
+    hit = _at_ranks(cum, part, key, tg)
+    out = hit.groupBy("_t").agg(F.max(F.col(_V)).alias("_val"),
+                                F.max(F.col("_off") + F.col("_start") + F.col("_cin") - F.col(_C)).alias("_below"))
+    return out, n
+
+
+def _narrow_percentiles(df: DataFrame, value: str, probs, names, partitions, weight) -> DataFrame:
+    """Ungrouped exact percentiles via ``_global_ranks`` (linear
+    interpolation between the floor and ceil ranks of p * (n - 1))."""
+    plan = []
+
+    def ranks(n):
+        out = []
+        for p in probs:
+            pos = p * (n - 1)
+            lo = math.floor(pos)
+            plan.append(pos - lo)
+            out += [lo, math.ceil(pos)]
+        return out
+
+    vals, n = _global_ranks(df, value, ranks, weight, partitions, as_double=True)
+    if vals is None:
+        return df.agg(*[F.lit(None).cast("double").alias(nm) for nm in names])
+    cols = []
+    for k, nm in enumerate(names):
+        lo = F.max(F.when(F.col("_t") == 2 * k, F.col("_val")))
+        hi = F.max(F.when(F.col("_t") == 2 * k + 1, F.col("_val")))
+        cols.append((lo + (hi - lo) * F.lit(float(plan[k]))).alias(nm))
+    return vals.agg(*cols)
