@@ -76,7 +76,9 @@ def test_business_risk_per_city_p75(spark):
 
 
 @pytest.mark.parametrize("dist", ["heavy", "ties", "const", "inf"])
-def test_narrow_and_rank_paths_agree_with_numpy(spark, dist):
+def test_narrow_and_rank_paths_agree_with_numpy(spark, dist, monkeypatch):
+    from venuescope.operators import quantile
+    monkeypatch.setattr(quantile, "NARROW_MIN_ROWS", 10)      # force every narrowing level
     rng = np.random.default_rng(11)
     x = {"heavy": np.concatenate([rng.exponential(1, 3000), [1e9, 5e8]]),
          "ties": np.round(rng.normal(3.5, 0.5, 3000), 1),

@@ -22,9 +22,12 @@ def iqr_bounds(df: DataFrame, value: str, k: float = 1.5) -> DataFrame:
                     (F.col("q3") + k * (F.col("q3") - F.col("q1"))).alias("upper"))
 
 
-def iqr_flag(df: DataFrame, value: str, out: str = "anom_iqr", k: float = 1.5) -> DataFrame:
-    """Strictly outside [lower, upper]; null value -> False."""
-    b = iqr_bounds(df, value, k).select(F.struct("lower", "upper").alias("b")).select("b").scalar()
+def iqr_flag(df: DataFrame, value: str, out: str = "anom_iqr", k: float = 1.5,
+             bounds: DataFrame | None = None) -> DataFrame:
+    """Strictly outside [lower, upper]; null value -> False.  ``bounds``:
+    the one-row ``iqr_bounds`` result when it was computed ahead."""
+    bounds = iqr_bounds(df, value, k) if bounds is None else bounds
+    b = bounds.select(F.struct("lower", "upper").alias("b")).select("b").scalar()
     v = F.col(value)
     t = df.withColumn("_iqr_b", b)
     flag = F.coalesce((v < F.col("_iqr_b.lower")) | (v > F.col("_iqr_b.upper")), F.lit(False))
@@ -57,12 +60,13 @@ def business_risk_flag(clean: DataFrame, params: Params = REFERENCE, out: str =
 
 
 def detect_all(clean: DataFrame, params: Params = REFERENCE, with_forest: bool = True,
-               value: str = "cost_for_two", forest_scores=False):
+               value: str = "cost_for_two", forest_scores=False, iqr: DataFrame | None = None):
     """Four flag columns and a one-row summary of their counts.
-    ``forest_scores``: isolation-forest scores computed ahead (optional)."""
+    ``forest_scores`` / ``iqr``: forest scores and IQR bounds computed ahead
+    (optional)."""
     from venuescope.operators.iforest import isolation_forest_flag
 
-    df = iqr_flag(clean, value, "anom_iqr_cost")
+    df = iqr_flag(clean, value, "anom_iqr_cost", bounds=iqr)
     df = zscore_flag(df, value, "anom_zscore_cost")
     if with_forest:
         df = isolation_forest_flag(df, params=params, out="anom_isoforest", scores=forest_scores)

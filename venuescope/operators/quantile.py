@@ -150,6 +150,9 @@ def exact_percentile_scalar(df: DataFrame, value: str, p: float):
 # ---------------------------------------------------------------------------
 HIST_BUCKETS = 4096
 HIST_LEVELS = 3
+# Narrow only while some target's range still holds more rows than this:
+# below it the exact step (a shuffle of that many values) is already cheap.
+NARROW_MIN_ROWS = 4_000_000
 _INF = float("inf")
 
 
@@ -205,7 +208,7 @@ def _refine(base: DataFrame, state: list[dict], b: int = HIST_BUCKETS) -> list[d
     m = meta[F.col("_t")]
     lo_b = m["below"] + F.col("_before")
     picked = counts.where((lo_b <= m["r"]) & (m["r"] < lo_b + F.col("_cnt"))) \
-        .select("_t", "_b", lo_b.alias("_below")).collect()          # one row per target
+        .select("_t", "_b", lo_b.alias("_below"), "_cnt").collect()          # one row per target
     new = {int(x["t"]): x for x in state}
     for row in picked:
         x = info[row["_t"]]
@@ -215,7 +218,7 @@ def _refine(base: DataFrame, state: list[dict], b: int = HIST_BUCKETS) -> list[d
         e_lo = x["lo"] + j * (width / b)
         e_hi = x["hi"] if j + 1 >= b else x["lo"] + (j + 1) * (width / b)
         new[row["_t"]] = dict(x, lo=e_lo, hi=e_hi, closed=bool(x["closed"]) and j == b - 1,
-                              below=int(row["_below"]))
+                              below=int(row["_below"]), rows=int(row["_cnt"]))
     return [new[int(x["t"])] for x in state]
 
 
@@ -239,10 +242,12 @@ def _global_ranks(df: DataFrame, value: str, ranks_of_n, weight: str | None = No
     n = int(st["n"] or 0)
     if n == 0:
         return None, 0
-    state = [dict(t=t, r=int(r), lo=float(st["mn"]), hi=float(st["mx"]), closed=True, below=0)
+    state = [dict(t=t, r=int(r), lo=float(st["mn"]), hi=float(st["mx"]), closed=True, below=0, rows=n)
              for t, r in enumerate(ranks_of_n(n))]
     narrow = base.select(_V, "_w")
     for _ in range(HIST_LEVELS):
+        if max(x["rows"] for x in state) <= NARROW_MIN_ROWS:
+            break
         state = _refine(narrow, state)
     parts = []
     v = F.col(_V)
