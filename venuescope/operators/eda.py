@@ -105,10 +105,11 @@ def deterministic_sample(df: DataFrame, n: int, seed: int = 42, dropna=None, ove
     hd = F.col("_h").cast("double")
     total = t.agg(F.count(F.lit(1)).cast("double").alias("n")).select("n").scalar()
     span = float(2 ** 64)
-    thr = F.lit(-float(2 ** 63)) + F.lit(oversample * n * span) / total     # expected oversample*n rows below
-    enough = (t.where(hd < thr).agg(F.count(F.lit(1)).alias("c"))
-              .select((F.col("c") >= F.least(F.lit(float(n)), total)).alias("ok")).select("ok").scalar())
-    pool = t.where(F.when(enough, hd < thr).otherwise(F.lit(True)))
+    # threshold for ~oversample*n rows below it, attached once as a column
+    t = t.withColumn("_thr", F.lit(-float(2 ** 63)) + F.lit(oversample * n * span) / total)
+    enough = (t.agg((F.count_if(hd < F.col("_thr")) >= F.least(F.lit(n), F.count(F.lit(1)))).alias("ok"))
+              .select("ok").scalar())
+    pool = t.where(F.when(enough, hd < F.col("_thr")).otherwise(F.lit(True))).drop("_thr")
     d = pool.groupBy(*cols, "_h").agg(F.count(F.lit(1)).alias("_m"))
     cut = kth_smallest(d, "_h", n, weight="_m", method="rank")    # ~oversample*n rows: one lazy plan
     d = d.withColumn("_cut", cut.select(F.struct("kth", "below").alias("c")).select("c").scalar())
