@@ -46,17 +46,24 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     return spark
 
 
+_OWN_CKPT: dict = {}   # SparkContext id -> folder we made (only when none is configured)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    A cluster names a shared folder there; only when it is unset (tests, a
-    laptop) do we make one of our own."""
-    d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    A cluster names a shared folder there (read from the session); only
+    when it is unset (tests, a laptop) do we make one of our own and
+    register it with the SparkContext (a core setting cannot be changed
+    through ``spark.conf`` at runtime)."""
+    sc = spark.sparkContext
+    d = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not d:
-        d = tempfile.mkdtemp(prefix="venuescope-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(d)
+        d = _OWN_CKPT.get(id(sc))
+        if d is None:
+            d = _OWN_CKPT.setdefault(id(sc), tempfile.mkdtemp(prefix="venuescope-ckpt-"))
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(d)
     return d
 
 
