@@ -16,6 +16,11 @@ values in any task:
    (group, partition) and interpolated.
 
 Same result as ``percentile`` / ``quantile_cont`` / pandas ``quantile``.
+
+Ungrouped ranks on large inputs first go through a narrowing path
+(``_global_ranks``): a few exact histogram jobs over <= 4096 buckets shrink
+each rank's value range until it holds few rows, and only those rows take
+the steps above - so a continuous column is never shuffled whole.
 """
 
 from __future__ import annotations
@@ -140,11 +145,6 @@ def kth_smallest(df: DataFrame, value: str, k: int, weight: str | None = None,
                    F.max(F.col("_start") + F.col("_cin") - F.col(_C)).alias("below"))
 
 
-def exact_percentile_scalar(df: DataFrame, value: str, p: float):
-    """Column holding one global percentile (a scalar subquery)."""
-    return exact_percentiles(df, value, [p], names=["q"]).select("q").scalar()
-
-
 # ---------------------------------------------------------------------------
 # Global (ungrouped) ranks: narrow the rank to a tiny value range first.
 # ---------------------------------------------------------------------------
@@ -153,7 +153,6 @@ HIST_LEVELS = 3
 # Narrow only while some target's range still holds more rows than this:
 # below it the exact step (a shuffle of that many values) is already cheap.
 NARROW_MIN_ROWS = 4_000_000
-_INF = float("inf")
 
 
 def _bucket(v, lo, hi, closed, b=HIST_BUCKETS):
@@ -171,9 +170,6 @@ def _bucket(v, lo, hi, closed, b=HIST_BUCKETS):
     return i2, edge
 
 
-def _member(v, s):
-    return (v >= s["lo"]) & ((v < s["hi"]) | (s["closed"] & (v == s["hi"])))
-
 
 def _refine(base: DataFrame, state: list[dict], b: int = HIST_BUCKETS) -> list[dict]:
     """One narrowing level for every target at once: one Spark job.

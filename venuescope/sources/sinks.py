@@ -17,13 +17,6 @@ def write_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
     out.write.mode("overwrite").option("header", True).csv(path)
 
 
-def write_parquet(df: DataFrame, path: str, partition_by=None) -> None:
-    w = df.write.mode("overwrite")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(path)
-
-
 def load_csv_pair(clean: DataFrame, cuisines: DataFrame, out_dir: str) -> None:
     """The cleaned CSV pair (raw input is never touched)."""
     write_csv(clean, os.path.join(out_dir, "venues_clean.csv"))
