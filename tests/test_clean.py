@@ -132,3 +132,11 @@ def test_params_override_city_map(spark):
     got = transform(raw, p).select("city_clean", "city_tier").collect()
     assert [tuple(r) for r in got] == [("X", "Tier 1"), ("Gurgaon", "Tier 2+")]
     assert isinstance(p, Params)
+
+
+def test_round_half_up_ties_and_unrepresentable(spark):
+    from venuescope.functions import round_half_up
+    got = one_col(spark, [2.675, 1.005, -2.5, float("inf"), float("-inf"), 1e20, None],
+                  lambda c: round_half_up(c, 2), "double")
+    assert got[:3] == [2.68, 1.01, -2.5]
+    assert got[3] == float("inf") and got[4] == float("-inf") and got[5] == 1e20 and got[6] is None

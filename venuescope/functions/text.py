@@ -53,8 +53,12 @@ def round_half_up(c, digits: int) -> Column:
     """Round half away from zero on the value's 6-decimal representation.
 
     Going through DECIMAL makes the tie rule independent of binary noise and
-    of summation order, and gives the same digits in every SQL engine."""
-    return F.round(_c(c).cast("decimal(24,6)"), digits).cast("double")
+    of summation order, and gives the same digits in every SQL engine.
+    Values a DECIMAL cannot hold (+-inf, NaN, beyond 1e18) pass through
+    unchanged instead of failing the query under ANSI."""
+    x = _c(c)
+    r = F.round(x.try_cast("decimal(24,6)"), digits).cast("double")
+    return F.when(r.isNull() & x.isNotNull(), x).otherwise(r)
 
 
 def round_doubles(df, digits: int = 9, skip=()):
