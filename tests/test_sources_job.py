@@ -114,3 +114,26 @@ def test_catalog_table_pointer_swap(spark, tmp_out):
     sinks.swap_in(spark, b, catalog_tables=True)
     assert spark.sql("SELECT COUNT(*) FROM default.venues_demo").collect()[0][0] == 8
     spark.sql("DROP TABLE default.venues_demo")
+
+
+def test_job_survives_messy_values(spark, tmp_out):
+    """inf / NaN / huge / junk values everywhere: no ANSI failure anywhere."""
+    from venuescope.config import REFERENCE
+    from venuescope.schemas import RAW_SCHEMA
+    import random
+    rnd = random.Random(3)
+    ratings = ["4.1", "inf", "-inf", "nan", "NEW", "0", "1e308", "1_000", "Nov...", " 3.5\t", None, "4.1d"]
+    costs = ["1,200", "inf", "0", "-5", "9" * 25, "1e400", "abc", None, " 300 ", "1_500"]
+    cities = ["Bangalore", " Mumbai ", None, "Pune", "　Delhi", ""]
+    rows = []
+    for i in range(400):
+        rows.append((f"n{i % 37}", rnd.choice(cities), rnd.choice(["a", None, " b "]),
+                     rnd.choice(["North Indian, Chinese", "0", None, ",", "Cafe"]), rnd.choice(ratings),
+                     rnd.choice(["12", "x", None, "1e99", "-3"]), rnd.choice(costs),
+                     rnd.choice(["True", "False", "yes", None]), rnd.choice(["True", "False"]),
+                     rnd.choice(["True", "False"]), None))
+    raw = spark.createDataFrame(rows, RAW_SCHEMA)
+    res = run_job(spark, raw, tmp_out, REFERENCE.replace(quality_threshold=10.0, min_city_venues=5,
+                                                          iforest_trees=20))
+    assert res.status == "PASS" and len(res.findings) == 5
+    assert res.quality["rows_read"] == 400
