@@ -24,7 +24,7 @@ def messy(spark):
     rows = [(f"n{i % 37}", rnd.choice(cities), rnd.choice(["a", None, " b "]),
              rnd.choice(["North Indian, Chinese", "0", None, ",", "Cafe"]), rnd.choice(ratings),
              rnd.choice(["12", "x", None, "1e99", "-3"]), rnd.choice(costs), rnd.choice(["True", "False", "yes", None]),
-             rnd.choice(["True", "False"]), rnd.choice(["True", "False"]), None) for _ in range(400)]
+             rnd.choice(["True", "False"]), rnd.choice(["True", "False"]), None) for i in range(400)]
     raw = spark.createDataFrame(rows, RAW_SCHEMA)
     clean = transform(raw).cache()
     return raw, clean, explode_cuisines(clean)
