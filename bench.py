@@ -44,7 +44,7 @@ def main():
     total = time.perf_counter() - t0
     rows = res.quality.get("rows_read")
     print(json.dumps({
-        "metric": "pipeline_end_to_end",
+        "metric": "job_end_to_end",
         "value": round(total, 3),
         "unit": "sec",
         "queries": res.timings,
