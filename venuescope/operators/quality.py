@@ -22,35 +22,47 @@ def duplicate_rows(df: DataFrame, cols=None) -> DataFrame:
             .agg(F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).cast("bigint").alias("duplicates")))
 
 
-def validate(raw: DataFrame, clean: DataFrame, params: Params = REFERENCE) -> DataFrame:
-    """One-row report: counts, structural quality % and PASS / FAIL text.
-
-    ``raw`` and ``clean`` have the same rows (cleaning drops none), so one
-    aggregate over ``clean`` gives every count except the raw duplicates,
-    which come in as a scalar subquery."""
-    dups = duplicate_rows(raw).select("duplicates").scalar()
+def clean_count_columns():
+    """The report's counts over the clean table (aggregate expressions, so a
+    job can also observe them while it writes the table)."""
     valid = F.col("cost_for_two").isNotNull() & F.col("city_clean").isNotNull()
-    agg = clean.agg(
-        F.count(F.lit(1)).alias("rows_after_cleaning"),
-        F.count_if(F.col("rating").isNull()).alias("missing_ratings_new_restaurants"),
-        F.count_if(F.col("cost_for_two").isNull()).alias("missing_costs"),
-        F.count_if(F.col("city_clean").isNull()).alias("invalid_cities"),
-        F.count_if(valid).alias("structurally_valid_rows"),
-    )
-    rows_read = raw.agg(F.count(F.lit(1)).alias("n")).select("n").scalar()
+    return [F.count(F.lit(1)).alias("rows_after_cleaning"),
+            F.count_if(F.col("rating").isNull()).alias("missing_ratings_new_restaurants"),
+            F.count_if(F.col("cost_for_two").isNull()).alias("missing_costs"),
+            F.count_if(F.col("city_clean").isNull()).alias("invalid_cities"),
+            F.count_if(valid).alias("structurally_valid_rows")]
+
+
+def report_from_counts(counts: DataFrame, params: Params = REFERENCE) -> DataFrame:
+    """Quality % and PASS / FAIL text from a one-row table of counts
+    (rows_read, rows_after_cleaning, duplicate_rows_in_raw, the missing /
+    invalid counts and structurally_valid_rows)."""
+    rows_read = F.col("rows_read")
     pct = F.when(rows_read > 0, round_half_up(F.lit(100.0) * F.col("structurally_valid_rows") / rows_read, 2)) \
         .otherwise(F.lit(0.0))
     thr = float(params.quality_threshold)
-    out = agg.select(
-        rows_read.alias("rows_read"), "rows_after_cleaning", dups.alias("duplicate_rows_in_raw"),
-        "missing_ratings_new_restaurants", "missing_costs", "invalid_cities",
-        "structurally_valid_rows", pct.alias("data_quality_pct"))
+    out = counts.select(
+        "rows_read", "rows_after_cleaning", "duplicate_rows_in_raw", "missing_ratings_new_restaurants",
+        "missing_costs", "invalid_cities", "structurally_valid_rows", pct.alias("data_quality_pct"))
     status = F.when(F.col("data_quality_pct") >= thr, F.lit("PASS")).otherwise(
         F.concat(F.lit("FAIL - quality "), F.col("data_quality_pct").cast("string"),
                  F.lit(f"% below {thr}% threshold")))
     return out.withColumn("pipeline_status", status)
 
 
+def validate(raw: DataFrame, clean: DataFrame, params: Params = REFERENCE) -> DataFrame:
+    """One-row report: counts, structural quality % and PASS / FAIL text.
+
+    ``raw`` and ``clean`` have the same rows (cleaning drops none), so one
+    aggregate over ``clean`` gives every count except the raw duplicates
+    and the raw row count, which come in as scalar subqueries."""
+    dups = duplicate_rows(raw).select("duplicates").scalar()
+    rows_read = raw.agg(F.count(F.lit(1)).alias("n")).select("n").scalar()
+    agg = clean.agg(*clean_count_columns())
+    counts = agg.select(rows_read.alias("rows_read"), "*", dups.alias("duplicate_rows_in_raw"))
+    return report_from_counts(counts, params)
+
+
 def gate(report_row) -> None:
     """Stop before any publish when the report says FAIL."""
     status = report_row["pipeline_status"]
