@@ -149,3 +149,18 @@ def test_job_is_reproducible(spark, tmp_path):
         ra = spark.read.option("header", True).csv(str(tmp_path / "a" / "outputs" / name))
         rb = spark.read.option("header", True).csv(str(tmp_path / "b" / "outputs" / name))
         assert ra.exceptAll(rb).count() == 0 and rb.exceptAll(ra).count() == 0
+
+
+def test_report_archive_appends_by_run_date(spark, tmp_out):
+    import datetime as dt
+    from venuescope.operators.report import run_report
+    q = spark.createDataFrame([(1, "PASS")], "rows_read long, pipeline_status string")
+    s = spark.createDataFrame([(0,)], "operational_risk_flags long")
+    f = spark.createDataFrame([(1, "x")], "finding_no int, finding string")
+    path = os.path.join(tmp_out, "reports")
+    for day in (dt.date(2026, 1, 1), dt.date(2026, 1, 2), dt.date(2026, 1, 2)):
+        sinks.append_report(run_report(q, s, f, F.lit(day)), path)
+    got = spark.read.parquet(path)
+    assert got.count() == 12 and got.select("run_date").distinct().count() == 2
+    assert sorted(os.listdir(path))[:2] == ["_SUCCESS", "run_date=2026-01-01"] or \
+        any(p.startswith("run_date=") for p in os.listdir(path))
