@@ -13,6 +13,12 @@ def _tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_minhash(spark, sf_dir):
+    from .minhash import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op2_token_counts(spark, sf_dir):
     from .token_counts import count_tokens
 
@@ -44,5 +50,11 @@ def op6_byte_bpe(spark, sf_dir):
                       F.sha2(F.encode(ids, "UTF-8"), 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op2_token_counts, op3_line_dedup, op4_packing, op6_byte_bpe)}
+def op10_embedding_dedup(spark, sf_dir):
+    from .embedding_dedup import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+QUERIES = {f.__name__: f for f in (op1_minhash, op2_token_counts, op3_line_dedup, op4_packing, op6_byte_bpe, op10_embedding_dedup)}
 ORACLE: dict[str, str] = {}
