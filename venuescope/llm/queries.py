@@ -50,11 +50,18 @@ def op6_byte_bpe(spark, sf_dir):
                       F.sha2(F.encode(ids, "UTF-8"), 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op7_quality_rules(spark, sf_dir):
+    from .quality_rules import judge_quality
+
+    return judge_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op10_embedding_dedup(spark, sf_dir):
     from .embedding_dedup import near_duplicates
 
     return near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
-QUERIES = {f.__name__: f for f in (op1_minhash, op2_token_counts, op3_line_dedup, op4_packing, op6_byte_bpe, op10_embedding_dedup)}
+QUERIES = {f.__name__: f for f in (op1_minhash, op2_token_counts, op3_line_dedup, op4_packing, op6_byte_bpe, op7_quality_rules,
+                               op10_embedding_dedup)}
 ORACLE: dict[str, str] = {}
