@@ -39,6 +39,12 @@ def op4_packing(spark, sf_dir):
     return pack(pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32")))
 
 
+def op5_language_id(spark, sf_dir):
+    from .language_id import identify_with_folds
+
+    return identify_with_folds(table(spark, sf_dir, "documents"))
+
+
 def op6_byte_bpe(spark, sf_dir):
     import public_tokenizers
 
@@ -56,12 +62,18 @@ def op7_quality_rules(spark, sf_dir):
     return judge_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op9_lm_scoring(spark, sf_dir):
+    from .lm_scoring import score_texts
+
+    return score_texts(table(spark, sf_dir, "documents"))
+
+
 def op10_embedding_dedup(spark, sf_dir):
     from .embedding_dedup import near_duplicates
 
     return near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
-QUERIES = {f.__name__: f for f in (op1_minhash, op2_token_counts, op3_line_dedup, op4_packing, op6_byte_bpe, op7_quality_rules,
-                               op10_embedding_dedup)}
+QUERIES = {f.__name__: f for f in (op1_minhash, op2_token_counts, op3_line_dedup, op4_packing, op5_language_id,
+                               op6_byte_bpe, op7_quality_rules, op9_lm_scoring, op10_embedding_dedup)}
 ORACLE: dict[str, str] = {}
