@@ -1,15 +1,60 @@
-"""The corpus pipeline: stages over ``documents``, each the input of the next."""
+"""The corpus pipeline: from raw documents to packed training sequences.
+
+Each stage is a function (spark, docs, sf_dir) -> DataFrame over all that the stage before it
+kept.  All but the last return the columns of ``documents``; where a stage rewrites the text, n_chars
+follows it.
+"""
 
 from __future__ import annotations
 
-STAGES: list = []
+from pyspark.sql import functions as F
+
+from venuescope.llm import line_dedup, minhash, packing, quality_rules, suffix_dedup
+from venuescope.llm.common import stage, table
+
+
+def _columns(docs, like):
+    """The columns of ``like`` with n_chars, if there is one, counted anew."""
+    return docs.select(*[F.char_length("text").cast(like.schema[c].dataType).alias(c) if c == "n_chars" else c for c in like.columns])
+
+
+def quality(spark, docs, sf_dir):
+    """Documents that fail the base check or that a learned rule rejects go."""
+    return quality_rules.keep_good(docs, table(spark, sf_dir, "labels"))
+
+
+def lines(spark, docs, sf_dir):
+    """Lines that many documents share stay in one of them."""
+    return _columns(line_dedup.dedup_lines(docs), docs)
+
+
+def near_duplicates(spark, docs, sf_dir):
+    """One document of each group of near-duplicates stays."""
+    return minhash.drop_near_duplicates(docs)
+
+
+def passages(spark, docs, sf_dir):
+    """Bytes of strings that repeat in the corpus go."""
+    return _columns(suffix_dedup.remove_repeats(docs, rewrite=True), docs)
+
+
+def pack(spark, docs, sf_dir, capacity: int = 2048):
+    """Token pieces and their places in sequences."""
+    import public_tokenizers
+
+    pieces = packing.token_pieces(docs, public_tokenizers.path("word_bpe_49k.json"), capacity)
+    return packing.pack(pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32")), capacity)
+
+
+STAGES = [("quality rules", quality), ("line dedup", lines), ("near-duplicates", near_duplicates),
+          ("passage dedup", passages), ("packing", pack)]
+
+#: the first stage learns from data and the last plans by counts: no SQL
 ORACLE_SQL = None
 
 
 def run(spark, sf_dir):
     """Apply the stages to the documents of ``sf_dir``."""
-    from venuescope.llm.common import stage, table
-
     docs = table(spark, sf_dir, "documents")
     for name, step in STAGES:
         docs = stage(step(spark, docs, sf_dir), f"pipeline-{name.replace(' ', '-')}")

@@ -239,3 +239,15 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 75, doc_id: s
     component = F.when(F.col("d").isNotNull(), F.coalesce("component_id", "d"))
     return out.select(F.col("d").alias(doc_id), "n_shingles", component.alias("component_id"),
                       F.coalesce(F.col("d") == component, F.lit(False)).alias("kept"))
+
+
+def drop_near_duplicates(docs: DataFrame, size: int = 5, percent: int = 75, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """``docs`` with one row of each group of near-duplicates: that of the smallest id.  Rows without an id stay;
+    of rows that repeat an id one stays."""
+    judged = stage(near_duplicates(docs, size, percent, doc_id, text).select(F.col(doc_id).alias("d"), "kept"), "minhash-judged")
+    gone = judged.where("d is not null and not kept").select("d").distinct()
+    left = docs.join(gone, docs[doc_id].cast("long") == gone["d"], "left_anti")
+    ids = judged.where("d is not null").agg(F.count("*").alias("n"), F.countDistinct("d").alias("k")).first()
+    if ids.n == ids.k:
+        return left
+    return left.where(F.col(doc_id).isNotNull()).dropDuplicates([doc_id]).union(left.where(F.col(doc_id).isNull()))

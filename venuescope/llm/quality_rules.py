@@ -24,16 +24,17 @@ MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
 BASE = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 
 
-def text_statistics(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def text_statistics(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", whole: bool = False) -> DataFrame:
     """(doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_lines), longs.
 
     A null text counts as empty: all zero.  n_lines counts lines with a word.  Repeated rows and
-    null ids each give a row; other columns are not read.
+    null ids each give a row; other columns are not read, but with ``whole`` doc_id is the whole
+    row as a struct.
 
     Repeated words: each 3-word window becomes its hash with its position in the low bits; in the
     sorted array equal windows are neighbours, and of the positions so found each adds the words
     that the one before it does not cover.  Neighbours count only if their words are equal."""
-    t = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("t"))
+    t = docs.select((F.struct("*") if whole else F.col(doc_id)).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("t"))
     w = t.select("doc_id", F.filter(F.split("t", BLANK + "+"), lambda x: x != "").alias("w"),
                  F.regexp_count("t", F.lit(SYMBOLS)).cast("long").alias("n_symbols"),
                  F.filter(F.split("t", "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]")).alias("lines"))
@@ -185,15 +186,27 @@ def verdict(rules: list[list[Condition]]) -> Column:
     return F.lit(0) if out is None else out.otherwise(0)
 
 
-def judge_quality(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", **learning) -> DataFrame:
-    """(doc_id, the five base statistics, base_failed, rule, kept), one row per input row.
+def learn_from(stats: DataFrame, labels: DataFrame, doc_id: str = "doc_id", **learning) -> list[list[Condition]]:
+    """The rules of the documents with statistics ``stats`` that pass the base check and are labelled.
 
     ``labels``: (doc_id, quality) with 1 good and 0 bad; other values, null ids and ids without a
-    document teach nothing, an id with both values is bad.  Without labels of both kinds the list is empty
-    and only the base check rejects."""
+    document teach nothing, an id with both values is bad.  Without labels of both kinds the list is empty."""
+    known = labels.where("quality in (0, 1)").groupBy(F.col(doc_id).alias("doc_id")).agg((F.min("quality") == 0).alias("bad"))
+    return learn(stats.where(~base_failed()).join(known, "doc_id"), **learning)
+
+
+def judge_quality(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", **learning) -> DataFrame:
+    """(doc_id, the five base statistics, base_failed, rule, kept), one row per input row: rule is the number
+    of the learned rule that rejects it, 0 for none."""
     stats = stage(text_statistics(docs, doc_id, text).withColumnRenamed(doc_id, "doc_id"), "quality-statistics")
-    known = (labels.where("quality in (0, 1)").groupBy(F.col(doc_id).alias("doc_id")).agg((F.min("quality") == 0).alias("bad")))
-    rules = learn(stats.where(~base_failed()).join(known, "doc_id"), **learning)
-    rule = verdict(rules).cast("int")
+    rule = verdict(learn_from(stats, labels, doc_id, **learning)).cast("int")
     return stats.select(F.col("doc_id").alias(doc_id), *BASE, base_failed().alias("base_failed"), rule.alias("rule"),
                         (~base_failed() & (rule == 0)).alias("kept"))
+
+
+def keep_good(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", **learning) -> DataFrame:
+    """The rows of ``docs`` that pass the base check and that no learned rule rejects."""
+    stats = stage(text_statistics(docs, doc_id, text).withColumnRenamed(doc_id, "doc_id"), "quality-statistics")
+    rules = learn_from(stats, labels, doc_id, **learning)
+    rows = text_statistics(docs, text=text, whole=True)
+    return rows.where(~base_failed() & (verdict(rules) == 0)).select("doc_id.*")

@@ -62,6 +62,13 @@ def op7_quality_rules(spark, sf_dir):
     return judge_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op8_suffix_dedup(spark, sf_dir):
+    from .suffix_dedup import remove_repeats
+
+    out = remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op9_lm_scoring(spark, sf_dir):
     from .lm_scoring import score_texts
 
@@ -75,5 +82,6 @@ def op10_embedding_dedup(spark, sf_dir):
 
 
 QUERIES = {f.__name__: f for f in (op1_minhash, op2_token_counts, op3_line_dedup, op4_packing, op5_language_id,
-                               op6_byte_bpe, op7_quality_rules, op9_lm_scoring, op10_embedding_dedup)}
+                               op6_byte_bpe, op7_quality_rules, op8_suffix_dedup, op9_lm_scoring,
+                               op10_embedding_dedup)}
 ORACLE: dict[str, str] = {}
