@@ -52,7 +52,8 @@ def test_city_alias_and_tier(spark):
 
 
 def test_votes(spark):
-    assert one_col(spark, ["12", "12.7", "-3.9", "abc", None, "1,200", "9e99"], clean_votes) == [12, 12, -3, 0, 0, 0, 0]
+    assert one_col(spark, ["12", "12.7", "-3.9", "abc", None, "1,200", "9e99", "3000000000"], clean_votes) == [
+        12, 12, -3, 0, 0, 0, 0, 3000000000]
 
 
 def test_location_strip_keeps_null(spark):
@@ -140,3 +141,11 @@ def test_round_half_up_ties_and_unrepresentable(spark):
                   lambda c: round_half_up(c, 2), "double")
     assert got[:3] == [2.68, 1.01, -2.5]
     assert got[3] == float("inf") and got[4] == float("-inf") and got[5] == 1e20 and got[6] is None
+
+
+def test_round_half_up_rounds_once(spark):
+    from venuescope.functions import round_half_up
+
+    df = spark.createDataFrame([(2.6249996,), (2.625,), (-2.625,), (0.1 + 0.2,), (1e30,), (12345678901234567890.0,), (None,), (float("inf"),)], "v double")
+    got = [r[0] for r in df.select(round_half_up("v", 2)).collect()]
+    assert got == [2.62, 2.63, -2.63, 0.3, 1e30, 12345678901234567890.0, None, float("inf")]

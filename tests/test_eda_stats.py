@@ -82,13 +82,17 @@ def test_corr_matrix_pairwise_complete(spark):
         assert v == pytest.approx(want.loc[x, y])
 
 
-def test_t_quantile_cornish_fisher(spark):
-    df = spark.createDataFrame([(30,), (10,), (4,), (1000,)], "dof int")
-    got = [r[0] for r in df.select(t_quantile(0.975, F.col("dof"))).collect()]
-    assert got[0] == pytest.approx(2.0423, abs=1e-4)
-    assert got[1] == pytest.approx(2.228, abs=1e-3)
-    assert got[2] is None
-    assert got[3] == pytest.approx(1.9623, abs=1e-4)
+def test_t_quantile_for_every_sample_size(spark):
+    # textbook values of the two-sided 95 % point
+    want = {1: 12.706204736, 2: 4.302652730, 3: 3.182446305, 9: 2.262157163, 10: 2.228138852, 30: 2.042272456, 100: 1.983971519,
+            101: 1.983731003, 1000: 1.962339081}
+    df = spark.createDataFrame([(d,) for d in [0, *want]], "dof long")
+    got = {r[0]: r[1] for r in df.select("dof", t_quantile(0.975, F.col("dof"))).collect()}
+    assert got.pop(0) is None
+    assert got == pytest.approx(want, abs=2e-9)
+    for n in (2, 3, 10):
+        ci = stats.mean_ci(spark.createDataFrame([(float(i),) for i in range(n)], "rating double"), "rating").collect()[0]
+        assert ci["ci_low"] == pytest.approx((n - 1) / 2 - want[n - 1] * ci["sem"])
 
 
 def test_zscore_share_and_mean_ci(spark):
@@ -116,11 +120,13 @@ def test_forecast_linear_and_moving_average(spark):
     assert [r["moving_avg"] for r in forecast.moving_average(s4, 3).orderBy("x").collect()] == [None, None, 2.0, 3.0]
 
 
-def test_monthly_counts_drop_partial_last_month(spark):
+def test_monthly_counts_use_all_months(spark):
     import datetime as dt
-    ts = [dt.datetime(2020, 1, 5), dt.datetime(2020, 1, 9), dt.datetime(2020, 2, 1), dt.datetime(2020, 3, 1)]
+    ts = [dt.datetime(2020, 1, 5), dt.datetime(2020, 1, 9), dt.datetime(2020, 2, 1), dt.datetime(2020, 3, 31, 23, 59), None]
     df = spark.createDataFrame([(t,) for t in ts], "o_orderdate timestamp")
     got = [tuple(r) for r in forecast.monthly_counts(df, "o_orderdate").collect()]
+    assert got == [(1, "2020-01", 2.0), (2, "2020-02", 1.0), (3, "2020-03", 1.0)]
+    got = [tuple(r) for r in forecast.monthly_counts(df, "o_orderdate", end="2020-03-01").collect()]
     assert got == [(1, "2020-01", 2.0), (2, "2020-02", 1.0)]
 
 

@@ -17,7 +17,7 @@ def test_exact_percentiles_match_numpy_with_groups_ties_and_skew(spark):
         [("one", 7.0), ("hot", None), (None, 2.0)]
     df = spark.createDataFrame(rows, "g string, v double")
     probs = [0.0, 0.1, 0.25, 0.5, 0.75, 0.99, 1.0]
-    got = {r["g"]: r for r in exact_percentiles(df, "v", probs, by=["g"], partitions=7).collect()}
+    got = {r["g"]: r for r in exact_percentiles(df, "v", probs, by=["g"]).collect()}
     assert set(got) == {"hot", "small", "one"}           # null group dropped
     for g, vals in (("hot", hot), ("small", [5.0, 1.0, 3.0]), ("one", [7.0])):
         want = np.percentile(np.array(vals, dtype=float), [p * 100 for p in probs])
@@ -36,8 +36,8 @@ def test_exact_percentiles_global_and_weighted(spark):
 def test_exact_percentiles_invariant_to_partitioning(spark):
     rng = np.random.default_rng(1)
     df = spark.createDataFrame([(float(x),) for x in rng.exponential(5, 2000)], "v double")
-    a = exact_percentiles(df, "v", [0.25, 0.75], partitions=1).collect()[0]
-    b = exact_percentiles(df.repartition(13), "v", [0.25, 0.75], partitions=11).collect()[0]
+    a = exact_percentiles(df, "v", [0.25, 0.75]).collect()[0]
+    b = exact_percentiles(df.repartition(13), "v", [0.25, 0.75]).collect()[0]
     assert tuple(a) == tuple(b)
 
 
@@ -75,24 +75,46 @@ def test_business_risk_per_city_p75(spark):
     assert got == [False, False, False, True, False, False, False, False, False]
 
 
-@pytest.mark.parametrize("dist", ["heavy", "ties", "const", "inf"])
-def test_narrow_and_rank_paths_agree_with_numpy(spark, dist, monkeypatch):
-    from venuescope.operators import quantile
-    monkeypatch.setattr(quantile, "NARROW_MIN_ROWS", 10)      # force every narrowing level
+@pytest.mark.parametrize("conf", [{}, {"spark.sql.exchange.reuse": "false"}, {"spark.sql.adaptive.enabled": "false"}])
+@pytest.mark.parametrize("dist", ["heavy", "ties", "const", "inf", "huge"])
+def test_percentiles_agree_with_numpy_under_any_plan(spark, dist, conf):
     rng = np.random.default_rng(11)
     x = {"heavy": np.concatenate([rng.exponential(1, 3000), [1e9, 5e8]]),
          "ties": np.round(rng.normal(3.5, 0.5, 3000), 1),
          "const": np.full(500, 7.0),
-         "inf": np.concatenate([rng.normal(0, 1, 500), [np.inf, -np.inf]])}[dist]
+         "inf": np.concatenate([rng.normal(0, 1, 500), [np.inf, -np.inf]]),
+         "huge": np.concatenate([rng.normal(5, 1, 5000), [1e300, -1e300, 1e-300]])}[dist]
     df = spark.createDataFrame([(float(v),) for v in x], "v double")
     probs = [0.0, 0.05, 0.5, 0.95, 1.0]
-    narrow = exact_percentiles(df, "v", probs, method="narrow").collect()[0]
-    rank = exact_percentiles(df, "v", probs, method="rank").collect()[0]
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        got = exact_percentiles(df, "v", probs).collect()[0]
+        by = exact_percentiles(df.withColumn("g", F.lit(1)), "v", probs, by=["g"]).collect()[0][1:]
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
     want = np.percentile(x, [p * 100 for p in probs])
     for i, w in enumerate(want):
         if np.isfinite(w):
-            assert narrow[i] == pytest.approx(w) and rank[i] == pytest.approx(w)
+            assert got[i] == pytest.approx(w) and by[i] == pytest.approx(w)
         elif np.isnan(w):            # -inf + (-inf - -inf) * f: NaN in numpy and Spark alike
-            assert np.isnan(narrow[i]) and np.isnan(rank[i])
+            assert np.isnan(got[i]) and np.isnan(by[i])
         else:
-            assert narrow[i] == w and rank[i] == w
+            assert got[i] == w and by[i] == w
+
+
+def test_percentiles_read_their_input_a_fixed_number_of_times(spark, tmp_path):
+    """Three scans for any number of ranks: cut points, cell counts, wanted cells."""
+    spark.range(5000).selectExpr("cast(id as double) as v").write.parquet(str(tmp_path / "v"))
+    df = spark.read.parquet(str(tmp_path / "v"))
+    for probs in ([0.5], [i / 10 for i in range(11)]):
+        plan = exact_percentiles(df, "v", probs)._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("FileScan parquet") == 2           # the cut points are in the plan already
+
+
+def test_percentiles_of_nothing(spark):
+    empty = spark.createDataFrame([], "g string, v double")
+    assert exact_percentiles(empty, "v", [0.5]).collect()[0][0] is None
+    assert exact_percentiles(empty, "v", [0.5], by=["g"]).count() == 0

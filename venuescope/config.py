@@ -77,8 +77,6 @@ Q7_CUISINES = ("North Indian", "South Indian", "Chinese", "Fast Food", "Biryani"
 Q7_CITIES = ("Bengaluru", "Mumbai", "Delhi NCR", "Hyderabad", "Pune")
 Q5_MIN_AVG_RATING = 3.45
 
-# Monthly series used by the forecasting notebook (illustrative input).
-ILLUSTRATIVE_ADOPTION = (32, 34, 35, 38, 40, 41, 44, 46, 47, 49, 51, 53)
 
 
 @dataclass(frozen=True)

@@ -72,10 +72,10 @@ def coerce_flag(c, dtype: DataType | None = None, legacy: bool = False) -> Colum
 
 
 def clean_votes(c) -> Column:
-    """to-numeric, bad -> 0, truncate toward zero to int."""
+    """to-numeric, bad or beyond 64 bits -> 0, truncate toward zero."""
     v = parse_double(c, NUMERIC_PATTERN)
-    ok = v.isNotNull() & (F.abs(v) < F.lit(2147483648.0))
-    return F.when(ok, v.cast("int")).otherwise(F.lit(0))
+    ok = v.isNotNull() & (F.abs(v) < F.lit(2.0 ** 63))
+    return F.when(ok, v.cast("long")).otherwise(F.lit(0).cast("long"))
 
 
 def clean_location(c) -> Column:

@@ -50,14 +50,14 @@ def parse_double(c, pattern: str = FLOAT_PATTERN, stripped: bool = False) -> Col
 
 
 def round_half_up(c, digits: int) -> Column:
-    """Round half away from zero on the value's 6-decimal representation.
+    """Round half away from zero.
 
-    Going through DECIMAL makes the tie rule independent of binary noise and
-    of summation order, and gives the same digits in every SQL engine.
-    Values a DECIMAL cannot hold (+-inf, NaN, beyond 1e18) pass through
-    unchanged instead of failing the query under ANSI."""
+    The twelfth decimal is where sums of doubles differ by their order; what
+    lies beyond is noise, so the value is read to twelve decimals and rounded
+    there.  Beyond 1e26, where a DECIMAL(38,12) ends, a double has no decimals
+    left to round: it stays, as do +-inf and NaN."""
     x = _c(c)
-    r = F.round(x.try_cast("decimal(24,6)"), digits).cast("double")
+    r = F.round(x.try_cast("decimal(38,12)"), digits).cast("double")
     return F.when(r.isNull() & x.isNotNull(), x).otherwise(r)
 
 

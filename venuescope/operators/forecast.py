@@ -6,16 +6,15 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def monthly_counts(df: DataFrame, ts: str, drop_last_partial: bool = True) -> DataFrame:
-    """Rows per calendar month, numbered 1..n.  The aggregate is partial per
+def monthly_counts(df: DataFrame, ts: str, end: str | None = None) -> DataFrame:
+    """Rows per calendar month, numbered 1..n, over all rows; with ``end`` (a date such as
+    "2024-04-01") over those before it, for data whose last month is known to be partial.  The aggregate is partial per
     task; everything after it has one row per month, so the ordered window
     (one partition) holds a few hundred rows at most."""
-    m = (df.where(F.col(ts).isNotNull())
+    keep = F.col(ts).isNotNull() if end is None else F.col(ts) < F.lit(end).cast("timestamp")
+    m = (df.where(keep)
          .groupBy(F.date_trunc("month", F.col(ts)).alias("month_start"))
          .agg(F.count(F.lit(1)).cast("double").alias("value")))
-    if drop_last_partial:
-        last = m.agg(F.max("month_start").alias("mx")).select("mx").scalar()
-        m = m.where(F.col("month_start") < last)
     w = Window.orderBy("month_start")
     return m.select(F.row_number().over(w).cast("bigint").alias("x"),
                     F.date_format("month_start", "yyyy-MM").alias("month"), "value")

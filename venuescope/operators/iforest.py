@@ -238,9 +238,8 @@ def isolation_forest_flag(df: DataFrame, features=("rating", "cost_for_two"), pa
         res = df.withColumn(out, F.lit(False))
         return res.withColumn(SCORE, F.lit(None).cast("double")) if keep_score else res
     # the score table is already one row per distinct feature vector with its
-    # multiplicity, so the lazy rank path (a scalar subquery) suffices
-    cut = exact_percentiles(scores, SCORE, [1.0 - params.contamination], names=["q"], weight="_w",
-                            method="rank").select("q").scalar()
+    # multiplicity
+    cut = exact_percentiles(scores, SCORE, [1.0 - params.contamination], names=["q"], weight="_w").select("q").scalar()
     # join on the feature values; a missing feature finds no score -> normal
     keyed = df.select("*", *[F.col(c).cast("double").alias(f"_if_k{i}") for i, c in enumerate(feats)])
     sc = scores.select(*[F.col(c).alias(f"_if_k{i}") for i, c in enumerate(feats)], SCORE)

@@ -3,288 +3,123 @@
 Spark's ``percentile`` keeps a value->count map per group and merges all
 maps of a group in one task: fine for a few thousand distinct prices, fatal
 for a continuous column at 100 TB or for a group holding a third of all rows.
-This version never puts more than one range partition's worth of distinct
-values in any task:
-
-1. ``(group, value) -> count`` with map-side partial aggregation (duplicates
-   of a hot value collapse before the shuffle);
-2. range-partition those pairs by (group, value) and number each partition;
-3. running count inside each (group, partition) via a window, plus each
-   partition's start offset from the small per-partition totals table;
-4. the two ranks around ``p * (n - 1)`` of every requested p are located in
-   the small totals table first, then picked with an equi-join on
-   (group, partition) and interpolated.
+Here every step reads the input once, for any number of ranks and groups:
+
+1. cut points: ``CELLS - 1`` evenly ranked values from one mergeable sketch
+   (``percentile_approx``), computed once and written into the plan.  They
+   only balance the work; no result depends on where they fall.  Cuts are
+   ranks, so infinities and outliers take no room from the other values;
+2. rows per (group, cell), the cell being the number of cut points not above
+   the value: a fixed function of the value, the same wherever it is computed.
+   A group has at most ``CELLS`` such rows; they say which cell holds each
+   wanted rank and how many rows lie before it;
+3. the rows of the wanted cells, collapsed to distinct values, ranked inside
+   their cell.
 
 Same result as ``percentile`` / ``quantile_cont`` / pandas ``quantile``.
-
-Ungrouped ranks on large inputs first go through a narrowing path
-(``_global_ranks``): a few exact histogram jobs over <= 4096 buckets shrink
-each rank's value range until it holds few rows, and only those rows take
-the steps above - so a continuous column is never shuffled whole.
 """
 
 from __future__ import annotations
 
-import math
-
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-_V, _C, _PID = "_q_v", "_q_c", "_q_pid"
+_V, _W, _CELL = "_q_v", "_q_w", "_q_cell"
+CELLS = 4096            # a power of two: the cell is found in log2(CELLS) steps
+ACCURACY = 100_000      # of the sketch
+
 
+def _cut_points(base: DataFrame, kind: str) -> Column:
+    """The cut points as one literal array (empty input: no cut)."""
+    at = _literal([i / CELLS for i in range(1, CELLS)], "double")
+    cuts = base.agg(F.percentile_approx(_V, at, ACCURACY)).first()[0]
+    return _literal(cuts, kind) if cuts else F.lit(None).cast(f"array<{kind}>")
 
-def _ranked(df: DataFrame, value: str, by, partitions, weight, as_double: bool = True):
-    """(cum, part, key): per-row running counts inside (group, range
-    partition) and the small per-partition table with rank ranges and the
-    group size n (steps 1-3 of the module docstring).  ``as_double=False``
-    keeps the value's own type (a 64-bit hash must not be rounded)."""
-    spark = df.sparkSession
-    nparts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    v = F.col(value).cast("double") if as_double else F.col(value)
+
+def _literal(values, kind: str) -> Column:
+    """A long array as one literal: Spark folds the split and the cast when it plans."""
+    return F.split(F.lit(",".join(map(repr, values)).replace("inf", "Infinity")), ",").cast(f"array<{kind}>")
+
+
+def _with_cells(df: DataFrame, value: str, by, weight, as_double: bool) -> DataFrame:
+    """(by.., value, weight, cell) of the rows that count: no null group, null, NaN or zero weight.
+    ``as_double=False`` keeps the value's own type (a 64-bit hash must not be rounded)."""
+    kind = "double" if as_double else dict(df.dtypes)[value]
     keep = F.col(value).isNotNull()
     if dict(df.dtypes).get(value) in ("double", "float"):
         keep = keep & ~F.isnan(F.col(value))
     for b in by:
         keep = keep & F.col(b).isNotNull()
     w = F.lit(1).cast("bigint") if weight is None else F.col(weight).cast("bigint")
-    vc = (df.where(keep).select(*by, v.alias(_V), w.alias("_q_w"))
-          .groupBy(*by, _V).agg(F.sum("_q_w").alias(_C))
-          .where(F.col(_C) > 0))
-    ranged = (vc.repartitionByRange(nparts, *[F.col(b) for b in by], F.col(_V))
-              .withColumn(_PID, F.spark_partition_id()))
-    key = by + [_PID]
-    # running count inside each (group, partition); the window's exchange
-    # clusters rows by (group, partition), so the per-partition totals below
-    # aggregate without another shuffle
-    run = Window.partitionBy(*key).orderBy(_V).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    cum = ranged.withColumn("_cin", F.sum(_C).over(run))
-    part = cum.groupBy(*key).agg(F.max("_cin").alias("_pc"))
-    # [start, end) rank range of each partition: a window over the small
-    # totals table (<= groups + partitions rows)
-    gw = Window.partitionBy(*by) if by else Window.partitionBy()
-    part = (part.withColumn("_end", F.sum("_pc").over(
-                gw.orderBy(_PID).rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-            .withColumn("_n", F.sum("_pc").over(gw)))
-    return cum, part, key
-
-
-def _at_ranks(cum: DataFrame, part: DataFrame, key, targets: DataFrame) -> DataFrame:
-    """Rows of ``cum`` holding the 0-based ranks ``_r`` of ``targets``
-    (located in their partition first, then an equi-join on it)."""
-    tg = (targets.withColumn("_start", F.col("_end") - F.col("_pc"))
-          .drop("_pc", "_end", "_n")
-          .where((F.col("_r") >= F.col("_start")) & (F.col("_r") < F.col("_start") + F.col("_len"))))
-    return (cum.join(tg.drop("_len"), on=key)
-            .where((F.col("_start") + F.col("_cin") - F.col(_C) <= F.col("_r"))
-                   & (F.col("_r") < F.col("_start") + F.col("_cin"))))
-
-
-def exact_percentiles(df: DataFrame, value: str, probs, by=(), names=None,
-                      partitions: int | None = None, weight: str | None = None,
-                      method: str = "auto") -> DataFrame:
-    """One row per group with one column per probability.
+    base = df.where(keep).select(*by, F.col(value).cast(kind).alias(_V), w.alias(_W)).where(F.col(_W) > 0)
+    cuts = _cut_points(base, kind)
+    # binary search, one projection a step: pos = how many cut points are <= value
+    out = base.withColumn(_CELL, F.lit(0))
+    step = CELLS // 2
+    while step:
+        nxt = F.get(cuts, F.col(_CELL) + (step - 1))
+        out = out.withColumn(_CELL, F.col(_CELL) + F.when(nxt <= F.col(_V), step).otherwise(0))
+        step //= 2
+    return out
+
+
+def _at_ranks(cells: DataFrame, by, targets) -> DataFrame:
+    """Rows (by.., _k, _extra, _V, _before): the value at each wanted 0-based rank and how many rows are
+    smaller.  ``targets``: struct columns (k, r, extra) as functions of the group's row count."""
+    counts = cells.groupBy(*by, _CELL).agg(F.sum(_W).alias("_n"))
+    w = Window.partitionBy(*by).orderBy(_CELL)
+    total = Window.partitionBy(*by)
+    counts = (counts.withColumn("_to", F.sum("_n").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+              .withColumn("_all", F.sum("_n").over(total)))
+    want = (counts.select(*by, _CELL, "_n", "_to", F.explode(targets(F.col("_all"))).alias("t"))
+            .where((F.col("t.r") < F.col("_to")) & (F.col("t.r") >= F.col("_to") - F.col("_n")))
+            .groupBy(*by, _CELL).agg(F.first(F.col("_to") - F.col("_n")).alias("_from"), F.collect_list("t").alias("_ts")))
+    inside = cells.join(want, [*by, _CELL]).groupBy(*by, _CELL, _V).agg(
+        F.sum(_W).alias("_c"), F.first("_from").alias("_from"), F.first("_ts").alias("_ts"))
+    run = Window.partitionBy(*by, _CELL).orderBy(_V).rowsBetween(Window.unboundedPreceding, 0)
+    inside = inside.withColumn("_end", F.col("_from") + F.sum("_c").over(run))
+    return (inside.select(*by, _V, "_end", "_c", F.explode("_ts").alias("t"))
+            .where((F.col("t.r") < F.col("_end")) & (F.col("t.r") >= F.col("_end") - F.col("_c")))
+            .select(*by, F.col("t.k").alias("_k"), F.col("t.extra").alias("_extra"), _V,
+                    (F.col("_end") - F.col("_c")).alias("_before")))
+
+
+def exact_percentiles(df: DataFrame, value: str, probs, by=(), names=None, weight: str | None = None) -> DataFrame:
+    """One row per group with one column per probability (one row of nulls for no rows, ungrouped).
 
     Nulls and NaN in ``value`` are skipped; rows with a null group key are
     dropped (pandas ``groupby`` semantics).  ``weight`` (a non-negative
     integer column) counts a row that many times, for input that is already
-    aggregated to (value, multiplicity).
-
-    ``method``: "rank" ranks every distinct (group, value) pair (lazy, one
-    plan); "narrow" (ungrouped only) first narrows each rank to a tiny
-    value range with a few histogram jobs, so a continuous column is never
-    shuffled whole; "auto" = "narrow" without groups, else "rank"."""
+    aggregated to (value, multiplicity)."""
     by = list(by)
     probs = [float(p) for p in probs]
     names = list(names) if names else [f"p{round(p * 100):g}" for p in probs]
-    if method == "narrow" or (method == "auto" and not by):
-        return _narrow_percentiles(df, value, probs, names, partitions, weight)
-    cum, part, key = _ranked(df, value, by, partitions, weight)
+    cells = _with_cells(df, value, by, weight, as_double=True)
 
-    # wanted ranks: floor and ceil of p*(n-1)
-    want = F.explode(F.array(*[
-        F.struct(F.lit(k).alias("k"), F.lit(p).alias("p")) for k, p in enumerate(probs)])).alias("t")
-    tg = part.select(*key, "_pc", "_end", "_n", want)
-    pos = F.col("t.p") * (F.col("_n") - 1)
-    tg = tg.select(*key, "_pc", "_end", "_n", (F.col("_pc")).alias("_len"),
-                   F.col("t.k").alias("_k"), (pos - F.floor(pos)).alias("_frac"),
-                   F.explode(F.array(
-                       F.struct(F.lit(0).alias("hi"), F.floor(pos).alias("r")),
-                       F.struct(F.lit(1).alias("hi"), F.ceil(pos).alias("r")))).alias("s"))
-    tg = tg.select(*key, "_pc", "_end", "_n", "_len", "_k", "_frac",
-                   F.col("s.hi").alias("_hi"), F.col("s.r").alias("_r"))
-    hit = _at_ranks(cum, part, key, tg)
-    k_is = [(F.col("_k") == k) for k in range(len(probs))]
-    cols = []
-    for k in range(len(probs)):
-        cols += [F.max(F.when(k_is[k] & (F.col("_hi") == 0), F.col(_V))).alias(f"_lo{k}"),
-                 F.max(F.when(k_is[k] & (F.col("_hi") == 1), F.col(_V))).alias(f"_up{k}"),
-                 F.max(F.when(k_is[k], F.col("_frac"))).alias(f"_fr{k}")]
+    def ranks(n: Column) -> Column:
+        out = []
+        for k, p in enumerate(probs):
+            pos = F.lit(p) * (n - 1)
+            out += [F.struct(F.lit(2 * k).alias("k"), F.floor(pos).alias("r"), (pos - F.floor(pos)).alias("extra")),
+                    F.struct(F.lit(2 * k + 1).alias("k"), F.ceil(pos).alias("r"), (pos - F.floor(pos)).alias("extra"))]
+        return F.array(*out)
+
+    hit = _at_ranks(cells, by, ranks)
+    pick = lambda k, c: F.max(F.when(F.col("_k") == k, F.col(c)))
+    cols = [x for k in range(len(probs)) for x in (pick(2 * k, _V).alias(f"_lo{k}"), pick(2 * k + 1, _V).alias(f"_up{k}"),
+                                                   pick(2 * k, "_extra").alias(f"_fr{k}"))]
     agg = hit.groupBy(*by).agg(*cols) if by else hit.agg(*cols)
     return agg.select(*by, *[
         (F.col(f"_lo{k}") + (F.col(f"_up{k}") - F.col(f"_lo{k}")) * F.col(f"_fr{k}")).alias(nm)
         for k, nm in enumerate(names)])
 
 
-def kth_smallest(df: DataFrame, value: str, k: int, weight: str | None = None,
-                 partitions: int | None = None, method: str = "narrow") -> DataFrame:
+def kth_smallest(df: DataFrame, value: str, k: int, weight: str | None = None) -> DataFrame:
     """One row: ``kth`` = the k-th smallest value (1-based; the largest when
-    fewer than k rows) and ``below`` = how many rows are strictly smaller.
-    ``method`` as in ``exact_percentiles`` ("rank" suits small inputs:
-    one lazy plan)."""
-    if method == "narrow":
-        vals, n = _global_ranks(df, value, lambda n: [min(n, int(k)) - 1], weight, partitions, as_double=False)
-        if vals is None:
-            return df.agg(F.lit(None).cast(dict(df.dtypes)[value]).alias("kth"),
-                           F.lit(None).cast("long").alias("below"))
-        return vals.select(F.col("_val").alias("kth"), F.col("_below").alias("below"))
-    cum, part, key = _ranked(df, value, [], partitions, weight, as_double=False)
-    tg = part.select(*key, "_pc", "_end", "_n", F.col("_pc").alias("_len"),
-                     (F.least(F.col("_n"), F.lit(int(k))) - 1).alias("_r"))
-    hit = _at_ranks(cum, part, key, tg)
-    return hit.agg(F.max(F.col(_V)).alias("kth"),
-                   F.max(F.col("_start") + F.col("_cin") - F.col(_C)).alias("below"))
-
-
-# ---------------------------------------------------------------------------
-# Global (ungrouped) ranks: narrow the rank to a tiny value range first.
-# ---------------------------------------------------------------------------
-HIST_BUCKETS = 4096
-HIST_LEVELS = 3
-# Narrow only while some target's range still holds more rows than this:
-# below it the exact step (a shuffle of that many values) is already cheap.
-NARROW_MIN_ROWS = 4_000_000
+    fewer than k rows) and ``below`` = how many rows are strictly smaller (nulls for no rows)."""
+    cells = _with_cells(df, value, [], weight, as_double=False)
 
+    def rank(n: Column) -> Column:
+        return F.array(F.struct(F.lit(0).alias("k"), (F.least(n, F.lit(int(k))) - 1).alias("r"), F.lit(0.0).alias("extra")))
 
-def _bucket(v, lo, hi, closed, b=HIST_BUCKETS):
-    """Bucket of ``v`` among ``b`` equal-width buckets of [lo, hi) (or
-    [lo, hi] when ``closed``), corrected against the edges exactly like
-    numpy's histogram, so bucket j <=> edge(j) <= v < edge(j + 1)."""
-    width = hi - lo
-
-    def edge(j):
-        return F.when(j >= b, hi).otherwise(lo + j * (width / b))
-
-    i0 = F.least(F.greatest(F.floor((v - lo) * (F.lit(float(b)) / width)), F.lit(0)), F.lit(b - 1))
-    i1 = F.when(v < edge(i0), i0 - 1).otherwise(i0)
-    i2 = F.when((v >= edge(i1 + 1)) & (i1 != b - 1), i1 + 1).otherwise(i1)
-    return i2, edge
-
-
-
-def _refine(base: DataFrame, state: list[dict], b: int = HIST_BUCKETS) -> list[dict]:
-    """One narrowing level for every target at once: one Spark job.
-
-    ``state`` holds, per target, (t, r, lo, hi, closed, below): the rank-r
-    value lies in [lo, hi) (or [lo, hi] when closed) with ``below`` rows
-    under lo.  Rows outside every target's range are dropped by a
-    codegen'd filter; the rest are counted per (target, bucket) with a
-    map-side aggregate (at most targets * b rows leave a task).  Only the
-    chosen bucket per target comes back to the driver - a handful of
-    numbers, bounded by the number of requested ranks.  A range that cannot
-    be split (a single value, or infinite width) is kept as it is."""
-    v = F.col(_V)
-    todo = [x for x in state if x["hi"] > x["lo"] and math.isfinite(x["hi"] - x["lo"])]
-    if not todo:
-        return state
-    parts = []
-    for x in todo:
-        lo, hi, closed = F.lit(float(x["lo"])), F.lit(float(x["hi"])), F.lit(bool(x["closed"]))
-        inside = (v >= lo) & ((v < hi) | (closed & (v == hi)))
-        bk, _ = _bucket(v, lo, hi, closed, b)
-        parts.append(base.where(inside).select(F.lit(int(x["t"])).alias("_t"), bk.alias("_b"), "_w"))
-    t = parts[0]
-    for p in parts[1:]:
-        t = t.unionByName(p)
-    counts = t.groupBy("_t", "_b").agg(F.sum("_w").alias("_cnt"))
-    w = Window.partitionBy("_t").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)   # <= b rows per target
-    counts = counts.withColumn("_before", F.coalesce(F.sum("_cnt").over(w), F.lit(0)))
-    info = {int(x["t"]): x for x in todo}
-    meta = F.create_map(*[c for x in todo for c in (F.lit(int(x["t"])), F.struct(
-        F.lit(int(x["r"])).alias("r"), F.lit(int(x["below"])).alias("below")))])
-    m = meta[F.col("_t")]
-    lo_b = m["below"] + F.col("_before")
-    picked = counts.where((lo_b <= m["r"]) & (m["r"] < lo_b + F.col("_cnt"))) \
-        .select("_t", "_b", lo_b.alias("_below"), "_cnt").collect()          # one row per target
-    new = {int(x["t"]): x for x in state}
-    for row in picked:
-        x = info[row["_t"]]
-        j = int(row["_b"])
-        width = x["hi"] - x["lo"]
-        # the same double arithmetic as the Spark edge expression
-        e_lo = x["lo"] + j * (width / b)
-        e_hi = x["hi"] if j + 1 >= b else x["lo"] + (j + 1) * (width / b)
-        new[row["_t"]] = dict(x, lo=e_lo, hi=e_hi, closed=bool(x["closed"]) and j == b - 1,
-                              below=int(row["_below"]), rows=int(row["_cnt"]))
-    return [new[int(x["t"])] for x in state]
-
-
-def _global_ranks(df: DataFrame, value: str, ranks_of_n, weight: str | None = None,
-                  partitions: int | None = None, as_double: bool = True):
-    """Values at 0-based ranks (a function of the row count n), without
-    shuffling every distinct value: ``HIST_LEVELS`` narrowing jobs (each a
-    map-side histogram over the double value), then the exact rank
-    machinery on the few rows left in each target's range, ranking the
-    original value (a long stays a long: the cast to double is monotone, so
-    counts below a range agree in both orders).
-
-    Returns (DataFrame(_t, _val, _below), n) or (None, 0) for no rows."""
-    keep = F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double"))
-    w = F.lit(1).cast("bigint") if weight is None else F.col(weight).cast("bigint")
-    orig = F.col(value).cast("double") if as_double else F.col(value)
-    base = (df.where(keep)
-            .select(F.col(value).cast("double").alias(_V), orig.alias("_o"), w.alias("_w"))
-            .where(F.col("_w") > 0))
-    st = base.agg(F.sum("_w").alias("n"), F.min(_V).alias("mn"), F.max(_V).alias("mx")).collect()[0]
-    n = int(st["n"] or 0)
-    if n == 0:
-        return None, 0
-    state = [dict(t=t, r=int(r), lo=float(st["mn"]), hi=float(st["mx"]), closed=True, below=0, rows=n)
-             for t, r in enumerate(ranks_of_n(n))]
-    narrow = base.select(_V, "_w")
-    for _ in range(HIST_LEVELS):
-        if max(x["rows"] for x in state) <= NARROW_MIN_ROWS:
-            break
-        state = _refine(narrow, state)
-    parts = []
-    v = F.col(_V)
-    for x in state:
-        lo, hi, closed = F.lit(float(x["lo"])), F.lit(float(x["hi"])), F.lit(bool(x["closed"]))
-        parts.append(base.where((v >= lo) & ((v < hi) | (closed & (v == hi))))
-                     .select(F.lit(int(x["t"])).alias("_t"), "_o", "_w"))
-    cand = parts[0]
-    for p in parts[1:]:
-        cand = cand.unionByName(p)
-    cum, part, key = _ranked(cand, "_o", ["_t"], partitions, "_w", as_double=as_double)
-    rel = F.create_map(*[c for x in state for c in (F.lit(int(x["t"])), F.struct(
-        F.lit(int(x["r"] - x["below"])).alias("rel"), F.lit(int(x["below"])).alias("below")))])
-    tg = part.select(*key, "_pc", "_end", "_n", F.col("_pc").alias("_len"),
-                     rel[F.col("_t")]["rel"].alias("_r"), rel[F.col("_t")]["below"].alias("_off"))
-    hit = _at_ranks(cum, part, key, tg)
-    out = hit.groupBy("_t").agg(F.max(F.col(_V)).alias("_val"),
-                                F.max(F.col("_off") + F.col("_start") + F.col("_cin") - F.col(_C)).alias("_below"))
-    return out, n
-
-
-def _narrow_percentiles(df: DataFrame, value: str, probs, names, partitions, weight) -> DataFrame:
-    """Ungrouped exact percentiles via ``_global_ranks`` (linear
-    interpolation between the floor and ceil ranks of p * (n - 1))."""
-    plan = []
-
-    def ranks(n):
-        out = []
-        for p in probs:
-            pos = p * (n - 1)
-            lo = math.floor(pos)
-            plan.append(pos - lo)
-            out += [lo, math.ceil(pos)]
-        return out
-
-    vals, n = _global_ranks(df, value, ranks, weight, partitions, as_double=True)
-    if vals is None:
-        return df.agg(*[F.lit(None).cast("double").alias(nm) for nm in names])
-    cols = []
-    for k, nm in enumerate(names):
-        lo = F.max(F.when(F.col("_t") == 2 * k, F.col("_val")))
-        hi = F.max(F.when(F.col("_t") == 2 * k + 1, F.col("_val")))
-        cols.append((lo + (hi - lo) * F.lit(float(plan[k]))).alias(nm))
-    return vals.agg(*cols)
+    return _at_ranks(cells, [], rank).agg(F.max(_V).alias("kth"), F.max("_before").alias("below"))

@@ -11,13 +11,15 @@ from venuescope.functions import round_half_up
 def _fixed(x: Column, digits: int) -> Column:
     """'%.nf' of a value rounded half-up first, so every engine prints the
     same digits."""
-    return F.format_string(f"%.{digits}f", round_half_up(x, digits))
+    return F.when(x.isNotNull(), F.format_string(f"%.{digits}f", round_half_up(x, digits)))
 
 
 def key_findings(clean: DataFrame, opportunity: DataFrame, anomaly_summary: DataFrame,
                  city: str = "city_clean") -> DataFrame:
     """Five sentences: top city with score and rating; unrated count and
-    share; mean rating of rated venues; risk count; online share.
+    share; mean rating of rated venues; risk count; online share.  A sentence
+    whose number does not exist (no city qualifies, nothing is rated, an empty
+    table) is left out, the others stay.
 
     Every input is one row (the top city is a top-1, the rest are one-row
     aggregates read as scalar subqueries)."""
@@ -28,15 +30,16 @@ def key_findings(clean: DataFrame, opportunity: DataFrame, anomaly_summary: Data
         F.avg(F.col("has_online_order").cast("double")).alias("online"),
     ).alias("s")).select("s").scalar()
     risk = anomaly_summary.select("operational_risk_flags").scalar()
-    top = (opportunity.orderBy(F.col("opportunity_score").desc(), F.col(city).asc()).limit(1)
-           .withColumn("_st", st).withColumn("_risk", risk))
-    st, risk = F.col("_st"), F.col("_risk")
+    best = (opportunity.orderBy(F.col("opportunity_score").desc(), F.col(city).asc()).limit(1)
+            .select(F.struct(city, "opportunity_score", "avg_rating").alias("top")).select("top").scalar())
+    top = clean.sparkSession.range(1).select(best.alias("_top"), st.alias("_st"), risk.alias("_risk"))
+    st, risk, first = F.col("_st"), F.col("_risk"), F.col("_top")
     sentences = [
-        F.concat(F.lit("Top opportunity city: "), F.col(city), F.lit(" (score "),
-                 _fixed(F.col("opportunity_score"), 1), F.lit(", avg rating "),
-                 _fixed(F.col("avg_rating"), 2), F.lit(").")),
+        F.concat(F.lit("Top opportunity city: "), first[city], F.lit(" (score "),
+                 _fixed(first["opportunity_score"], 1), F.lit(", avg rating "),
+                 _fixed(first["avg_rating"], 2), F.lit(").")),
         F.concat(F.format_number(st["unrated"], 0), F.lit(" restaurants are unrated (new) - "),
-                 _fixed(F.lit(100.0) * st["unrated"] / st["n"], 1), F.lit("% of the dataset.")),
+                 _fixed(F.lit(100.0) * st["unrated"] / F.nullif(st["n"], F.lit(0)), 1), F.lit("% of the dataset.")),
         F.concat(F.lit("Average rating across rated restaurants is "), _fixed(st["mean_rated"], 2),
                  F.lit(" on a 5-point scale.")),
         F.concat(F.format_number(risk, 0),
@@ -46,14 +49,15 @@ def key_findings(clean: DataFrame, opportunity: DataFrame, anomaly_summary: Data
     ]
     rows = F.explode(F.array(*[F.struct(F.lit(i + 1).alias("finding_no"), s.alias("finding"))
                                for i, s in enumerate(sentences)])).alias("f")
-    return top.select(rows).select("f.finding_no", "f.finding")
+    return top.select(rows).select("f.finding_no", "f.finding").where(F.col("finding").isNotNull())
 
 
-def run_report(quality: DataFrame, anomaly_summary: DataFrame, findings: DataFrame,
-               run_date: Column | None = None) -> DataFrame:
-    """(run_date, section, item, value) rows: quality items in report order,
+def run_report(quality: DataFrame, anomaly_summary: DataFrame | None, findings: DataFrame,
+               run_date: Column | None = None, run_id: str | None = None) -> DataFrame:
+    """(run_date, run_id, section, item, value) rows: quality items in report order,
     anomaly counts, findings.  Meant to be appended to a table partitioned
-    by ``run_date`` (one archived report per run)."""
+    by ``run_date``; ``run_id`` tells the runs of one day apart.  Without an
+    ``anomaly_summary`` (nothing was computed) that section is left out."""
     run_date = F.current_date() if run_date is None else run_date
 
     def long(df: DataFrame, section: str, order_base: int) -> DataFrame:
@@ -64,8 +68,9 @@ def run_report(quality: DataFrame, anomaly_summary: DataFrame, findings: DataFra
             "section", "r.item_no", "r.item", "r.value")
 
     q = long(quality, "data_quality", 1)
-    a = long(anomaly_summary, "anomaly_detection", 1)
     f = findings.select(F.lit("key_findings").alias("section"), F.col("finding_no").alias("item_no"),
                         F.concat(F.lit("finding_"), F.col("finding_no").cast("string")).alias("item"),
                         F.col("finding").alias("value"))
-    return q.unionByName(a).unionByName(f).select(run_date.alias("run_date"), "section", "item_no", "item", "value")
+    if anomaly_summary is not None:
+        q = q.unionByName(long(anomaly_summary, "anomaly_detection", 1))
+    return q.unionByName(f).select(run_date.alias("run_date"), F.lit(run_id).cast("string").alias("run_id"), "section", "item_no", "item", "value")

@@ -1,13 +1,16 @@
 """The named query catalogue: ``name -> fn(spark, sf_dir) -> DataFrame``.
 
 Every entry reads the test tables (through the venue binding or directly)
-and returns a lazy DataFrame over the whole tables; nothing is collected.
+and returns a DataFrame over the whole tables.  Quantiles compute their cut
+points (a bounded array) while the plan is built, the forest its trees, and
+the publish and export entries write their files; all else is lazy.
 Doubles that the original pipeline leaves unrounded are presented at 9
 decimals (``round_doubles``) so results do not depend on summation order.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,6 +21,9 @@ from venuescope.functions import clean_cost, clean_location, clean_rating, clean
 from venuescope.functions.text import round_doubles
 from venuescope.operators import anomaly, business, eda, forecast, profile, quality, scoring, stats
 from venuescope.operators.transform import explode_cuisines, transform
+from venuescope.plans import sql_text
+from venuescope.session import scratch_path
+from venuescope.sources import sinks
 from venuescope.sources.bindings import raw_venues, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -106,17 +112,24 @@ def _explode_lenient(spark, d):
 # --- publish and export ------------------------------------------------------
 @register("publish_tables")
 def _publish(spark, d):
-    """Row counts of the two published tables and residual '0' cuisines."""
-    c = restaurants(spark, d).agg(F.count(F.lit(1)).alias("rows"))
-    rc = restaurant_cuisines(spark, d).agg(
-        F.count(F.lit(1)).alias("rows"), F.count_if(F.col("cuisine") == "0").alias("zero_cuisines"))
-    return (c.select(F.lit("restaurants").alias("table_name"), "rows", F.lit(0).cast("bigint").alias("zero_cuisines"))
-            .unionByName(rc.select(F.lit("restaurant_cuisines").alias("table_name"), "rows", "zero_cuisines")))
+    """Stages both tables in the shared folder, reads them back, swaps them in as views, and returns the
+    row counts and residual '0' cuisines of the files."""
+    out = scratch_path(spark, f"published-{uuid.uuid4().hex}")
+    paths = sinks.stage_tables({"restaurants": restaurants(spark, d)}, out)
+    paths |= sinks.stage_tables({"restaurant_cuisines": explode_cuisines(spark.read.parquet(paths["restaurants"]))}, out)
+    counts = sinks.published_counts(spark, paths)
+    sinks.swap_in(spark, paths)
+    return counts
 
 
 @register("query_export_counts")
 def _export_counts(spark, d):
-    parts = [CATALOG[q](spark, d).agg(F.count(F.lit(1)).alias("rows"))
+    """Publishes the tables, runs the eight queries from their SQL text, writes each result as a file and
+    counts the rows of the files."""
+    CATALOG["publish_tables"](spark, d)
+    out = scratch_path(spark, f"exports-{uuid.uuid4().hex}")
+    sinks.export_queries(sql_text.run_sql(spark, P), out)
+    parts = [spark.read.option("header", True).csv(f"{out}/{q}_results.csv").agg(F.count(F.lit(1)).alias("rows"))
              .select(F.lit(f"{q}_results.csv").alias("file_name"), "rows")
              for q in business.BUSINESS_QUERIES]
     out = parts[0]
@@ -286,7 +299,7 @@ def _ci(spark, d):
 
 
 def _monthly(spark, d):
-    return forecast.monthly_counts(table(spark, d, "orders"), "o_orderdate", drop_last_partial=True)
+    return forecast.monthly_counts(table(spark, d, "orders"), "o_orderdate")
 
 
 @register("forecast_linear")

@@ -16,6 +16,7 @@ import time
 import uuid
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -74,16 +75,20 @@ def _one_row(spark: SparkSession, d: dict, schema: str) -> DataFrame:
 
 
 def run_job(spark: SparkSession, raw: DataFrame, out_dir: str, params: Params = REFERENCE,
-            with_forest: bool = True, write_clean_csv: bool = True, rebalance_landing: bool = False) -> JobResult:
+            with_forest: bool = True, write_clean_csv: bool = True, rebalance_landing: bool = False, database: str | None = None) -> JobResult:
     """Run the whole pipeline; raise ``QualityGateError`` (after archiving
     the report) when the structural quality is below the threshold.
 
+    ``database`` also publishes the two tables as catalog tables there, which
+    other applications can open; without it they are session views.
+
     ``rebalance_landing`` adds a REBALANCE before the raw landing write: AQE
     then cuts advisory-size files and splits skew.  It is a full shuffle of
     the raw table, worth it only when the source arrives as a few or very
     uneven partitions (a CSV source is already split evenly)."""
     tm = _Timer(spark)
     run_id = uuid.uuid4().hex[:12]
+    run_date = F.lit(datetime.now(timezone.utc).date())
     stage = os.path.join(out_dir, "tables")
     out_csv = os.path.join(out_dir, "outputs")
     report_path = os.path.join(out_dir, "reports")
@@ -137,16 +142,15 @@ def run_job(spark: SparkSession, raw: DataFrame, out_dir: str, params: Params =
             gate(q)
         except QualityGateError:
             empty = spark.createDataFrame([], "finding_no int, finding string")
-            zero = _one_row(spark, dict.fromkeys(["iqr_cost_anomalies", "zscore_cost_anomalies",
-                                                  "isolation_forest_anomalies", "operational_risk_flags"], 0),
-                            SUMMARY_SCHEMA)
-            sinks.append_report(report.run_report(_one_row(spark, q, QUALITY_SCHEMA), zero, empty), report_path)
+            # no anomaly was counted, so none is archived
+            sinks.append_report(report.run_report(_one_row(spark, q, QUALITY_SCHEMA), None, empty, run_date, run_id), report_path)
             raise
 
         with tm("publish"):
-            counts = [{"table_name": "restaurants", "rows": q["rows_after_cleaning"], "zero_cuisines": 0},
-                      dict(table_name="restaurant_cuisines", **cuis_obs.get)]
-            sinks.swap_in(spark, paths)
+            # the staged files are read back and must hold what was written before the swap
+            counts = [r.asDict() for r in sinks.published_counts(spark, paths).orderBy("table_name").collect()]
+            sinks.verify_counts(counts, {"restaurants": q["rows_after_cleaning"], "restaurant_cuisines": cuis_obs.get["rows"]})
+            sinks.swap_in(spark, paths, catalog_tables=database is not None, database=database)
 
         # Everything below depends only on the published tables: independent
         # Spark jobs submitted from a small thread pool, so short jobs do not
@@ -193,12 +197,11 @@ def run_job(spark: SparkSession, raw: DataFrame, out_dir: str, params: Params =
             opp_t = spark.read.option("header", True).schema(scoring.city_opportunity(clean, params).schema) \
                 .csv(os.path.join(out_csv, "city_opportunity_scores.csv"))
             findings = report.key_findings(clean, opp_t, summary)
-            run_date = F.lit(time.strftime("%Y-%m-%d")).cast("date")
-            rep = report.run_report(_one_row(spark, q, QUALITY_SCHEMA), summary, findings, run_date)
+            rep = report.run_report(_one_row(spark, q, QUALITY_SCHEMA), summary, findings, run_date, run_id)
             sinks.append_report(rep, report_path)
             f = [row.value for row in spark.read.parquet(report_path)
-                 .where((F.col("run_date") == run_date) & (F.col("section") == "key_findings"))
-                 .orderBy(F.col("item_no").desc()).limit(5).orderBy("item_no").collect()]
+                 .where((F.col("run_date") == run_date) & (F.col("run_id") == run_id) & (F.col("section") == "key_findings"))
+                 .orderBy("item_no").collect()]
     finally:
         pool.shutdown(wait=True)
 

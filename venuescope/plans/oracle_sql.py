@@ -1,7 +1,9 @@
 """ANSI SQL (DuckDB dialect) restating each catalogued query.
 
 Used only as the correctness oracle: the same binding, cleaning rules and
-query shapes written independently as SQL over the raw test tables.  Every
+query shapes restated as SQL over the raw test tables.  Patterns, the white
+space set, rounding and the t quantile are written here in their own terms;
+only the parameters (config) are shared.  Every
 statement is self-contained (CTEs), so it runs against the pre-registered
 table views alone.
 """
@@ -10,7 +12,6 @@ from __future__ import annotations
 
 from venuescope import config
 from venuescope.config import TEST_BINDING as P
-from venuescope.functions.text import FLOAT_PATTERN, NUMERIC_PATTERN
 
 
 def lit(s: str) -> str:
@@ -21,9 +22,22 @@ def lits(xs) -> str:
     return ", ".join(lit(x) for x in xs)
 
 
-from venuescope.functions.text import PY_WHITESPACE  # noqa: E402
+# white space by code point: tab..carriage return, the separators 28..31, space, next line,
+# no-break space and the Unicode spaces
+_WS = " || ".join(f"chr({c})" for c in (*range(9, 14), *range(28, 33), 133, 160, 5760, *range(8192, 8203),
+                                        8232, 8233, 8239, 8287, 12288))
 
-_WS = " || ".join(f"chr({ord(ch)})" for ch in PY_WHITESPACE)
+_INT = "[0-9]+"
+_INT_US = "[0-9]+(_[0-9]+)*"
+
+
+def _number(digits: str) -> str:
+    """A decimal number, an infinity or a NaN, as text that a float parser accepts."""
+    return (f"[-+]?((({digits})[.]?|({digits})?[.]({digits}))([eE][-+]?{digits})?"
+            "|[iI][nN][fF]([iI][nN][iI][tT][yY])?|[nN][aA][nN])")
+
+
+FLOAT_PATTERN, NUMERIC_PATTERN = _number(_INT_US), _number(_INT)
 
 
 def strip(x: str) -> str:
@@ -37,7 +51,7 @@ def parse(x: str, pattern: str = FLOAT_PATTERN) -> str:
 
 
 def rnd(x: str, n: int) -> str:
-    return f"CAST(ROUND(CAST({x} AS DECIMAL(24,6)), {n}) AS DOUBLE)"
+    return f"CAST(ROUND(CAST({x} AS DECIMAL(38,12)), {n}) AS DOUBLE)"
 
 
 def _city(x: str) -> str:
@@ -87,8 +101,8 @@ STAGED = f"""staged AS (
          {strip('area')} AS location,
          cusine,
          {_rating} AS rating,
-         CASE WHEN {_votes} IS NOT NULL AND abs({_votes}) < 2147483648
-              THEN CAST(trunc({_votes}) AS INTEGER) ELSE 0 END AS votes,
+         CASE WHEN {_votes} IS NOT NULL AND abs({_votes}) < 9223372036854775808
+              THEN CAST(trunc({_votes}) AS BIGINT) ELSE 0 END AS votes,
          CASE WHEN {_cost} > 0 THEN {_cost} END AS cost_for_two,
          online_order AS has_online_order,
          table_reservation AS has_table_booking,
@@ -233,7 +247,7 @@ SQL["clean_rating"] = _mapping("rating", "rating", _rating)
 SQL["clean_cost"] = _mapping("cost_for_two", "cost_for_two", f"CASE WHEN {_cost} > 0 THEN {_cost} END")
 SQL["clean_votes"] = _mapping(
     "rating_count", "votes",
-    f"CASE WHEN {_votes} IS NOT NULL AND abs({_votes}) < 2147483648 THEN CAST(trunc({_votes}) AS INTEGER) ELSE 0 END")
+    f"CASE WHEN {_votes} IS NOT NULL AND abs({_votes}) < 9223372036854775808 THEN CAST(trunc({_votes}) AS BIGINT) ELSE 0 END")
 SQL["standardise_city"] = _mapping("city", "city_clean", _city("city"))
 SQL["clean_location"] = _mapping("area", "location", strip("area"))
 SQL["price_tier"] = with_base("""
@@ -453,9 +467,11 @@ SELECT n, outliers, {r9(f"{dbl('100.0')} * outliers / n")} AS outlier_pct FROM (
     "zs AS (SELECT rating FROM restaurants WHERE rating IS NOT NULL)",
     "zst AS (SELECT AVG(rating) AS m, STDDEV_POP(rating) AS sd FROM zs)")
 
-from venuescope.functions.stats import t_quantile_sql  # noqa: E402
-
-_t = t_quantile_sql(0.975, "(n - 1)")
+# 97.5 % point of Student's t: the normal one and its corrections in 1 / dof (the test
+# tables have thousands of rows, where four terms leave nothing in the ninth decimal)
+_Z = 1.959963984540054
+_t = f"""({_Z!r} + {(_Z**3 + _Z) / 4!r} / (n - 1) + {(5 * _Z**5 + 16 * _Z**3 + 3 * _Z) / 96!r} / (n - 1) ** 2
+  + {(3 * _Z**7 + 19 * _Z**5 + 17 * _Z**3 - 15 * _Z) / 384!r} / (n - 1) ** 3)"""
 SQL["stats_mean_ci"] = with_base(f"""
 SELECT n, {r9('mean')} AS mean, {r9('sd / sqrt(n)')} AS sem, {r9(_t)} AS t_crit,
        {r9(f'mean - {_t} * (sd / sqrt(n))')} AS ci_low, {r9(f'mean + {_t} * (sd / sqrt(n))')} AS ci_high
@@ -464,9 +480,8 @@ FROM (SELECT COUNT(*) AS n, AVG(rating) AS mean, STDDEV_SAMP(rating) AS sd
 
 _MONTHLY = """mo AS (SELECT date_trunc('month', o_orderdate) AS month_start, CAST(COUNT(*) AS DOUBLE) AS value
        FROM orders WHERE o_orderdate IS NOT NULL GROUP BY date_trunc('month', o_orderdate)),
-mo2 AS (SELECT * FROM mo WHERE month_start < (SELECT MAX(month_start) FROM mo)),
 series AS (SELECT row_number() OVER (ORDER BY month_start) AS x, strftime(month_start, '%Y-%m') AS month, value
-           FROM mo2)"""
+           FROM mo)"""
 SQL["forecast_linear"] = f"""WITH {_MONTHLY},
 fit AS (SELECT regr_slope(value, x) AS slope, regr_intercept(value, x) AS intercept, MAX(x) AS last_x FROM series)
 SELECT s.x, ROUND(intercept + slope * s.x, 6) AS forecast, ROUND(slope, 6) AS slope, ROUND(intercept, 6) AS intercept
@@ -487,15 +502,15 @@ SELECT 1 AS finding_no,
        ', avg rating ' || {_fmt('avg_rating', 2)} || ').' AS finding FROM top
 UNION ALL
 SELECT 2, format('{{:,}}', unrated) || ' restaurants are unrated (new) - ' ||
-       {_fmt(f"{dbl('100.0')} * unrated / n", 1)} || '% of the dataset.' FROM st, top
+       {_fmt(f"{dbl('100.0')} * unrated / n", 1)} || '% of the dataset.' FROM st
 UNION ALL
 SELECT 3, 'Average rating across rated restaurants is ' || {_fmt('mean_rated', 2)} || ' on a 5-point scale.'
-FROM st, top
+FROM st
 UNION ALL
-SELECT 4, format('{{:,}}', risk) || ' restaurants flagged as operational risk (high cost + low rating).' FROM rk, top
+SELECT 4, format('{{:,}}', risk) || ' restaurants flagged as operational risk (high cost + low rating).' FROM rk
 UNION ALL
 SELECT 5, 'Online ordering enabled at ' || {_fmt(f"{dbl('100.0')} * online", 1)} || '% of restaurants.'
-FROM st, top""",
+FROM st""",
     f"""m AS (
   SELECT city_clean, COUNT(*) AS restaurant_count, AVG(rating) AS avg_rating,
          CAST(SUM(votes) AS BIGINT) AS demand_index,

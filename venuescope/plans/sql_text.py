@@ -16,7 +16,7 @@ from venuescope.config import PRICE_TIER_UNKNOWN, REFERENCE, Params
 
 
 def _r(x: str, n: int) -> str:
-    return f"CAST(ROUND(CAST({x} AS DECIMAL(24,6)), {n}) AS DOUBLE)"
+    return f"CAST(ROUND(CAST({x} AS DECIMAL(38,12)), {n}) AS DOUBLE)"
 
 
 def _q(s: str) -> str:

@@ -1,7 +1,7 @@
 """Declared schemas: nothing is inferred."""
 
 from pyspark.sql.types import (
-    BooleanType, DoubleType, IntegerType, StringType, StructField, StructType,
+    BooleanType, DoubleType, LongType, StringType, StructField, StructType,
 )
 
 RAW_COLUMNS = (
@@ -19,7 +19,7 @@ CLEAN_SCHEMA = StructType([
     StructField("location", StringType(), True),
     StructField("cusine", StringType(), True),
     StructField("rating", DoubleType(), True),
-    StructField("votes", IntegerType(), False),
+    StructField("votes", LongType(), False),
     StructField("cost_for_two", DoubleType(), True),
     StructField("price_tier", StringType(), False),
     StructField("has_online_order", BooleanType(), True),

@@ -21,27 +21,32 @@ def normalise_na_tokens(df: DataFrame, tokens=config.CSV_NA_TOKENS) -> DataFrame
     return df.select(*cols)
 
 
-def extract(spark: SparkSession, path: str, schema: StructType = schemas.RAW_SCHEMA,
-            multiline: bool = True) -> DataFrame:
-    """Read the raw header CSV with every column as text (no inference).
-
-    ``multiline`` follows quoted newlines in names; a single large file with
-    multiline is read by one task, so on a cluster raw data should land as
-    many files (or set ``multiline=False`` when fields hold no newlines)."""
-    df = (spark.read.schema(schema)
-          .option("header", True)
+def _by_name(spark: SparkSession, path: str, schema: StructType, multiline: bool) -> DataFrame:
+    """The columns of ``schema`` as text, found by the names in the header: any order, other
+    columns ignored, a missing one an error."""
+    df = (spark.read.option("header", True).option("inferSchema", False)
           .option("multiLine", multiline)
           .option("escape", '"')
           .option("mode", "PERMISSIVE")
           .csv(path))
-    return normalise_na_tokens(df)
+    there = {c.strip(): c for c in reversed(df.columns)}
+    missing = [f.name for f in schema.fields if f.name not in there]
+    if missing:
+        raise ValueError(f"{path}: no column {', '.join(missing)} in the header ({', '.join(df.columns)})")
+    return df.select(*[F.col(f"`{there[f.name]}`").alias(f.name) for f in schema.fields])
 
 
-def read_clean_csv(spark: SparkSession, path: str, schema: StructType = schemas.CLEAN_SCHEMA) -> DataFrame:
-    """Typed re-read of a cleaned CSV (the published CSV pair)."""
-    nullable = StructType([f.__class__(f.name, f.dataType, True) for f in schema.fields])
-    return spark.read.schema(nullable).option("header", True).csv(path)
+def extract(spark: SparkSession, path: str, schema: StructType = schemas.RAW_SCHEMA,
+            multiline: bool = False) -> DataFrame:
+    """Read the raw header CSV with every column as text (no inference), by column name.
 
+    Fields with quoted newlines need ``multiline``; a file is then read by one
+    task, so such data should land as many files.  Without it every file is split."""
+    return normalise_na_tokens(_by_name(spark, path, schema, multiline))
 
-def read_parquet(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+
+def read_clean_csv(spark: SparkSession, path: str, schema: StructType = schemas.CLEAN_SCHEMA) -> DataFrame:
+    """Typed re-read of a cleaned CSV (the published CSV pair), by column name; names may hold
+    newlines and quotes, and the sink writes as many files as there are tasks."""
+    df = _by_name(spark, path, schema, multiline=True)
+    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])

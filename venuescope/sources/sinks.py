@@ -14,7 +14,7 @@ def write_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
     """Header CSV, overwrite.  ``single_file`` only for small, bounded
     results (top-k query outputs); big tables are written by every task."""
     out = df.coalesce(1) if single_file else df
-    out.write.mode("overwrite").option("header", True).csv(path)
+    out.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
 
 
 def load_csv_pair(clean: DataFrame, cuisines: DataFrame, out_dir: str) -> None:
@@ -52,6 +52,15 @@ def published_counts(spark: SparkSession, paths: dict[str, str], cuisine_table:
     return out
 
 
+def verify_counts(counts: list[dict], expected: dict[str, int]) -> None:
+    """Raise unless every staged table holds the expected rows and no '0' cuisine is left."""
+    for row in counts:
+        want = expected[row["table_name"]]
+        if row["rows"] != want or row["zero_cuisines"]:
+            raise ValueError(f"{row['table_name']}: {row['rows']} rows staged, {want} expected, "
+                             f"{row['zero_cuisines']} '0' cuisines; nothing was swapped")
+
+
 def swap_in(spark: SparkSession, paths: dict[str, str], catalog_tables: bool = False,
             database: str | None = None) -> None:
     """Point each table name at its new version: a metadata swap, no file
