@@ -130,31 +130,17 @@ def test_monthly_counts_use_all_months(spark):
     assert got == [(1, "2020-01", 2.0), (2, "2020-02", 1.0)]
 
 
-def test_kth_smallest_weighted(spark):
-    from venuescope.operators.quantile import kth_smallest
-    df = spark.createDataFrame([(5, 2), (1, 1), (9, 3), (3, 1)], "v long, m long")
-    expanded = sorted([5, 5, 1, 9, 9, 9, 3])
-    for k in (1, 2, 3, 4, 7, 50):
-        r = kth_smallest(df, "v", k, weight="m").collect()[0]
-        want = expanded[min(k, len(expanded)) - 1]
-        assert r["kth"] == want and r["below"] == sum(1 for x in expanded if x < want)
+def by_md5(df, n, seed):
+    text = F.concat_ws("|", F.lit(str(seed)), *[F.coalesce(F.col(c).cast("string"), F.lit("null")) for c in df.columns])
+    rows = df.withColumn("h", F.md5(text.cast("binary"))).collect()
+    return sorted(tuple(r[:-1]) for r in sorted(rows, key=lambda r: (r["h"], *map(str, r[:-1])))[:n])
 
 
-def test_sample_with_hot_duplicate_matches_brute_force(spark):
+@pytest.mark.parametrize("digits", [1, 5])
+def test_sample_with_hot_duplicate_matches_brute_force(spark, digits):
     rows = [("hot", 1.0)] * 3000 + [(f"r{i}", float(i % 17)) for i in range(6000)]
     df = spark.createDataFrame(rows, "name string, v double").repartition(9)
-    got = sorted(tuple(r) for r in eda.deterministic_sample(df, 2500, 42).collect())
-    hashed = df.select("name", "v", F.xxhash64(F.lit(42), "name", "v").alias("h")).collect()
-    want = sorted(tuple(r[:2]) for r in sorted(hashed, key=lambda r: (r["h"], r["name"], r["v"]))[:2500])
-    assert len(got) == 2500 and got == want
-
-
-def test_sample_fallback_when_prefilter_too_small(spark):
-    # oversample < 1 makes the hash prefilter keep too few rows; the plan
-    # must fall back to all rows and still return the exact sample
-    rows = [(f"r{i}", float(i % 11)) for i in range(3000)]
-    df = spark.createDataFrame(rows, "name string, v double").repartition(4)
-    got = sorted(tuple(r) for r in eda.deterministic_sample(df, 700, 7, oversample=0.3).collect())
-    hashed = df.select("name", "v", F.xxhash64(F.lit(7), "name", "v").alias("h")).collect()
-    want = sorted(tuple(r[:2]) for r in sorted(hashed, key=lambda r: (r["h"], r["name"], r["v"]))[:700])
-    assert got == want
+    for n in (1, 2500, 9000, 20000):
+        got = sorted(tuple(r) for r in eda.deterministic_sample(df, n, 42, digits=digits).collect())
+        assert len(got) == min(n, 9000) and got == by_md5(df, n, 42)
+    assert eda.deterministic_sample(df.limit(0), 5).count() == 0

@@ -12,7 +12,7 @@ from venuescope.sources.bindings import TABLES
 
 from conftest import SF_SMALL
 
-ROWS_ONLY = {"e7_sample", "anom_isolation_forest", "anom_summary", "operational_risk_rows", "run_report"}
+ROWS_ONLY = {"anom_isolation_forest", "anom_summary", "operational_risk_rows", "run_report"}
 
 
 def test_entry_runs(spark):

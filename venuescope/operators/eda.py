@@ -84,45 +84,31 @@ def service_mix(df: DataFrame, flags=("has_online_order", "has_table_booking", "
     return agg.unpivot([], list(labels), "service", "pct")
 
 
-def deterministic_sample(df: DataFrame, n: int, seed: int = 42, dropna=None, oversample: float = 4.0
-                         ) -> DataFrame:
-    """Exactly ``min(n, rows)`` rows: those with the smallest seeded hash of
-    their content.  Same input -> same sample, however it is partitioned.
-
-    xxhash64 is uniform, so rows hashing below a threshold sized for
-    ``oversample * n`` candidates are selected by a narrow filter; only
-    those are collapsed to (row, multiplicity) and ranked exactly (weighted
-    k-th smallest hash).  Should fewer than n rows pass, the plan falls back
-    to all rows (a scalar check, still one lazy plan), so the result is
-    always exact.  No task ever merges n rows per partition, as a plain
-    ORDER BY ... LIMIT would, and a duplicated row holding a third of the
-    table collapses map-side."""
-    from venuescope.operators.quantile import kth_smallest
-
+def deterministic_sample(df: DataFrame, n: int, seed: int = 42, dropna=None, digits: int = 5) -> DataFrame:
+    """Exactly ``min(n, rows)`` rows: those with the smallest md5 of the seed and
+    their content as text.  Same input -> same sample, however it is partitioned;
+    rows with equal content are copies of one row.
+
+    Two passes.  The first counts rows by the first ``digits`` hex digits of the hash; the
+    first n counts that are not zero show below which digits n rows lie (at most n numbers
+    are read).  The second keeps the rows up to there, copies collapsed before the shuffle, and
+    ranks those: n rows and one count's worth."""
     src = df.dropna(subset=list(dropna)) if dropna else df
     cols = src.columns
-    t = src.withColumn("_h", F.xxhash64(F.lit(seed), *[F.col(c) for c in cols]))
-    hd = F.col("_h").cast("double")
-    total = t.agg(F.count(F.lit(1)).cast("double").alias("n")).select("n").scalar()
-    span = float(2 ** 64)
-    # threshold for ~oversample*n rows below it, attached once as a column
-    t = t.withColumn("_thr", F.lit(-float(2 ** 63)) + F.lit(oversample * n * span) / total)
-    enough = (t.agg((F.count_if(hd < F.col("_thr")) >= F.least(F.lit(n), F.count(F.lit(1)))).alias("ok"))
-              .select("ok").scalar())
-    pool = t.where(F.when(enough, hd < F.col("_thr")).otherwise(F.lit(True))).drop("_thr")
-    d = pool.groupBy(*cols, "_h").agg(F.count(F.lit(1)).alias("_m"))
-    cut = kth_smallest(d, "_h", n, weight="_m")
-    d = d.withColumn("_cut", cut.select(F.struct("kth", "below").alias("c")).select("c").scalar())
-    below = d.where(F.col("_h") < F.col("_cut.kth")).select(*cols, "_m")
-    # rows sharing the cut-off hash (identical content collapsed already):
-    # take the remaining n - below copies in content order
-    at = d.where(F.col("_h") == F.col("_cut.kth"))
-    w = Window.orderBy(*cols).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    need = F.lit(int(n)) - F.col("_cut.below")
-    at = (at.withColumn("_before", F.sum("_m").over(w) - F.col("_m"))
-          .select(*cols, F.least(F.col("_m"), F.greatest(need - F.col("_before"), F.lit(0))).alias("_m")))
-    picked = below.unionByName(at).where(F.col("_m") > 0)
-    return picked.select(*cols, F.explode(F.sequence(F.lit(1), F.col("_m"))).alias("_copy")).drop("_copy")
+    text = F.concat_ws("|", F.lit(str(seed)), *[F.coalesce(F.col(c).cast("string"), F.lit("null")) for c in cols])
+    t = src.withColumn("_h", F.md5(text.cast("binary")))
+    head = F.substring("_h", 1, digits)
+    counts = t.groupBy(head.alias("_p")).agg(F.count(F.lit(1)).alias("_c")).orderBy("_p").limit(int(n)).collect()
+    last, seen = "", 0
+    for r in counts:
+        last, seen = r["_p"], seen + r["_c"]
+        if seen >= n:
+            break
+    d = t.where(head <= last).groupBy(*cols, "_h").agg(F.count(F.lit(1)).alias("_m"))
+    before = Window.orderBy("_h", *cols).rowsBetween(Window.unboundedPreceding, -1)
+    d = d.withColumn("_left", F.lit(int(n)) - F.coalesce(F.sum("_m").over(before), F.lit(0)))
+    return (d.where(F.col("_left") > 0)
+            .select(*cols, F.explode(F.sequence(F.lit(1).cast("bigint"), F.least("_m", "_left"))).alias("_copy")).drop("_copy"))
 
 
 def correlation(df: DataFrame, a: str, b: str) -> DataFrame:

@@ -29,30 +29,28 @@ CELLS = 4096            # a power of two: the cell is found in log2(CELLS) steps
 ACCURACY = 100_000      # of the sketch
 
 
-def _cut_points(base: DataFrame, kind: str) -> Column:
+def _cut_points(base: DataFrame) -> Column:
     """The cut points as one literal array (empty input: no cut)."""
-    at = _literal([i / CELLS for i in range(1, CELLS)], "double")
+    at = _literal([i / CELLS for i in range(1, CELLS)])
     cuts = base.agg(F.percentile_approx(_V, at, ACCURACY)).first()[0]
-    return _literal(cuts, kind) if cuts else F.lit(None).cast(f"array<{kind}>")
+    return _literal(cuts) if cuts else F.lit(None).cast("array<double>")
 
 
-def _literal(values, kind: str) -> Column:
+def _literal(values) -> Column:
     """A long array as one literal: Spark folds the split and the cast when it plans."""
-    return F.split(F.lit(",".join(map(repr, values)).replace("inf", "Infinity")), ",").cast(f"array<{kind}>")
+    return F.split(F.lit(",".join(map(repr, values)).replace("inf", "Infinity")), ",").cast("array<double>")
 
 
-def _with_cells(df: DataFrame, value: str, by, weight, as_double: bool) -> DataFrame:
-    """(by.., value, weight, cell) of the rows that count: no null group, null, NaN or zero weight.
-    ``as_double=False`` keeps the value's own type (a 64-bit hash must not be rounded)."""
-    kind = "double" if as_double else dict(df.dtypes)[value]
+def _with_cells(df: DataFrame, value: str, by, weight) -> DataFrame:
+    """(by.., value, weight, cell) of the rows that count: no null group, null, NaN or zero weight."""
     keep = F.col(value).isNotNull()
     if dict(df.dtypes).get(value) in ("double", "float"):
         keep = keep & ~F.isnan(F.col(value))
     for b in by:
         keep = keep & F.col(b).isNotNull()
     w = F.lit(1).cast("bigint") if weight is None else F.col(weight).cast("bigint")
-    base = df.where(keep).select(*by, F.col(value).cast(kind).alias(_V), w.alias(_W)).where(F.col(_W) > 0)
-    cuts = _cut_points(base, kind)
+    base = df.where(keep).select(*by, F.col(value).cast("double").alias(_V), w.alias(_W)).where(F.col(_W) > 0)
+    cuts = _cut_points(base)
     # binary search, one projection a step: pos = how many cut points are <= value
     out = base.withColumn(_CELL, F.lit(0))
     step = CELLS // 2
@@ -64,8 +62,7 @@ def _with_cells(df: DataFrame, value: str, by, weight, as_double: bool) -> DataF
 
 
 def _at_ranks(cells: DataFrame, by, targets) -> DataFrame:
-    """Rows (by.., _k, _extra, _V, _before): the value at each wanted 0-based rank and how many rows are
-    smaller.  ``targets``: struct columns (k, r, extra) as functions of the group's row count."""
+    """Rows (by.., _k, _extra, _V): the value at each wanted 0-based rank.  ``targets``: struct columns (k, r, extra) as functions of the group's row count."""
     counts = cells.groupBy(*by, _CELL).agg(F.sum(_W).alias("_n"))
     w = Window.partitionBy(*by).orderBy(_CELL)
     total = Window.partitionBy(*by)
@@ -80,8 +77,7 @@ def _at_ranks(cells: DataFrame, by, targets) -> DataFrame:
     inside = inside.withColumn("_end", F.col("_from") + F.sum("_c").over(run))
     return (inside.select(*by, _V, "_end", "_c", F.explode("_ts").alias("t"))
             .where((F.col("t.r") < F.col("_end")) & (F.col("t.r") >= F.col("_end") - F.col("_c")))
-            .select(*by, F.col("t.k").alias("_k"), F.col("t.extra").alias("_extra"), _V,
-                    (F.col("_end") - F.col("_c")).alias("_before")))
+            .select(*by, F.col("t.k").alias("_k"), F.col("t.extra").alias("_extra"), _V))
 
 
 def exact_percentiles(df: DataFrame, value: str, probs, by=(), names=None, weight: str | None = None) -> DataFrame:
@@ -94,7 +90,7 @@ def exact_percentiles(df: DataFrame, value: str, probs, by=(), names=None, weigh
     by = list(by)
     probs = [float(p) for p in probs]
     names = list(names) if names else [f"p{round(p * 100):g}" for p in probs]
-    cells = _with_cells(df, value, by, weight, as_double=True)
+    cells = _with_cells(df, value, by, weight)
 
     def ranks(n: Column) -> Column:
         out = []
@@ -112,14 +108,3 @@ def exact_percentiles(df: DataFrame, value: str, probs, by=(), names=None, weigh
     return agg.select(*by, *[
         (F.col(f"_lo{k}") + (F.col(f"_up{k}") - F.col(f"_lo{k}")) * F.col(f"_fr{k}")).alias(nm)
         for k, nm in enumerate(names)])
-
-
-def kth_smallest(df: DataFrame, value: str, k: int, weight: str | None = None) -> DataFrame:
-    """One row: ``kth`` = the k-th smallest value (1-based; the largest when
-    fewer than k rows) and ``below`` = how many rows are strictly smaller (nulls for no rows)."""
-    cells = _with_cells(df, value, [], weight, as_double=False)
-
-    def rank(n: Column) -> Column:
-        return F.array(F.struct(F.lit(0).alias("k"), (F.least(n, F.lit(int(k))) - 1).alias("r"), F.lit(0.0).alias("extra")))
-
-    return _at_ranks(cells, [], rank).agg(F.max(_V).alias("kth"), F.max("_before").alias("below"))

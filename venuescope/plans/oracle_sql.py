@@ -428,6 +428,12 @@ SELECT service, {r9('pct')} AS pct FROM (
                   AVG(CAST(has_table_booking AS DOUBLE)) * 100 AS "Table booking",
                   AVG(CAST(delivery_only AS DOUBLE)) * 100 AS "Delivery only" FROM restaurants)
   ON "Online order", "Table booking", "Delivery only" INTO NAME service VALUE pct)""")
+SQL["e7_sample"] = with_base(f"""
+SELECT name, city_clean, rating, cost_for_two FROM restaurants
+WHERE rating IS NOT NULL AND cost_for_two IS NOT NULL
+ORDER BY md5('{P.seed}' || '|' || coalesce(name, 'null') || '|' || coalesce(city_clean, 'null') || '|' ||
+             CAST(rating AS VARCHAR) || '|' || CAST(cost_for_two AS VARCHAR))
+LIMIT {P.e7_sample_size}""")
 SQL["e7_rating_cost_corr"] = with_base(f"SELECT {r9('corr(rating, cost_for_two)')} AS corr FROM restaurants")
 SQL["e9_tier_compare"] = with_base(f"""
 SELECT city_tier, {r9('AVG(rating)')} AS avg_rating, {r9('AVG(cost_for_two)')} AS avg_cost_for_two
