@@ -41,12 +41,12 @@ def contains_count(df: DataFrame, col: str, needle: str = ",") -> DataFrame:
 
 
 def exact_duplicates(df: DataFrame, cols=None) -> DataFrame:
-    return duplicate_rows(df, cols)
+    return duplicate_rows(df, cols).select("duplicates")
 
 
 def logical_duplicates(df: DataFrame, keys) -> DataFrame:
     """Rows repeating an earlier row's ``keys`` (sum of n - 1 per key)."""
-    return duplicate_rows(df, keys)
+    return duplicate_rows(df, keys).select("duplicates")
 
 
 def distinct_count(df: DataFrame, col: str) -> DataFrame:

@@ -14,12 +14,15 @@ class QualityGateError(RuntimeError):
 
 
 def duplicate_rows(df: DataFrame, cols=None) -> DataFrame:
-    """Rows equal (nulls equal) to an earlier row: sum(n - 1) over groups of
-    identical rows.  Partial aggregation collapses copies before the shuffle,
-    so a value repeated a billion times costs one row per map task."""
+    """One row: ``rows``, and ``duplicates``, the rows equal (nulls equal) to an earlier row: sum(n - 1)
+    over groups of identical rows.  Rows are grouped by a 256-bit digest of their JSON form, so
+    long texts do not cross the shuffle; partial aggregation collapses copies
+    before it, so a value repeated a billion times costs one row per map task."""
     cols = list(cols or df.columns)
-    return (df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_n"))
-            .agg(F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).cast("bigint").alias("duplicates")))
+    digest = F.sha2(F.to_json(F.struct(*[F.col(c) for c in cols]), {"ignoreNullFields": "false"}), 256)
+    return (df.groupBy(digest.alias("_d")).agg(F.count(F.lit(1)).alias("_n"))
+            .agg(F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).cast("bigint").alias("duplicates"),
+                 F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("rows")))
 
 
 def clean_count_columns():
@@ -54,12 +57,11 @@ def validate(raw: DataFrame, clean: DataFrame, params: Params = REFERENCE) -> Da
     """One-row report: counts, structural quality % and PASS / FAIL text.
 
     ``raw`` and ``clean`` have the same rows (cleaning drops none), so one
-    aggregate over ``clean`` gives every count except the raw duplicates
-    and the raw row count, which come in as scalar subqueries."""
-    dups = duplicate_rows(raw).select("duplicates").scalar()
-    rows_read = raw.agg(F.count(F.lit(1)).alias("n")).select("n").scalar()
-    agg = clean.agg(*clean_count_columns())
-    counts = agg.select(rows_read.alias("rows_read"), "*", dups.alias("duplicate_rows_in_raw"))
+    aggregate over ``clean`` gives every count except the raw rows and
+    their duplicates, which come from one other aggregate as a scalar subquery."""
+    seen = duplicate_rows(raw).select(F.struct("rows", "duplicates").alias("s")).select("s").scalar()
+    agg = clean.agg(*clean_count_columns()).withColumn("_raw", seen)
+    counts = agg.select(F.col("_raw.rows").alias("rows_read"), "*", F.col("_raw.duplicates").alias("duplicate_rows_in_raw"))
     return report_from_counts(counts, params)
 
 
