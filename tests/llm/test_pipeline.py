@@ -62,7 +62,7 @@ def test_passage_stage(stages):
     assert after.text.tolist() == [b.decode("utf-8", "ignore") for *_, b in plain_bytes(before.text)]
 
 
-def test_packing_stage_and_run(spark, stages):
+def test_packing_stage(stages):
     from tokenizers import Tokenizer
 
     word = Tokenizer.from_file(P.path("word_bpe_49k.json"))
@@ -70,18 +70,24 @@ def test_packing_stage_and_run(spark, stages):
     rows = [tuple(r) for r in stages[5].collect()]
     n = check_packing(rows, [(d, word.encode(t, add_special_tokens=False).ids + [0]) for d, t in zip(docs.doc_id, docs.text)], 2048)
     assert n == best_fit([r[3] for r in rows], 2048)
-    again = corpus_pipeline.run(spark, SF)
-    cols = ["doc_id", "piece", "start", "length", "ids_crc32"]
-    assert sorted(map(tuple, again.select(cols).collect())) == sorted(r[:5] for r in rows)
+
+
+def test_run_chains_the_stages(spark, monkeypatch):
+    """Each stage gets what the one before it kept, and the folder of the tables."""
+    monkeypatch.setattr(corpus_pipeline, "STAGES", [
+        ("first", lambda s, docs, d: docs.where("doc_id < 50")), ("second one", lambda s, docs, d: docs.selectExpr("doc_id", f"'{d}' as d"))])
+    got = corpus_pipeline.run(spark, SF)
+    assert got.columns == ["doc_id", "d"] and {r.d for r in got.collect()} == {SF}
+    assert got.count() == spark.read.parquet(f"{SF}/documents.parquet").where("doc_id < 50").count()
 
 
 def test_empty_and_messy_tables(spark, messy, tmp_path):
     spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
-    for df in (messy, messy.limit(0)):
-        docs = df
-        for name, step in corpus_pipeline.STAGES:
-            new = stage(step(spark, docs, str(tmp_path)), "test")
-            if name != "packing":
-                assert new.columns == df.columns
-            docs = new
-    assert docs.count() == 0
+    docs = messy.limit(0)
+    for name, step in corpus_pipeline.STAGES:
+        docs = stage(step(spark, docs, str(tmp_path)), "test")
+        assert docs.count() == 0 and (name == "packing" or docs.columns == messy.columns)
+    for step in (corpus_pipeline.lines, corpus_pipeline.passages):
+        out = step(spark, messy, str(tmp_path))
+        assert out.columns == messy.columns and out.count() == messy.count()
+    assert corpus_pipeline.pack(spark, messy, str(tmp_path)).select("doc_id").distinct().count() == messy.select("doc_id").distinct().count()
