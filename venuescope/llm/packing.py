@@ -23,38 +23,56 @@ from pyspark.sql import functions as F
 from .common import row_slices, stage
 
 _WORKER: dict = {}
-#: separators at which a word ends for the cache: the tokenizer drops white space and no
-#: token holds any, so words between them are tokenised alone
-_BLANKS = str.maketrans("\t\n\r", "   ")
+_NOT_BLANK = "\x1c\x1d\x1e\x1f"      # split() parts words at these, the tokenizer does not drop them
 
 
-class Words(dict):
-    """Word -> its ids as little-endian 32-bit integers, by the library, up to ``room`` entries."""
+class Words:
+    """Ids of words by the library, kept in two generations of at most ``room`` words each, so words
+    in steady use stay and rare ones go.  The tokenizer drops white space and no token holds any, so
+    the words between are tokenised alone; unknown ones go to the library many at a time, parted by a
+    special token, which cuts a text before anything else looks at it."""
 
-    def __init__(self, path: str, room: int = 300_000):
+    def __init__(self, path: str, room: int = 250_000):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        super().__init__()
         self.tok, self.room = Tokenizer.from_file(path), room
+        special = [(t.content, i) for i, t in self.tok.get_added_tokens_decoder().items() if t.special]
+        self.mark, self.mark_id = special[0] if special else (None, None)
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def _encode(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
 
     def learn(self, words: set[str]) -> None:
-        new = [w for w in words if w not in self]
-        if len(self) + len(new) > self.room:
-            used = {w: self[w] for w in words if w in self}
-            self.clear()
-            self.update(used)
-        for start in range(0, len(new), 20_000):
-            part = new[start:start + 20_000]
-            for w, e in zip(part, self.tok.encode_batch_fast(part, add_special_tokens=False)):
-                self[w] = np.array(e.ids, "<u4").tobytes()
+        if len(self.young) > self.room:
+            self.young, self.old = {}, self.young
+        new = words.difference(self.young)
+        kept = new.intersection(self.old)
+        self.young.update((w, self.old[w]) for w in kept)
+        new -= kept
+        alone = [w for w in new if self.mark is None or self.mark in w]
+        new = list(new.difference(alone))
+        groups = [new[i:i + 50] for i in range(0, len(new), 50)]
+        for start in range(0, len(groups), 400):
+            part = groups[start:start + 400]
+            for group, ids in zip(part, self._encode([self.mark.join(g) for g in part])):
+                ids = np.array([*ids, self.mark_id], "<u4")
+                ends, raw = np.flatnonzero(ids == self.mark_id).tolist(), ids.tobytes()
+                begin = 0
+                for w, end in zip(group, ends, strict=True):
+                    self.young[w] = raw[4 * begin:4 * end]
+                    begin = end + 1
+        for w, ids in zip(alone, self._encode(alone)):
+            self.young[w] = np.array(ids, "<u4").tobytes()
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        cut = [[w for w in t.translate(_BLANKS).split(" ") if w] for t in texts]
+        cut = [[w for w in t.replace("\n", " ").split(" ") if w] if any(c in t for c in _NOT_BLANK) else t.split() for t in texts]
         self.learn({w for words in cut for w in words})
-        get = self.__getitem__
+        get = self.young.__getitem__
         return [b"".join(map(get, words)) for words in cut]
 
 
