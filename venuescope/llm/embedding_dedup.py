@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from .common import stage
 from .components import components
+from .minhash import roots
 
 BLOCK = 2048           # vectors of a bucket in one block
 GROUP = 100_000        # memberships in one group of buckets, about
@@ -43,20 +44,6 @@ def sign_keys(x: np.ndarray, bits: int, tables: int, seed: int) -> np.ndarray:
     return (signs * (1 << np.arange(bits))).sum(axis=2).astype(np.int32)
 
 
-def roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Smallest index reachable from each of 0..n-1 by the links a-b."""
-    low = np.arange(n)
-    while True:
-        m = np.minimum(low[a], low[b])
-        new = low.copy()
-        np.minimum.at(new, a, m)
-        np.minimum.at(new, b, m)
-        new = new[new]
-        if np.array_equal(new, low):
-            return low
-        low = new
-
-
 def links(reps: DataFrame, threshold: float, bits: int, tables: int, seed: int, total: int) -> DataFrame:
     """(rep, links, root): for each bucket block, the links that a representative first meets
     there (copies counted) and the smallest representative tied to it inside the block."""

@@ -4,14 +4,15 @@ One permutation scatters the shingles over a universe of 2**32 places, a second
 circularly shifted by k, gives coordinate k of the signature, so two permutations make
 all of them.  Bands of the signature propose pairs; full shingle sets confirm them.
 
-Documents with equal sets form a class with one representative.  Representatives that
-share a band are first paired with the smallest of the band, which ties most groups
-together in a number of pairs linear in their size.  Then bands that still hold several
-components are searched for pairs across components, in blocks whose task compares
-signatures and returns the most similar unconfirmed pairs; that repeats with a larger
-allowance until no block holds one back, so no proposed pair is lost and groups that are
-already tied together emit none.  Signatures reject a pair only when they agree in fewer
-coordinates than a linked pair would but for a chance of about 1e-5.
+Documents with equal sets form a class with one representative.  Two representatives that share
+a band are a candidate pair unless their signatures agree in fewer coordinates than a linked
+pair's would but for a chance of about 1e-5.  Candidate pairs are not listed.  The connected
+components of their graph, the clusters, come from each band's pairs with its smallest member and,
+where a band still spans clusters, from a comparison of signatures in blocks that returns a
+root for each member.  A cluster's documents are then compared on their full sets: first each with the
+smallest of its band, then, where the cluster is not yet tied together, all pairs that are not,
+in pairs of blocks that again return roots.  So what moves grows with the documents, however
+many of a group's pairs are alike without being linked.
 """
 
 from __future__ import annotations
@@ -27,7 +28,8 @@ from .words import bytes_of, shingle_hashes, word_hashes
 
 BANDS, ROWS = 32, 4                 # a pair at 0.75 shares a band but for 5e-6
 COORDINATES = BANDS * ROWS
-BLOCK = 1024                        # members of a band in one block
+BLOCK = 1024                        # members of a band, or documents of a cluster, in one block
+BLOCK_BYTES = 8 << 20               # of their texts
 GROUP = 200_000                     # memberships in one group of bands, about
 
 
@@ -141,53 +143,128 @@ def similar(pairs: DataFrame, sigs: DataFrame, floor: int) -> DataFrame:
     return both.select("a", "b", "sa", "sb").mapInArrow(run, "a long, b long")
 
 
-def across(members: DataFrame, floor: int, allowance: int, groups: int) -> DataFrame:
-    """(a, b, more): similar pairs of one band and different components, the most similar
-    ``allowance`` for each pair of blocks and of components; ``more`` marks blocks that held back others.
+def roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Smallest index reachable from each of 0..n-1 by the links a-b."""
+    low = np.arange(n)
+    while len(a):
+        m = np.minimum(low[a], low[b])
+        new = low.copy()
+        np.minimum.at(new, a, m)
+        np.minimum.at(new, b, m)
+        new = new[new]
+        if np.array_equal(new, low):
+            break
+        low = new
+    return low
+
+
+def _edges(d: np.ndarray, p: np.ndarray, q: np.ndarray) -> np.ndarray:
+    """(2 x edges) one edge from each document of the links p-q to the root of its own."""
+    nodes = np.unique(np.r_[p, q])
+    low = nodes[roots(len(nodes), np.searchsorted(nodes, p), np.searchsorted(nodes, q))]
+    return np.stack([d[nodes], d[low]])[:, nodes != low]
+
 
-    members: (band, d, component, sig) of bands with several components."""
+def _table(edges: list[np.ndarray]) -> pa.Table:
+    flat = np.concatenate(edges, axis=1) if edges else np.empty((2, 0), np.int64)
+    return pa.table({"a": pa.array(flat[0], pa.int64()), "b": pa.array(flat[1], pa.int64())})
+
+
+def across_clusters(members: DataFrame, floor: int, groups: int) -> DataFrame:
+    """Edges (a, b) that tie together the documents of different clusters which share a band and agree
+    in ``floor`` coordinates.  members: (band, d, cluster, sig) of bands with several clusters."""
     sizes = members.groupBy("band").agg(F.count("*").alias("m"))
-    blocks = F.ceil(F.col("m") / BLOCK).cast("int")
-    parts = (members.join(sizes, "band").withColumn("blocks", blocks)
+    parts = (members.join(sizes, "band").withColumn("blocks", F.ceil(F.col("m") / BLOCK).cast("int"))
              .withColumn("own", F.pmod(F.xxhash64(F.lit(5), "d"), F.col("blocks")).cast("int"))
              .withColumn("g", F.pmod(F.xxhash64("band"), F.lit(groups)).cast("int"))
              .withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
              .select("g", F.least("own", "with").alias("i"), F.greatest("own", "with").alias("j"),
-                     "own", "band", "d", "component", "sig"))
+                     "own", "band", "d", "cluster", "sig"))
 
     def meet(part: pa.Table) -> pa.Table:
         num = lambda c: part.column(c).to_numpy()
         i, j = part.column("i")[0].as_py(), part.column("j")[0].as_py()
-        d, comp, own, band = num("d"), num("component"), num("own"), num("band")
+        d, cluster, own, band = num("d"), num("cluster"), num("own"), num("band")
         sig = np.frombuffer(b"".join(part.column("sig").to_pylist()), np.uint8).reshape(-1, COORDINATES)
         order = np.argsort(band, kind="stable")
         cuts = np.flatnonzero(np.r_[True, band[order][1:] != band[order][:-1], True])
-        out, more = [], []
+        out = []
         for x, y in zip(cuts, cuts[1:]):
             at = order[x:y]
             left, right = at[own[at] == i], at[own[at] == j]
-            found = []
-            for p in left.tolist():                            # one row against a block
-                q = right[(comp[right] != comp[p]) & (d[right] > d[p])] if i == j else right[comp[right] != comp[p]]
-                if len(q):
-                    same = (sig[q] == sig[p]).sum(axis=1)
-                    hit = same >= floor
-                    found.append(np.stack([np.full(hit.sum(), p), q[hit], same[hit]]))
-            if not found:
-                continue
-            p, q, same = np.concatenate(found, axis=1)
-            low, high = np.minimum(comp[p], comp[q]), np.maximum(comp[p], comp[q])
-            best = np.lexsort((-same, high, low))
-            p, q, low, high = p[best], q[best], low[best], high[best]
-            new = np.r_[True, (low[1:] != low[:-1]) | (high[1:] != high[:-1])] if len(p) else np.array([], bool)
-            nth = np.arange(len(p)) - np.maximum.accumulate(np.where(new, np.arange(len(p)), 0)) if len(p) else p
-            out.append(np.stack([np.minimum(d[p], d[q]), np.maximum(d[p], d[q])])[:, nth < allowance])
-            more.append(bool((nth >= allowance).any()))
-        flat = np.concatenate(out, axis=1) if out else np.empty((2, 0), np.int64)
-        return pa.table({"a": pa.array(flat[0], pa.int64()), "b": pa.array(flat[1], pa.int64()),
-                         "more": pa.array(np.full(flat.shape[1], any(more)), pa.bool_())})
-
-    return parts.groupBy("g", "i", "j").applyInArrow(meet, "a long, b long, more boolean")
+            p, q = [], []
+            for r in left.tolist():                            # one row against a block
+                other = right[cluster[right] != cluster[r]]
+                other = other[(sig[other] == sig[r]).sum(axis=1) >= floor]
+                p.append(np.full(len(other), r))
+                q.append(other)
+            if p and sum(map(len, p)):
+                out.append(_edges(d, np.concatenate(p), np.concatenate(q)))
+        return _table(out)
+
+    return parts.groupBy("g", "i", "j").applyInArrow(meet, "a long, b long")
+
+
+def linked_pairs(left: list[np.ndarray], right: list[np.ndarray], percent: int, width: int = 4096) -> np.ndarray:
+    """Whether each pair of sets reaches ``percent`` of its union (len(left) x len(right)), exactly: the sizes of
+    all intersections are a product of 0/1 matrices over the shingles that several sets hold."""
+    sets = left + right
+    size = np.array([len(x) for x in sets])
+    flat = np.concatenate(sets)
+    row = np.repeat(np.arange(len(sets)), size)
+    order = np.argsort(flat, kind="stable")
+    flat, row = flat[order], row[order]
+    new = np.r_[True, flat[1:] != flat[:-1]]
+    shared = ~(new & np.r_[new[1:], True])
+    row, col = row[shared], np.cumsum(new[shared]) - 1
+    both = np.zeros((len(left), len(right)), np.float32)        # whole numbers below 2**24: exact
+    for begin in range(0, int(col[-1]) + 1 if len(col) else 0, width):
+        a, b = np.searchsorted(col, [begin, begin + width])
+        held = np.zeros((len(sets), width), np.float32)
+        held[row[a:b], col[a:b] - begin] = 1
+        both += held[:len(left)] @ held[len(left):].T
+    both = both.astype(np.int64)
+    return 100 * both >= percent * (size[:len(left), None] + size[None, len(left):] - both)
+
+
+def across_components(docs: DataFrame, size: int, percent: int) -> DataFrame:
+    """Edges (a, b) that tie together the documents of one cluster and different components whose full sets
+    are linked.  docs: (d, cluster, component, t).  Each cluster's largest share may be tied together
+    already: its documents meet those of the other components only."""
+    parts_of = docs.groupBy("cluster", "component").agg(F.count("*").alias("k"), F.sum(F.octet_length("t")).alias("s"))
+    main = parts_of.groupBy("cluster").agg(F.max(F.struct("k", "component", "s")).alias("main"), F.sum("k").alias("m"),
+                                           F.sum("s").alias("bytes"), F.count("*").alias("parts")).where("parts > 1")
+    blocks = lambda k, s: F.ceil(F.greatest(k / BLOCK, s / BLOCK_BYTES)).cast("int")
+    k, s = F.col("main.k"), F.col("main.s")
+    main = main.select("cluster", F.col("main.component").alias("main"), blocks(k, s).alias("mains"),
+                       blocks(F.col("m") - k, F.col("bytes") - s).alias("rest"))
+    rows = docs.join(main, "cluster").withColumn("first", F.col("component") == F.col("main"))
+    spread = F.xxhash64(F.lit(5), "d")
+    rows = rows.withColumn("own", F.when(F.col("first"), F.pmod(spread, F.col("mains"))).otherwise(F.col("mains") + F.pmod(spread, F.col("rest"))).cast("int"))
+    # blocks 0..mains-1 hold the largest component; they meet the blocks after them, which also meet each other
+    rows = rows.withColumn("with", F.explode(F.when(F.col("first"), F.sequence("mains", F.col("mains") + F.col("rest") - 1))
+                                             .otherwise(F.sequence(F.lit(0), F.col("mains") + F.col("rest") - 1))))
+    rows = rows.select("cluster", F.least("own", "with").alias("i"), F.greatest("own", "with").alias("j"), "own", "d", "component", "t")
+
+    def meet(part: pa.Table) -> pa.Table:
+        i, j = part.column("i")[0].as_py(), part.column("j")[0].as_py()
+        d, component, own = (part.column(c).to_numpy() for c in ("d", "component", "own"))
+        sets = row_sets(part.column("t").combine_chunks(), size)
+        left, right = np.flatnonzero(own == i), np.flatnonzero(own == j)
+        if not len(left) or not len(right):
+            return _table([])
+        hit = linked_pairs([sets[x] for x in left], [sets[x] for x in right], percent)
+        hit &= component[left][:, None] != component[right][None, :]
+        p, q = np.nonzero(hit)
+        return _table([_edges(d, left[p], right[q])] if len(p) else [])
+
+    return rows.groupBy("cluster", "i", "j").applyInArrow(meet, "a long, b long")
+
+
+def _named(pairs: DataFrame, name: str) -> DataFrame:
+    """(d, name): the smallest a that a document is paired with as b.  Equal names mean that the
+    documents hang together; different names say nothing."""
+    return pairs.groupBy(F.col("b").alias("d")).agg(F.min("a").alias(name))
 
 
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 75, doc_id: str = "doc_id",
@@ -211,28 +288,19 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 75, doc_id: s
     floor = agreement_floor(percent / 100)
     star = members.where("d <> first").select(F.col("first").alias("a"), F.col("d").alias("b")).distinct()
     tried = stage(similar(star, sigs, floor), "minhash-pairs")
-    wanted = members.select("d").distinct()
+    # a document that is like the smallest of its band takes its name: enough to close most bands
+    now = members.join(_named(tried, "cluster"), "d", "left").select("band", "d", F.coalesce("cluster", "d").alias("cluster"))
+    several = now.groupBy("band").agg(F.min("cluster").alias("lo"), F.max("cluster").alias("hi")).where("lo < hi")
+    open_ = stage(now.join(several.select("band"), "band").join(sigs, "d").select("band", "d", "cluster", "sig"), "minhash-open")
+    more = stage(across_clusters(open_, floor, max(1, open_.count() // GROUP)), "minhash-pairs")
+    clusters = stage(components(tried.union(more)), "minhash-clusters").select(F.col("node").alias("d"), F.col("component").alias("cluster"))
+
     texts = stage(docs.select(F.col(doc_id).cast("long").alias("d"), F.col(text).alias("t"))
-                  .join(wanted, "d", "left_semi").dropDuplicates(["d"]), "minhash-texts")
+                  .join(clusters, "d").dropDuplicates(["d"]), "minhash-texts")
     linked = stage(confirm(tried, texts, size, percent), "minhash-links")
-    tied = stage(components(linked), "minhash-components")
-
-    allowance, total = 16, members.count()
-    while total:
-        now = members.join(tied.withColumnRenamed("node", "d"), "d", "left").select("band", "d", F.coalesce("component", "d").alias("component"))
-        several = now.groupBy("band").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi")
-        open_ = now.join(several.select("band"), "band").join(sigs, "d").select("band", "d", "component", "sig")
-        proposed = stage(across(open_, floor, allowance, max(1, total // GROUP)), "minhash-proposed")
-        held_back = proposed.where("more").limit(1).count() > 0
-        new = stage(proposed.select("a", "b").distinct().join(tried, ["a", "b"], "left_anti"), "minhash-pairs")
-        more = stage(confirm(new, texts, size, percent), "minhash-links")
-        tried, linked = tried.union(new), linked.union(more)
-        found = more.limit(1).count() > 0
-        if found:
-            tied = stage(components(linked), "minhash-components")
-        if not held_back:
-            break
-        allowance *= 16
+    parts = texts.join(_named(linked, "component"), "d", "left").select("d", "cluster", F.coalesce("component", "d").alias("component"), "t")
+    rest = stage(across_components(parts, size, percent), "minhash-links")
+    tied = stage(components(linked.union(rest)), "minhash-components")
     of_class = classes.join(tied.withColumnRenamed("node", "rep"), "rep", "left").select(
         "h1", "h2", F.coalesce("component", "rep").alias("component_id"))
     out = all_.select("d", "n_shingles", "h1", "h2").join(of_class, ["h1", "h2"], "left")
