@@ -63,7 +63,7 @@ def bigrams(tok: np.ndarray) -> np.ndarray:
     return mix64(before * np.uint64(0xA0761D6478BD642F) + tok * np.uint64(0xE7037ED1A0B428DB) + np.uint64(2))
 
 
-def count_ngrams(docs: DataFrame, text: str, buffer: int = 3_000_000) -> DataFrame:
+def count_ngrams(docs: DataFrame, text: str, buffer: int = 1_500_000) -> DataFrame:
     """(k, h, n): n-gram order (1 or 2), hash and count over all texts."""
     def run(batches):
         held, size = [], 0
