@@ -206,7 +206,9 @@ def judge_quality(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", te
 
 def keep_good(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", **learning) -> DataFrame:
     """The rows of ``docs`` that pass the base check and that no learned rule rejects."""
-    stats = stage(text_statistics(docs, doc_id, text).withColumnRenamed(doc_id, "doc_id"), "quality-statistics")
+    # written once with their statistics: a filter on them would otherwise be pushed into their array
+    # expressions and evaluate those again for every element
+    rows = stage(text_statistics(docs, text=text, whole=True), "quality-rows")
+    stats = rows.select(F.col(f"doc_id.{doc_id}").alias("doc_id"), *BASE, "n_lines")
     rules = learn_from(stats, labels, doc_id, **learning)
-    rows = text_statistics(docs, text=text, whole=True)
     return rows.where(~base_failed() & (verdict(rules) == 0)).select("doc_id.*")
