@@ -1,23 +1,10 @@
-import os
-import sys
+"""Inputs shared by the tests of this folder; the session comes from the conftest above it."""
 
 import pytest
 
-ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
-sys.path.insert(0, ROOT)
-
 SF = "/root/testdata/sf0.001"
 
 
-@pytest.fixture(scope="session")
-def spark():
-    from venuescope.session import get_session
-
-    s = get_session("local[4]", shuffle_partitions=4)
-    yield s
-    s.stop()
-
-
 @pytest.fixture(scope="session")
 def corpus():
     import pandas as pd

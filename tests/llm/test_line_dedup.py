@@ -4,7 +4,7 @@ import hashlib
 
 import numpy as np
 
-from conftest import MESSY, SF
+from llm_fixtures import MESSY, SF, corpus, messy  # noqa: F401
 from venuescope.llm.cuckoo import CuckooFilter
 from venuescope.llm.line_dedup import LineDedup, dedup_lines
 from venuescope.llm.queries import QUERIES

@@ -9,7 +9,7 @@ import numpy as np
 import pandas as pd
 import pytest
 
-from conftest import MESSY
+from llm_fixtures import MESSY, corpus, messy  # noqa: F401
 from venuescope.llm import language_id, lm_scoring
 from venuescope.llm.queries import QUERIES
 

@@ -6,7 +6,7 @@ import numpy as np
 import pandas as pd
 import pytest
 
-from conftest import MESSY, SF
+from llm_fixtures import MESSY, SF, corpus, messy  # noqa: F401
 from venuescope.llm import embedding_dedup, minhash, words
 from venuescope.llm.components import components
 from venuescope.llm.queries import QUERIES

@@ -5,7 +5,7 @@ import public_tokenizers as P
 import pytest
 
 import corpus_pipeline
-from conftest import SF
+from llm_fixtures import SF, corpus, messy  # noqa: F401
 from test_line_dedup import plain as plain_lines
 from test_near_duplicates import plain as plain_near
 from test_quality_rules import plain as plain_quality

@@ -7,7 +7,7 @@ from collections import Counter
 import pandas as pd
 from pyspark.sql import functions as F
 
-from conftest import MESSY, SF
+from llm_fixtures import MESSY, SF, corpus, messy  # noqa: F401
 from venuescope.llm import quality_rules
 from venuescope.llm.queries import QUERIES
 

@@ -6,7 +6,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from conftest import MESSY, SF
+from llm_fixtures import MESSY, SF, corpus, messy  # noqa: F401
 from venuescope.llm import suffix_dedup
 from venuescope.llm.bwt import repeated_starts
 from venuescope.llm.queries import QUERIES

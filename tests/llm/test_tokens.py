@@ -8,7 +8,7 @@ import numpy as np
 import public_tokenizers as P
 import pytest
 
-from conftest import MESSY, SF
+from llm_fixtures import MESSY, SF, corpus, messy  # noqa: F401
 from venuescope.llm import byte_bpe, packing, token_counts
 from venuescope.llm.queries import QUERIES
 
