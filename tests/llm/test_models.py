@@ -94,6 +94,33 @@ def test_filter_quantises_counts(spark):
             assert max(lm.first.values()) > 2
 
 
+def plain_scores(docs, prior=1000.0):
+    """Scores from all counts, quantised as the filter does but without its false hits."""
+    at = lambda c: lm_scoring.MIDDLE[np.searchsorted(lm_scoring.STEPS, c, side="right")] if c else 0.0
+    uni, two = Counter(), Counter()
+    for d, t in docs:
+        if d is not None and fold(d, 10):
+            row = [*words(t), None]
+            uni.update(row)
+            two.update(zip([None, *row], row))
+    below = sum(uni.values()) + 0.1 * (len(uni) + 1)
+    out = {}
+    for d, t in docs:
+        row = [*words(t), None]
+        out[d] = sum(math.log10(min(1.0, (min(at(two[a, b]), at(uni[a])) + prior * (at(uni[b]) + 0.1) / below) / (at(uni[a]) + prior)))
+                     for a, b in zip([None, *row], row))
+    return out, two
+
+
+def test_lm_model_does_not_depend_on_a_cap(spark, monkeypatch, corpus):
+    """The filter holds every step whatever ``max_bits`` is; shards and chunks only place the work."""
+    df = spark.createDataFrame(corpus)
+    scores = lambda **kw: {r.doc_id: (r.n_tokens, r.score) for r in lm_scoring.score_texts(df, **kw).collect()}
+    whole = scores()
+    monkeypatch.setattr(lm_scoring, "CHUNK", 3000)
+    assert scores(max_bits=1 << 17) == {d: (n, pytest.approx(s, rel=1e-12)) for d, (n, s) in whole.items()}
+
+
 def test_lm_messy(spark, messy):
     rows = sorted((tuple(r)[:5] for r in lm_scoring.score_texts(messy).collect()), key=repr)
     assert rows == sorted((w[:5] for w in plain_base([(d, t) for d, t, *_ in MESSY])), key=repr)

@@ -3,9 +3,10 @@
 n-gram counts are gathered over all training documents (summed inside each task before
 the shuffle).  The filter stores, for an n-gram of count c, one entry for each step of a
 growing series of counts up to c, so asking for one step after the other until a miss
-gives back c up to the step width: it holds quantised counts in a few bits each.  Its
-size is bounded by ``max_bits`` and it goes to the workers once.  Where the corpus has more n-grams
-than it takes, the lowest steps are left out, first of the longer n-grams.
+gives back c up to the step width: it holds quantised counts in a few bits each.  It grows
+with the corpus, lies in shards by n-gram hash and is never in one place: texts are turned
+into chunks of numbered words, each chunk asks every shard for its distinct n-grams, and the
+steps found come back to the chunk, one byte each.
 
 The score smooths bigrams towards unigrams by a Dirichlet prior, both read from the
 filter.  The base score needs exact counts: words whose count reaches a cut are sent to
@@ -29,6 +30,8 @@ END = np.uint64(0x9AE16A3B2F90404F)        # the token after the last word; also
 BLOCK_BITS = 1 << 16                       # all entries of an n-gram lie in one block of the filter
 PROBES = 4
 STEP = 1.3
+CHUNK = 1_000_000                          # tokens of a task that ask together, about
+SHARD = 1_000_000                          # training tokens for each shard of the filter, at most about
 
 
 def steps(limit: int = 2**50) -> np.ndarray:
@@ -98,79 +101,174 @@ def _places(h: np.ndarray, step: np.ndarray) -> np.ndarray:
     return np.stack([(x >> np.uint64(16 * i)) & np.uint64(0xFFFF) for i in range(PROBES)], axis=1).astype(np.int64)
 
 
+def block_of(h: np.ndarray, blocks: int) -> np.ndarray:
+    return (h >> np.uint64(16)).astype(np.int64) % blocks
+
+
 class LogFrequencyFilter:
-    """Blocked Bloom filter of (n-gram, step) entries."""
+    """Blocked Bloom filter of (n-gram, step) entries, whole or the blocks of one shard:
+    block b is the (b // shards)th of shard b % shards."""
 
-    def __init__(self, raw: bytes, first: dict[int, int]):
+    def __init__(self, raw: bytes, first: dict[int, int], blocks: int | None = None, shards: int = 1):
         self.bits = np.frombuffer(raw, np.uint8)
-        self.blocks = len(raw) * 8 // BLOCK_BITS
+        self.blocks = len(raw) * 8 // BLOCK_BITS if blocks is None else blocks
+        self.shards = shards
         self.first = first                     # order -> first step stored
 
-    @staticmethod
-    def block(h: np.ndarray, blocks: int) -> np.ndarray:
-        return (h >> np.uint64(40)).astype(np.int64) % blocks
-
     def has(self, h: np.ndarray, step: int) -> np.ndarray:
-        at = self.block(h, self.blocks)[:, None] * BLOCK_BITS + _places(h, np.full(len(h), step))
+        at = (block_of(h, self.blocks) // self.shards)[:, None] * BLOCK_BITS + _places(h, np.full(len(h), step))
         return ((self.bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1).all(axis=1)
 
-    def counts(self, order: int, h: np.ndarray) -> np.ndarray:
-        """Quantised counts: probe step after step until one is missing."""
-        step, out, left = self.first[order], np.zeros(len(h), np.int64), np.arange(len(h))
-        while len(left) and self.blocks:
+    def steps(self, order: int, h: np.ndarray) -> np.ndarray:
+        """The last step stored for each n-gram: probe step after step until one is missing."""
+        step, out, left = self.first[order], np.zeros(len(h), np.uint8), np.arange(len(h))
+        while len(left) and len(self.bits):
             left = left[self.has(h[left], step)]
             out[left] = step
             step += 1
-        return MIDDLE[out]
+        return out
+
+    def counts(self, order: int, h: np.ndarray) -> np.ndarray:
+        """Quantised counts."""
+        return MIDDLE[self.steps(order, h)]
 
 
-def build_filter(counts: DataFrame, max_bits: int, bits_per_entry: int, first: dict[int, int]) -> LogFrequencyFilter:
-    """The filter over ``counts`` (k, h, n), built block by block in the workers; what reaches the
-    driver is at most ``max_bits``."""
+def step_histogram(counts: DataFrame) -> dict[tuple[int, int], int]:
+    """(order, step) -> n-grams whose count lies in that step."""
     series = F.array(*[F.lit(int(s)) for s in STEPS])
     step = F.size(F.filter(series, lambda s: s <= F.col("n")))
-    hist = {(r.k, r.s): r.m for r in counts.groupBy("k", "n").agg(F.count("*").alias("m"))
+    return {(r.k, r.s): r.m for r in counts.groupBy("k", "n").agg(F.count("*").alias("m"))
             .select("k", step.alias("s"), "m").groupBy("k", "s").agg(F.sum("m").alias("m")).collect()}
-    first = dict(first)
 
-    def entries() -> int:
-        return sum(m * max(0, s - first[k] + 1) for (k, s), m in hist.items())
 
-    while entries() * bits_per_entry > max_bits:
-        first[2 if first[2] < first[1] + 4 else 1] += 1
-    blocks = max(1, min(max_bits, -(-entries() * bits_per_entry // BLOCK_BITS) * BLOCK_BITS) // BLOCK_BITS)
+def entries(hist: dict[tuple[int, int], int], first: dict[int, int]) -> int:
+    return sum(m * max(0, s - first[k] + 1) for (k, s), m in hist.items())
+
+
+def filter_shards(counts: DataFrame, blocks: int, shards: int, first: dict[int, int]) -> DataFrame:
+    """(g, bits): the filter over ``counts`` (k, h, n), built shard by shard in the workers."""
     least = F.when(F.col("k") == 1, int(STEPS[first[1] - 1])).otherwise(int(STEPS[first[2] - 1]))
     kept = counts.where(F.col("n") >= least).select(
-        "k", "h", "n", (F.shiftrightunsigned("h", 40) % blocks).cast("int").alias("block"))
+        "k", "h", "n", (F.shiftrightunsigned("h", 16) % blocks % shards).cast("int").alias("g"))
 
     def fill(part: pa.Table) -> pa.Table:
+        g = part.column("g")[0].as_py()
         h = part.column("h").to_numpy().astype(np.uint64)
         top = np.searchsorted(STEPS, part.column("n").to_numpy(), side="right")
         low = np.where(part.column("k").to_numpy() == 1, first[1], first[2])
         times = top - low + 1
         nth = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
-        at = _places(np.repeat(h, times), np.repeat(low, times) + nth).ravel()
-        bits = np.zeros(BLOCK_BITS, bool)
-        bits[at] = True
-        return pa.table({"block": part.column("block")[:1].cast(pa.int32()),
+        start = np.repeat(block_of(h, blocks) // shards * BLOCK_BITS, times)
+        at = start[:, None] + _places(np.repeat(h, times), np.repeat(low, times) + nth)
+        bits = np.zeros(-(-(blocks - g) // shards) * BLOCK_BITS, bool)
+        bits[at.ravel()] = True
+        return pa.table({"g": pa.array([g], pa.int32()),
                          "bits": pa.array([np.packbits(bits, bitorder="little").tobytes()], pa.binary())})
 
+    return kept.groupBy("g").applyInArrow(fill, "g int, bits binary")
+
+
+def build_filter(counts: DataFrame, max_bits: int, bits_per_entry: int, first: dict[int, int]) -> LogFrequencyFilter:
+    """A filter of at most ``max_bits`` in one piece, for a model of fixed size: the lowest steps are left
+    out where it does not take all.  ``score_texts`` does not use it."""
+    hist, first = step_histogram(counts), dict(first)
+    while entries(hist, first) * bits_per_entry > max_bits:
+        first[2 if first[2] < first[1] + 4 else 1] += 1
+    blocks = max(1, min(max_bits, -(-entries(hist, first) * bits_per_entry // BLOCK_BITS) * BLOCK_BITS) // BLOCK_BITS)
     raw = bytearray(blocks * BLOCK_BITS // 8)
-    for r in kept.groupBy("block").applyInArrow(fill, "block int, bits binary").collect():
-        raw[r.block * BLOCK_BITS // 8:(r.block + 1) * BLOCK_BITS // 8] = r.bits
+    for r in filter_shards(counts, blocks, blocks, first).collect():
+        raw[r.g * BLOCK_BITS // 8:(r.g + 1) * BLOCK_BITS // 8] = r.bits
     return LogFrequencyFilter(bytes(raw), first)
 
 
+def token_chunks(docs: DataFrame, kind: str) -> DataFrame:
+    """docs (d, held, t) as chunks of whole rows: their ids, folds and token counts, the distinct token
+    hashes (``types``) and each token's number among them (``here``)."""
+    def run(batches):
+        task, part_no, held, size = TaskContext.get().partitionId(), 0, [], 0
+
+        def flush():
+            types, here = np.unique(np.concatenate([x[2] for x in held]), return_inverse=True)
+            one = lambda x: pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x)
+            return pa.RecordBatch.from_arrays([
+                pa.array([task], pa.int32()), pa.array([part_no], pa.int32()), *[one(pa.concat_arrays([x[i] for x in held])) for i in (0, 1)],
+                one(pa.array(np.concatenate([x[3] for x in held]))), one(pa.array(types.astype(np.int64))), one(pa.array(here.astype(np.int32)))],
+                ["task", "part", "d", "held", "size", "types", "here"])
+
+        for batch in batches:
+            for part in row_slices(batch, "t"):
+                tok, ends = tokens(part.column("t"))
+                held.append((part.column("d"), part.column("held"), tok, np.diff(ends)))
+                size += len(tok)
+                if size >= CHUNK:
+                    yield flush()
+                    held, size, part_no = [], 0, part_no + 1
+        if held:
+            yield flush()
+
+    return docs.mapInArrow(run, f"task int, part int, d array<{kind}>, held array<boolean>, size array<long>, types array<long>, here array<int>")
+
+
+def _flat(part: pa.Table | pa.RecordBatch, name: str) -> pa.Array:
+    col = part.column(name)
+    return (col.combine_chunks() if isinstance(col, pa.ChunkedArray) else col).flatten()
+
+
+def _bytes(flat: np.ndarray, sizes: np.ndarray) -> pa.Array:
+    ends = np.zeros(len(sizes) + 1, np.int32)
+    np.cumsum(sizes, out=ends[1:])
+    return pa.Array.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(ends), pa.py_buffer(flat.astype(np.uint8))])
+
+
+def find_steps(chunks: DataFrame, model: DataFrame, blocks: int, shards: int, first: dict[int, int]) -> DataFrame:
+    """(task, part, g, uni, two): the steps that shard ``g`` holds for a chunk's distinct words and bigrams
+    there, one byte each, in the order of ``by_shard``."""
+    def ask(batches):
+        for batch in batches:
+            for i in range(batch.num_rows):
+                row = batch.slice(i, 1)
+                types = _flat(row, "types").to_numpy().astype(np.uint64)
+                pairs = np.unique(bigrams(types[_flat(row, "here").to_numpy()]))
+                cols = []
+                for h in (types, pairs):
+                    order, g = by_shard(h, blocks, shards)
+                    cols.append(list_array(h[order].astype(np.int64), np.bincount(g, minlength=shards), pa.int64()))
+                out = pa.RecordBatch.from_arrays([
+                    pa.array(np.repeat(row.column("task").to_numpy(), shards)), pa.array(np.repeat(row.column("part").to_numpy(), shards)),
+                    pa.array(np.arange(shards, dtype=np.int32)), *cols], ["task", "part", "g", "uni", "two"])
+                yield out.filter(pa.array(sum(c.value_lengths().to_numpy() for c in cols) > 0))
+
+    asked = chunks.select("task", "part", "types", "here").mapInArrow(ask, "task int, part int, g int, uni array<long>, two array<long>")
+
+    def probe(queries: pa.Table, shard: pa.Table) -> pa.Table:
+        lm = LogFrequencyFilter(shard.column("bits")[0].as_py() if shard.num_rows else b"", first, blocks, shards)
+        found = []
+        for order, name in ((1, "uni"), (2, "two")):
+            h = _flat(queries, name).to_numpy().astype(np.uint64)
+            found.append(_bytes(lm.steps(order, h), queries.column(name).combine_chunks().value_lengths().to_numpy()))
+        return pa.table([queries.column("task"), queries.column("part"), queries.column("g"), *found], ["task", "part", "g", "uni", "two"])
+
+    return asked.groupBy("g").cogroup(model.groupBy("g")).applyInArrow(probe, "task int, part int, g int, uni binary, two binary")
+
+
+def by_shard(h: np.ndarray, blocks: int, shards: int) -> tuple[np.ndarray, np.ndarray]:
+    """(order, shard): the order of the n-grams by shard, and the shard of each as given."""
+    g = block_of(h, blocks) % shards
+    return np.argsort(g, kind="stable"), g
+
+
 def score_texts(docs: DataFrame, folds: int = 10, max_bits: int = 1 << 28, bits_per_entry: int = 10,
                 head_words: int = 1 << 20, prior: float = 1000.0, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score), one row per input row.
 
     Documents whose crc32(doc_id as text) mod ``folds`` is 0 are held out, as are null ids; the others train.
     A null or empty text is one end token.  Repeated rows train once each.  Without training
-    documents N = V = 0 and every token has the base probability 1."""
+    documents N = V = 0 and every token has the base probability 1.  ``max_bits`` bounds a shard of the
+    filter, not the filter; scores do not depend on it."""
     spark, sc = docs.sparkSession, docs.sparkSession.sparkContext
     held = fold(F.col(doc_id), folds) <= 0
     # single bigrams are left out of the model (a cut-off of two); words are all kept
+    first = {1: 1, 2: 2}
     counts = stage(count_ngrams(docs.where(~held), text).where("k = 1 or n >= 2"), "ngram-counts")
     words = counts.where("k = 1").select("h", "n")
     sums = words.agg(F.count("*").alias("v"), F.sum("n").alias("n")).first()
@@ -186,43 +284,47 @@ def score_texts(docs: DataFrame, folds: int = 10, max_bits: int = 1 << 28, bits_
     head = words.where(F.col("n") >= cut).toArrow() if cut is not None else words.limit(0).toArrow()
     order = np.argsort(head.column("h").to_numpy())
     known = sc.broadcast((head.column("h").to_numpy()[order], head.column("n").to_numpy()[order]))
-    lm = build_filter(counts, max_bits, bits_per_entry, {1: 1, 2: 2})
-    shipped = sc.broadcast((bytes(lm.bits), lm.first))
+    blocks = -(-max(1, entries(step_histogram(counts), first) * bits_per_entry) // BLOCK_BITS)
+    shards = min(blocks, max(4 * int(spark.conf.get("spark.sql.shuffle.partitions")), total // SHARD,
+                             -(-blocks // max(1, max_bits // BLOCK_BITS))))
+    model = stage(filter_shards(counts, blocks, shards, first), "lm-filter")
+    kind = docs.schema[doc_id].dataType.simpleString()
+    chunks = stage(token_chunks(docs.select(F.col(doc_id).alias("d"), held.alias("held"), F.col(text).alias("t")), kind), "lm-tokens")
+    found = find_steps(chunks, model, blocks, shards, first)
 
-    def run(batches):
-        task, row = TaskContext.get().partitionId(), 0
+    def finish(chunk: pa.Table, answers: pa.Table) -> pa.Table:
         head_h, head_n = known.value
-        model = LogFrequencyFilter(*shipped.value)
-        for batch in batches:
-            for part in row_slices(batch, "t"):
-                tok, ends = tokens(part.column("t"))
-                starts, size = ends[:-1], np.diff(ends)
-                types_, back = np.unique(tok, return_inverse=True)
-                uni = model.counts(1, types_)
-                pair, pair_back = np.unique(bigrams(tok), return_inverse=True)
-                two = model.counts(2, pair)[pair_back]
-                here = uni[back]
-                before = np.empty_like(here)
-                before[0], before[1:] = model.counts(1, np.array([END]))[0], here[:-1]
-                before[starts] = before[0]
-                p = (np.minimum(two, before) + prior * (here + 0.1) / below) / (before + prior)
-                score = np.add.reduceat(np.log10(np.minimum(p, 1.0)), starts)
-                at = np.minimum(np.searchsorted(head_h, types_.astype(np.int64)), max(0, len(head_h) - 1))
-                hit = head_h[at] == types_.astype(np.int64) if len(head_h) else np.zeros(len(types_), bool)
-                base = np.where(hit, np.log10((head_n[at] + 0.1) / below) if len(head_h) else 0.0, 0.0)[back]
-                rest = np.flatnonzero(~hit[back])
-                lists = list_array(tok[rest].astype(np.int64), np.add.reduceat(~hit[back], starts, dtype=np.int64), pa.int64())
-                n = part.num_rows
-                yield pa.RecordBatch.from_arrays([
-                    part.column("d"), part.column("held"), pa.array(np.full(n, task, np.int32)), pa.array(np.arange(row, row + n)),
-                    pa.array(size.astype(np.int64)), pa.array(np.add.reduceat(hit[back], starts, dtype=np.int64)),
-                    pa.array(np.add.reduceat(base, starts)), pa.array(score), lists],
-                    ["d", "held", "task", "row", "n_tokens", "known", "base", "score", "rest"])
-                row += n
-
-    kind = docs.schema[doc_id].dataType.simpleString()
-    scored = stage(docs.select(F.col(doc_id).alias("d"), held.alias("held"), F.col(text).alias("t")).mapInArrow(
-        run, f"d {kind}, held boolean, task int, row long, n_tokens long, known long, base double, score double, rest array<long>"), "lm-scored")
+        types_ = _flat(chunk, "types").to_numpy().astype(np.uint64)
+        back, size = _flat(chunk, "here").to_numpy(), _flat(chunk, "size").to_numpy()
+        tok, starts = types_[back], np.cumsum(size) - size
+        pair, pair_back = np.unique(bigrams(tok), return_inverse=True)
+        answers = answers.sort_by("g")
+        steps_ = []
+        for name, h in (("uni", types_), ("two", pair)):
+            at = np.empty(len(h), np.uint8)
+            at[by_shard(h, blocks, shards)[0]] = np.frombuffer(b"".join(answers.column(name).to_pylist()), np.uint8)
+            steps_.append(MIDDLE[at])
+        uni, two = steps_[0], steps_[1][pair_back]
+        here = uni[back]
+        before = np.empty_like(here)
+        before[0], before[1:] = 0.0, here[:-1]
+        before[starts] = uni[np.searchsorted(types_, END)]              # every row ends with END
+        p = (np.minimum(two, before) + prior * (here + 0.1) / below) / (before + prior)
+        score = np.add.reduceat(np.log10(np.minimum(p, 1.0)), starts)
+        at = np.minimum(np.searchsorted(head_h, types_.astype(np.int64)), max(0, len(head_h) - 1))
+        hit = head_h[at] == types_.astype(np.int64) if len(head_h) else np.zeros(len(types_), bool)
+        base = np.where(hit, np.log10((head_n[at] + 0.1) / below) if len(head_h) else 0.0, 0.0)[back]
+        rest = np.flatnonzero(~hit[back])
+        lists = list_array(tok[rest].astype(np.int64), np.add.reduceat(~hit[back], starts, dtype=np.int64), pa.int64())
+        n = len(size)
+        return pa.table([
+            _flat(chunk, "d"), _flat(chunk, "held"), pa.array(np.repeat(chunk.column("task").to_numpy(), n)),
+            pa.array((chunk.column("part")[0].as_py() << 32) + np.arange(n)), pa.array(size),
+            pa.array(np.add.reduceat(hit[back], starts, dtype=np.int64)), pa.array(np.add.reduceat(base, starts)), pa.array(score), lists],
+            ["d", "held", "task", "row", "n_tokens", "known", "base", "score", "rest"])
+
+    scored = stage(chunks.groupBy("task", "part").cogroup(found.groupBy("task", "part")).applyInArrow(
+        finish, f"d {kind}, held boolean, task int, row long, n_tokens long, known long, base double, score double, rest array<long>"), "lm-scored")
     rare = words if cut is None else words.where(F.col("n") < cut)
     c = F.coalesce("n", F.lit(0))
     missed = (scored.select("task", "row", F.explode("rest").alias("h")).groupBy("task", "row", "h").agg(F.count("*").alias("times"))
