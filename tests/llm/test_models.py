@@ -117,8 +117,22 @@ def test_lm_model_does_not_depend_on_a_cap(spark, monkeypatch, corpus):
     df = spark.createDataFrame(corpus)
     scores = lambda **kw: {r.doc_id: (r.n_tokens, r.score) for r in lm_scoring.score_texts(df, **kw).collect()}
     whole = scores()
+    assert sum(n for n, _ in whole.values()) * 20 > 17 << 16           # so that the smaller bound makes more shards
     monkeypatch.setattr(lm_scoring, "CHUNK", 3000)
-    assert scores(max_bits=1 << 17) == {d: (n, pytest.approx(s, rel=1e-12)) for d, (n, s) in whole.items()}
+    assert scores(max_bits=1 << 16) == {d: (n, pytest.approx(s, rel=1e-12)) for d, (n, s) in whole.items()}
+
+
+def test_lm_model_holds_bigrams_seen_once(spark, corpus):
+    docs = list(corpus.itertuples(index=False))
+    # the same rare words, in an order seen once and in one never seen
+    train, held = [i for i in range(10**6, 10**6 + 200) if fold(i, 10)], [i for i in range(10**6, 10**6 + 200) if not fold(i, 10)]
+    docs += [(train[0], "rarea rareb rarec"), (held[0], "rarea rareb rarec"), (held[1], "rarec rareb rarea")]
+    rows = {r.doc_id: r for r in lm_scoring.score_texts(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert rows[held[0]].score - rows[held[1]].score > 1.0
+    want, two = plain_scores(docs)
+    assert sum(n == 1 for n in two.values()) > len(two) / 2
+    off = [(rows[d].score - want[d]) / rows[d].n_tokens for d, _ in docs]
+    assert np.mean(np.abs(off)) < 0.01                     # the filter's false hits
 
 
 def test_lm_messy(spark, messy):

@@ -1,12 +1,11 @@
 """Language-model scores from a log-frequency Bloom filter.
 
-n-gram counts are gathered over all training documents (summed inside each task before
-the shuffle).  The filter stores, for an n-gram of count c, one entry for each step of a
+Texts are turned into chunks of numbered words.  Each chunk sends its distinct n-grams, with their
+counts over its training documents, to shards by n-gram hash.  A shard sums the counts, stores them
+in its part of the filter and answers every chunk from it, one byte an n-gram.  The filter stores, for an n-gram of count c, one entry for each step of a
 growing series of counts up to c, so asking for one step after the other until a miss
 gives back c up to the step width: it holds quantised counts in a few bits each.  It grows
-with the corpus, lies in shards by n-gram hash and is never in one place: texts are turned
-into chunks of numbered words, each chunk asks every shard for its distinct n-grams, and the
-steps found come back to the chunk, one byte each.
+with the corpus, in more shards, and is never in one place.
 
 The score smooths bigrams towards unigrams by a Dirichlet prior, both read from the
 filter.  The base score needs exact counts: words whose count reaches a cut are sent to
@@ -19,6 +18,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -30,8 +30,9 @@ END = np.uint64(0x9AE16A3B2F90404F)        # the token after the last word; also
 BLOCK_BITS = 1 << 16                       # all entries of an n-gram lie in one block of the filter
 PROBES = 4
 STEP = 1.3
+KEY = 7                                    # upper bytes of an n-gram's hash that it goes by between chunks and shards
 CHUNK = 1_000_000                          # tokens of a task that ask together, about
-SHARD = 1_000_000                          # training tokens for each shard of the filter, at most about
+SHARD = 1_000_000                          # tokens of the corpus for each shard of the filter, at most about
 
 
 def steps(limit: int = 2**50) -> np.ndarray:
@@ -66,35 +67,6 @@ def bigrams(tok: np.ndarray) -> np.ndarray:
     return mix64(before * np.uint64(0xA0761D6478BD642F) + tok * np.uint64(0xE7037ED1A0B428DB) + np.uint64(2))
 
 
-def count_ngrams(docs: DataFrame, text: str, buffer: int = 1_500_000) -> DataFrame:
-    """(k, h, n): n-gram order (1 or 2), hash and count over all texts."""
-    def run(batches):
-        held, size = [], 0
-
-        def flush():
-            tok = np.concatenate(held)
-            for k, h in ((1, tok), (2, bigrams(tok))):
-                h, n = np.unique(h, return_counts=True)
-                for at in range(0, len(h), 200_000):
-                    part = h[at:at + 200_000]
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(part), k, np.int32)), pa.array(part.astype(np.int64)),
-                                                      pa.array(n[at:at + 200_000])], ["k", "h", "n"])
-
-        for batch in batches:
-            for part in row_slices(batch, "t"):
-                tok, _ = tokens(part.column("t"))
-                held.append(tok)
-                size += len(tok)
-                if size >= buffer:
-                    yield from flush()
-                    held, size = [], 0
-        if held:
-            yield from flush()
-
-    parts = docs.select(F.col(text).alias("t")).mapInArrow(run, "k int, h long, n long")
-    return parts.groupBy("k", "h").agg(F.sum("n").alias("n"))
-
-
 def _places(h: np.ndarray, step: np.ndarray) -> np.ndarray:
     """Bits of an entry inside its block (rows x PROBES)."""
     x = mix64(h * np.uint64(0x8CB92BA72F3D8DD7) + step.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
@@ -102,12 +74,13 @@ def _places(h: np.ndarray, step: np.ndarray) -> np.ndarray:
 
 
 def block_of(h: np.ndarray, blocks: int) -> np.ndarray:
+    """The block that holds all entries of an n-gram."""
     return (h >> np.uint64(16)).astype(np.int64) % blocks
 
 
 class LogFrequencyFilter:
-    """Blocked Bloom filter of (n-gram, step) entries, whole or the blocks of one shard:
-    block b is the (b // shards)th of shard b % shards."""
+    """Blocked Bloom filter of (n-gram, step) entries, whole or the blocks of one shard: block b of
+    ``blocks`` is the (b // shards)th of shard b % shards."""
 
     def __init__(self, raw: bytes, first: dict[int, int], blocks: int | None = None, shards: int = 1):
         self.bits = np.frombuffer(raw, np.uint8)
@@ -115,6 +88,16 @@ class LogFrequencyFilter:
         self.shards = shards
         self.first = first                     # order -> first step stored
 
+    @staticmethod
+    def fill(h: np.ndarray, low: np.ndarray, n: np.ndarray, blocks: int, shards: int = 1, shard: int = 0) -> bytes:
+        """The bits of a shard's blocks with an entry for each step of an n-gram from ``low`` up to its count."""
+        times = np.maximum(np.searchsorted(STEPS, n, side="right") - low + 1, 0)
+        nth = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+        h, step = np.repeat(h, times), np.repeat(low, times) + nth
+        bits = np.zeros(-(-(blocks - shard) // shards) * BLOCK_BITS, bool)
+        bits[((block_of(h, blocks) // shards)[:, None] * BLOCK_BITS + _places(h, step)).ravel()] = True
+        return np.packbits(bits, bitorder="little").tobytes()
+
     def has(self, h: np.ndarray, step: int) -> np.ndarray:
         at = (block_of(h, self.blocks) // self.shards)[:, None] * BLOCK_BITS + _places(h, np.full(len(h), step))
         return ((self.bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1).all(axis=1)
@@ -122,7 +105,7 @@ class LogFrequencyFilter:
     def steps(self, order: int, h: np.ndarray) -> np.ndarray:
         """The last step stored for each n-gram: probe step after step until one is missing."""
         step, out, left = self.first[order], np.zeros(len(h), np.uint8), np.arange(len(h))
-        while len(left) and len(self.bits):
+        while len(left) and self.blocks:
             left = left[self.has(h[left], step)]
             out[left] = step
             step += 1
@@ -133,66 +116,51 @@ class LogFrequencyFilter:
         return MIDDLE[self.steps(order, h)]
 
 
-def step_histogram(counts: DataFrame) -> dict[tuple[int, int], int]:
-    """(order, step) -> n-grams whose count lies in that step."""
+def build_filter(counts: DataFrame, max_bits: int, bits_per_entry: int, first: dict[int, int]) -> LogFrequencyFilter:
+    """A filter over ``counts`` (k, h, n) of at most ``max_bits`` in one piece, for a model of fixed size: the
+    lowest steps are left out where it does not take all.  ``score_texts`` does not use it."""
     series = F.array(*[F.lit(int(s)) for s in STEPS])
     step = F.size(F.filter(series, lambda s: s <= F.col("n")))
-    return {(r.k, r.s): r.m for r in counts.groupBy("k", "n").agg(F.count("*").alias("m"))
+    hist = {(r.k, r.s): r.m for r in counts.groupBy("k", "n").agg(F.count("*").alias("m"))
             .select("k", step.alias("s"), "m").groupBy("k", "s").agg(F.sum("m").alias("m")).collect()}
+    first = dict(first)
 
+    def entries() -> int:
+        return sum(m * max(0, s - first[k] + 1) for (k, s), m in hist.items())
 
-def entries(hist: dict[tuple[int, int], int], first: dict[int, int]) -> int:
-    return sum(m * max(0, s - first[k] + 1) for (k, s), m in hist.items())
-
-
-def filter_shards(counts: DataFrame, blocks: int, shards: int, first: dict[int, int]) -> DataFrame:
-    """(g, bits): the filter over ``counts`` (k, h, n), built shard by shard in the workers."""
+    while entries() * bits_per_entry > max_bits:
+        first[2 if first[2] < first[1] + 4 else 1] += 1
+    blocks = max(1, min(max_bits, -(-entries() * bits_per_entry // BLOCK_BITS) * BLOCK_BITS) // BLOCK_BITS)
     least = F.when(F.col("k") == 1, int(STEPS[first[1] - 1])).otherwise(int(STEPS[first[2] - 1]))
     kept = counts.where(F.col("n") >= least).select(
-        "k", "h", "n", (F.shiftrightunsigned("h", 16) % blocks % shards).cast("int").alias("g"))
+        "k", "h", "n", (F.shiftrightunsigned("h", 16) % blocks).cast("int").alias("block"))
 
     def fill(part: pa.Table) -> pa.Table:
-        g = part.column("g")[0].as_py()
-        h = part.column("h").to_numpy().astype(np.uint64)
-        top = np.searchsorted(STEPS, part.column("n").to_numpy(), side="right")
         low = np.where(part.column("k").to_numpy() == 1, first[1], first[2])
-        times = top - low + 1
-        nth = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
-        start = np.repeat(block_of(h, blocks) // shards * BLOCK_BITS, times)
-        at = start[:, None] + _places(np.repeat(h, times), np.repeat(low, times) + nth)
-        bits = np.zeros(-(-(blocks - g) // shards) * BLOCK_BITS, bool)
-        bits[at.ravel()] = True
-        return pa.table({"g": pa.array([g], pa.int32()),
-                         "bits": pa.array([np.packbits(bits, bitorder="little").tobytes()], pa.binary())})
+        raw = LogFrequencyFilter.fill(part.column("h").to_numpy().astype(np.uint64), low, part.column("n").to_numpy(), 1)
+        return pa.table({"block": part.column("block")[:1].cast(pa.int32()), "bits": pa.array([raw], pa.binary())})
 
-    return kept.groupBy("g").applyInArrow(fill, "g int, bits binary")
-
-
-def build_filter(counts: DataFrame, max_bits: int, bits_per_entry: int, first: dict[int, int]) -> LogFrequencyFilter:
-    """A filter of at most ``max_bits`` in one piece, for a model of fixed size: the lowest steps are left
-    out where it does not take all.  ``score_texts`` does not use it."""
-    hist, first = step_histogram(counts), dict(first)
-    while entries(hist, first) * bits_per_entry > max_bits:
-        first[2 if first[2] < first[1] + 4 else 1] += 1
-    blocks = max(1, min(max_bits, -(-entries(hist, first) * bits_per_entry // BLOCK_BITS) * BLOCK_BITS) // BLOCK_BITS)
     raw = bytearray(blocks * BLOCK_BITS // 8)
-    for r in filter_shards(counts, blocks, blocks, first).collect():
-        raw[r.g * BLOCK_BITS // 8:(r.g + 1) * BLOCK_BITS // 8] = r.bits
+    for r in kept.groupBy("block").applyInArrow(fill, "block int, bits binary").collect():
+        raw[r.block * BLOCK_BITS // 8:(r.block + 1) * BLOCK_BITS // 8] = r.bits
     return LogFrequencyFilter(bytes(raw), first)
 
 
 def token_chunks(docs: DataFrame, kind: str) -> DataFrame:
     """docs (d, held, t) as chunks of whole rows: their ids, folds and token counts, the distinct token
-    hashes (``types``) and each token's number among them (``here``)."""
+    hashes (``types``) and each token's number among them (``here``, by ``squeeze``)."""
     def run(batches):
         task, part_no, held, size = TaskContext.get().partitionId(), 0, [], 0
 
         def flush():
-            types, here = np.unique(np.concatenate([x[2] for x in held]), return_inverse=True)
+            types, back, n = np.unique(np.concatenate([x[2] for x in held]), return_inverse=True, return_counts=True)
+            order = np.argsort(-n, kind="stable")               # the frequent words get small numbers
+            number = np.empty(len(types), np.int32)
+            number[order] = np.arange(len(types))
             one = lambda x: pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x)
             return pa.RecordBatch.from_arrays([
                 pa.array([task], pa.int32()), pa.array([part_no], pa.int32()), *[one(pa.concat_arrays([x[i] for x in held])) for i in (0, 1)],
-                one(pa.array(np.concatenate([x[3] for x in held]))), one(pa.array(types.astype(np.int64))), one(pa.array(here.astype(np.int32)))],
+                one(pa.array(np.concatenate([x[3] for x in held]))), one(pa.array(types[order].astype(np.int64))), pa.array([squeeze(number[back])])],
                 ["task", "part", "d", "held", "size", "types", "here"])
 
         for batch in batches:
@@ -206,7 +174,7 @@ def token_chunks(docs: DataFrame, kind: str) -> DataFrame:
         if held:
             yield flush()
 
-    return docs.mapInArrow(run, f"task int, part int, d array<{kind}>, held array<boolean>, size array<long>, types array<long>, here array<int>")
+    return docs.mapInArrow(run, f"task int, part int, d array<{kind}>, held array<boolean>, size array<long>, types array<long>, here binary")
 
 
 def _flat(part: pa.Table | pa.RecordBatch, name: str) -> pa.Array:
@@ -214,47 +182,92 @@ def _flat(part: pa.Table | pa.RecordBatch, name: str) -> pa.Array:
     return (col.combine_chunks() if isinstance(col, pa.ChunkedArray) else col).flatten()
 
 
+def squeeze(x: np.ndarray) -> bytes:
+    """Integers below 2**31, compressed: all lowest bytes, then all second ones and so on."""
+    return pa.compress(x.astype("<i4").view(np.uint8).reshape(-1, 4).T.tobytes(), "zstd", asbytes=True)
+
+
+def unsqueeze(raw: bytes, n: int) -> np.ndarray:
+    flat = np.frombuffer(pa.decompress(raw, 4 * n, "zstd"), np.uint8) if n else np.empty(0, np.uint8)
+    return np.ascontiguousarray(flat.reshape(4, n).T).view("<i4").ravel()
+
+
 def _bytes(flat: np.ndarray, sizes: np.ndarray) -> pa.Array:
     ends = np.zeros(len(sizes) + 1, np.int32)
     np.cumsum(sizes, out=ends[1:])
     return pa.Array.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(ends), pa.py_buffer(flat.astype(np.uint8))])
 
 
-def find_steps(chunks: DataFrame, model: DataFrame, blocks: int, shards: int, first: dict[int, int]) -> DataFrame:
-    """(task, part, g, uni, two): the steps that shard ``g`` holds for a chunk's distinct words and bigrams
-    there, one byte each, in the order of ``by_shard``."""
+def by_shard(h: np.ndarray, blocks: int, shards: int) -> tuple[np.ndarray, np.ndarray]:
+    """(order, shard): the order of the n-grams by shard, and the shard of each as given."""
+    g = block_of(h, blocks) % shards
+    return np.argsort(g, kind="stable"), g
+
+
+def _chunk(row: pa.Table | pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(types, here, sizes of the rows) of one chunk."""
+    size = _flat(row, "size").to_numpy()
+    return _flat(row, "types").to_numpy().astype(np.uint64), unsqueeze(row.column("here")[0].as_py(), int(size.sum())), size
+
+
+def _trains(row: pa.RecordBatch, size: np.ndarray) -> np.ndarray:
+    return np.repeat(~_flat(row, "held").to_numpy(zero_copy_only=False).astype(bool), size)
+
+
+def count_words(chunks: DataFrame) -> DataFrame:
+    """(h, n): exact counts of the words of the training documents."""
+    def run(batches):
+        for batch in batches:
+            for i in range(batch.num_rows):
+                types, here, size = _chunk(row := batch.slice(i, 1))
+                n = np.bincount(here[_trains(row, size)], minlength=len(types))
+                yield pa.RecordBatch.from_arrays([pa.array(types[n > 0].astype(np.int64)), pa.array(n[n > 0])], ["h", "n"])
+
+    return chunks.select("held", "size", "types", "here").mapInArrow(run, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
+
+
+def find_steps(chunks: DataFrame, blocks: int, shards: int) -> DataFrame:
+    """(task, part, g, uni, two): the steps that shard ``g`` of the filter holds for a chunk's distinct words
+    and bigrams there, one byte each, in the order of ``by_shard``.  All n-grams are stored from a count of one."""
     def ask(batches):
         for batch in batches:
             for i in range(batch.num_rows):
-                row = batch.slice(i, 1)
-                types = _flat(row, "types").to_numpy().astype(np.uint64)
-                pairs = np.unique(bigrams(types[_flat(row, "here").to_numpy()]))
+                types, here, size = _chunk(row := batch.slice(i, 1))
+                train = _trains(row, size)
+                pairs, back = np.unique(bigrams(types[here]), return_inverse=True)
                 cols = []
-                for h in (types, pairs):
+                for h, at in ((types, here), (pairs, back)):
                     order, g = by_shard(h, blocks, shards)
-                    cols.append(list_array(h[order].astype(np.int64), np.bincount(g, minlength=shards), pa.int64()))
+                    n, sizes = np.bincount(at[train], minlength=len(h)), np.bincount(g, minlength=shards)
+                    ends = np.cumsum(sizes)
+                    cols += [_bytes(h[order].astype("<u8").view(np.uint8).reshape(-1, 8)[:, 8 - KEY:].ravel(), sizes * KEY),
+                             pa.array([squeeze(x) for x in np.split(n[order], ends[:-1])], pa.binary())]
                 out = pa.RecordBatch.from_arrays([
                     pa.array(np.repeat(row.column("task").to_numpy(), shards)), pa.array(np.repeat(row.column("part").to_numpy(), shards)),
-                    pa.array(np.arange(shards, dtype=np.int32)), *cols], ["task", "part", "g", "uni", "two"])
-                yield out.filter(pa.array(sum(c.value_lengths().to_numpy() for c in cols) > 0))
-
-    asked = chunks.select("task", "part", "types", "here").mapInArrow(ask, "task int, part int, g int, uni array<long>, two array<long>")
-
-    def probe(queries: pa.Table, shard: pa.Table) -> pa.Table:
-        lm = LogFrequencyFilter(shard.column("bits")[0].as_py() if shard.num_rows else b"", first, blocks, shards)
-        found = []
-        for order, name in ((1, "uni"), (2, "two")):
-            h = _flat(queries, name).to_numpy().astype(np.uint64)
-            found.append(_bytes(lm.steps(order, h), queries.column(name).combine_chunks().value_lengths().to_numpy()))
-        return pa.table([queries.column("task"), queries.column("part"), queries.column("g"), *found], ["task", "part", "g", "uni", "two"])
-
-    return asked.groupBy("g").cogroup(model.groupBy("g")).applyInArrow(probe, "task int, part int, g int, uni binary, two binary")
-
-
-def by_shard(h: np.ndarray, blocks: int, shards: int) -> tuple[np.ndarray, np.ndarray]:
-    """(order, shard): the order of the n-grams by shard, and the shard of each as given."""
-    g = block_of(h, blocks) % shards
-    return np.argsort(g, kind="stable"), g
+                    pa.array(np.arange(shards, dtype=np.int32)), *cols], ["task", "part", "g", "uni", "uni_n", "two", "two_n"])
+                yield out.filter(pc.greater(pc.add(pc.binary_length(cols[0]), pc.binary_length(cols[2])), 0))
+
+    asked = chunks.select("task", "part", "held", "size", "types", "here").mapInArrow(
+        ask, "task int, part int, g int, uni binary, uni_n binary, two binary, two_n binary")
+
+    def answer(part: pa.Table) -> pa.Table:
+        held = {}
+        for name in ("uni", "two"):
+            raw = part.column(name).to_pylist()
+            sizes = np.array([len(x) // KEY for x in raw])
+            whole = np.zeros((sizes.sum(), 8), np.uint8)
+            whole[:, 8 - KEY:] = np.frombuffer(b"".join(raw), np.uint8).reshape(-1, KEY)
+            h, back = np.unique(whole.view("<u8").ravel(), return_inverse=True)
+            n = np.concatenate([unsqueeze(x, m) for x, m in zip(part.column(f"{name}_n").to_pylist(), sizes.tolist())])
+            held[name] = h, np.bincount(back, weights=n, minlength=len(h)).astype(np.int64), back, sizes
+        h, n = (np.concatenate([held[name][i] for name in ("uni", "two")]) for i in (0, 1))
+        raw = LogFrequencyFilter.fill(h, np.ones(len(h), np.int64), n, blocks, shards, part.column("g")[0].as_py())
+        lm = LogFrequencyFilter(raw, {1: 1, 2: 1}, blocks, shards)
+        found = [_bytes(lm.steps(order, held[name][0])[held[name][2]], held[name][3])
+                 for order, name in ((1, "uni"), (2, "two"))]
+        return pa.table([part.column("task"), part.column("part"), part.column("g"), *found], ["task", "part", "g", "uni", "two"])
+
+    return asked.groupBy("g").applyInArrow(answer, "task int, part int, g int, uni binary, two binary")
 
 
 def score_texts(docs: DataFrame, folds: int = 10, max_bits: int = 1 << 28, bits_per_entry: int = 10,
@@ -267,10 +280,9 @@ def score_texts(docs: DataFrame, folds: int = 10, max_bits: int = 1 << 28, bits_
     filter, not the filter; scores do not depend on it."""
     spark, sc = docs.sparkSession, docs.sparkSession.sparkContext
     held = fold(F.col(doc_id), folds) <= 0
-    # single bigrams are left out of the model (a cut-off of two); words are all kept
-    first = {1: 1, 2: 2}
-    counts = stage(count_ngrams(docs.where(~held), text).where("k = 1 or n >= 2"), "ngram-counts")
-    words = counts.where("k = 1").select("h", "n")
+    kind = docs.schema[doc_id].dataType.simpleString()
+    chunks = stage(token_chunks(docs.select(F.col(doc_id).alias("d"), held.alias("held"), F.col(text).alias("t")), kind), "lm-tokens")
+    words = stage(count_words(chunks), "lm-words")
     sums = words.agg(F.count("*").alias("v"), F.sum("n").alias("n")).first()
     types, total = sums.v or 0, sums.n or 0
     below = total + 0.1 * (types + 1)
@@ -284,18 +296,14 @@ def score_texts(docs: DataFrame, folds: int = 10, max_bits: int = 1 << 28, bits_
     head = words.where(F.col("n") >= cut).toArrow() if cut is not None else words.limit(0).toArrow()
     order = np.argsort(head.column("h").to_numpy())
     known = sc.broadcast((head.column("h").to_numpy()[order], head.column("n").to_numpy()[order]))
-    blocks = -(-max(1, entries(step_histogram(counts), first) * bits_per_entry) // BLOCK_BITS)
-    shards = min(blocks, max(4 * int(spark.conf.get("spark.sql.shuffle.partitions")), total // SHARD,
-                             -(-blocks // max(1, max_bits // BLOCK_BITS))))
-    model = stage(filter_shards(counts, blocks, shards, first), "lm-filter")
-    kind = docs.schema[doc_id].dataType.simpleString()
-    chunks = stage(token_chunks(docs.select(F.col(doc_id).alias("d"), held.alias("held"), F.col(text).alias("t")), kind), "lm-tokens")
-    found = find_steps(chunks, model, blocks, shards, first)
+    size = chunks.agg(F.sum(F.aggregate("size", F.lit(0).cast("long"), lambda x, y: x + y))).first()[0] or 0
+    blocks = max(1, -(-2 * size * bits_per_entry // BLOCK_BITS))     # an n-gram has no more entries than occurrences
+    shards = min(blocks, max(4 * int(spark.conf.get("spark.sql.shuffle.partitions")), size // SHARD, -(-blocks * BLOCK_BITS // max_bits)))
+    found = find_steps(chunks, blocks, shards)
 
     def finish(chunk: pa.Table, answers: pa.Table) -> pa.Table:
         head_h, head_n = known.value
-        types_ = _flat(chunk, "types").to_numpy().astype(np.uint64)
-        back, size = _flat(chunk, "here").to_numpy(), _flat(chunk, "size").to_numpy()
+        types_, back, size = _chunk(chunk)
         tok, starts = types_[back], np.cumsum(size) - size
         pair, pair_back = np.unique(bigrams(tok), return_inverse=True)
         answers = answers.sort_by("g")
@@ -308,7 +316,7 @@ def score_texts(docs: DataFrame, folds: int = 10, max_bits: int = 1 << 28, bits_
         here = uni[back]
         before = np.empty_like(here)
         before[0], before[1:] = 0.0, here[:-1]
-        before[starts] = uni[np.searchsorted(types_, END)]              # every row ends with END
+        before[starts] = uni[np.flatnonzero(types_ == END)[0]]          # every row ends with END
         p = (np.minimum(two, before) + prior * (here + 0.1) / below) / (before + prior)
         score = np.add.reduceat(np.log10(np.minimum(p, 1.0)), starts)
         at = np.minimum(np.searchsorted(head_h, types_.astype(np.int64)), max(0, len(head_h) - 1))
