@@ -157,3 +157,13 @@ def test_embedding_groups(spark, monkeypatch, block):
     got = sorted(map(tuple, embedding_dedup.near_duplicates(df).collect()), key=repr)
     assert got == plain_vectors(rows)
     assert embedding_dedup.near_duplicates(df.limit(0)).count() == 0
+
+
+def test_embedding_repeated_ids(spark):
+    """Rows of one id with different vectors, in one label and in two, are vectors of their own."""
+    a, b, c = [1.0, 0.0, 0.0, 0.0], [0.0, 1.0, 0.0, 0.0], [0.0, 0.0, 1.0, 0.0]
+    near = lambda v: [x + 0.05 for x in v]
+    rows = [(1, a, 0), (1, b, 0), (1, c, 1), (2, near(a), 0), (3, near(b), 0), (4, near(c), 1), (5, near(c), 1)]
+    got = embedding_dedup.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int"))
+    assert sorted((r.vec_id, r.n_links, r.component_id) for r in got.collect()) == [
+        (1, 1, 1), (1, 1, 1), (1, 2, 1), (2, 1, 1), (3, 1, 1), (4, 2, 1), (5, 2, 1)]

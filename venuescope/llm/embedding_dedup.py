@@ -132,8 +132,10 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.93, miss: float = 1
     digest = [F.xxhash64(v).alias("h1"), F.xxhash64(F.lit(1), v).alias("h2")]
     known = stage(rows.where("good").select("id", "label", "vec", *digest), "vectors")
     keys = ["label", "h1", "h2"]
-    classes = stage(known.groupBy(*keys).agg(F.min("id").alias("rep"), F.count("*").alias("n")), "vector-classes")
-    reps = (known.join(classes, keys).where("id = rep").groupBy("rep", "label", "n").agg(F.first("vec").alias("vec")))
+    # a class goes by a number of its own, as one id may stand in several
+    classes = stage(known.groupBy(*keys).agg(F.min("id").alias("least"), F.count("*").alias("n"))
+                    .withColumn("rep", F.monotonically_increasing_id()), "vector-classes")
+    reps = (known.join(classes, keys).where("id = least").groupBy("rep", "label", "n").agg(F.first("vec").alias("vec")))
     counts = classes.groupBy("label").count().agg(F.max("count"), F.sum("count")).first()
     largest, total = counts[0] or 0, counts[1] or 0
     bits, tables = shape(largest, threshold, miss)
@@ -141,8 +143,9 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.93, miss: float = 1
     joined = components(found.select(F.col("rep").alias("a"), F.col("root").alias("b")))
     sums = found.groupBy("rep").agg(F.sum("links").alias("links"))
     of_rep = (classes.join(sums, "rep", "left").join(joined.withColumnRenamed("node", "rep"), "rep", "left")
-              .select(*keys, (F.col("n") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"),
-                      F.coalesce("component", "rep").alias("component_id")))
+              .withColumn("component", F.coalesce("component", "rep")))
+    names = of_rep.groupBy("component").agg(F.min("least").alias("component_id"))
+    of_rep = of_rep.join(names, "component").select(*keys, (F.col("n") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), "component_id")
     linked = known.select("id", *keys).join(of_rep, keys).select("id", "n_links", "component_id")
     alone = rows.where("not good").select("id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"))
     out = linked.union(alone)
