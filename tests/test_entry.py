@@ -53,3 +53,10 @@ def test_query_matches_oracle(spark, duck, name):
 @pytest.mark.parametrize("name", sorted(ROWS_ONLY))
 def test_rows_only_queries_run(spark, name):
     assert E.queries()[name](spark, SF_SMALL).count() >= 0
+
+
+def test_raw_nulls_are_those_before_cleaning(spark):
+    raw = {r.column_name: r.null_count for r in E.queries()["profile_raw_nulls"](spark, SF_SMALL).collect()}
+    clean = {r.column_name: r.null_count for r in E.queries()["profile_nulls"](spark, SF_SMALL).collect()}
+    assert "rating_count" in raw and "votes" not in raw
+    assert raw["rating"] < clean["rating"]                 # rejected ratings are not missing ones

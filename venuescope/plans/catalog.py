@@ -154,6 +154,11 @@ def _nulls(spark, d):
     return profile.null_counts(restaurants(spark, d))
 
 
+@register("profile_raw_nulls")
+def _raw_nulls(spark, d):
+    return profile.null_counts(raw(spark, d))
+
+
 @register("profile_value_counts")
 def _value_counts(spark, d):
     return profile.value_counts(raw(spark, d), "rating", top=15, dropna=False)

@@ -306,6 +306,12 @@ SELECT column_name, null_count FROM (
   UNPIVOT (SELECT {", ".join(f"COUNT(*) FILTER (WHERE {c} IS NULL) AS {c}" for c in CLEAN_COLS)} FROM restaurants)
   ON {", ".join(CLEAN_COLS)} INTO NAME column_name VALUE null_count)
 ORDER BY null_count DESC, column_name""")
+RAW_COLS = tuple(c for c, _ in RAW_VIEW_TYPES)
+SQL["profile_raw_nulls"] = with_base(f"""
+SELECT column_name, null_count FROM (
+  UNPIVOT (SELECT {", ".join(f"COUNT(*) FILTER (WHERE {c} IS NULL) AS {c}" for c in RAW_COLS)} FROM raw_venues)
+  ON {", ".join(RAW_COLS)} INTO NAME column_name VALUE null_count)
+ORDER BY null_count DESC, column_name""")
 SQL["profile_value_counts"] = with_base("""
 SELECT rating, COUNT(*) AS count FROM raw_venues GROUP BY rating
 ORDER BY count DESC, rating ASC NULLS FIRST LIMIT 15""")
