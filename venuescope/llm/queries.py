@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from .common import table
+from .oracle import SQL
 
 
 def _tokenizer(name: str) -> str:
@@ -81,7 +82,25 @@ def op10_embedding_dedup(spark, sf_dir):
     return near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+def op11_phrases(spark, sf_dir):
+    from .phrases import collocations
+
+    return collocations(table(spark, sf_dir, "documents"))
+
+
+def op12_spelling(spark, sf_dir):
+    from .spelling import group_variants
+
+    return group_variants(table(spark, sf_dir, "documents"))
+
+
+def op13_html_extract(spark, sf_dir):
+    from .html_extract import extract
+
+    return extract(table(spark, sf_dir, "pages"))
+
+
 QUERIES = {f.__name__: f for f in (op1_minhash, op2_token_counts, op3_line_dedup, op4_packing, op5_language_id,
                                op6_byte_bpe, op7_quality_rules, op8_suffix_dedup, op9_lm_scoring,
-                               op10_embedding_dedup)}
-ORACLE: dict[str, str] = {}
+                               op10_embedding_dedup, op11_phrases, op12_spelling, op13_html_extract)}
+ORACLE: dict[str, str] = SQL
