@@ -1,14 +1,19 @@
 """Isolation forest (Liu, Ting & Zhou, 2008) as Spark jobs.
 
-* sample: a Bernoulli pool of ~4*psi*trees rows (a size set by the
-  parameters, not by the data), then every tree keeps the ``psi`` pool rows
-  with the smallest seeded hash among those picked for it;
+* values: rows with all features, collapsed to distinct feature vectors with
+  their counts, staged once for all that follows;
+* sample: a seeded hash of a vector's content gives its copies their ranks: the
+  least of w uniform numbers and the ones after it follow from the count alone, so
+  no copy is made to be thrown away.  A pool of about 4*psi*trees copies (a
+  size set by the parameters) is kept that way, then every tree keeps the ``psi``
+  of them with the smallest hash of content, copy number and tree.  Nothing depends on
+  row order, files or partitions;
 * train: ``groupBy(tree).applyInPandas`` grows one small tree per group
   (<= psi rows each) with NumPy;
 * score: the forest (<= trees * (2*psi - 1) nodes) is broadcast and only the
-  *distinct* feature vectors are scored with ``mapInPandas``; scores join
-  back to the rows on the feature values (AQE broadcasts the score table
-  when it is small, or splits skewed keys);
+  distinct vectors are scored with ``mapInPandas``; scores come back to the rows by
+  ``enrich.attach``: broadcast within a measured size, else a shuffle without hot vectors
+  and without rows that miss a feature;
 * cut: a row is anomalous when its score is strictly above the exact
   ``1 - contamination`` quantile of all scores (weighted by multiplicity),
   the rule scikit-learn's ``contamination`` applies.  Rows with a missing
@@ -31,6 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import (DoubleType, IntegerType, LongType, StructField, StructType)
 
 from venuescope.config import Params, REFERENCE
+from venuescope.operators.enrich import BROADCAST_BYTES, attach
 from venuescope.operators.quantile import exact_percentiles
 
 # The task-side helpers below travel with the tasks (pickled by value), so
@@ -151,42 +157,103 @@ class Forest:
         return np.power(2.0, -(total / self.feature.shape[0]) / self.c_psi)
 
 
-def _complete(df: DataFrame, feats):
-    keep = None
-    for c in feats:
-        cond = F.col(c).isNotNull() & ~F.isnan(F.col(c).cast("double"))
-        keep = cond if keep is None else keep & cond
-    return df.where(keep).select(*[F.col(c).cast("double").alias(c) for c in feats])
+def _key(c: str):
+    """A feature as the key of its vector: null where it is missing."""
+    v = F.col(c).cast("double")
+    return F.when(~F.isnan(v), v)
 
 
-def fit_forest(df: DataFrame, features, n_trees: int = 100, max_samples: int = 256, seed: int = 42):
-    """Sample and train; return the node table (pandas) or None.
+def feature_values(df: DataFrame, features) -> DataFrame:
+    """(features.., _w), staged: the distinct complete feature vectors with their counts."""
+    feats = list(features)
+    rows = df.select(*[_key(c).alias(c) for c in feats])
+    return _stage(rows.na.drop("any").groupBy(*feats).agg(F.count(F.lit(1)).alias("_w")), "values")
+
+
+def _stage(df: DataFrame, name: str) -> DataFrame:
+    """A table in the shared checkpoint folder: cuts the lineage, and what reads it twice computes it once.
+    (A reliable DataFrame.checkpoint would run Python scorers a second time to write its files.)"""
+    from venuescope.session import scratch_path
+
+    path = scratch_path(df.sparkSession, f"iforest/{name}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _unit(*c):
+    """A uniform number in [0, 1) from a hash of columns."""
+    h = F.xxhash64(*c).bitwiseAND(F.lit(0x7FFFFFFFFFFFFC00))
+    return h.cast("double") / float(2 ** 63)
+
+
+def _uniform(key: np.ndarray, j: int) -> np.ndarray:
+    """The j-th uniform number in [0, 1) of each key (splitmix64)."""
+    with np.errstate(over="ignore"):
+        x = key.astype(np.uint64) + np.uint64((j + 1) * 0x9E3779B97F4A7C15 % 2 ** 64)
+        x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+        x ^= x >> np.uint64(31)
+    return (x >> np.uint64(11)).astype(float) / 2.0 ** 53
+
+
+def copies_below(key: np.ndarray, w: np.ndarray, rho: float) -> np.ndarray:
+    """How many of each vector's ``w`` uniform numbers lie below ``rho``, from order statistics: with the smallest j
+    known to lie at u, the next is 1 - (1 - u) (1 - x) ** (1 / (w - j)) for a uniform x."""
+    if rho >= 1.0:
+        return w.copy()
+    out, at, u, j = np.zeros(len(w), np.int64), np.arange(len(w)), np.zeros(len(w)), 0
+    while len(at):
+        x = _uniform(key[at], j)
+        u = 1.0 - (1.0 - u) * np.exp(np.log1p(-x) / (w[at] - j))
+        below = u < rho
+        at, u, j = at[below], u[below], j + 1
+        out[at] += 1
+        more = w[at] > j
+        at, u = at[more], u[more]
+    return out
+
 
-    The row count enters the sampling rates as a scalar subquery, so the
-    whole fit is one Spark job.  Rates: pool ~ 4*psi*trees rows, then
-    ~ 4*psi candidates per tree, of which the psi with the smallest seeded
-    hash are kept (psi = min(max_samples, n); with n <= psi every tree
-    takes every row).  The node table is bounded by the parameters
+def draw_samples(values: DataFrame, features, n_trees: int = 100, max_samples: int = 256, seed: int = 42) -> DataFrame:
+    """(features.., tree): the rows that each tree is grown from, psi = min(max_samples, n) for each.
+
+    ``values``: result of ``feature_values``.  The same rows give the same draw however they are laid out."""
+    feats = list(features)
+    n = values.agg(F.sum("_w")).first()[0] or 0
+    psi = min(max_samples, n)
+    rho = min(1.0, 4.0 * n_trees * psi / n) if n else 1.0
+    tau = min(1.0, 4.0 * psi / (rho * n)) if n else 1.0
+    kinds = ", ".join(f"`{c}` double" for c in feats)
+
+    def copies(it):
+        for pdf in it:
+            k = copies_below(pdf["_h"].to_numpy(), pdf["_w"].to_numpy(), rho)
+            rest = pdf.loc[k > 0, feats]
+            k = k[k > 0]
+            for a in range(0, len(k), 1024):               # a vector with many copies spans many rows
+                part = k[a:a + 1024]
+                at = np.repeat(np.arange(len(part)), part)
+                nth = np.arange(len(at)) - np.repeat(np.cumsum(part) - part, part)
+                yield rest.iloc[a:a + 1024].iloc[at].assign(_copy=nth)
+
+    keyed = values.select(*feats, "_w", F.xxhash64(F.lit(seed), *feats).alias("_h"))
+    pool = keyed.mapInPandas(copies, f"{kinds}, _copy long")
+    cand = pool.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(n_trees - 1))))
+    cand = cand.where(_unit(F.lit(seed + 1), *feats, F.col("_copy"), F.col("tree")) < tau)
+    # ties of the hash go by content and copy, which are all there is to tell copies apart
+    w = Window.partitionBy("tree").orderBy(_unit(F.lit(seed + 2), *feats, F.col("_copy"), F.col("tree")), *feats, "_copy")
+    return cand.withColumn("_rk", F.row_number().over(w)).where(F.col("_rk") <= psi).select(*feats, "tree")
+
+
+def fit_forest(values: DataFrame, features, n_trees: int = 100, max_samples: int = 256, seed: int = 42):
+    """Sample and train; return the node table (pandas) or None without rows.
+
+    ``values``: result of ``feature_values``.  The node table is bounded by the parameters
     (trees * (2*psi - 1) rows), so collecting it to broadcast is safe."""
     feats = list(features)
-    sub = _complete(df, feats)
-    n = sub.agg(F.count(F.lit(1)).cast("double").alias("n")).select("n").scalar()
-    psi = F.least(F.lit(float(max_samples)), n)
-    rho = F.least(F.lit(1.0), F.lit(4.0 * n_trees) * psi / n)
-    tau = F.least(F.lit(1.0), F.lit(4.0) * psi / (rho * n))
-    pool = sub.where(F.rand(seed) < rho).withColumn("_uid", F.monotonically_increasing_id())
-    cand = pool.select(*feats, "_uid", F.explode(F.sequence(F.lit(0), F.lit(n_trees - 1))).alias("tree"))
-
-    def unit(*c):
-        h = F.xxhash64(F.lit(seed), *c).bitwiseAND(F.lit(0x7FFFFFFFFFFFFFFF))
-        return h.cast("double") / float(2 ** 63)
-
-    cand = cand.where(unit(F.col("_uid"), F.col("tree"), F.lit(1)) < tau)
-    w = Window.partitionBy("tree").orderBy(unit(F.col("_uid"), F.col("tree"), F.lit(2)), "_uid")
-    picked = cand.withColumn("_rk", F.row_number().over(w)).where(F.col("_rk") <= psi).select(*feats, "tree")
+    picked = draw_samples(values, feats, n_trees, max_samples, seed)
     # one tree per group; an explicit partition count keeps AQE from packing
     # all trees into one or two Python workers
-    k = max(1, min(n_trees, df.sparkSession.sparkContext.defaultParallelism))
+    k = max(1, min(n_trees, values.sparkSession.sparkContext.defaultParallelism))
     nodes = (picked.repartition(k, "tree").groupBy("tree")
              .applyInPandas(_trainer(feats, seed), NODE_SCHEMA).toPandas())
     return nodes if len(nodes) else None
@@ -195,16 +262,16 @@ def fit_forest(df: DataFrame, features, n_trees: int = 100, max_samples: int = 2
 def isolation_forest_scores(df: DataFrame, features=("rating", "cost_for_two"), n_trees: int = 100,
                             max_samples: int = 256, seed: int = 42):
     """Anomaly score per *distinct* feature vector, with its multiplicity:
-    (features..., _w, _if_score).  ``None`` when no row has all features."""
+    (features..., _w, _if_score), staged.  ``None`` when no row has all features."""
     feats = list(features)
-    nodes = fit_forest(df, feats, n_trees, max_samples, seed)
+    values = feature_values(df, feats)
+    nodes = fit_forest(values, feats, n_trees, max_samples, seed)
     if nodes is None:
         return None
     roots = nodes[nodes["node"] == 0]
     psi = int(roots["size"].max())
     max_depth = int(nodes["depth"].max())
-    spark = df.sparkSession
-    bc = spark.sparkContext.broadcast((nodes, psi, max_depth))
+    bc = df.sparkSession.sparkContext.broadcast((nodes, psi, max_depth))
 
     def score_batches(it):
         nd, p, md = bc.value
@@ -213,23 +280,15 @@ def isolation_forest_scores(df: DataFrame, features=("rating", "cost_for_two"),
             X = pdf[feats].to_numpy(dtype=float)
             yield pdf.assign(**{SCORE: forest.score(X) if len(X) else np.zeros(0)})
 
-    distinct = _complete(df, feats).groupBy(*feats).agg(F.count(F.lit(1)).alias("_w"))
-    schema = StructType(list(distinct.schema.fields) + [StructField(SCORE, DoubleType())])
-    # Scored once, read twice (cut-off and join): written as a table in the
-    # shared checkpoint folder, which also cuts the lineage.  (A reliable
-    # DataFrame.checkpoint would run the Python scorer a second time to
-    # write its files.)
-    from venuescope.session import scratch_path
-
-    path = scratch_path(spark, f"iforest/scores-{uuid.uuid4().hex}")
-    distinct.mapInPandas(score_batches, schema).write.parquet(path)
-    return spark.read.parquet(path)
+    schema = StructType(list(values.schema.fields) + [StructField(SCORE, DoubleType())])
+    return _stage(values.mapInPandas(score_batches, schema), "scores")
 
 
 def isolation_forest_flag(df: DataFrame, features=("rating", "cost_for_two"), params: Params = REFERENCE,
-                          out: str = "anom_isoforest", keep_score: bool = False, scores=False) -> DataFrame:
+                          out: str = "anom_isoforest", keep_score: bool = False, scores=False,
+                          max_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """``df`` plus a boolean column: score strictly above the exact
-    (1 - contamination) quantile of all rows' scores.  ``scores`` may be a
+    (1 - contamination) quantile of all rows' scores; rows that miss a feature are normal.  ``scores`` may be a
     result of ``isolation_forest_scores`` computed earlier on the same rows."""
     feats = list(features)
     if scores is False:
@@ -240,10 +299,9 @@ def isolation_forest_flag(df: DataFrame, features=("rating", "cost_for_two"), pa
     # the score table is already one row per distinct feature vector with its
     # multiplicity
     cut = exact_percentiles(scores, SCORE, [1.0 - params.contamination], names=["q"], weight="_w").select("q").scalar()
-    # join on the feature values; a missing feature finds no score -> normal
-    keyed = df.select("*", *[F.col(c).cast("double").alias(f"_if_k{i}") for i, c in enumerate(feats)])
-    sc = scores.select(*[F.col(c).alias(f"_if_k{i}") for i, c in enumerate(feats)], SCORE)
-    j = keyed.join(sc, on=[f"_if_k{i}" for i in range(len(feats))], how="left")
+    keys = [f"_if_k{i}" for i in range(len(feats))]
+    keyed = df.select("*", *[_key(c).alias(k) for c, k in zip(feats, keys)])
+    j = attach(keyed, scores.select(*[F.col(c).alias(k) for c, k in zip(feats, keys)], SCORE), keys, max_bytes)
     res = j.withColumn(out, F.coalesce(F.col(SCORE) > cut, F.lit(False)))
     cols = list(df.columns) + [out] + ([SCORE] if keep_score else [])
     return res.select(*cols)

@@ -65,6 +65,16 @@ def validate(raw: DataFrame, clean: DataFrame, params: Params = REFERENCE) -> Da
     return report_from_counts(counts, params)
 
 
+def validate_written(raw: DataFrame, rows_read: int, clean_counts: dict, params: Params = REFERENCE) -> DataFrame:
+    """The same report from what the writes of the raw and the clean table have counted already
+    (``clean_count_columns`` observed): only the duplicates are left to look for."""
+    seen = duplicate_rows(raw).select("duplicates", "rows")
+    counts = seen.select(F.lit(rows_read).cast("bigint").alias("rows_read"),
+                         *[F.lit(int(v)).cast("bigint").alias(k) for k, v in clean_counts.items()],
+                         F.col("duplicates").alias("duplicate_rows_in_raw"))
+    return report_from_counts(counts, params)
+
+
 def gate(report_row) -> None:
     """Stop before any publish when the report says FAIL."""
     status = report_row["pipeline_status"]

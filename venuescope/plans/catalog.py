@@ -112,14 +112,14 @@ def _explode_lenient(spark, d):
 # --- publish and export ------------------------------------------------------
 @register("publish_tables")
 def _publish(spark, d):
-    """Stages both tables in the shared folder, reads them back, swaps them in as views, and returns the
+    """Stages both tables in the shared folder, verifies and publishes them together, and returns the
     row counts and residual '0' cuisines of the files."""
     out = scratch_path(spark, f"published-{uuid.uuid4().hex}")
-    paths = sinks.stage_tables({"restaurants": restaurants(spark, d)}, out)
-    paths |= sinks.stage_tables({"restaurant_cuisines": explode_cuisines(spark.read.parquet(paths["restaurants"]))}, out)
-    counts = sinks.published_counts(spark, paths)
-    sinks.swap_in(spark, paths)
-    return counts
+    rows: dict[str, int] = {}
+    paths = sinks.stage_tables({"restaurants": restaurants(spark, d)}, out, rows=rows)
+    paths |= sinks.stage_tables({"restaurant_cuisines": explode_cuisines(spark.read.parquet(paths["restaurants"]))}, out, rows=rows)
+    sinks.publish(spark, paths, rows, out)
+    return sinks.published_counts(spark, paths)
 
 
 @register("query_export_counts")
@@ -324,8 +324,20 @@ def _iforest(spark, d):
     return isolation_forest_flag(restaurants(spark, d), params=P)
 
 
-def _detected(spark, d):
-    return anomaly.detect_all(restaurants(spark, d), P, with_forest=True)
+def _detected(spark, d, with_forest=True):
+    return anomaly.detect_all(restaurants(spark, d), P, with_forest=with_forest)
+
+
+@register("anom_summary_statistical")
+def _anom_summary_statistical(spark, d):
+    """The summary's three counts that need no forest."""
+    return _detected(spark, d, with_forest=False)[1].drop("isolation_forest_anomalies")
+
+
+@register("operational_risk_venues")
+def _risk_venues(spark, d):
+    """The risk export without the forest's flag."""
+    return _detected(spark, d, with_forest=False)[0].where(F.col("operational_risk")).drop("anom_isoforest")
 
 
 @register("anom_summary")
@@ -359,3 +371,13 @@ def _run_report(spark, d):
     _, summary = _detected(spark, d)
     f = key_findings(c, scoring.city_opportunity(c, P), summary)
     return run_report(quality.validate(raw(spark, d), c, P), summary, f)
+
+
+@register("run_report_statistical")
+def _run_report_statistical(spark, d):
+    """The archived report's rows without the forest's count, the run's date and number."""
+    from venuescope.operators.report import key_findings, run_report
+    c = restaurants(spark, d)
+    summary = _detected(spark, d, with_forest=False)[1].drop("isolation_forest_anomalies")
+    f = key_findings(c, scoring.city_opportunity(c, P), summary)
+    return run_report(quality.validate(raw(spark, d), c, P), summary, f).drop("run_date", "run_id")

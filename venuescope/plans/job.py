@@ -12,6 +12,7 @@ the join that produced the raw view) and nothing needs to be cached.
 from __future__ import annotations
 
 import os
+import sys
 import time
 import uuid
 from concurrent.futures import ThreadPoolExecutor
@@ -23,7 +24,7 @@ from pyspark.sql import functions as F
 
 from venuescope.config import Params, REFERENCE
 from venuescope.operators import anomaly, business, report, scoring
-from venuescope.operators.quality import QualityGateError, gate, validate
+from venuescope.operators.quality import QualityGateError, clean_count_columns, gate, validate_written
 from venuescope.operators.transform import explode_cuisines, transform
 from venuescope.session import in_pool
 from venuescope.sources import sinks
@@ -96,6 +97,7 @@ def run_job(spark: SparkSession, raw: DataFrame, out_dir: str, params: Params =
 
     def timed(name, fn, *a, pool_name=None):
         in_pool(spark, pool_name)
+        spark.sparkContext.setJobGroup(run_id, name, interruptOnCancel=True)
         spark.sparkContext.setJobDescription(f"venuescope:{name}")
         t = time.perf_counter()
         v = fn(*a)
@@ -104,12 +106,14 @@ def run_job(spark: SparkSession, raw: DataFrame, out_dir: str, params: Params =
     try:
         with tm("extract"):
             raw_path = os.path.join(stage, "raw_listings", f"v={run_id}")
-            (raw.hint("rebalance") if rebalance_landing else raw).write.mode("errorifexists").parquet(raw_path)
+            raw_obs, clean_obs = Observation("raw"), Observation("clean")
+            (raw.hint("rebalance") if rebalance_landing else raw).observe(raw_obs, F.count(F.lit(1)).alias("rows")) \
+                .write.mode("errorifexists").parquet(raw_path)
             raw_t = spark.read.parquet(raw_path)
 
         with tm("transform"):
             clean_path = os.path.join(stage, "restaurants", f"v={run_id}")
-            transform(raw_t, params).write.mode("errorifexists").parquet(clean_path)
+            transform(raw_t, params).observe(clean_obs, *clean_count_columns()).write.mode("errorifexists").parquet(clean_path)
             clean = spark.read.parquet(clean_path)
             cuis_path = os.path.join(stage, "restaurant_cuisines", f"v={run_id}")
             cuis_obs = Observation("cuisines")
@@ -131,11 +135,12 @@ def run_job(spark: SparkSession, raw: DataFrame, out_dir: str, params: Params =
             forest = pool.submit(timed, "forest", isolation_forest_scores, clean, ["rating", "cost_for_two"],
                                  params.iforest_trees, params.iforest_max_samples, params.seed,
                                  pool_name="critical")
-        # the IQR bounds narrow their ranks with a few small jobs: also ahead
-        iqr_fut = pool.submit(timed, "iqr_bounds", anomaly.iqr_bounds, clean, "cost_for_two", pool_name="critical")
+        # what the other detectors know of the costs, in two passes: also ahead
+        stat_fut = pool.submit(timed, "statistics", anomaly.column_statistics, clean, "cost_for_two", pool_name="critical")
 
         with tm("validate"):
-            q = validate(raw_t, clean, params).collect()[0].asDict()
+            # the writes have counted all but the duplicates
+            q = validate_written(raw_t, raw_obs.get["rows"], clean_obs.get, params).collect()[0].asDict()
             tm.t["explode"] = cuis_fut.result()[1]
             cuisines = spark.read.parquet(cuis_path)
         try:
@@ -148,9 +153,8 @@ def run_job(spark: SparkSession, raw: DataFrame, out_dir: str, params: Params =
 
         with tm("publish"):
             # the staged files are read back and must hold what was written before the swap
-            counts = [r.asDict() for r in sinks.published_counts(spark, paths).orderBy("table_name").collect()]
-            sinks.verify_counts(counts, {"restaurants": q["rows_after_cleaning"], "restaurant_cuisines": cuis_obs.get["rows"]})
-            sinks.swap_in(spark, paths, catalog_tables=database is not None, database=database)
+            expected = {"restaurants": q["rows_after_cleaning"], "restaurant_cuisines": cuis_obs.get["rows"]}
+            counts = sinks.publish(spark, paths, expected, stage, database)
 
         # Everything below depends only on the published tables: independent
         # Spark jobs submitted from a small thread pool, so short jobs do not
@@ -170,9 +174,9 @@ def run_job(spark: SparkSession, raw: DataFrame, out_dir: str, params: Params =
             if forest is not None:
                 name, secs, scores = forest.result()
                 tm.t[name] = secs
-            name, secs, iqr = iqr_fut.result()
+            name, secs, known = stat_fut.result()
             tm.t[name] = secs
-            flagged, _ = anomaly.detect_all(clean, params, with_forest=with_forest, forest_scores=scores, iqr=iqr)
+            flagged, _ = anomaly.detect_all(clean, params, with_forest=with_forest, forest_scores=scores, statistics=known)
             flagged.observe(anom_obs, *anomaly.summary_columns()).write.mode("errorifexists").parquet(flags_path)
             sinks.write_csv(spark.read.parquet(flags_path).where(F.col("operational_risk")),
                             os.path.join(out_csv, "operational_risk_restaurants.csv"))
@@ -203,7 +207,11 @@ def run_job(spark: SparkSession, raw: DataFrame, out_dir: str, params: Params =
                  .where((F.col("run_date") == run_date) & (F.col("run_id") == run_id) & (F.col("section") == "key_findings"))
                  .orderBy("item_no").collect()]
     finally:
-        pool.shutdown(wait=True)
+        # on a failed gate nobody waits for the forest
+        spark.sparkContext.setJobDescription(None)
+        if sys.exc_info()[0] is not None:
+            spark.sparkContext.cancelJobGroup(run_id)
+        pool.shutdown(wait=True, cancel_futures=True)
 
     return JobResult(status=q["pipeline_status"], quality=q, timings=tm.t, exported=exported,
                      anomalies=s, findings=f, paths=dict(paths, flags=flags_path, reports=report_path,

@@ -540,3 +540,39 @@ FROM st""",
        WHERE city_clean IS NOT NULL AND cost_for_two IS NOT NULL GROUP BY city_clean)""",
     f"""rk AS (SELECT COUNT(*) FILTER (WHERE COALESCE(r.cost_for_two > p.p75 AND r.rating < {P.low_rating}, FALSE))
               AS risk FROM restaurants r LEFT JOIN p ON r.city_clean = p.city_clean)""")
+
+
+# --- flags and report without the forest -------------------------------------
+_COST_STATS = (
+    """p AS (SELECT city_clean, quantile_cont(cost_for_two, 0.75) AS p75 FROM restaurants
+       WHERE city_clean IS NOT NULL AND cost_for_two IS NOT NULL GROUP BY city_clean)""",
+    """c AS (SELECT quantile_cont(cost_for_two, 0.25) AS q1, quantile_cont(cost_for_two, 0.75) AS q3,
+              AVG(cost_for_two) AS m, STDDEV_POP(cost_for_two) AS sd FROM restaurants)""",
+    f"""flagged AS (
+  SELECT r.*, COALESCE(cost_for_two < q1 - (q3 - q1) * 1.5 OR cost_for_two > q3 + (q3 - q1) * 1.5, FALSE) AS anom_iqr_cost,
+         COALESCE(abs((cost_for_two - m) / NULLIF(sd, 0)) > 3.0, FALSE) AS anom_zscore_cost,
+         COALESCE(cost_for_two > p75 AND rating < {P.low_rating}, FALSE) AS operational_risk
+  FROM restaurants r CROSS JOIN c LEFT JOIN p ON r.city_clean = p.city_clean)""")
+_COUNTED = ", ".join(f"{n_true(flag)} AS {name}" for flag, name in (
+    ("anom_iqr_cost", "iqr_cost_anomalies"), ("anom_zscore_cost", "zscore_cost_anomalies"), ("operational_risk", "operational_risk_flags")))
+SQL["anom_summary_statistical"] = with_base(f"SELECT {_COUNTED} FROM flagged", *_COST_STATS)
+SQL["operational_risk_venues"] = with_base("SELECT * FROM flagged WHERE operational_risk", *_COST_STATS)
+
+
+def _section(name: str, items) -> str:
+    """One row for each (number, column) of a one-row statement."""
+    return " UNION ALL ".join(f"SELECT '{name}' AS section, {i} AS item_no, '{c}' AS item, CAST({c} AS VARCHAR) AS value FROM {name}"
+                              for i, c in enumerate(items, 1))
+
+
+def _as_cte(name: str, sql: str) -> str:
+    return f"{name} AS (\n{sql}\n)"
+
+
+SQL["run_report_statistical"] = (
+    "WITH " + ",\n".join(_as_cte(n, SQL[q]) for n, q in (("data_quality", "quality_report"), ("anomaly_detection", "anom_summary_statistical"),
+                                                       ("found", "key_findings"))) + "\n"
+    + _section("data_quality", ("rows_read", "rows_after_cleaning", "duplicate_rows_in_raw", "missing_ratings_new_restaurants", "missing_costs",
+                                "invalid_cities", "structurally_valid_rows", "data_quality_pct", "pipeline_status"))
+    + " UNION ALL " + _section("anomaly_detection", ("iqr_cost_anomalies", "zscore_cost_anomalies", "operational_risk_flags"))
+    + " UNION ALL SELECT 'key_findings', finding_no, 'finding_' || finding_no, finding FROM found")
