@@ -4,13 +4,14 @@ The tree of all word sequences is never built whole.  It is cut into subtrees by
 suffix, the prefix, and prefixes are put into groups whose suffixes together fit a budget:
 
 1. one pass counts the words.  Frequent words (a table of bounded size) are packed into groups first-fit by
-   their counts, one above the budget alone gets several groups; all others are dealt by hash to so many
-   groups that each stays about within the budget;
-2. a second pass cuts every suffix after ``max_words`` words, within its piece, merges equal ones of a batch
+   their counts; one above the budget alone is extended by the words after it, dealt to several groups, and
+   pairs above the budget, counted in a pass of their own, by the words after those; all other prefixes are dealt by hash
+   to so many groups that each stays about within the budget;
+2. a next pass cuts every suffix after ``max_words`` words, within its piece, merges equal ones of a batch
    and sends each prefix's rest to its group;
 3. a group builds its subtrees on its own: its suffixes sorted word by word, so that every node is a
-   run of neighbours and its count the total of the leaves below.  The groups of a split prefix hold
-   parts of its nodes, whose totals are then added.
+   run of neighbours and its count the total of the leaves below.  Only the nodes of pairs above the budget
+   lie in several groups, and their totals are added.
 
 Phrase counts are exact: words are compared as bytes, never by hash.
 """
@@ -103,6 +104,29 @@ def pack_prefixes(heavy: list[tuple[str, bytes, int]], budget: int) -> tuple[dic
     return plan, used
 
 
+def count_pairs(docs: DataFrame, split) -> DataFrame:
+    """(lang, w, w2, n): occurrences of each word pair whose first word is in the broadcast set ``split``."""
+    def run(batches):
+        for batch in batches:
+            for part in row_slices(batch, "t", BATCH):
+                words, row, piece = piece_words(part.column("t"))
+                ids, types = _numbered(words)
+                lang, names = _langs(part)
+                known = {x.as_py(): i for i, x in enumerate(names)}
+                here = pc.index_in(pa.array([w for l, w in split.value if l in known], pa.binary()), types)
+                of = np.array([known[l] for l, _ in split.value if l in known], np.int64)
+                at = here.to_numpy(zero_copy_only=False)
+                wanted = of[~np.isnan(at.astype(float))] * max(1, len(types)) + at[~np.isnan(at.astype(float))].astype(np.int64)
+                first = np.flatnonzero((piece[1:] == piece[:-1]) & np.isin(lang[row[:-1]] * max(1, len(types)) + ids[:-1], wanted)) if len(ids) else np.empty(0, np.int64)
+                order = first[np.lexsort((ids[first + 1], ids[first], lang[row[first]]))]
+                cols = lang[row[order]], ids[order], ids[order + 1]
+                at = _runs(*cols)
+                yield pa.RecordBatch.from_arrays([names.take(pa.array(cols[0][at])), types.take(pa.array(cols[1][at])), types.take(pa.array(cols[2][at])),
+                                                  pa.array(np.diff(np.r_[at, len(order)]), pa.int64())], ["lang", "w", "w2", "n"])
+
+    return docs.mapInArrow(run, "lang string, w binary, w2 binary, n long").groupBy("lang", "w", "w2").agg(F.sum("n").alias("n"))
+
+
 def _runs(*cols: np.ndarray) -> np.ndarray:
     """Where a run of equal rows begins, in sorted columns."""
     new = np.zeros(len(cols[0]), bool)
@@ -119,11 +143,12 @@ def _joined(words: pa.Array, tails: list[pa.Array]) -> pa.Array:
 
 def send_suffixes(docs: DataFrame, plan, heavy_groups: int, light_groups: int, max_words: int) -> DataFrame:
     """(g, lang, w, tails, n): for a batch's prefixes the distinct rests of their suffixes, cut after ``max_words``
-    words in all, one a line, and their counts.  ``plan`` is a broadcast of pack_prefixes' table."""
+    words in all, one a line, and their counts.  ``plan`` is a broadcast of the groups of frequent prefixes and
+    of those of pairs above the budget."""
     def run(batches):
         import xxhash
 
-        where = plan.value
+        where, pairs = plan.value
         for batch in batches:
             for part in row_slices(batch, "t", BATCH):
                 words, row, piece = piece_words(part.column("t"))
@@ -142,7 +167,7 @@ def send_suffixes(docs: DataFrame, plan, heavy_groups: int, light_groups: int, m
                 n = np.diff(np.r_[at, len(order)]).astype("<u4")
                 cols = [c[at] for c in cols]
                 first = _runs(*cols[:2])
-                # the group of each prefix; a split one deals its suffixes by hash of all their words
+                # the group of each prefix; a split one deals its suffixes by the next word, or all of them
                 keys, spans = [], []
                 byte = types.to_pylist() if len(first) > len(types) // 2 else None
                 for l, w in zip(names.take(pa.array(cols[0][first])).to_pylist(), cols[1][first].tolist()):
@@ -157,9 +182,18 @@ def send_suffixes(docs: DataFrame, plan, heavy_groups: int, light_groups: int, m
                 split = np.repeat(count, size)
                 tails = [types.take(pa.array(c, mask=c < 0)) for c in cols[2:]]
                 tail = _joined(pc.fill_null(tails[0], b""), tails[1:])      # where the first has ended, so have the others
-                some = np.flatnonzero(split > 1)
-                if len(some):
-                    g[some] += np.array([xxhash.xxh3_64_intdigest(x) % m for x, m in zip(tail.take(pa.array(some)).to_pylist(), split[some].tolist())], np.int64)
+                if (split > 1).any():
+                    at = _runs(*cols[:3])
+                    ends = np.r_[at, len(g)]
+                    of = np.searchsorted(first, at, side="right") - 1
+                    for i in np.flatnonzero(split[at] > 1).tolist():
+                        x, y = ends[i], ends[i + 1]
+                        second = types[int(cols[2][x])].as_py() if cols[2][x] >= 0 else b""
+                        hot = pairs.get((*keys[of[i]], second))
+                        if hot:
+                            g[x:y] = hot[0] + np.array([xxhash.xxh3_64_intdigest(t) % hot[1] for t in tail[x:y].to_pylist()], np.int64)
+                        else:
+                            g[x:y] += xxhash.xxh3_64_intdigest(second) % int(split[x])
                     back = np.lexsort((np.arange(len(g)), g, cols[1], cols[0]))
                     g, n, tail, cols = g[back], n[back], tail.take(pa.array(back)), [c[back] for c in cols]
                 at = _runs(cols[0], cols[1], g)
@@ -216,25 +250,29 @@ def subtrees(part: pa.Table, max_words: int) -> tuple[pa.Array, pa.Array, pa.Arr
 
 def count_phrases(sent: DataFrame, plan, least: int, max_words: int) -> DataFrame:
     """(lang, phrase, k, f, whole): the nodes of ``k`` = 2 to ``max_words`` words of each group's subtrees with their
-    counts.  Those of a split prefix are not ``whole`` and all there, the others if they reach ``least``."""
+    counts: those of a pair above the budget are all there and not ``whole``, the others if they reach ``least``."""
     def build(part: pa.Table) -> pa.Table:
         langs, words, dictionary, cols, n = subtrees(part, max_words)
-        where = plan.value
-        out = []
-        names, texts = langs.to_pylist(), words.to_pylist()
-        at = _runs(*cols[:2])
-        whole = np.repeat([where.get((names[a], texts[b]), (0, 1))[1] == 1 for a, b in zip(cols[0][at].tolist(), cols[1][at].tolist())],
-                          np.diff(np.r_[at, len(n)])) if len(at) else np.empty(0, bool)
+        pairs, out = plan.value[1], []
+        whole = np.ones(len(n), bool)
+        if pairs:
+            names, texts, more = langs.to_pylist(), words.to_pylist(), dictionary.to_pylist()
+            at = _runs(*cols[:3])
+            split = [(names[a], texts[b], more[c] if c >= 0 else b"") in pairs for a, b, c in zip(*(col[at].tolist() for col in cols[:3]))]
+            whole = np.repeat(~np.array(split, bool), np.diff(np.r_[at, len(n)]))
         for k in range(2, max_words + 1):
             at = _runs(*cols[:k + 1])
             if not len(at):
                 continue
             f = np.add.reduceat(n, at)
-            keep = (cols[k][at] >= 0) & ((f >= least) | ~whole[at])
+            # a node of all its words is in one group even if its pair is not
+            done = whole[at] | (k == max_words)
+            keep = (cols[k][at] >= 0) & ((f >= least) | ~done)
+            done = done[keep]
             at, f = at[keep], f[keep]
             phrase = _joined(words.take(pa.array(cols[1][at])), [dictionary.take(pa.array(c[at])) for c in cols[2:k + 1]])
             out.append(pa.table({"lang": langs.take(pa.array(cols[0][at])), "phrase": phrase, "k": pa.array(np.full(len(at), k, np.int32)),
-                                 "f": pa.array(f), "whole": pa.array(whole[at])}))
+                                 "f": pa.array(f), "whole": pa.array(done)}))
         empty = pa.table({c: pa.array([], t) for c, t in (("lang", pa.string()), ("phrase", pa.binary()), ("k", pa.int32()),
                                                           ("f", pa.int64()), ("whole", pa.bool_()))})
         return pa.concat_tables(out) if out else empty
@@ -269,9 +307,18 @@ def collocations(docs: DataFrame, max_words: int = 3, least: int = 10, contained
     cut = max(budget // 16, -(-total // heavy_words), 1)
     heavy = [(r.lang, bytes(r.w), r.n) for r in words.where(F.col("n") >= cut).collect()]
     table_, used = pack_prefixes(heavy, budget)
-    plan = spark.sparkContext.broadcast(table_)
-    light = total - sum(n for *_, n in heavy)
-    nodes = count_phrases(send_suffixes(rows, plan, used, max(1, -(-light // budget)), max_words), plan, least, max_words)
+    over, pairs = {x for x, (_, parts) in table_.items() if parts > 1}, {}
+    if over and max_words > 2:
+        known = spark.sparkContext.broadcast(over)
+        hot = count_pairs(rows, known).where(F.col("n") > max(budget, total // heavy_words)).collect()
+        for r in sorted(hot, key=lambda r: (r.lang, bytes(r.w), bytes(r.w2))):
+            pairs[r.lang, bytes(r.w), bytes(r.w2)] = (used, -(-r.n // budget))
+            used += -(-r.n // budget)
+    plan = spark.sparkContext.broadcast((table_, pairs))
+    light = max(1, -(-(total - sum(n for *_, n in heavy)) // budget))
+    # as many tasks as groups, so that a task's share stays as the corpus grows
+    sent = send_suffixes(rows, plan, used, light, max_words).repartition(used + light, "g")
+    nodes = count_phrases(sent, plan, least, max_words)
     nodes = stage(nodes, "phrases-nodes")
     split = nodes.where("not whole").groupBy("lang", "phrase", "k").agg(F.sum("f").alias("f")).where(F.col("f") >= least)
     found = nodes.where("whole").select("lang", "phrase", "k", "f").union(split)
