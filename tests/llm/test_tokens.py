@@ -153,3 +153,22 @@ def test_plan_is_best_fit():
         assert len(bins) == best_fit(lengths, cap)
     assert packing.plan({}, 10) == []
     assert len(packing.plan({n: 10**12 for n in range(1, 2049)}, 2048)) < 200_000      # counts cost nothing
+
+
+def test_long_pieces_take_seconds_and_equal_the_library():
+    """Unbroken runs of letters, of one letter and of CJK characters: one piece each."""
+    import random
+    import time
+
+    import tiktoken
+
+    own = byte_bpe.Codec(P.path("byte_bpe_50k.tiktoken"), P.PATTERN)
+    library = tiktoken.Encoding("x", pat_str=P.PATTERN, mergeable_ranks=own.ranks, special_tokens={})
+    rng = random.Random(1)
+    runs = ["".join(chr(rng.randint(0x4E00, 0x9FFF)) for _ in range(60000)), "a" * 100001, "".join(rng.choice("etaoinshrdlu") for _ in range(100000)),
+            "\u6f22\u5b57" * 20000, "".join(rng.choice("ab") for _ in range(257))]
+    start = time.perf_counter()
+    ids = [np.frombuffer(x, "<i4") for x in own.encode(runs)]
+    assert time.perf_counter() - start < 30
+    assert [x.tolist() for x in ids] == [library.encode_ordinary(t) for t in runs]
+    assert own.decode(np.concatenate(ids), np.array([len(x) for x in ids])).to_pylist() == [t.encode() for t in runs]

@@ -4,22 +4,27 @@ Distinct pieces of a batch are laid out as padded matrices, one per length
 bucket.  In each round every row merges its leftmost pair of lowest rank; the
 hole is closed by compaction, and rows without a mergeable pair leave the matrix.
 The rank of a pair comes from an open-addressing hash table over (left, right).
+
+A piece of more than ``LONG`` bytes makes the same merges in the same order, but on a linked list with the
+ranks in a heap, as moving a row of its length for each of them would take the square of its length.
 """
 
 from __future__ import annotations
 
 import base64
+import heapq
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import list_array, mix64, row_slices
 
 NONE = np.int32(2**31 - 1)     # rank of a pair that does not merge
-LONG = 256                     # rows above this many bytes merge all their lowest pairs at once
+LONG = 256                     # pieces above this many bytes are merged on a list, not in a matrix
 _WORKER: dict = {}             # (path, pattern) -> Codec
 
 
@@ -40,10 +45,9 @@ class PairTable:
                     keys.append(a << 32 | b)
                     values.append(rank)
         key, value = np.array(keys, np.uint64), np.array(values, np.int32)
-        #: every merge outranks its parts: merging a pair never creates a lower one
-        self.rising = bool(len(key) == 0 or np.all(value > np.maximum(key >> np.uint64(32), key & np.uint64(0xFFFFFFFF))))
         size = 1 << max(4, int(3 * len(key)).bit_length())
         self.mask = np.uint64(size - 1)
+        self._single: dict[int, int] | None = None
         self.keys, self.values = np.full(size, 2**64 - 1, np.uint64), np.full(size, NONE, np.int32)
         slot, left, self.probes = mix64(key) & self.mask, np.arange(len(key)), 0
         while len(left):
@@ -55,6 +59,13 @@ class PairTable:
             left = left[self.keys[slot[left]] != key[left]]
             slot[left] = (slot[left] + np.uint64(1)) & self.mask
 
+    def lookup(self) -> dict[int, int]:
+        """The table as (left << 32 | right) -> rank, for single pairs; made when it is first asked for."""
+        if self._single is None:
+            used = np.flatnonzero(self.values != NONE)
+            self._single = dict(zip(self.keys[used].tolist(), self.values[used].tolist()))
+        return self._single
+
     def rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Ranks of pairs; ids below 0 (padding) and unknown pairs give NONE."""
         out = np.full(left.shape, NONE, np.int32)
@@ -83,9 +94,10 @@ class Codec:
         self.split = regex.compile(pattern).findall
         self.pairs = PairTable(self.ranks)
         self.byte = np.array([self.ranks[bytes([i])] for i in range(256)], np.int32)
-        self.bytes_of = [b""] * (max(self.ranks.values()) + 1)
+        bytes_of = [b""] * (max(self.ranks.values()) + 1)
         for token, rank in self.ranks.items():
-            self.bytes_of[rank] = token
+            bytes_of[rank] = token
+        self.bytes_of = pa.array(bytes_of, pa.large_binary())
         self.known: dict[str, bytes] = {}
         self.room = room
 
@@ -120,22 +132,36 @@ class Codec:
                 rank[has, at[has] - 1] = self.pairs.rank(ids[has, at[has] - 1], ids[has, at[has]])
 
     def _long(self, ids: np.ndarray) -> np.ndarray:
-        """One long row.  As every merge outranks its parts, a merge of the lowest rank leaves
-        the row's other pairs of that rank lowest, so a round takes all of them from the left."""
-        while len(ids) > 1:
-            rank = self.pairs.rank(ids[:-1], ids[1:])
-            low = rank.min()
-            if low == NONE:
-                break
-            at = np.flatnonzero(rank == low)
-            if not self.pairs.rising:
-                at = at[:1]
-            run = np.cumsum(np.diff(at, prepend=-2) != 1)   # in a run of overlapping pairs, every other one
-            first = at[np.flatnonzero(np.diff(run, prepend=0))]
-            at = at[(at - first[run - 1]) % 2 == 0]
-            ids[at] = low
-            ids = np.delete(ids, at + 1)
-        return ids
+        """One long row: the leftmost pair of lowest rank is the least of the heap; entries of pairs that
+        are gone are passed over."""
+        n = len(ids)
+        first = self.pairs.rank(ids[:-1], ids[1:])
+        some = np.flatnonzero(first != NONE)
+        heap = (first[some].astype(np.int64) << 32 | some).tolist()
+        heapq.heapify(heap)
+        token, rank, none = ids.tolist(), [*first.tolist(), int(NONE)], int(NONE)
+        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+        of = self.pairs.lookup().get
+        while heap:
+            low, i = divmod(heapq.heappop(heap), 1 << 32)
+            if rank[i] != low:
+                continue
+            gone = after[i]
+            j = after[i] = after[gone]
+            token[i], token[gone], rank[gone] = low, -1, -1
+            rank[i] = none
+            if j < n:
+                before[j] = i
+                rank[i] = of(low << 32 | token[j], none)
+                if rank[i] != none:
+                    heapq.heappush(heap, rank[i] << 32 | i)
+            h = before[i]
+            if h >= 0:
+                rank[h] = of(token[h] << 32 | low, none)
+                if rank[h] != none:
+                    heapq.heappush(heap, rank[h] << 32 | h)
+        out = np.array(token, np.int32)
+        return out[out >= 0]
 
     def learn(self, pieces) -> None:
         """Encode the pieces that are not in the cache yet, by length bucket."""
@@ -171,8 +197,14 @@ class Codec:
         get = self.known.__getitem__
         return [b"".join(map(get, pieces)) for pieces in cut]
 
-    def decode(self, ids: list[int]) -> bytes:
-        return b"".join(map(self.bytes_of.__getitem__, ids))
+    def decode(self, flat: np.ndarray, sizes: np.ndarray) -> pa.Array:
+        """The bytes of rows of ids laid end to end."""
+        whole = self.bytes_of.take(pa.array(flat.astype(np.int64)))
+        ends = np.frombuffer(whole.buffers()[1], np.int64)[:len(whole) + 1] if len(whole) else np.zeros(1, np.int64)
+        rows = np.zeros(len(sizes) + 1, np.int64)
+        np.cumsum(sizes, out=rows[1:])
+        data = whole.buffers()[2] if len(whole) else pa.py_buffer(b"")
+        return pa.Array.from_buffers(pa.large_binary(), len(sizes), [None, pa.py_buffer(ends[rows].copy()), data]).cast(pa.binary())
 
 
 def codec(path: str, pattern: str) -> Codec:
@@ -195,7 +227,7 @@ def encode(docs: DataFrame, path: str, pattern: str, doc_id: str = "doc_id", tex
                 lists = list_array(flat, np.array([len(r) // 4 for r in raw]), pa.int32())
                 cols = [part.column("d"), lists]
                 if decoded:
-                    cols.append(pa.array([own.decode(ids) for ids in lists.to_pylist()], pa.binary()))
+                    cols.append(own.decode(flat, np.array([len(r) // 4 for r in raw], np.int64)))
                 yield pa.RecordBatch.from_arrays(cols, names)
 
     names = ["d", "ids", "decoded"][:2 + decoded]
@@ -209,8 +241,9 @@ def decode(encoded: DataFrame, path: str, pattern: str, doc_id: str = "doc_id",
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             own = codec(path, pattern)
-            out = [own.decode(x or []) for x in batch.column("i").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("d"), pa.array(out, pa.binary())], ["d", "decoded"])
+            sizes = pc.fill_null(pc.list_value_length(batch.column("i")), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+            out = own.decode(batch.column("i").flatten().to_numpy(zero_copy_only=False), sizes)
+            yield pa.RecordBatch.from_arrays([batch.column("d"), out], ["d", "decoded"])
 
     kind = encoded.schema[doc_id].dataType.simpleString()
     return encoded.select(F.col(doc_id).alias("d"), F.col(ids).alias("i")).mapInArrow(
