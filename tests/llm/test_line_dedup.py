@@ -80,3 +80,27 @@ def test_cuckoo_filter():
     assert own.insert(keys[:5_000]) and own.contains(keys[:5_000]).all()
     assert not CuckooFilter(keys[:100]).insert(keys[100:10_000])
     assert CuckooFilter(np.array([], np.uint64)).contains(keys[:5]).sum() == 0
+
+
+def test_an_empty_state_changes_nothing(spark):
+    docs = spark.createDataFrame([(1, "x" * 50), (2, None)], "doc_id long, text string")
+    state = LineDedup(spark, min_docs=1)
+    assert as_dict(state.delete(docs).rewrite(docs)) == {1: (1, 0, "x" * 50), 2: (1, 0, "")}
+    state.insert(docs.limit(0)).delete(docs)
+    assert state.counts.count() == 0 and as_dict(state.rewrite(docs)) == {1: (1, 0, "x" * 50), 2: (1, 0, "")}
+
+
+def test_counts_after_every_step_equal_those_from_scratch(spark):
+    rng = np.random.default_rng(12)
+    pool = [f"a line of more than ten characters, number {i}" for i in range(30)]
+    docs = [(i, "\n".join(rng.choice(pool, 6))) for i in range(60)]
+    table = lambda ds: spark.createDataFrame(ds, "doc_id long, text string")
+    state, held = LineDedup(spark, min_chars=10, min_docs=3), []
+    for step, part in (("insert", docs[:25]), ("insert", docs[25:40]), ("delete", docs[5:30]), ("insert", docs[40:]), ("delete", docs[38:60:3] + [(999, "")])):
+        getattr(state, step)(table(part))
+        ids = {d for d, _ in part}
+        held = held + part if step == "insert" else [x for x in held if x[0] not in ids]
+        fresh = LineDedup(spark, min_chars=10, min_docs=3).insert(table(held))
+        assert sorted(map(tuple, state.counts.select("hi", "lo", "n_docs", "keeper").collect())) == sorted(
+            map(tuple, fresh.counts.select("hi", "lo", "n_docs", "keeper").collect()))
+        assert as_dict(state.rewrite(table(held))) == {d: x for d, x in plain(held, 10, 3).items()}

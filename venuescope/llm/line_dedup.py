@@ -72,53 +72,78 @@ def line_keys(docs: DataFrame, min_chars: int, shards: int, doc_id: str, text: s
             .mapInArrow(run, "d long, shard int, hi long, lo long"))
 
 
+KEY = ["shard", "hi", "lo"]
+
+
 class LineDedup:
-    """State of the line dedup over the documents inserted so far.
+    """State of the line dedup over the documents inserted so far; it begins empty, and so deletes and rewrites nothing.
 
-    Every row counts as a document; rows with a null id or text have no keys, so they neither
-    count nor lose a line.  ``insert`` and ``delete`` take (id, text) rows; ``rewrite`` drops lines."""
+    Every row counts as a document, so rows that repeat an id count each (one inserted again counts again, and a deletion
+    takes out all of them); rows with a null id or text have no keys, so they neither
+    count nor lose a line.  ``insert`` and ``delete`` take (id, text) rows and adjust the counts of the keys of these rows
+    alone; ``rewrite`` drops lines."""
 
     def __init__(self, spark, min_chars: int = 40, min_docs: int = 5, shards: int = 64,
                  ship_bytes: int = 64 << 20, doc_id: str = "doc_id", text: str = "text"):
         self.spark, self.min_chars, self.min_docs, self.shards = spark, min_chars, min_docs, shards
         self.ship_bytes, self.doc_id, self.text = ship_bytes, doc_id, text
-        self.postings = self.counts = self.filters = None
+        self.filters = None
+        self.postings: list[DataFrame] = []         # one staged table for each insertion
+        self.counts = spark.createDataFrame([], "shard int, hi long, lo long, n_docs long, keeper long")
 
     def _keys(self, docs: DataFrame, shipped=None) -> DataFrame:
         return line_keys(docs, self.min_chars, self.shards, self.doc_id, self.text, shipped)
 
+    def _held(self) -> DataFrame:
+        """The postings of all insertions, without what was deleted after them."""
+        out = self.postings[0]
+        for p in self.postings[1:]:
+            out = out.unionByName(p)
+        return out
+
     def insert(self, docs: DataFrame) -> "LineDedup":
         """Add the documents of ``docs``; an empty table changes nothing."""
-        new = self._keys(docs)
-        self.postings = stage(new if self.postings is None else self.postings.unionByName(new), "line-postings")
-        old = self.counts
-        self.counts = stage(self.postings.groupBy("shard", "hi", "lo").agg(
-            F.count("*").alias("n_docs"), F.max("d").alias("keeper")), "line-counts")
-        self._refilter(old)
+        first = not self.postings
+        new = stage(self._keys(docs), "line-postings")
+        self.postings.append(new)
+        more = new.groupBy(*KEY).agg(F.count("*").alias("n_docs"), F.max("d").alias("keeper"))
+        if first:
+            self.counts = stage(more, "line-counts")
+            self._refilter(self.counts.select(*KEY, F.lit(0).cast("long").alias("was"), "n_docs"))
+            return self
+        both = self.counts.withColumn("was", F.col("n_docs")).withColumn("new", F.lit(False)).unionByName(
+            more.withColumn("was", F.lit(0).cast("long")).withColumn("new", F.lit(True)))
+        both = stage(both.groupBy(*KEY).agg(F.sum("n_docs").alias("n_docs"), F.max("keeper").alias("keeper"), F.sum("was").alias("was"),
+                                            F.max("new").alias("new")), "line-counts")
+        self.counts = both.drop("was", "new")
+        self._refilter(both.where("new").select(*KEY, "was", "n_docs"))
         return self
 
     def delete(self, docs: DataFrame) -> "LineDedup":
-        """Take out documents inserted before, by id (all rows of an id go)."""
+        """Take out documents inserted before, by id (all rows of an id go); unknown ids change nothing.
+        Only the keys that these documents held are counted again, as their largest id may have gone."""
+        if not self.postings:
+            return self
         gone = docs.select(F.col(self.doc_id).cast("long").alias("d")).distinct()
-        self.postings = stage(self.postings.join(gone, "d", "left_anti").select("d", "shard", "hi", "lo"), "line-postings")
-        old = self.counts
-        self.counts = stage(self.postings.groupBy("shard", "hi", "lo").agg(
-            F.count("*").alias("n_docs"), F.max("d").alias("keeper")), "line-counts")
-        self._refilter(old)
+        held = self._held()
+        touched = stage(held.join(gone, "d", "left_semi").select(*KEY).distinct(), "line-touched")
+        self.postings = [stage(p.join(gone, "d", "left_anti").select("d", *KEY), "line-postings") for p in self.postings]
+        left = self._held().join(touched, KEY, "left_semi").groupBy(*KEY).agg(F.count("*").alias("n_docs"), F.max("d").alias("keeper"))
+        left = stage(left, "line-touched")
+        was = self.counts.join(touched, KEY, "left_semi").select(*KEY, F.col("n_docs").alias("was"))
+        change = stage(was.join(left.select(*KEY, "n_docs"), KEY, "left").select(*KEY, "was", F.coalesce("n_docs", F.lit(0)).alias("n_docs")), "line-change")
+        self.counts = stage(self.counts.join(touched, KEY, "left_anti").unionByName(left), "line-counts")
+        self._refilter(change)
         return self
 
-    def _refilter(self, old: DataFrame | None) -> None:
-        """Bring each shard's filter up to the counts: keys that rose to the limit go in, keys that
-        fell below it come out.  A shard's changes are its frequent keys, one task each."""
+    def _refilter(self, changed: DataFrame) -> None:
+        """Bring each shard's filter up to the counts: of the ``changed`` keys (with their counts before and after), those that
+        rose to the limit go in, those that fell below it come out.  A shard's changes are its frequent keys, one task each."""
         limit = self.min_docs
-        now = self.counts.where(F.col("n_docs") >= limit).select("shard", "hi", "lo")
-        if old is None:
-            change = now.withColumn("sign", F.lit(1))
-        else:
-            was = old.where(F.col("n_docs") >= limit).select("shard", "hi", "lo")
-            keys = ["shard", "hi", "lo"]
-            change = (now.join(was, keys, "left_anti").withColumn("sign", F.lit(1))
-                      .unionByName(was.join(now, keys, "left_anti").withColumn("sign", F.lit(-1))))
+        now = self.counts.where(F.col("n_docs") >= limit).select(*KEY)
+        rose = (F.col("was") < limit) & (F.col("n_docs") >= limit)
+        fell = (F.col("was") >= limit) & (F.col("n_docs") < limit)
+        change = changed.where(rose | fell).select(*KEY, F.when(rose, 1).otherwise(-1).alias("sign"))
         have = self.filters if self.filters is not None else self.spark.createDataFrame([], "shard int, filter binary")
 
         def update(keys, filters):
@@ -150,6 +175,8 @@ class LineDedup:
 
     def dropped(self, docs: DataFrame) -> DataFrame:
         """(d, keys array<binary>): the line keys that each document loses."""
+        if self.filters is None:
+            return self._keys(docs.limit(0)).groupBy("d").agg(F.collect_set(F.struct("hi", "lo")).alias("_lost"))
         size = self.filters.agg(F.sum(F.length("filter"))).first()[0] or 0
         shipped = None
         if size <= self.ship_bytes:       # else the exact join below does without the filters' help
