@@ -144,3 +144,14 @@ def test_sample_with_hot_duplicate_matches_brute_force(spark, digits):
         got = sorted(tuple(r) for r in eda.deterministic_sample(df, n, 42, digits=digits).collect())
         assert len(got) == min(n, 9000) and got == by_md5(df, n, 42)
     assert eda.deterministic_sample(df.limit(0), 5).count() == 0
+
+
+@pytest.mark.parametrize("digits", [1, 2, 5])
+def test_sample_is_the_same_whatever_the_digits(spark, digits):
+    """Crowded digits are counted again by more of them."""
+    df = spark.range(3000).selectExpr("id % 2500 AS k", "cast(id % 7 AS string) AS s").union(spark.range(400).selectExpr("5 AS k", "'x' AS s"))
+    rows = [(r.k, r.s) for r in df.collect()]
+    import hashlib
+    order = sorted(rows, key=lambda r: (hashlib.md5(f"42|{r[0]}|{r[1]}".encode()).hexdigest(), r))
+    for n in (0, 1, 10, 500, 4000):
+        assert sorted(tuple(r) for r in eda.deterministic_sample(df, n, digits=digits).collect()) == sorted(order[:n])

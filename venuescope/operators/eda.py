@@ -89,21 +89,31 @@ def deterministic_sample(df: DataFrame, n: int, seed: int = 42, dropna=None, dig
     their content as text.  Same input -> same sample, however it is partitioned;
     rows with equal content are copies of one row.
 
-    Two passes.  The first counts rows by the first ``digits`` hex digits of the hash; the
+    The first pass counts rows by the first ``digits`` hex digits of the hash; the
     first n counts that are not zero show below which digits n rows lie (at most n numbers
-    are read).  The second keeps the rows up to there, copies collapsed before the shuffle, and
-    ranks those: n rows and one count's worth."""
+    are read).  Where the last of these digits hold more than n rows, as on very large input, they are counted
+    again by more digits.  The final pass keeps the rows up to there, copies collapsed before the shuffle, and
+    ranks those: about 2 n rows at any size."""
     src = df.dropna(subset=list(dropna)) if dropna else df
     cols = src.columns
     text = F.concat_ws("|", F.lit(str(seed)), *[F.coalesce(F.col(c).cast("string"), F.lit("null")) for c in cols])
     t = src.withColumn("_h", F.md5(text.cast("binary")))
-    head = F.substring("_h", 1, digits)
-    counts = t.groupBy(head.alias("_p")).agg(F.count(F.lit(1)).alias("_c")).orderBy("_p").limit(int(n)).collect()
-    last, seen = "", 0
-    for r in counts:
-        last, seen = r["_p"], seen + r["_c"]
-        if seen >= n:
+    last, missing, at = "", int(n), digits
+    while missing > 0:
+        head = F.substring("_h", 1, at)
+        inside = t.where(F.col("_h").startswith(last)) if last else t
+        counts = inside.groupBy(head.alias("_p")).agg(F.count(F.lit(1)).alias("_c")).orderBy("_p").limit(missing).collect()
+        if not counts:
             break
+        seen = 0
+        for r in counts:
+            last, seen = r["_p"], seen + r["_c"]
+            if seen >= missing:
+                break
+        if seen < missing or r["_c"] <= n or at >= 32:
+            break
+        missing, at = missing - (seen - r["_c"]), at + digits
+    head = F.substring("_h", 1, max(1, len(last)))
     d = t.where(head <= last).groupBy(*cols, "_h").agg(F.count(F.lit(1)).alias("_m"))
     before = Window.orderBy("_h", *cols).rowsBetween(Window.unboundedPreceding, -1)
     d = d.withColumn("_left", F.lit(int(n)) - F.coalesce(F.sum("_m").over(before), F.lit(0)))
