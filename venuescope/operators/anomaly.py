@@ -91,8 +91,8 @@ def business_risk_flag(clean: DataFrame, params: Params = REFERENCE, out: str =
 
 @dataclass
 class Statistics:
-    """What the detectors need to know of a column: IQR bounds, mean and population sd (one row each), and
-    the per-city percentile, all staged."""
+    """What the detectors need to know of a column: IQR bounds, mean and population sd (one row each, of staged
+    tables), and the per-city percentile, staged."""
     iqr: DataFrame
     moments: DataFrame
     p75: DataFrame
@@ -103,12 +103,10 @@ def column_statistics(clean: DataFrame, value: str = "cost_for_two", city: str =
     for the moments), one reads the rows of the wanted cells."""
     counts = cell_counts(clean, value, [city])
     q, p75 = column_percentiles(clean, value, [([], [0.25, 0.75], ["q1", "q3"]), ([city], [0.75], ["_city_p75"])], counts=counts)
-    out = []
-    for name, df in (("iqr", _bounds(q, k)), ("moments", moments_of(counts)), ("p75", p75)):
-        path = scratch_path(clean.sparkSession, f"statistics/{uuid.uuid4().hex}-{name}")
-        df.write.parquet(path)
-        out.append(clean.sparkSession.read.schema(df.schema).parquet(path))
-    return Statistics(*out)
+    # one row each, read from small tables where they are needed; the per-city table is measured and joined
+    path = scratch_path(clean.sparkSession, f"city-percentile/{uuid.uuid4().hex}")
+    p75.write.parquet(path)
+    return Statistics(_bounds(q, k), moments_of(counts), clean.sparkSession.read.schema(p75.schema).parquet(path))
 
 
 def detect_all(clean: DataFrame, params: Params = REFERENCE, with_forest: bool = True,

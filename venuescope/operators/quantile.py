@@ -24,7 +24,7 @@ from __future__ import annotations
 import math
 import uuid
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from venuescope.session import scratch_path
@@ -41,6 +41,13 @@ def _stage(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def _stage_cells(cells: DataFrame) -> tuple[DataFrame, int | None]:
+    """The cells staged, and the rows of the largest one with several values, seen by the same write."""
+    seen = Observation(f"cells-{uuid.uuid4().hex}")
+    out = _stage(cells.observe(seen, F.max(F.when(F.col("_lo") < F.col("_hi"), F.col("_n"))).alias("large")))
+    return out, seen.get["large"]
+
+
 def grid_cell(v: Column) -> Column:
     """The level 0 cell of a double; infinities have cells of their own.  asinh squares, so far out its
     logarithm is taken."""
@@ -106,11 +113,11 @@ def _single(cells: DataFrame, by) -> DataFrame:
 
 
 def _settle(rows: DataFrame, cells: DataFrame, by, limit: int) -> DataFrame:
-    """(by.., k, extra, value): the value at each wanted rank.  ``cells`` is staged, one row per open cell."""
+    """(by.., k, extra, value): the value at each wanted rank of ``cells``."""
     keys = [*by, _CELL]
+    cells, large = _stage_cells(cells)
     done = _single(cells, by)
     open_ = cells.where("_lo < _hi")
-    large = open_.agg(F.max("_n")).first()[0]
     if large is None:
         return done
     inner = rows.join(open_, keys).select(*keys, _V, _W, "_n", "_lo", "_hi", "_from", "_ts")
@@ -121,10 +128,9 @@ def _settle(rows: DataFrame, cells: DataFrame, by, limit: int) -> DataFrame:
                                                     F.first("_from").alias("_from"), F.first("_ts").alias("_ts"))
         run = Window.partitionBy(*keys).orderBy("_piece").rowsBetween(Window.unboundedPreceding, 0)
         counts = counts.withColumn("_to", F.col("_from") + F.sum("_n").over(run)).withColumn("_ts", F.filter("_ts", _inside)).where(F.size("_ts") > 0)
-        cells = _stage(counts.select(*keys, "_piece", "_n", "_lo", "_hi", (F.col("_to") - F.col("_n")).alias("_from"), "_ts"))
+        cells, large = _stage_cells(counts.select(*keys, "_piece", "_n", "_lo", "_hi", (F.col("_to") - F.col("_n")).alias("_from"), "_ts"))
         done = done.union(_single(cells, by))
         open_ = cells.where("_lo < _hi")
-        large = open_.agg(F.max("_n")).first()[0]
         if large is None:
             return done
         inner = inner.select(*keys, "_piece", _V, _W).join(open_, [*keys, "_piece"])
@@ -175,8 +181,7 @@ def column_percentiles(df: DataFrame, value: str, wanted, weight: str | None = N
         for b in by:
             whole, rows = whole.where(F.col(b).isNotNull()), rows.where(F.col(b).isNotNull())
         whole = _merged(whole, [*by, _CELL]) if set(by) != set(every) else whole
-        cells = _stage(_wanted(whole, by, probs))
-        out.append(_pivot(_settle(rows, cells, by, limit), by, probs, names))
+        out.append(_pivot(_settle(rows, _wanted(whole, by, probs), by, limit), by, probs, names))
     return out
 
 
