@@ -59,7 +59,8 @@ def links(reps: DataFrame, threshold: float, bits: int, tables: int, seed: int,
             keys = pa.FixedSizeListArray.from_arrays(pa.array(out.ravel(), pa.int32()), tables).cast(pa.list_(pa.int32()))
             yield pa.RecordBatch.from_arrays([*batch.columns, keys], [*batch.schema.names, "keys"])
 
-    hashed = stage(reps.mapInArrow(hash_rows, "rep long, label long, n long, vec array<float>, keys array<int>"), "sign-hash")
+    kinds = {f.name: f.dataType.simpleString() for f in reps.schema.fields}
+    hashed = stage(reps.mapInArrow(hash_rows, f"rep long, label {kinds['label']}, n long, vec {kinds['vec']}, keys array<int>"), "sign-hash")
     rows = hashed.select("*", F.size("vec").alias("dim"), F.posexplode("keys").alias("t", "key"))
     bucket = ["t", "label", "dim", "key"]
     sizes = rows.groupBy(*bucket).agg(F.count("*").alias("m")).where("m > 1")
@@ -80,8 +81,9 @@ def links(reps: DataFrame, threshold: float, bits: int, tables: int, seed: int,
         rep, n, own, t, dim = (num(c) for c in ("rep", "n", "own", "t", "dim"))
         keys = col("keys").flatten().to_numpy().reshape(-1, tables)
         flat, ends = col("vec").flatten().to_numpy(), np.cumsum(dim)
-        order = np.lexsort((num("key"), dim, num("label"), t))
-        same = np.stack([t, num("label"), dim, num("key")])[:, order]
+        label = col("label").dictionary_encode().indices.to_numpy(zero_copy_only=False)     # labels of any type
+        order = np.lexsort((num("key"), dim, label, t))
+        same = np.stack([t, label, dim, num("key")])[:, order]
         cuts = np.flatnonzero(np.r_[True, (same[:, 1:] != same[:, :-1]).any(axis=0), True])
         got = []
         for x, y in zip(cuts, cuts[1:]):
@@ -127,7 +129,7 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.93, miss: float = 1
     v = F.col("vec")
     good = (F.col("id").isNotNull() & F.col("label").isNotNull() & v.isNotNull() & (F.size(v) > 0)
             & F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists(v, lambda x: x != 0))
-    rows = vectors.select(F.col(vec_id).cast("long").alias("id"), F.col(label).cast("long").alias("label"), F.col(vec).alias("vec"))
+    rows = vectors.select(F.col(vec_id).cast("long").alias("id"), F.col(label).alias("label"), F.col(vec).alias("vec"))
     rows = rows.withColumn("good", F.coalesce(good, F.lit(False)))
     digest = [F.xxhash64(v).alias("h1"), F.xxhash64(F.lit(1), v).alias("h2")]
     known = stage(rows.where("good").select("id", "label", "vec", *digest), "vectors")

@@ -44,3 +44,20 @@ kept AS (SELECT b.* FROM best b LEFT JOIN around i USING (lang, phrase) WHERE i.
 ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
 SELECT lang, rank, phrase, a, l, r, n, CAST(score AS BIGINT) AS score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
 """
+
+SQL["op10_embedding_dedup"] = r"""
+WITH RECURSIVE good AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+unit AS (SELECT vec_id, label, e, sqrt(list_dot_product(e, e)) AS norm FROM good),
+links AS (
+  SELECT a.vec_id AS x, b.vec_id AS y FROM unit a JOIN unit b ON a.label = b.label AND len(a.e) = len(b.e) AND a.vec_id <> b.vec_id
+  WHERE list_dot_product(a.e, b.e) / (a.norm * b.norm) >= 0.93),
+reach AS (SELECT x, y FROM links UNION SELECT r.x, l.y FROM reach r JOIN links l ON r.y = l.x),
+n AS (SELECT x, count(*) AS n_links FROM links GROUP BY x),
+least_ AS (SELECT x, min(y) AS y FROM reach GROUP BY x)
+SELECT v.vec_id, coalesce(n_links, 0) AS n_links, least(v.vec_id, coalesce(y, v.vec_id)) AS component_id,
+       v.vec_id <= coalesce(y, v.vec_id) AS kept
+FROM embeddings v LEFT JOIN n ON n.x = v.vec_id LEFT JOIN least_ m ON m.x = v.vec_id
+"""
