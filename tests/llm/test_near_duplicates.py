@@ -167,3 +167,55 @@ def test_embedding_repeated_ids(spark):
     got = embedding_dedup.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int"))
     assert sorted((r.vec_id, r.n_links, r.component_id) for r in got.collect()) == [
         (1, 1, 1), (1, 1, 1), (1, 2, 1), (2, 1, 1), (3, 1, 1), (4, 2, 1), (5, 2, 1)]
+
+
+def test_words_that_a_polynomial_hash_confuses(spark):
+    """Two Thue-Morse words differ, and so do their hashes."""
+    a, b = "a", "b"
+    for _ in range(11):
+        a, b = a + b, b + a
+    got = as_dict(minhash.near_duplicates(spark.createDataFrame([(1, a), (2, b)], "doc_id long, text string")))
+    assert got == {1: (1, 1, True), 2: (1, 2, True)}
+
+
+def test_repeated_ids_lose_no_text(spark):
+    a, b = " ".join(f"a{i}" for i in range(30)), " ".join(f"b{i}" for i in range(30))
+    rows = [(1, a, 0), (1, b, 0), (2, b, 0), (1, a, 1), (3, b.upper(), 0), (3, b.upper() + " x", 0), (4, None, 0), (4, "", 0), (None, a, 0), (None, a, 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, m int")
+    kept = sorted(((r.doc_id, r.text) for r in minhash.drop_near_duplicates(docs).collect()), key=str)
+    assert kept == sorted([(1, a), (1, b), (4, None), (4, ""), (None, a), (None, a)], key=str)
+    got = {(r.doc_id, r.component_id, r.kept) for r in minhash.near_duplicates(docs).collect()}
+    assert got == {(1, 1, True), (2, 1, False), (3, 1, False), (4, 4, True), (None, None, False)}
+
+
+def test_open_band_without_its_main_cluster(spark, monkeypatch):
+    """Members of the largest cluster meet the others only, so rows moved stay below a copy for every block."""
+    monkeypatch.setattr(minhash, "BLOCK", 100)
+    rows = [(7, i, 0 if i < 2000 else i, bytes([i % 251] * minhash.COORDINATES)) for i in range(2050)]
+    members = spark.createDataFrame(rows, "band long, d long, cluster long, sig binary")
+    moved = minhash.in_blocks(members, "band", "cluster")
+    assert moved.where("cluster = 0").count() == 2000          # 20 blocks, one other block to meet
+    assert moved.where("cluster <> 0").count() == 50 * 21
+    edges = minhash.across_clusters(members, minhash.COORDINATES, 3).collect()
+    tied = union_find(range(2050), [(r.a, r.b) for r in edges])
+    assert all(tied[i] == tied[i % 251] for i in range(2000, 2050))
+
+
+def test_two_permutations_are_different():
+    x = np.arange(1 << 16, dtype=np.uint32)
+    assert len(np.unique(minhash._permute(x))) == len(np.unique(minhash._scatter(x))) == 1 << 16
+    assert (minhash._permute(x) == minhash._scatter(x)).sum() < 5
+
+
+def test_doubles_and_text_labels(spark):
+    rng = np.random.default_rng(4)
+    base = rng.standard_normal((6, 8))
+    rows = [(i, [float(x) for x in base[i % 6] + 0.01 * rng.standard_normal(8)], "xy"[i % 2]) for i in range(40)]
+    rows += [(90, [1e200] * 8, "x"), (91, None, "x"), (92, [1.0] * 8, None)]
+    got = {r.vec_id: (r.n_links, r.component_id) for r in embedding_dedup.near_duplicates(
+        spark.createDataFrame(rows[:40] + rows[41:], "vec_id long, embedding array<double>, label string")).collect()}
+    for i, v, label in rows[:40]:
+        near = [j for j, w, other in rows[:40] if j != i and other == label
+                and np.dot(v, w) / np.linalg.norm(v) / np.linalg.norm(w) >= 0.93]
+        assert got[i] == (len(near), min([i, *near]))
+    assert got[91] == (0, 91) and got[92] == (0, 92)

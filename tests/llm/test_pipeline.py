@@ -91,3 +91,19 @@ def test_empty_and_messy_tables(spark, messy, tmp_path):
         out = step(spark, messy, str(tmp_path))
         assert out.columns == messy.columns and out.count() == messy.count()
     assert corpus_pipeline.pack(spark, messy, str(tmp_path)).select("doc_id").distinct().count() == messy.select("doc_id").distinct().count()
+
+
+def test_quality_and_near_duplicates_of_messy_rows(spark, messy):
+    """The real labels, nulls, repeated rows, ids with two texts and columns with clashing names."""
+    rows = [tuple(r) for r in messy.collect()]
+    failed = lambda t: plain_quality(t)[-1]
+    got = [tuple(r) for r in corpus_pipeline.quality(spark, messy, SF).collect()]
+    assert not any(failed(t) for _, t, *_ in got) and set(got) <= set(rows)
+    prose = " ".join(f"word{i}" for i in range(60))
+    docs = messy.union(spark.createDataFrame([(20, prose, "en", 1, 1), (20, prose.upper(), "en", 2, 1), (21, prose + " x", "en", 1, 1),
+                                              (None, prose, "en", 1, 1), (20, "other text of five words", "de", 1, 1)], messy.schema))
+    kept = [(r[0], r[1]) for r in corpus_pipeline.near_duplicates(spark, docs, SF).collect()]
+    wanted = {(r[0], r[1]) for r in docs.collect()} - {(21, prose + " x")}
+    of_20 = [t for d, t in kept if d == 20]
+    assert len(of_20) == 2 and "other text of five words" in of_20       # one of the two that share a set
+    assert set(kept) == wanted - {(20, prose), (20, prose.upper())} | {(20, t) for t in of_20} and len(kept) == len(set(kept))

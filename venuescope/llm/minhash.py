@@ -1,15 +1,15 @@
 """Near-duplicate documents by circulant MinHash.
 
-One permutation scatters the shingles over a universe of 2**32 places, a second one,
+One permutation, sigma, scatters the shingles over a universe of 2**32 places, a second one of its own, pi,
 circularly shifted by k, gives coordinate k of the signature, so two permutations make
 all of them.  Bands of the signature propose pairs; full shingle sets confirm them.
 
-Documents with equal sets form a class with one representative.  Two representatives that share
+Documents with equal sets form a class, which is a vertex of its own whatever ids its documents have.  Two classes that share
 a band are a candidate pair unless their signatures agree in fewer coordinates than a linked
 pair's would but for a chance of about 1e-5.  Candidate pairs are not listed.  The connected
 components of their graph, the clusters, come from each band's pairs with its smallest member and,
-where a band still spans clusters, from a comparison of signatures in blocks that returns a
-root for each member.  A cluster's documents are then compared on their full sets: first each with the
+where a band still spans clusters, from a comparison of signatures in blocks, the band's largest cluster with the others and
+these with each other, that returns a root for each member.  A cluster's documents are then compared on their full sets: first each with the
 smallest of its band, then, where the cluster is not yet tied together, all pairs that are not,
 in pairs of blocks that again return roots.  So what moves grows with the documents, however
 many of a group's pairs are alike without being linked.
@@ -30,11 +30,11 @@ BANDS, ROWS = 32, 4                 # a pair at 0.75 shares a band but for 5e-6
 COORDINATES = BANDS * ROWS
 BLOCK = 1024                        # members of a band, or documents of a cluster, in one block
 BLOCK_BYTES = 8 << 20               # of their texts
-GROUP = 200_000                     # memberships in one group of bands, about
+GROUP = 20_000                      # memberships in one group of bands, about
 
 
-def _permute(x: np.ndarray) -> np.ndarray:
-    """A permutation of the 32-bit integers."""
+def _scatter(x: np.ndarray) -> np.ndarray:
+    """sigma: a permutation of the 32-bit integers."""
     x = x ^ (x >> np.uint32(16))
     x *= np.uint32(0x85EBCA6B)
     x ^= x >> np.uint32(13)
@@ -43,13 +43,25 @@ def _permute(x: np.ndarray) -> np.ndarray:
     return x
 
 
+def _permute(x: np.ndarray) -> np.ndarray:
+    """pi: another permutation of the 32-bit integers."""
+    x = x ^ (x >> np.uint32(17))
+    x *= np.uint32(0xED5AD4BB)
+    x ^= x >> np.uint32(11)
+    x *= np.uint32(0xAC4C1B51)
+    x ^= x >> np.uint32(15)
+    x *= np.uint32(0x31848BAB)
+    x ^= x >> np.uint32(14)
+    return x
+
+
 def signatures(shingles: np.ndarray, starts: np.ndarray) -> np.ndarray:
     """Signatures (rows x COORDINATES, uint32) of sets laid end to end, each with a shingle or more.
 
     Coordinate k is the least place of pi(sigma(s) - k): sigma once for each shingle, pi on the
     places shifted around the circle."""
     out = np.empty((len(starts), COORDINATES), np.uint32)
-    places = _permute((shingles >> np.uint64(32)).astype(np.uint32))
+    places = _scatter((shingles >> np.uint64(32)).astype(np.uint32))
     for k in range(COORDINATES):
         out[:, k] = np.minimum.reduceat(_permute(places - np.uint32(k)), starts)
     return out
@@ -70,9 +82,15 @@ def row_sets(column: pa.Array, size: int) -> list[np.ndarray]:
     return [np.unique(shingle_hashes(words[a:b], size)) for a, b in zip(ends, ends[1:])]
 
 
+def sliced_sets(column: pa.Array, size: int) -> list[np.ndarray]:
+    """row_sets for many texts, a slice at a time."""
+    batch = pa.RecordBatch.from_arrays([column], ["t"])
+    return [x for part in row_slices(batch, "t") for x in row_sets(part.column("t"), size)]
+
+
 def sketch(docs: DataFrame, size: int, doc_id: str, text: str) -> DataFrame:
-    """(d, n_shingles, h1, h2, bands, sig): set size, a digest of the set, band keys and the low
-    byte of each coordinate.  An empty set has null digest, bands and signature."""
+    """(d, m, n_shingles, h1, h2, bands, sig): md5 of the text, set size, a digest of the set, band keys and the
+    low byte of each coordinate.  An empty set has null digest, bands and signature."""
     def run(batches):
         import xxhash
 
@@ -91,13 +109,13 @@ def sketch(docs: DataFrame, size: int, doc_id: str, text: str) -> DataFrame:
                 take = pa.array([None if p < 0 else p for p in place.tolist()], pa.int64())
                 halves = np.frombuffer(b"".join(digest), np.int64).reshape(-1, 2)
                 yield pa.RecordBatch.from_arrays([
-                    part.column("d"), pa.array(n), pa.array(halves[:, 0]).take(take), pa.array(halves[:, 1]).take(take),
+                    part.column("d"), part.column("m"), pa.array(n), pa.array(halves[:, 0]).take(take), pa.array(halves[:, 1]).take(take),
                     list_array(bands.ravel(), np.full(len(bands), BANDS), pa.int64()).take(take),
                     pa.array([row.tobytes() for row in sig.astype(np.uint8)], pa.binary()).take(take)],
-                    ["d", "n_shingles", "h1", "h2", "bands", "sig"])
+                    ["d", "m", "n_shingles", "h1", "h2", "bands", "sig"])
 
-    return docs.select(F.col(doc_id).cast("long").alias("d"), F.col(text).alias("t")).mapInArrow(
-        run, "d long, n_shingles long, h1 long, h2 long, bands array<long>, sig binary")
+    return docs.select(F.col(doc_id).cast("long").alias("d"), F.md5(text).alias("m"), F.col(text).alias("t")).mapInArrow(
+        run, "d long, m string, n_shingles long, h1 long, h2 long, bands array<long>, sig binary")
 
 
 def agreement_floor(threshold: float) -> int:
@@ -170,16 +188,31 @@ def _table(edges: list[np.ndarray]) -> pa.Table:
     return pa.table({"a": pa.array(flat[0], pa.int64()), "b": pa.array(flat[1], pa.int64())})
 
 
+def in_blocks(rows: DataFrame, group: str, part: str, size=None) -> DataFrame:
+    """rows with (i, j, own): a row for each pair of blocks (i <= j) of its group in which it takes part, being of
+    block ``own``.  The parts of a group are tied together in themselves, so those of its largest one meet only the
+    others; these meet each other too.  Groups of one part are left out.  ``size``: bytes of a row."""
+    size = F.lit(0).cast("bigint") if size is None else size
+    parts_of = rows.groupBy(group, part).agg(F.count("*").alias("k"), F.sum(size).alias("s"))
+    main = parts_of.groupBy(group).agg(F.max(F.struct("k", part, "s")).alias("main"), F.sum("k").alias("m"),
+                                       F.sum("s").alias("bytes"), F.count("*").alias("parts")).where("parts > 1")
+    blocks = lambda k, s: F.ceil(F.greatest(k / BLOCK, s / BLOCK_BYTES)).cast("int")
+    k, s = F.col("main.k"), F.col("main.s")
+    main = main.select(group, F.col(f"main.{part}").alias("main"), blocks(k, s).alias("mains"),
+                       blocks(F.col("m") - k, F.col("bytes") - s).alias("rest"))
+    out = rows.join(main, group).withColumn("first", F.col(part) == F.col("main"))
+    spread = F.xxhash64(F.lit(5), "d")
+    out = out.withColumn("own", F.when(F.col("first"), F.pmod(spread, F.col("mains"))).otherwise(F.col("mains") + F.pmod(spread, F.col("rest"))).cast("int"))
+    # blocks 0..mains-1 hold the largest part; they meet the blocks after them, which also meet each other
+    out = out.withColumn("with", F.explode(F.when(F.col("first"), F.sequence("mains", F.col("mains") + F.col("rest") - 1))
+                                           .otherwise(F.sequence(F.lit(0), F.col("mains") + F.col("rest") - 1))))
+    return out.select(*rows.columns, F.least("own", "with").alias("i"), F.greatest("own", "with").alias("j"), "own")
+
+
 def across_clusters(members: DataFrame, floor: int, groups: int) -> DataFrame:
     """Edges (a, b) that tie together the documents of different clusters which share a band and agree
     in ``floor`` coordinates.  members: (band, d, cluster, sig) of bands with several clusters."""
-    sizes = members.groupBy("band").agg(F.count("*").alias("m"))
-    parts = (members.join(sizes, "band").withColumn("blocks", F.ceil(F.col("m") / BLOCK).cast("int"))
-             .withColumn("own", F.pmod(F.xxhash64(F.lit(5), "d"), F.col("blocks")).cast("int"))
-             .withColumn("g", F.pmod(F.xxhash64("band"), F.lit(groups)).cast("int"))
-             .withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-             .select("g", F.least("own", "with").alias("i"), F.greatest("own", "with").alias("j"),
-                     "own", "band", "d", "cluster", "sig"))
+    parts = in_blocks(members, "band", "cluster").withColumn("g", F.pmod(F.xxhash64("band"), F.lit(groups)).cast("int"))
 
     def meet(part: pa.Table) -> pa.Table:
         num = lambda c: part.column(c).to_numpy()
@@ -202,7 +235,8 @@ def across_clusters(members: DataFrame, floor: int, groups: int) -> DataFrame:
                 out.append(_edges(d, np.concatenate(p), np.concatenate(q)))
         return _table(out)
 
-    return parts.groupBy("g", "i", "j").applyInArrow(meet, "a long, b long")
+    # bands are small next to a group of them: deal the groups to as many tasks
+    return parts.repartition(groups, "g", "i", "j").groupBy("g", "i", "j").applyInArrow(meet, "a long, b long")
 
 
 def linked_pairs(left: list[np.ndarray], right: list[np.ndarray], percent: int, width: int = 4096) -> np.ndarray:
@@ -231,25 +265,12 @@ def across_components(docs: DataFrame, size: int, percent: int) -> DataFrame:
     """Edges (a, b) that tie together the documents of one cluster and different components whose full sets
     are linked.  docs: (d, cluster, component, t).  Each cluster's largest share may be tied together
     already: its documents meet those of the other components only."""
-    parts_of = docs.groupBy("cluster", "component").agg(F.count("*").alias("k"), F.sum(F.octet_length("t")).alias("s"))
-    main = parts_of.groupBy("cluster").agg(F.max(F.struct("k", "component", "s")).alias("main"), F.sum("k").alias("m"),
-                                           F.sum("s").alias("bytes"), F.count("*").alias("parts")).where("parts > 1")
-    blocks = lambda k, s: F.ceil(F.greatest(k / BLOCK, s / BLOCK_BYTES)).cast("int")
-    k, s = F.col("main.k"), F.col("main.s")
-    main = main.select("cluster", F.col("main.component").alias("main"), blocks(k, s).alias("mains"),
-                       blocks(F.col("m") - k, F.col("bytes") - s).alias("rest"))
-    rows = docs.join(main, "cluster").withColumn("first", F.col("component") == F.col("main"))
-    spread = F.xxhash64(F.lit(5), "d")
-    rows = rows.withColumn("own", F.when(F.col("first"), F.pmod(spread, F.col("mains"))).otherwise(F.col("mains") + F.pmod(spread, F.col("rest"))).cast("int"))
-    # blocks 0..mains-1 hold the largest component; they meet the blocks after them, which also meet each other
-    rows = rows.withColumn("with", F.explode(F.when(F.col("first"), F.sequence("mains", F.col("mains") + F.col("rest") - 1))
-                                             .otherwise(F.sequence(F.lit(0), F.col("mains") + F.col("rest") - 1))))
-    rows = rows.select("cluster", F.least("own", "with").alias("i"), F.greatest("own", "with").alias("j"), "own", "d", "component", "t")
+    rows = in_blocks(docs, "cluster", "component", F.octet_length("t"))
 
     def meet(part: pa.Table) -> pa.Table:
         i, j = part.column("i")[0].as_py(), part.column("j")[0].as_py()
         d, component, own = (part.column(c).to_numpy() for c in ("d", "component", "own"))
-        sets = row_sets(part.column("t").combine_chunks(), size)
+        sets = sliced_sets(pa.concat_arrays(part.column("t").chunks), size)
         left, right = np.flatnonzero(own == i), np.flatnonzero(own == j)
         if not len(left) or not len(right):
             return _table([])
@@ -267,18 +288,17 @@ def _named(pairs: DataFrame, name: str) -> DataFrame:
     return pairs.groupBy(F.col("b").alias("d")).agg(F.min("a").alias(name))
 
 
-def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 75, doc_id: str = "doc_id",
-                    text: str = "text") -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept), one row per input row.
-
-    Null, empty and blank texts have an empty set and link with nothing.  The id is the vertex:
-    repeated rows share a component (rows of one id are taken to hold one text).  A null id links with nothing, has a null
-    component and is not kept.  Other columns are not read."""
+def judged(docs: DataFrame, size: int, percent: int, doc_id: str, text: str) -> DataFrame:
+    """(d, m, n_shingles, component, component_id) of every row: ``component`` is the number of its component (null
+    for an empty set or a null id), ``component_id`` the smallest id of it."""
     all_ = stage(sketch(docs, size, doc_id, text), "minhash-sketch")
     full = all_.where("h1 is not null and d is not null")
-    classes = stage(full.groupBy("h1", "h2").agg(F.min("d").alias("rep")), "minhash-classes")
-    reps = full.join(classes.select(F.col("rep").alias("d")).distinct(), "d", "left_semi").dropDuplicates(["h1", "h2"])
-    reps = stage(reps.select("d", "bands", "sig"), "minhash-reps")
+    # the number of a class is fixed once it is written
+    classes = stage(full.groupBy("h1", "h2").agg(F.min("d").alias("rep"), F.min_by(F.struct("d", "m"), F.struct("d", "m")).alias("of"))
+                    .withColumn("v", F.monotonically_increasing_id()), "minhash-classes")
+    named = classes.select(F.col("of.d").alias("d"), F.col("of.m").alias("m"), "h1", "h2", "v")
+    reps = full.join(named, ["d", "m", "h1", "h2"]).dropDuplicates(["v"])
+    reps = stage(reps.select(F.col("v").alias("d"), F.col("d").alias("id"), "m", "bands", "sig"), "minhash-reps")
 
     bands = reps.select("d", F.explode("bands").alias("band"))
     shared = bands.groupBy("band").agg(F.count("*").alias("m"), F.min("d").alias("first")).where("m > 1")
@@ -295,27 +315,50 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 75, doc_id: s
     more = stage(across_clusters(open_, floor, max(1, open_.count() // GROUP)), "minhash-pairs")
     clusters = stage(components(tried.union(more)), "minhash-clusters").select(F.col("node").alias("d"), F.col("component").alias("cluster"))
 
-    texts = stage(docs.select(F.col(doc_id).cast("long").alias("d"), F.col(text).alias("t"))
-                  .join(clusters, "d").dropDuplicates(["d"]), "minhash-texts")
+    # the text of each class that has a cluster, by its smallest id and the digest of the text
+    wanted = clusters.join(reps.select("d", "id", "m"), "d")
+    texts = stage(docs.select(F.col(doc_id).cast("long").alias("id"), F.md5(text).alias("m"), F.col(text).alias("t"))
+                  .join(wanted, ["id", "m"]).dropDuplicates(["d"]).select("d", "cluster", "t"), "minhash-texts")
     linked = stage(confirm(tried, texts, size, percent), "minhash-links")
     parts = texts.join(_named(linked, "component"), "d", "left").select("d", "cluster", F.coalesce("component", "d").alias("component"), "t")
     rest = stage(across_components(parts, size, percent), "minhash-links")
     tied = stage(components(linked.union(rest)), "minhash-components")
-    of_class = classes.join(tied.withColumnRenamed("node", "rep"), "rep", "left").select(
-        "h1", "h2", F.coalesce("component", "rep").alias("component_id"))
-    out = all_.select("d", "n_shingles", "h1", "h2").join(of_class, ["h1", "h2"], "left")
-    component = F.when(F.col("d").isNotNull(), F.coalesce("component_id", "d"))
-    return out.select(F.col("d").alias(doc_id), "n_shingles", component.alias("component_id"),
-                      F.coalesce(F.col("d") == component, F.lit(False)).alias("kept"))
+    of_class = stage(classes.join(tied.withColumnRenamed("node", "v"), "v", "left").select(
+        "h1", "h2", "rep", F.coalesce("component", "v").alias("component")), "minhash-of-class")
+    least = of_class.groupBy("component").agg(F.min("rep").alias("component_id"), F.count("*").alias("k"))
+    # a component of one class needs no table to know its smallest id
+    joined = of_class.join(least.where("k > 1").drop("k"), "component", "left").select(
+        "h1", "h2", "component", F.coalesce("component_id", "rep").alias("component_id"))
+    out = all_.select("d", "m", "n_shingles", "h1", "h2").join(joined, ["h1", "h2"], "left")
+    has = F.col("d").isNotNull()
+    return out.select("d", "m", "n_shingles", F.when(has, F.col("component")).alias("component"),
+                      F.when(has, F.coalesce("component_id", "d")).alias("component_id"))
+
+
+def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 75, doc_id: str = "doc_id",
+                    text: str = "text") -> DataFrame:
+    """(doc_id, n_shingles, component_id, kept), one row per input row.
+
+    Null, empty and blank texts have an empty set and link with nothing.  Rows that repeat an id are vertices of their
+    own, by their texts.  A null id links with nothing, has a null
+    component and is not kept.  Other columns are not read."""
+    out = judged(docs, size, percent, doc_id, text)
+    return out.select(F.col("d").alias(doc_id), "n_shingles", "component_id",
+                      F.coalesce(F.col("d") == F.col("component_id"), F.lit(False)).alias("kept"))
 
 
 def drop_near_duplicates(docs: DataFrame, size: int = 5, percent: int = 75, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` with one row of each group of near-duplicates: that of the smallest id.  Rows without an id stay;
-    of rows that repeat an id one stays."""
-    judged = stage(near_duplicates(docs, size, percent, doc_id, text).select(F.col(doc_id).alias("d"), "kept"), "minhash-judged")
-    gone = judged.where("d is not null and not kept").select("d").distinct()
-    left = docs.join(gone, docs[doc_id].cast("long") == gone["d"], "left_anti")
-    ids = judged.where("d is not null").agg(F.count("*").alias("n"), F.countDistinct("d").alias("k")).first()
-    if ids.n == ids.k:
-        return left
-    return left.where(F.col(doc_id).isNotNull()).dropDuplicates([doc_id]).union(left.where(F.col(doc_id).isNull()))
+    """``docs`` with one row of each group of near-duplicates: that of the smallest id (of several texts under
+    it, that of the smallest digest).  Rows without an id and rows with an empty set stay; of rows that repeat both id and
+    text one stays."""
+    rows = stage(judged(docs, size, percent, doc_id, text).where("d is not null").select("d", "m", "component"), "minhash-judged")
+    first = rows.where("component is not null").groupBy("component").agg(F.min(F.struct("d", "m")).alias("of"), F.count("*").alias("k")).where("k > 1")
+    gone = (rows.join(first.select("component", "of"), "component").where((F.col("d") != F.col("of.d")) | (F.col("m") != F.col("of.m")))
+            .select("d", "m").distinct())
+    digest = F.md5(text)
+    keyed = docs.select("*", F.struct(F.col(doc_id).cast("long").alias("d"), digest.alias("m")).alias("__row"))
+    left = keyed.join(gone.select(F.struct("d", "m").alias("__gone")), (F.col("__row.d") == F.col("__gone.d")) & (F.col("__row.m") == F.col("__gone.m")), "left_anti")
+    ids = rows.agg(F.count("*").alias("n"), F.countDistinct("d", F.coalesce("m", F.lit(""))).alias("k")).first()
+    if ids.n != ids.k:
+        left = left.where(F.col("__row.d").isNotNull()).dropDuplicates(["__row"]).union(left.where(F.col("__row.d").isNull()))
+    return left.select(*docs.columns)

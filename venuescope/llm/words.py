@@ -9,21 +9,25 @@ from .common import mix64
 
 _BASE = np.uint64(0x2545F4914F6CDD1D)                       # odd, so it has an inverse mod 2**64
 _INVERSE = np.uint64(pow(int(_BASE), -1, 2**64))
+_KEPT = 1 << 21                                             # powers that a worker keeps, at most
+_powers = np.ones(1, np.uint64), np.ones(1, np.uint64)
 _BLANK = np.zeros(256, bool)
 _BLANK[[32, 9, 10, 11, 12, 13]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
-_powers = np.ones(1, np.uint64), np.ones(1, np.uint64)
 
 
 def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
     """The first n powers of the base and of its inverse."""
     global _powers
-    if len(_powers[0]) < n:
-        size = 1 << int(n).bit_length()
+    have = _powers
+    if len(have[0]) < n:
+        size = min(1 << int(n).bit_length(), max(n, _KEPT))
         with np.errstate(over="ignore"):
-            _powers = tuple(np.cumprod(np.r_[np.uint64(1), np.full(size, x, np.uint64)]) for x in (_BASE, _INVERSE))
-    return _powers[0][:n], _powers[1][:n]
+            have = tuple(np.cumprod(np.r_[np.uint64(1), np.full(size, x, np.uint64)]) for x in (_BASE, _INVERSE))
+        if size <= _KEPT:
+            _powers = have
+    return have[0][:n], have[1][:n]
 
 
 def bytes_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -38,22 +42,26 @@ def bytes_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def word_hashes(raw: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(hash of each word with A-Z lower-cased, offsets of the rows into them).
+    """(xxh3 hash of each word with A-Z lower-cased, offsets of the rows into them).
+
+    Each distinct word is hashed once; memory is a few bytes for each byte of text."""
+    import xxhash
 
-    A word's hash is a polynomial of its bytes over 2**64, from differences of one running sum."""
     if not len(raw):
         return np.empty(0, np.uint64), np.zeros(len(ends), np.int64)
     word = ~_BLANK[raw]
     edge = np.zeros(len(raw) + 1, bool)
     edge[ends] = True                                       # no word crosses a row
-    before = np.r_[False, word[:-1]] & ~edge[:-1]
-    after = np.r_[word[1:], False] & ~edge[1:]
-    start, stop = np.flatnonzero(word & ~before), np.flatnonzero(word & ~after) + 1
-    up, down = _power(len(raw) + 1)
-    total = np.zeros(len(raw) + 1, np.uint64)
-    np.cumsum((_LOWER[raw].astype(np.uint64) + np.uint64(1)) * up[:-1], out=total[1:])
-    hashes = mix64((total[stop] - total[start]) * down[start] + (stop - start).astype(np.uint64))
-    return hashes, np.searchsorted(start, ends)
+    begins, stops = word.copy(), word.copy()
+    begins[1:] &= ~word[:-1] | edge[1:-1]
+    stops[:-1] &= ~word[1:] | edge[1:-1]
+    start, stop = np.flatnonzero(begins), np.flatnonzero(stops) + 1
+    offsets = np.zeros(len(start) + 1, np.int64)
+    np.cumsum(stop - start, out=offsets[1:])
+    flat = _LOWER[raw[word]]
+    words = pa.Array.from_buffers(pa.large_binary(), len(start), [None, pa.py_buffer(offsets), pa.py_buffer(flat)]).dictionary_encode()
+    types = np.fromiter(map(xxhash.xxh3_64_intdigest, words.dictionary.to_pylist()), np.uint64, len(words.dictionary))
+    return types[words.indices.to_numpy(zero_copy_only=False)] if len(types) else types, np.searchsorted(start, ends)
 
 
 def shingle_hashes(words: np.ndarray, size: int) -> np.ndarray:
