@@ -54,6 +54,12 @@ def test_ambiguous_blocks_follow_their_neighbours():
     assert main_text(page(body)) == "\n\n".join([P1, "Yes.", P2])
 
 
+def test_names_that_only_mention_something_else():
+    body = f"<div class='has-sidebar with-comments'><div id=postHeader><h1>Old bridge</h1></div><div class=entry-content><p>{P1}</p></div>" \
+           f"<div class='sidebar'><p>{COMMENT}</p></div></div>"
+    assert main_text(page(body)) == "Old bridge\n\n" + P1
+
+
 def test_blocks_know_their_place():
     b = page_blocks("<main><h1>T</h1><p>x <a href=/>yy</a></p><footer>f</footer></main>z")
     assert [(x.text, x.linked, x.heading, x.region, x.beside) for x in b] == [

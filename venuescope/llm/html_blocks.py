@@ -44,6 +44,10 @@ HINTS = frozenset(
 REGION_HINTS = frozenset("ad ads advert advertisement sponsored promo related teaser comment reply".split())
 #: words that name a part of an article when they stand inside of one
 INSIDE = frozenset("header legal alert".split())
+#: a name that begins so tells what a container has beside it, not what it is
+BESIDE_IT = frozenset("has with no without".split())
+#: names of an article; a header of one is its own
+OWN = frozenset("article entry post story content".split())
 
 
 @dataclass(slots=True)
@@ -67,7 +71,11 @@ def _side(name: str, attrs: str, region: int) -> str:
             values.setdefault(key.lower(), unescape(a or b or c))
     if "hidden" in values or "display:none" in values.get("style", "").replace(" ", "").lower():
         return "hard"
-    words = {w.lower() for k in ("class", "id") for w in _TOKEN.findall(values.get(k, ""))}
+    words = set()
+    for full in f"{values.get('class', '')} {values.get('id', '')}".split():
+        found = [w.lower() for w in _TOKEN.findall(full)]
+        if found and found[0] not in BESIDE_IT:
+            words.update(w for w in found if w not in INSIDE) if OWN & set(found) else words.update(found)
     role = values.get("role", "").strip().lower()
     if name in REGION or role in REGION:
         return "soft" if words & REGION_HINTS else "region"
