@@ -73,25 +73,36 @@ def test_lm_prefers_learned_order(spark):
     assert len(counts) == 60
 
 
-def test_filter_quantises_counts(spark):
+def test_filter_quantises_counts():
     rng = np.random.default_rng(5)
-    h = rng.integers(-2**62, 2**62, 20000)
+    h = rng.integers(0, 2**63, 20000).astype(np.uint64)
     n = np.maximum(1, (rng.pareto(0.8, 20000) * 3).astype(np.int64))
-    df = spark.createDataFrame(pd.DataFrame({"k": np.where(np.arange(20000) % 2, 1, 2).astype(np.int32), "h": h, "n": n}))
-    for bits, first in ((1 << 28, 1), (1 << 19, None)):
-        lm = lm_scoring.build_filter(df, bits, 10, {1: 1, 2: 2})
-        assert len(lm.bits) * 8 <= bits
-        got = lm.counts(1, h[1::2].astype(np.uint64))
-        step = np.searchsorted(lm_scoring.STEPS, n[1::2], side="right")
-        want = np.where(step >= lm.first[1], lm_scoring.MIDDLE[step], 0.0)
+    times = np.searchsorted(lm_scoring.STEPS, n, side="right")
+    blocks = -(-int(times.sum()) * 10 // lm_scoring.BLOCK_BITS)
+    got = np.zeros(len(h))
+    for shards in (1, 3):
+        for shard in range(shards):
+            mine = np.flatnonzero(lm_scoring.block_of(h, blocks) % shards == shard)
+            raw = lm_scoring.LogFrequencyFilter.fill(h[mine], np.ones(len(mine), np.int64), n[mine], blocks, shards, shard)
+            lm = lm_scoring.LogFrequencyFilter(raw, {1: 1, 2: 1}, blocks, shards)
+            got[mine] = lm.counts(1, h[mine])
+        want = lm_scoring.MIDDLE[times]
         assert (got >= want).all()                         # a filter never loses an entry
         assert (got == want).mean() > 0.97
-        other = lm.counts(1, rng.integers(-2**62, 2**62, 20000).astype(np.uint64))
-        assert (other > 0).mean() < 0.05
-        if first:
-            assert lm.first == {1: 1, 2: 2}
-        else:
-            assert max(lm.first.values()) > 2
+    other = rng.integers(0, 2**63, 20000).astype(np.uint64)
+    other = other[lm_scoring.block_of(other, blocks) % 3 == 2]
+    assert (lm.counts(1, other) > 0).mean() < 0.05
+
+
+def test_keys_of_a_shard_survive_packing():
+    rng = np.random.default_rng(6)
+    h = np.r_[rng.integers(0, 2**63, 5000).astype(np.uint64) * np.uint64(2), np.uint64(0), np.uint64(2**64 - 1), np.uint64(2**64 - 1)]
+    for bits in (20, 44, 64):
+        order, keys, sizes = lm_scoring.by_shard(h, bits, 50, 7)
+        assert sizes.sum() == len(h) and (keys == (h >> np.uint64(64 - bits))[order]).all()
+        raws = lm_scoring.pack_keys(keys, sizes, bits)
+        assert (np.concatenate([lm_scoring.unpack_keys(r, m, bits) for r, m in zip(raws, sizes.tolist())]) == keys).all()
+    assert lm_scoring.key_bits(0) == 18 and lm_scoring.key_bits(10**9) == 47 and lm_scoring.key_bits(2**60) == 64
 
 
 def plain_scores(docs, prior=1000.0):

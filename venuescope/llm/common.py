@@ -26,15 +26,26 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
-    """Cut the lineage: write ``df`` under the shared checkpoint folder and read it back.
+def stage_at(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """Cut the lineage: write ``df`` under the shared checkpoint folder and read it back; also the folder.
 
     The written files outlive any executor, and what follows reads the same
     rows however often it is recomputed."""
     spark = df.sparkSession
     path = f"{scratch_path(spark, name)}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def stage(df: DataFrame, name: str) -> DataFrame:
+    """``stage_at`` without the folder."""
+    return stage_at(df, name)[0]
+
+
+def unstage(spark: SparkSession, path: str) -> None:
+    """Remove a staged folder that nothing will read again."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(at, True)
 
 
 def row_slices(batch: pa.RecordBatch, column: str, limit: int = 1 << 20) -> Iterator[pa.RecordBatch]:

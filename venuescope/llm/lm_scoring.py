@@ -18,19 +18,18 @@ import math
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import fold, list_array, mix64, row_slices, stage
+from .common import fold, list_array, mix64, row_slices, stage, stage_at, unstage
 from .words import bytes_of, word_hashes
 
 END = np.uint64(0x9AE16A3B2F90404F)        # the token after the last word; also stands before the first
 BLOCK_BITS = 1 << 16                       # all entries of an n-gram lie in one block of the filter
 PROBES = 4
 STEP = 1.3
-KEY = 7                                    # upper bytes of an n-gram's hash that it goes by between chunks and shards
+SPARE = 17                                 # bits of an n-gram's key beyond those that number the tokens of the corpus
 CHUNK = 1_000_000                          # tokens of a task that ask together, about
 SHARD = 1_000_000                          # tokens of the corpus for each shard of the filter, at most about
 
@@ -116,36 +115,6 @@ class LogFrequencyFilter:
         return MIDDLE[self.steps(order, h)]
 
 
-def build_filter(counts: DataFrame, max_bits: int, bits_per_entry: int, first: dict[int, int]) -> LogFrequencyFilter:
-    """A filter over ``counts`` (k, h, n) of at most ``max_bits`` in one piece, for a model of fixed size: the
-    lowest steps are left out where it does not take all.  ``score_texts`` does not use it."""
-    series = F.array(*[F.lit(int(s)) for s in STEPS])
-    step = F.size(F.filter(series, lambda s: s <= F.col("n")))
-    hist = {(r.k, r.s): r.m for r in counts.groupBy("k", "n").agg(F.count("*").alias("m"))
-            .select("k", step.alias("s"), "m").groupBy("k", "s").agg(F.sum("m").alias("m")).collect()}
-    first = dict(first)
-
-    def entries() -> int:
-        return sum(m * max(0, s - first[k] + 1) for (k, s), m in hist.items())
-
-    while entries() * bits_per_entry > max_bits:
-        first[2 if first[2] < first[1] + 4 else 1] += 1
-    blocks = max(1, min(max_bits, -(-entries() * bits_per_entry // BLOCK_BITS) * BLOCK_BITS) // BLOCK_BITS)
-    least = F.when(F.col("k") == 1, int(STEPS[first[1] - 1])).otherwise(int(STEPS[first[2] - 1]))
-    kept = counts.where(F.col("n") >= least).select(
-        "k", "h", "n", (F.shiftrightunsigned("h", 16) % blocks).cast("int").alias("block"))
-
-    def fill(part: pa.Table) -> pa.Table:
-        low = np.where(part.column("k").to_numpy() == 1, first[1], first[2])
-        raw = LogFrequencyFilter.fill(part.column("h").to_numpy().astype(np.uint64), low, part.column("n").to_numpy(), 1)
-        return pa.table({"block": part.column("block")[:1].cast(pa.int32()), "bits": pa.array([raw], pa.binary())})
-
-    raw = bytearray(blocks * BLOCK_BITS // 8)
-    for r in kept.groupBy("block").applyInArrow(fill, "block int, bits binary").collect():
-        raw[r.block * BLOCK_BITS // 8:(r.block + 1) * BLOCK_BITS // 8] = r.bits
-    return LogFrequencyFilter(bytes(raw), first)
-
-
 def token_chunks(docs: DataFrame, kind: str) -> DataFrame:
     """docs (d, held, t) as chunks of whole rows: their ids, folds and token counts, the distinct token
     hashes (``types``) and each token's number among them (``here``, by ``squeeze``)."""
@@ -198,10 +167,42 @@ def _bytes(flat: np.ndarray, sizes: np.ndarray) -> pa.Array:
     return pa.Array.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(ends), pa.py_buffer(flat.astype(np.uint8))])
 
 
-def by_shard(h: np.ndarray, blocks: int, shards: int) -> tuple[np.ndarray, np.ndarray]:
-    """(order, shard): the order of the n-grams by shard, and the shard of each as given."""
-    g = block_of(h, blocks) % shards
-    return np.argsort(g, kind="stable"), g
+def key_bits(tokens_: int) -> int:
+    """Upper bits of its hash that an n-gram goes by between chunks and shards: so many that another of the corpus has the
+    same ones with a chance of about 2 ** -(SPARE - 1), far below that of a false hit in the filter."""
+    return min(64, max(1, int(tokens_).bit_length()) + SPARE)
+
+
+def place(key: np.ndarray) -> np.ndarray:
+    """What the filter hashes for a key."""
+    return mix64(key + np.uint64(0x9E3779B97F4A7C15))
+
+
+def by_shard(h: np.ndarray, bits: int, blocks: int, shards: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(order, keys, sizes): the order of the n-grams by shard and key, their keys in that order, the size of each shard."""
+    key = h.astype(np.uint64) >> np.uint64(64 - bits)
+    g = block_of(place(key), blocks) % shards
+    order = np.lexsort((key, g))
+    return order, key[order], np.bincount(g, minlength=shards)
+
+
+def pack_keys(keys: np.ndarray, sizes: np.ndarray, bits: int) -> list[bytes]:
+    """The sorted keys of each shard as compressed differences, all lowest bytes first."""
+    step = keys.copy()
+    step[1:] -= keys[:-1]
+    starts = (np.cumsum(sizes) - sizes)[sizes > 0]
+    step[starts] = keys[starts]
+    planes = -(-bits // 8)
+    return [pa.compress(np.ascontiguousarray(x.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :planes].T).tobytes(), "zstd", asbytes=True) if len(x) else b""
+            for x in np.split(step, np.cumsum(sizes)[:-1])]
+
+
+def unpack_keys(raw: bytes, n: int, bits: int) -> np.ndarray:
+    planes = -(-bits // 8)
+    out = np.zeros((n, 8), np.uint8)
+    if n:
+        out[:, :planes] = np.frombuffer(pa.decompress(raw, planes * n, "zstd"), np.uint8).reshape(planes, n).T
+    return np.cumsum(out.view("<u8").ravel(), dtype=np.uint64)
 
 
 def _chunk(row: pa.Table | pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -226,7 +227,7 @@ def count_words(chunks: DataFrame) -> DataFrame:
     return chunks.select("held", "size", "types", "here").mapInArrow(run, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
 
 
-def find_steps(chunks: DataFrame, blocks: int, shards: int) -> DataFrame:
+def find_steps(chunks: DataFrame, bits: int, blocks: int, shards: int) -> DataFrame:
     """(task, part, g, uni, two): the steps that shard ``g`` of the filter holds for a chunk's distinct words
     and bigrams there, one byte each, in the order of ``by_shard``.  All n-grams are stored from a count of one."""
     def ask(batches):
@@ -235,31 +236,29 @@ def find_steps(chunks: DataFrame, blocks: int, shards: int) -> DataFrame:
                 types, here, size = _chunk(row := batch.slice(i, 1))
                 train = _trains(row, size)
                 pairs, back = np.unique(bigrams(types[here]), return_inverse=True)
-                cols = []
+                cols, held = [], np.zeros(shards, bool)
                 for h, at in ((types, here), (pairs, back)):
-                    order, g = by_shard(h, blocks, shards)
-                    n, sizes = np.bincount(at[train], minlength=len(h)), np.bincount(g, minlength=shards)
-                    ends = np.cumsum(sizes)
-                    cols += [_bytes(h[order].astype("<u8").view(np.uint8).reshape(-1, 8)[:, 8 - KEY:].ravel(), sizes * KEY),
-                             pa.array([squeeze(x) for x in np.split(n[order], ends[:-1])], pa.binary())]
+                    order, keys, sizes = by_shard(h, bits, blocks, shards)
+                    n = np.bincount(at[train], minlength=len(h))[order]
+                    cols += [pa.array(sizes.astype(np.int32)), pa.array(pack_keys(keys, sizes, bits), pa.binary()),
+                             pa.array([squeeze(x) if len(x) else b"" for x in np.split(n, np.cumsum(sizes)[:-1])], pa.binary())]
+                    held |= sizes > 0
                 out = pa.RecordBatch.from_arrays([
                     pa.array(np.repeat(row.column("task").to_numpy(), shards)), pa.array(np.repeat(row.column("part").to_numpy(), shards)),
-                    pa.array(np.arange(shards, dtype=np.int32)), *cols], ["task", "part", "g", "uni", "uni_n", "two", "two_n"])
-                yield out.filter(pc.greater(pc.add(pc.binary_length(cols[0]), pc.binary_length(cols[2])), 0))
+                    pa.array(np.arange(shards, dtype=np.int32)), *cols], ["task", "part", "g", "uni_size", "uni", "uni_n", "two_size", "two", "two_n"])
+                yield out.filter(pa.array(held))
 
     asked = chunks.select("task", "part", "held", "size", "types", "here").mapInArrow(
-        ask, "task int, part int, g int, uni binary, uni_n binary, two binary, two_n binary")
+        ask, "task int, part int, g int, uni_size int, uni binary, uni_n binary, two_size int, two binary, two_n binary")
 
     def answer(part: pa.Table) -> pa.Table:
         held = {}
         for name in ("uni", "two"):
-            raw = part.column(name).to_pylist()
-            sizes = np.array([len(x) // KEY for x in raw])
-            whole = np.zeros((sizes.sum(), 8), np.uint8)
-            whole[:, 8 - KEY:] = np.frombuffer(b"".join(raw), np.uint8).reshape(-1, KEY)
-            h, back = np.unique(whole.view("<u8").ravel(), return_inverse=True)
+            sizes = part.column(f"{name}_size").to_numpy().astype(np.int64)
+            keys = np.concatenate([unpack_keys(x, m, bits) for x, m in zip(part.column(name).to_pylist(), sizes.tolist())])
+            h, back = np.unique(keys, return_inverse=True)
             n = np.concatenate([unsqueeze(x, m) for x, m in zip(part.column(f"{name}_n").to_pylist(), sizes.tolist())])
-            held[name] = h, np.bincount(back, weights=n, minlength=len(h)).astype(np.int64), back, sizes
+            held[name] = place(h), np.bincount(back, weights=n, minlength=len(h)).astype(np.int64), back, sizes
         h, n = (np.concatenate([held[name][i] for name in ("uni", "two")]) for i in (0, 1))
         raw = LogFrequencyFilter.fill(h, np.ones(len(h), np.int64), n, blocks, shards, part.column("g")[0].as_py())
         lm = LogFrequencyFilter(raw, {1: 1, 2: 1}, blocks, shards)
@@ -281,7 +280,7 @@ def score_texts(docs: DataFrame, folds: int = 10, max_bits: int = 1 << 28, bits_
     spark, sc = docs.sparkSession, docs.sparkSession.sparkContext
     held = fold(F.col(doc_id), folds) <= 0
     kind = docs.schema[doc_id].dataType.simpleString()
-    chunks = stage(token_chunks(docs.select(F.col(doc_id).alias("d"), held.alias("held"), F.col(text).alias("t")), kind), "lm-tokens")
+    chunks, where = stage_at(token_chunks(docs.select(F.col(doc_id).alias("d"), held.alias("held"), F.col(text).alias("t")), kind), "lm-tokens")
     words = stage(count_words(chunks), "lm-words")
     sums = words.agg(F.count("*").alias("v"), F.sum("n").alias("n")).first()
     types, total = sums.v or 0, sums.n or 0
@@ -299,7 +298,8 @@ def score_texts(docs: DataFrame, folds: int = 10, max_bits: int = 1 << 28, bits_
     size = chunks.agg(F.sum(F.aggregate("size", F.lit(0).cast("long"), lambda x, y: x + y))).first()[0] or 0
     blocks = max(1, -(-2 * size * bits_per_entry // BLOCK_BITS))     # an n-gram has no more entries than occurrences
     shards = min(blocks, max(4 * int(spark.conf.get("spark.sql.shuffle.partitions")), size // SHARD, -(-blocks * BLOCK_BITS // max_bits)))
-    found = find_steps(chunks, blocks, shards)
+    bits = key_bits(2 * size)
+    found = find_steps(chunks, bits, blocks, shards)
 
     def finish(chunk: pa.Table, answers: pa.Table) -> pa.Table:
         head_h, head_n = known.value
@@ -310,7 +310,7 @@ def score_texts(docs: DataFrame, folds: int = 10, max_bits: int = 1 << 28, bits_
         steps_ = []
         for name, h in (("uni", types_), ("two", pair)):
             at = np.empty(len(h), np.uint8)
-            at[by_shard(h, blocks, shards)[0]] = np.frombuffer(b"".join(answers.column(name).to_pylist()), np.uint8)
+            at[by_shard(h, bits, blocks, shards)[0]] = np.frombuffer(b"".join(answers.column(name).to_pylist()), np.uint8)
             steps_.append(MIDDLE[at])
         uni, two = steps_[0], steps_[1][pair_back]
         here = uni[back]
@@ -333,6 +333,7 @@ def score_texts(docs: DataFrame, folds: int = 10, max_bits: int = 1 << 28, bits_
 
     scored = stage(chunks.groupBy("task", "part").cogroup(found.groupBy("task", "part")).applyInArrow(
         finish, f"d {kind}, held boolean, task int, row long, n_tokens long, known long, base double, score double, rest array<long>"), "lm-scored")
+    unstage(spark, where)                              # what follows reads the scored rows alone
     rare = words if cut is None else words.where(F.col("n") < cut)
     c = F.coalesce("n", F.lit(0))
     missed = (scored.select("task", "row", F.explode("rest").alias("h")).groupBy("task", "row", "h").agg(F.count("*").alias("times"))
