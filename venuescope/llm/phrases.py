@@ -35,7 +35,7 @@ _KIND[[32, 9]] = _SPACE
 _KIND[[*b".,;:!?\n\x0b\x0c\r"]] = _CUT
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
-BATCH = 8 << 20                    # bytes of text whose suffixes are merged before they are sent
+BATCH = 4 << 20                    # bytes of text whose suffixes are merged before they are sent
 
 
 def piece_words(column: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
