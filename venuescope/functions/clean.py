@@ -13,21 +13,25 @@ from venuescope.functions.text import NUMERIC_PATTERN, _c, parse_double, strip_w
 def clean_rating(c, non_ratings=config.NON_RATINGS) -> Column:
     """'4.1' -> 4.1; not-rated texts and garbage -> null.  No range check:
     '0.0' is kept as 0.0 while '0' means unrated."""
-    s = strip_ws(c)
-    return F.when(~F.lower(s).isin(*[t.lower() for t in non_ratings]), parse_double(s, stripped=True))
+    return parse_double(c, without=[t.lower() for t in non_ratings])
 
 
-def clean_cost(c) -> Column:
-    """'1,200' -> 1200.0; only strictly positive amounts survive."""
-    v = parse_double(F.replace(_c(c), F.lit(","), F.lit("")))
-    return F.when(v > 0, v)
+def without_commas(c) -> Column:
+    return F.replace(_c(c), F.lit(","), F.lit(""))
 
 
-def standardise_city(c, city_map=None) -> Column:
+def clean_cost(c, plain: bool = False) -> Column:
+    """'1,200' -> 1200.0; only strictly positive amounts survive.  ``plain``: ``c`` is ``without_commas`` already."""
+    v = parse_double(c if plain else without_commas(c))
+    # the amount named once: Spark would parse the text again for each mention
+    return F.nullif(F.greatest(v, F.lit(0.0)), F.lit(0.0))
+
+
+def standardise_city(c, city_map=None, stripped: bool = False) -> Column:
     """Trim and fold aliases (case-sensitive).  A small map is a literal map
     lookup inside the projection, no join."""
     city_map = config.CITY_MAP if city_map is None else city_map
-    s = strip_ws(c)
+    s = _c(c) if stripped else strip_ws(c)
     if not city_map:
         return s
     lut = F.create_map(*[F.lit(x) for kv in city_map.items() for x in kv])
@@ -74,8 +78,9 @@ def coerce_flag(c, dtype: DataType | None = None, legacy: bool = False) -> Colum
 def clean_votes(c) -> Column:
     """to-numeric, bad or beyond 64 bits -> 0, truncate toward zero."""
     v = parse_double(c, NUMERIC_PATTERN)
-    ok = v.isNotNull() & (F.abs(v) < F.lit(2.0 ** 63))
-    return F.when(ok, v.cast("long")).otherwise(F.lit(0).cast("long"))
+    # try_cast refuses what lies beyond 64 bits, but for the two ends, where doubles are too coarse to tell
+    v = F.nullif(F.nullif(v, F.lit(2.0 ** 63)), F.lit(-2.0 ** 63))
+    return F.coalesce(v.try_cast("long"), F.lit(0).cast("long"))
 
 
 def clean_location(c) -> Column:

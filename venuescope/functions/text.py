@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -28,8 +30,11 @@ PY_WHITESPACE = "".join(chr(i) for i in range(0x3001) if chr(i).isspace())
 def strip_ws(c) -> Column:
     """Python ``str.strip()``: drop leading/trailing whitespace of any kind.
     Spark's one-argument ``trim`` drops spaces only; trimming a character
-    set is a plain scan (no regex)."""
-    return F.trim(_c(c), F.lit(PY_WHITESPACE))
+    set looks at every character of the set, so it is left to texts that do not begin and end
+    with a visible ASCII character once spaces are gone."""
+    t = F.trim(_c(c))
+    plain = F.ascii(t).between(33, 126) & F.ascii(F.right(t, F.lit(1))).between(33, 126)
+    return F.when(plain, t).otherwise(F.trim(t, F.lit(PY_WHITESPACE)))
 
 
 def nan_to_null(c) -> Column:
@@ -37,16 +42,24 @@ def nan_to_null(c) -> Column:
     return F.nanvl(_c(c), F.lit(None).cast("double"))
 
 
-def parse_double(c, pattern: str = FLOAT_PATTERN, stripped: bool = False) -> Column:
-    """Text to double; anything Python would reject becomes null.
+_WS_CLASS = "[" + "".join(f"\\x{{{ord(ch):x}}}" for ch in PY_WHITESPACE) + "]*"
+PLAIN_PATTERN = r"\d{1,15}(?:\.\d{1,15})?"      # what every parser reads alike
+
 
-    The regex guard keeps Spark from accepting forms Python refuses
-    (``4.1d``), underscores between digits are dropped before the cast, and
-    NaN is mapped to null so no NaN survives cleaning (Spark orders NaN above
-    every number)."""
-    s = _c(c) if stripped else strip_ws(c)
-    parsed = F.when(s.rlike(pattern), F.replace(s, F.lit("_"), F.lit("")).try_cast("double"))
-    return nan_to_null(parsed)
+def parse_double(c, pattern: str = FLOAT_PATTERN, without=()) -> Column:
+    """Text to double; anything Python would reject becomes null, and so do the texts of ``without``
+    (in any case).
+
+    Plain decimals are cast at once.  For all else the regex keeps Spark from accepting forms Python refuses
+    (``4.1d``), underscores between digits are dropped before the cast, and NaN is mapped to null so no NaN
+    survives cleaning (Spark orders NaN above every number).  ``c`` is named several times: give it as a
+    column of its own, not as the expression that builds the text."""
+    x = _c(c)
+    not_these = "".join(rf"(?!(?i:\Q{t}\E){_WS_CLASS}$)" for t in without if re.search(pattern, t))
+    number = F.regexp_extract(x, f"^{_WS_CLASS}{not_these}({pattern.removeprefix('^').removesuffix('$')}){_WS_CLASS}$", 1)
+    # what does not match comes out empty; a cast of that would build an exception first
+    other = nan_to_null(F.nullif(F.replace(number, F.lit("_"), F.lit("")), F.lit("")).try_cast("double"))
+    return F.when(x.rlike(f"^{not_these}{PLAIN_PATTERN}$"), x.try_cast("double")).otherwise(other)
 
 
 def round_half_up(c, digits: int) -> Column:

@@ -120,6 +120,9 @@ def _settle(rows: DataFrame, cells: DataFrame, by, limit: int) -> DataFrame:
     open_ = cells.where("_lo < _hi")
     if large is None:
         return done
+    if large <= limit:
+        # cells of one value go the same way (a row each and task after the partial sums): the cells are read once
+        done, open_ = None, cells
     inner = rows.join(open_, keys).select(*keys, _V, _W, "_n", "_lo", "_hi", "_from", "_ts")
     while large > limit:
         # cut the open cells again and keep the pieces with a wanted rank
@@ -140,7 +143,8 @@ def _settle(rows: DataFrame, cells: DataFrame, by, limit: int) -> DataFrame:
     values = inner.groupBy(*keys, _V).agg(F.sum(_W).alias("_n"), F.first("_from").alias("_from"), F.first("_ts").alias("_ts"))
     run = Window.partitionBy(*keys).orderBy(_V).rowsBetween(Window.unboundedPreceding, 0)
     values = values.withColumn("_to", F.col("_from") + F.sum("_n").over(run)).withColumn("t", F.explode(F.filter("_ts", _inside)))
-    return done.union(values.select(*by, F.col("t.k").alias("_k"), F.col("t.extra").alias("_extra"), _V))
+    hit = values.select(*by, F.col("t.k").alias("_k"), F.col("t.extra").alias("_extra"), _V)
+    return hit if done is None else done.union(hit)
 
 
 def _pivot(hit: DataFrame, by, probs, names) -> DataFrame:

@@ -9,7 +9,7 @@ from venuescope import config
 from venuescope.config import Params, REFERENCE
 from venuescope.functions import (
     city_tier, clean_cost, clean_location, clean_rating, clean_votes, coerce_flag,
-    price_tier, standardise_city, strip_ws,
+    price_tier, standardise_city, strip_ws, without_commas,
 )
 
 # Raw role -> raw column name.
@@ -37,14 +37,16 @@ def transform(raw: DataFrame, params: Params = REFERENCE, names: dict | None = N
     def flag(role):
         return coerce_flag(F.col(n[role]), dtypes.get(n[role]), params.legacy_flags)
 
-    stage = raw.select(
+    # what a rule names more than once is a step of its own, which Spark then works out once a row
+    trimmed = raw.withColumns({"_city": strip_ws(F.col(n["city"])), "_cost": without_commas(F.col(n["cost_for_two"]))})
+    stage = trimmed.select(
         F.col(n["name"]).alias("name"),
-        standardise_city(F.col(n["city"]), params.city_map).alias("city_clean"),
+        standardise_city(F.col("_city"), params.city_map, stripped=True).alias("city_clean"),
         clean_location(F.col(n["area"])).alias("location"),
         F.col(n["cusine"]).alias("cusine"),
         clean_rating(F.col(n["rating"]), params.non_ratings).alias("rating"),
         clean_votes(F.col(n["rating_count"])).alias("votes"),
-        clean_cost(F.col(n["cost_for_two"])).alias("cost_for_two"),
+        clean_cost(F.col("_cost"), plain=True).alias("cost_for_two"),
         flag("online_order").alias("has_online_order"),
         flag("table_reservation").alias("has_table_booking"),
         flag("delivery_only").alias("delivery_only"),

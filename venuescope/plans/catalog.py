@@ -1,9 +1,10 @@
 """The named query catalogue: ``name -> fn(spark, sf_dir) -> DataFrame``.
 
 Every entry reads the test tables (through the venue binding or directly)
-and returns a DataFrame over the whole tables.  Quantiles compute their cut
-points (a bounded array) while the plan is built, the forest its trees, and
-the publish and export entries write their files; all else is lazy.
+and returns a DataFrame over the whole tables.  Entries that read the listings
+several times stage the columns they need first, so the joins and the parsing are
+done once; quantiles settle their cells while the plan is built, the forest its
+trees, and the publish and export entries write their files; all else is lazy.
 Doubles that the original pipeline leaves unrounded are presented at 9
 decimals (``round_doubles``) so results do not depend on summation order.
 """
@@ -22,7 +23,7 @@ from venuescope.functions.text import round_doubles
 from venuescope.operators import anomaly, business, eda, forecast, profile, quality, scoring, stats
 from venuescope.operators.transform import explode_cuisines, transform
 from venuescope.plans import sql_text
-from venuescope.session import scratch_path
+from venuescope.session import scratch_path, staged
 from venuescope.sources import sinks
 from venuescope.sources.bindings import raw_venues, table
 
@@ -45,6 +46,12 @@ def restaurants(spark, d):
     return transform(raw(spark, d), P)
 
 
+def staged_restaurants(spark, d, *cols):
+    """The cleaned listings (or some of their columns), written once for entries that read them several times."""
+    c = restaurants(spark, d)
+    return staged(c.select(*cols) if cols else c, "listings")
+
+
 def restaurant_cuisines(spark, d):
     return explode_cuisines(restaurants(spark, d))
 
@@ -214,7 +221,7 @@ def _zscore(spark, d):
 
 @register("anom_business_risk")
 def _risk(spark, d):
-    return anomaly.business_risk_flag(restaurants(spark, d), P)
+    return anomaly.business_risk_flag(staged_restaurants(spark, d), P)
 
 
 # --- exploratory questions ---------------------------------------------------
@@ -240,7 +247,7 @@ def _e4(spark, d):
 
 @register("e5_box_top_cities")
 def _e5(spark, d):
-    return round_doubles(eda.box_stats(restaurants(spark, d), "city_clean", "cost_for_two", P.e5_top_cities))
+    return round_doubles(eda.box_stats(staged_restaurants(spark, d, "city_clean", "cost_for_two"), "city_clean", "cost_for_two", P.e5_top_cities))
 
 
 @register("e6_service_mix")
@@ -250,7 +257,7 @@ def _e6(spark, d):
 
 @register("e7_sample")
 def _e7s(spark, d):
-    c = restaurants(spark, d).select("name", "city_clean", "rating", "cost_for_two")
+    c = staged_restaurants(spark, d, "name", "city_clean", "rating", "cost_for_two")
     return eda.deterministic_sample(c, P.e7_sample_size, P.seed, dropna=["rating", "cost_for_two"])
 
 
@@ -318,66 +325,69 @@ def _ma(spark, d):
 
 
 # --- isolation forest, summary, risk export, findings, report ----------------
+DETECTOR_COLS = ("city_clean", "rating", "cost_for_two")
+FINDING_COLS = (*DETECTOR_COLS, "votes", "has_online_order")
+
+
 @register("anom_isolation_forest")
 def _iforest(spark, d):
     from venuescope.operators.iforest import isolation_forest_flag
-    return isolation_forest_flag(restaurants(spark, d), params=P)
-
-
-def _detected(spark, d, with_forest=True):
-    return anomaly.detect_all(restaurants(spark, d), P, with_forest=with_forest)
+    return isolation_forest_flag(staged_restaurants(spark, d), params=P)
 
 
 @register("anom_summary_statistical")
 def _anom_summary_statistical(spark, d):
     """The summary's three counts that need no forest."""
-    return _detected(spark, d, with_forest=False)[1].drop("isolation_forest_anomalies")
+    c = staged_restaurants(spark, d, *DETECTOR_COLS)
+    return anomaly.detect_all(c, P, with_forest=False)[1].drop("isolation_forest_anomalies")
 
 
 @register("operational_risk_venues")
 def _risk_venues(spark, d):
     """The risk export without the forest's flag."""
-    return _detected(spark, d, with_forest=False)[0].where(F.col("operational_risk")).drop("anom_isoforest")
+    flagged, _ = anomaly.detect_all(staged_restaurants(spark, d), P, with_forest=False)
+    return flagged.where(F.col("operational_risk")).drop("anom_isoforest")
 
 
 @register("anom_summary")
 def _anom_summary(spark, d):
-    return _detected(spark, d)[1]
+    return anomaly.detect_all(staged_restaurants(spark, d, *DETECTOR_COLS), P)[1]
 
 
 @register("operational_risk_rows")
 def _risk_rows(spark, d):
-    flagged, _ = _detected(spark, d)
+    flagged, _ = anomaly.detect_all(staged_restaurants(spark, d), P)
     return flagged.where(F.col("operational_risk"))
 
 
-def _risk_summary(spark, d):
-    """The risk count alone (no forest): what the findings sentence needs."""
-    risk = anomaly.business_risk_flag(restaurants(spark, d), P)
-    return risk.agg(F.count_if("operational_risk").alias("operational_risk_flags"))
-
-
 @register("key_findings")
 def _findings(spark, d):
     from venuescope.operators.report import key_findings
-    c = restaurants(spark, d)
-    return key_findings(c, scoring.city_opportunity(c, P), _risk_summary(spark, d))
+    c = staged_restaurants(spark, d, *FINDING_COLS)
+    # the risk count alone (no forest): what the findings sentence needs
+    risk = anomaly.business_risk_flag(c, P).agg(F.count_if("operational_risk").alias("operational_risk_flags"))
+    return key_findings(c, scoring.city_opportunity(c, P), risk)
 
 
-@register("run_report")
-def _run_report(spark, d):
+def _report(spark, d, with_forest=True):
+    """The run report's rows: the raw listings are landed and their cleaned columns staged, as in the job."""
     from venuescope.operators.report import key_findings, run_report
-    c = restaurants(spark, d)
-    _, summary = _detected(spark, d)
+    landed = staged(raw(spark, d), "landed")
+    c = staged(transform(landed, P).select(*FINDING_COLS), "listings")
+    _, summary = anomaly.detect_all(c, P, with_forest=with_forest)
+    if not with_forest:
+        summary = summary.drop("isolation_forest_anomalies")
+    summary = staged(summary, "summary")        # one row, read by the findings and the report
     f = key_findings(c, scoring.city_opportunity(c, P), summary)
-    return run_report(quality.validate(raw(spark, d), c, P), summary, f)
+    return run_report(quality.validate(landed, c, P), summary, f)
+
+
+@register("run_report")
+def _run_report(spark, d):
+    return _report(spark, d)
 
 
 @register("run_report_statistical")
 def _run_report_statistical(spark, d):
     """The archived report's rows without the forest's count, the run's date and number."""
-    from venuescope.operators.report import key_findings, run_report
-    c = restaurants(spark, d)
-    summary = _detected(spark, d, with_forest=False)[1].drop("isolation_forest_anomalies")
-    f = key_findings(c, scoring.city_opportunity(c, P), summary)
-    return run_report(quality.validate(raw(spark, d), c, P), summary, f).drop("run_date", "run_id")
+    return _report(spark, d, with_forest=False).drop("run_date", "run_id")

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job wants: adaptive execution (coalescing, skew-join split,
 # runtime broadcast conversion on measured sizes) and a pinned time zone.
@@ -75,3 +76,11 @@ def in_pool(spark: SparkSession, pool: str | None) -> None:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A folder under the shared checkpoint dir for staged tables."""
     return os.path.join(ensure_checkpoint_dir(spark), "venuescope", name)
+
+
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once under the shared checkpoint dir: what reads it several times neither repeats the
+    joins behind it nor carries its expressions into every filter."""
+    path = scratch_path(df.sparkSession, f"{name}/{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
