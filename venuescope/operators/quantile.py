@@ -121,7 +121,7 @@ def _settle(rows: DataFrame, cells: DataFrame, by, limit: int) -> DataFrame:
     if large is None:
         return done
     if large <= limit:
-        # cells of one value go the same way (a row each and task after the partial sums): the cells are read once
+        # cells of one value go the same way (one row a task after the partial sums), so the cells are read once
         done, open_ = None, cells
     inner = rows.join(open_, keys).select(*keys, _V, _W, "_n", "_lo", "_hi", "_from", "_ts")
     while large > limit:
