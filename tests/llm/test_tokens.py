@@ -172,3 +172,20 @@ def test_long_pieces_take_seconds_and_equal_the_library():
     assert time.perf_counter() - start < 30
     assert [x.tolist() for x in ids] == [library.encode_ordinary(t) for t in runs]
     assert own.decode(np.concatenate(ids), np.array([len(x) for x in ids])).to_pylist() == [t.encode() for t in runs]
+
+
+class _NotWalked(dict):
+    def __iter__(self):
+        raise AssertionError("every word ever kept is walked")
+
+
+def test_packing_plain_words_share_their_parts(word, monkeypatch):
+    w = packing.Words(P.path("word_bpe_49k.json"))
+    texts = ["There there. THERE, été Été! a1b22 <|x ÿ×÷Þ", "it's É́ <|endoftext|>x a\x1cb ΣΑΣ"]
+    for t, raw in zip(texts, w.encode(texts)):
+        assert np.frombuffer(raw, "<u4").tolist() == word.encode(t, add_special_tokens=False).ids
+    assert w.young["there."] == w.young["there"] + w.young["."]
+    # parts that are known need no library, and the old words are asked for by name
+    monkeypatch.setattr(w, "_encode", lambda texts: [] if not texts else pytest.fail("tokenised again"))
+    w.young, w.old = {}, _NotWalked(w.young)
+    assert w.encode(["there! There, THERE"]) == [b"".join(w.young[p] for p in ("there", "!", "there", ",", "there"))]

@@ -11,6 +11,8 @@ or numbered in one task.
 
 from __future__ import annotations
 
+import json
+import re
 from bisect import bisect_left, insort
 from collections.abc import Iterator
 
@@ -25,35 +27,83 @@ from .common import row_slices, stage
 _WORKER: dict = {}
 _NOT_BLANK = "\x1c\x1d\x1e\x1f"      # split() parts words at these, the tokenizer does not drop them
 
+# a tokenizer with these rules lower-cases a plain word (visible ASCII and Latin-1 letters, no apostrophe) and gives its
+# runs of letters, its digits and its runs of other signs each to the model by itself
+_LOWERED = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "},
+                                                {"type": "Lowercase"}]}
+_PARTED = {"type": "Sequence", "pretokenizers": [
+    {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}, "behavior": "Removed", "invert": True},
+    {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]}
+_PLAIN = re.compile("[!-&(-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+")
+_PART = re.compile("[a-z\u00df-\u00f6\u00f8-\u00ff]+|[0-9]|[^a-z0-9\u00df-\u00f6\u00f8-\u00ff]+")
+
+
+def takes_parts(path: str) -> bool:
+    """Whether the tokenizer of a file has the rules above, and no added token is a part."""
+    with open(path, encoding="utf-8") as f:
+        spec = json.load(f)
+    return (spec["normalizer"] == _LOWERED and spec["pre_tokenizer"] == _PARTED
+            and all(len(_PART.findall(t["content"].lower())) > 1 for t in spec["added_tokens"]))
+
 
 class Words:
     """Ids of words by the library, kept in two generations of at most ``room`` words each, so words
     in steady use stay and rare ones go.  The tokenizer drops white space and no token holds any, so
     the words between are tokenised alone; unknown ones go to the library many at a time, parted by a
-    special token, which cuts a text before anything else looks at it."""
+    special token, which cuts a text before anything else looks at it.  Where the tokenizer's rules allow it
+    (``takes_parts``), plain words are lower-cased and their parts, which many words share, go to its model."""
 
     def __init__(self, path: str, room: int = 250_000):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel
 
         self.tok, self.room = Tokenizer.from_file(path), room
         special = [(t.content, i) for i, t in self.tok.get_added_tokens_decoder().items() if t.special]
         self.mark, self.mark_id = special[0] if special else (None, None)
+        self.model = self.tok.model if takes_parts(path) else None
+        self.added = [t.content for t in self.tok.get_added_tokens_decoder().values()]
+        by_bytes = ByteLevel(add_prefix_space=False, use_regex=False)
+        self.signs = {c: by_bytes.pre_tokenize_str(chr(c))[0][0] for c in range(0xC0, 0x100)}
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
     def _encode(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _recall(self, words: set[str]) -> set[str]:
+        """The words of no generation; those of the old one are young again."""
+        new = words.difference(self.young)
+        # not intersection(): of a dict it walks every word ever kept
+        kept = {w: self.old[w] for w in new if w in self.old}
+        self.young.update(kept)
+        return new.difference(kept)
+
+    def _learn_plain(self, words: set[str]) -> set[str]:
+        """Learns the plain words from their parts; returns the others."""
+        plain = [w for w in words if _PLAIN.fullmatch(w)]
+        whole = "\n".join(plain)
+        if any(t in whole for t in self.added):
+            plain = [w for w in plain if not any(t in w for t in self.added)]
+        parts = [[w] if w.isalpha() and w.islower() else _PART.findall(w.lower()) for w in plain]
+        new, ids, ends = list(self._recall({p for ps in parts for p in ps})), [], []
+        for p in new:
+            ids += [t.id for t in self.model.tokenize(p if p.isascii() else p.translate(self.signs))]
+            ends.append(4 * len(ids))
+        raw = np.array(ids, "<u4").tobytes()
+        self.young.update((p, raw[begin:end]) for p, begin, end in zip(new, [0, *ends], ends))
+        get = self.young.__getitem__
+        self.young.update((w, b"".join(map(get, ps))) for w, ps in zip(plain, parts) if ps[0] != w)
+        return words.difference(plain)
+
     def learn(self, words: set[str]) -> None:
         if len(self.young) > self.room:
             self.young, self.old = {}, self.young
-        new = words.difference(self.young)
-        kept = new.intersection(self.old)
-        self.young.update((w, self.old[w]) for w in kept)
-        new -= kept
+        new = self._recall(words)
+        if self.model is not None:
+            new = self._learn_plain(new)
         alone = [w for w in new if self.mark is None or self.mark in w]
         new = list(new.difference(alone))
         groups = [new[i:i + 50] for i in range(0, len(new), 50)]
@@ -71,7 +121,7 @@ class Words:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         cut = [[w for w in t.replace("\n", " ").split(" ") if w] if any(c in t for c in _NOT_BLANK) else t.split() for t in texts]
-        self.learn({w for words in cut for w in words})
+        self.learn(set().union(*cut))
         get = self.young.__getitem__
         return [b"".join(map(get, words)) for words in cut]
 
