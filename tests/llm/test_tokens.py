@@ -189,3 +189,26 @@ def test_packing_plain_words_share_their_parts(word, monkeypatch):
     monkeypatch.setattr(w, "_encode", lambda texts: [] if not texts else pytest.fail("tokenised again"))
     w.young, w.old = {}, _NotWalked(w.young)
     assert w.encode(["there! There, THERE"]) == [b"".join(w.young[p] for p in ("there", "!", "there", ",", "there"))]
+
+
+class _Counted(dict):
+    asked = 0
+
+    def __getitem__(self, word):
+        self.asked += 1
+        return super().__getitem__(word)
+
+
+def test_packing_asks_for_a_word_once_a_slice(word):
+    """A column goes to Arrow as it is, and a word is looked up once however often the texts hold it."""
+    import pyarrow as pa
+
+    w = packing.Words(P.path("word_bpe_49k.json"))
+    w.young = _Counted(w.young)
+    texts = [" a b a  b\n" * 500, None, "", "a\x1fb a", "b" * 9 + "\x85a"]
+    for part in (texts, texts[:3], texts[1:3]):
+        want = [word.encode(t or "", add_special_tokens=False).ids for t in part]
+        assert [np.frombuffer(x, "<u4").tolist() for x in w.encode(pa.array(part, pa.string()))] == want
+    # a part of a longer column
+    assert w.encode(pa.array(texts, pa.string()).slice(4)) == w.encode(texts[4:])
+    assert w.young.asked < 50

@@ -18,6 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -25,7 +26,7 @@ from pyspark.sql import functions as F
 from .common import row_slices, stage
 
 _WORKER: dict = {}
-_NOT_BLANK = "\x1c\x1d\x1e\x1f"      # split() parts words at these, the tokenizer does not drop them
+_NOT_BLANK = "[\x1c-\x1f]"      # utf8_split_whitespace parts words at these, the tokenizer does not drop them
 
 # a tokenizer with these rules lower-cases a plain word (visible ASCII and Latin-1 letters, no apostrophe) and gives its
 # runs of letters, its digits and its runs of other signs each to the model by itself
@@ -87,15 +88,17 @@ class Words:
         whole = "\n".join(plain)
         if any(t in whole for t in self.added):
             plain = [w for w in plain if not any(t in w for t in self.added)]
-        parts = [[w] if w.isalpha() and w.islower() else _PART.findall(w.lower()) for w in plain]
-        new, ids, ends = list(self._recall({p for ps in parts for p in ps})), [], []
+        own = {w for w in plain if w.isalpha() and w.islower()}      # parts themselves
+        cut = [w for w in plain if w not in own]
+        parts = [_PART.findall(w.lower()) for w in cut]
+        new, ids, ends = self._recall(own.union(*parts)), [], []
         for p in new:
             ids += [t.id for t in self.model.tokenize(p if p.isascii() else p.translate(self.signs))]
             ends.append(4 * len(ids))
         raw = np.array(ids, "<u4").tobytes()
         self.young.update((p, raw[begin:end]) for p, begin, end in zip(new, [0, *ends], ends))
         get = self.young.__getitem__
-        self.young.update((w, b"".join(map(get, ps))) for w, ps in zip(plain, parts) if ps[0] != w)
+        self.young.update((w, b"".join(map(get, ps))) for w, ps in zip(cut, parts))
         return words.difference(plain)
 
     def learn(self, words: set[str]) -> None:
@@ -119,11 +122,22 @@ class Words:
         for w, ids in zip(alone, self._encode(alone)):
             self.young[w] = np.array(ids, "<u4").tobytes()
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        cut = [[w for w in t.replace("\n", " ").split(" ") if w] if any(c in t for c in _NOT_BLANK) else t.split() for t in texts]
-        self.learn(set().union(*cut))
-        get = self.young.__getitem__
-        return [b"".join(map(get, words)) for words in cut]
+    def encode(self, texts: pa.Array | list[str]) -> list[bytes]:
+        """The ids of each text (null: none).  A word is looked up once however often the texts hold it, and
+        its ids are brought to its places by Arrow."""
+        texts = pc.fill_null(pa.array(texts, pa.string()) if isinstance(texts, list) else texts, "")
+        if pc.any(pc.match_substring_regex(texts, _NOT_BLANK)).as_py():
+            cut = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
+        else:
+            cut = pc.utf8_split_whitespace(texts)
+        places = cut.flatten().dictionary_encode()
+        words = places.dictionary.to_numpy(zero_copy_only=False).tolist()      # to_pylist() makes a scalar of each
+        self.learn(set(words))
+        ids = pa.array([*map(self.young.__getitem__, words)], pa.large_binary()).take(places.indices)
+        _, offsets, raw = ids.buffers()
+        ends = np.frombuffer(offsets, np.int64, len(ids) + 1)[cut.offsets.to_numpy()].tolist() if len(ids) else [0] * (len(texts) + 1)
+        raw = memoryview(raw or b"")
+        return [bytes(raw[begin:end]) for begin, end in zip(ends, ends[1:])]
 
 
 def token_pieces(docs: DataFrame, path: str, capacity: int = 2048, end_id: int = 0,
@@ -139,7 +153,7 @@ def token_pieces(docs: DataFrame, path: str, capacity: int = 2048, end_id: int =
             words = _WORKER.get(path) or _WORKER.setdefault(path, Words(path))
             for part in row_slices(batch, "t"):
                 rows, piece, start, ids = [], [], [], []
-                for i, raw in enumerate(words.encode([t or "" for t in part.column("t").to_pylist()])):
+                for i, raw in enumerate(words.encode(part.column("t"))):
                     raw += end
                     for k, at in enumerate(range(0, len(raw), width)):
                         rows.append(i)
