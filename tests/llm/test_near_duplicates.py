@@ -219,3 +219,27 @@ def test_doubles_and_text_labels(spark):
                 and np.dot(v, w) / np.linalg.norm(v) / np.linalg.norm(w) >= 0.93]
         assert got[i] == (len(near), min([i, *near]))
     assert got[91] == (0, 91) and got[92] == (0, 92)
+
+
+def test_pairs_of_long_texts_reach_a_task_in_small_batches(spark, monkeypatch):
+    """1,000 pairs of texts of 40 kB: no batch of them, copied for every core, holds more than a few MB."""
+    import pyarrow as pa
+
+    from venuescope.llm import common
+
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key, None)
+    texts = spark.range(0, 1000, 1, 1).selectExpr("id d", "repeat(cast(id % 7 as string), 40000) t")
+    pairs = texts.join(texts.withColumnRenamed("t", "u"), "d").coalesce(1)
+    sizes = lambda batches: (pa.RecordBatch.from_arrays([pa.array([b.num_rows]), pa.array([b.nbytes])], ["n", "b"]) for b in batches)
+    got = common.stage(pairs.mapInArrow(sizes, "n long, b long"), "sizes").collect()
+    assert sum(r.n for r in got) == 1000 and max(r.b for r in got) < 2 * common.BATCH_BYTES
+    assert spark.conf.get(key, None) == before
+    # a size that the session names stays
+    monkeypatch.setattr(common, "BATCH_BYTES", 1)
+    try:
+        spark.conf.set(key, str(1 << 24))
+        assert common.stage(pairs.mapInArrow(sizes, "n long, b long"), "sizes").agg({"b": "max"}).first()[0] > 1 << 23
+        assert spark.conf.get(key) == str(1 << 24)
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)

@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 import zlib
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -19,6 +20,10 @@ SPACES = " \t\n\x0b\x0c\r"
 #: bytes.split() without arguments splits at exactly these six, and bytes.lower()
 #: lower-cases exactly A-Z, so both run on UTF-8 bytes
 WORD = r"[^\x20\x09-\x0D]+"
+#: bytes of rows in one batch between Spark and Python, about.  A batch lies in the JVM's buffers, which double as they
+#: grow, and in the worker at once, for every core: Spark's 64 MB come to several hundred outside the heap
+BATCH_BYTES = 8 << 20
+_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,6 +31,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """What runs inside gets batches of BATCH_BYTES, unless the session names a size of its own."""
+    own = spark.conf.get(_BATCH, None) is None
+    if own:
+        spark.conf.set(_BATCH, str(BATCH_BYTES))
+    try:
+        yield
+    finally:
+        if own:
+            spark.conf.unset(_BATCH)
+
+
 def stage_at(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     """Cut the lineage: write ``df`` under the shared checkpoint folder and read it back; also the folder.
 
@@ -33,7 +51,8 @@ def stage_at(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     rows however often it is recomputed."""
     spark = df.sparkSession
     path = f"{scratch_path(spark, name)}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
+    with small_batches(spark):
+        df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path), path
 
 
