@@ -212,3 +212,14 @@ def test_packing_asks_for_a_word_once_a_slice(word):
     # a part of a longer column
     assert w.encode(pa.array(texts, pa.string()).slice(4)) == w.encode(texts[4:])
     assert w.young.asked < 50
+
+
+def test_packing_asks_for_a_part_once_a_slice(word):
+    """New words are cut by Arrow: their parts are looked up once each, not once for every word."""
+    w = packing.Words(P.path("word_bpe_49k.json"))
+    w.young = _Counted(w.young)
+    plain = [f"{a}{d}{b}{s}" for a in ("Ab", "cd", "\u00c0\u00d6") for d in "0123456789" for b in ("x", "YZ") for s in (",", "...", "!")]
+    others = ["<|ENDOFTEXT|>", "<|EndOfText|>x", "x<|endoftext|>", "IT'S", "\u0130\u017f"]
+    texts = [" ".join(plain[:90]), "", None, " ".join([*plain[60:], *others])]
+    assert [np.frombuffer(x, "<u4").tolist() for x in w.encode(texts)] == [word.encode(t or "", add_special_tokens=False).ids for t in texts]
+    assert w.young.asked < len(plain) + 50

@@ -35,8 +35,8 @@ _LOWERED = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Repla
 _PARTED = {"type": "Sequence", "pretokenizers": [
     {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}, "behavior": "Removed", "invert": True},
     {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]}
-_PLAIN = re.compile("[!-&(-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+")
-_PART = re.compile("[a-z\u00df-\u00f6\u00f8-\u00ff]+|[0-9]|[^a-z0-9\u00df-\u00f6\u00f8-\u00ff]+")
+_PLAIN = "^[!-&(-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+$"
+_PART = "([a-z\u00df-\u00f6\u00f8-\u00ff]+|[0-9]|[^a-z0-9\u00df-\u00f6\u00f8-\u00ff]+)"
 
 
 def takes_parts(path: str) -> bool:
@@ -44,7 +44,11 @@ def takes_parts(path: str) -> bool:
     with open(path, encoding="utf-8") as f:
         spec = json.load(f)
     return (spec["normalizer"] == _LOWERED and spec["pre_tokenizer"] == _PARTED
-            and all(len(_PART.findall(t["content"].lower())) > 1 for t in spec["added_tokens"]))
+            and all(len(re.findall(_PART, t["content"].lower())) > 1 for t in spec["added_tokens"]))
+
+
+def _texts(words: pa.Array) -> list[str]:
+    return words.to_numpy(zero_copy_only=False).tolist()      # to_pylist() makes a scalar of each
 
 
 class Words:
@@ -52,9 +56,10 @@ class Words:
     in steady use stay and rare ones go.  The tokenizer drops white space and no token holds any, so
     the words between are tokenised alone; unknown ones go to the library many at a time, parted by a
     special token, which cuts a text before anything else looks at it.  Where the tokenizer's rules allow it
-    (``takes_parts``), plain words are lower-cased and their parts, which many words share, go to its model."""
+    (``takes_parts``), plain words are lower-cased and cut by Arrow and their parts, which many words share, go to its
+    model."""
 
-    def __init__(self, path: str, room: int = 250_000):
+    def __init__(self, path: str, room: int = 500_000):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -82,24 +87,42 @@ class Words:
         self.young.update(kept)
         return new.difference(kept)
 
-    def _learn_plain(self, words: set[str]) -> set[str]:
-        """Learns the plain words from their parts; returns the others."""
-        plain = [w for w in words if _PLAIN.fullmatch(w)]
-        whole = "\n".join(plain)
-        if any(t in whole for t in self.added):
-            plain = [w for w in plain if not any(t in w for t in self.added)]
-        own = {w for w in plain if w.isalpha() and w.islower()}      # parts themselves
-        cut = [w for w in plain if w not in own]
-        parts = [_PART.findall(w.lower()) for w in cut]
-        new, ids, ends = self._recall(own.union(*parts)), [], []
-        for p in new:
+    def _learn_parts(self, parts: list[str]) -> None:
+        ids, ends = [], []
+        for p in parts:
             ids += [t.id for t in self.model.tokenize(p if p.isascii() else p.translate(self.signs))]
             ends.append(4 * len(ids))
         raw = np.array(ids, "<u4").tobytes()
-        self.young.update((p, raw[begin:end]) for p, begin, end in zip(new, [0, *ends], ends))
-        get = self.young.__getitem__
-        self.young.update((w, b"".join(map(get, ps))) for w, ps in zip(cut, parts))
-        return words.difference(plain)
+        self.young.update((p, raw[begin:end]) for p, begin, end in zip(parts, [0, *ends], ends))
+
+    def _learn_plain(self, words: set[str]) -> set[str]:
+        """Learns the plain words from their parts; returns the others.  Arrow cuts the words and lays the ids of
+        their parts end to end, so Python sees a word when it is kept and a part when it is asked for."""
+        new = pa.array([*words], pa.string())
+        plain = pc.match_substring_regex(new, _PLAIN)
+        for t in self.added:
+            plain = pc.and_not(plain, pc.match_substring(new, t))
+        others, new = new.filter(pc.invert(plain)), new.filter(plain)
+        low = pc.utf8_lower(new)
+        cut = pc.split_pattern(pc.ascii_ltrim(pc.replace_substring_regex(low, _PART, r" \1"), " "), " ")
+        places = cut.flatten().dictionary_encode()
+        parts = _texts(places.dictionary)
+        self._learn_parts([*self._recall(set(parts))])
+        # a word that is its own part is known by now
+        more = pc.or_(pc.greater(pc.list_value_length(cut), 1), pc.not_equal(low, new))
+        laid, ends = self._laid(parts, places.indices, cut)
+        keep = more.to_numpy(zero_copy_only=False)
+        self.young.update((w, laid[begin:end]) for w, begin, end in
+                          zip(_texts(new.filter(more)), ends[:-1][keep].tolist(), ends[1:][keep].tolist()))
+        return set(_texts(others))
+
+    def _laid(self, words: list[str], places: pa.Array, lists: pa.Array) -> tuple[bytes, np.ndarray]:
+        """The ids of the words at ``places`` end to end, and where those of each list of places begin and end."""
+        if not len(places):
+            return b"", np.zeros(len(lists) + 1, np.int64)
+        ids = pa.array([*map(self.young.__getitem__, words)], pa.large_binary()).take(places)
+        _, offsets, raw = ids.buffers()
+        return (raw or pa.py_buffer(b"")).to_pybytes(), np.frombuffer(offsets, np.int64, len(ids) + 1)[lists.offsets.to_numpy()]
 
     def learn(self, words: set[str]) -> None:
         if len(self.young) > self.room:
@@ -131,13 +154,11 @@ class Words:
         else:
             cut = pc.utf8_split_whitespace(texts)
         places = cut.flatten().dictionary_encode()
-        words = places.dictionary.to_numpy(zero_copy_only=False).tolist()      # to_pylist() makes a scalar of each
+        words = _texts(places.dictionary)
         self.learn(set(words))
-        ids = pa.array([*map(self.young.__getitem__, words)], pa.large_binary()).take(places.indices)
-        _, offsets, raw = ids.buffers()
-        ends = np.frombuffer(offsets, np.int64, len(ids) + 1)[cut.offsets.to_numpy()].tolist() if len(ids) else [0] * (len(texts) + 1)
-        raw = memoryview(raw or b"")
-        return [bytes(raw[begin:end]) for begin, end in zip(ends, ends[1:])]
+        raw, ends = self._laid(words, places.indices, cut)
+        ends = ends.tolist()
+        return [raw[begin:end] for begin, end in zip(ends, ends[1:])]
 
 
 def token_pieces(docs: DataFrame, path: str, capacity: int = 2048, end_id: int = 0,
@@ -151,7 +172,8 @@ def token_pieces(docs: DataFrame, path: str, capacity: int = 2048, end_id: int =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             words = _WORKER.get(path) or _WORKER.setdefault(path, Words(path))
-            for part in row_slices(batch, "t"):
+            # the larger a slice, the fewer of its words are those of another
+            for part in row_slices(batch, "t", 8 << 20):
                 rows, piece, start, ids = [], [], [], []
                 for i, raw in enumerate(words.encode(part.column("t"))):
                     raw += end
